@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -18,12 +19,29 @@ def named(name: str) -> Column:
 
 
 def parse_date(column: Column, *patterns: str) -> Column:
-    """The date in a text, by the first pattern that fits; NULL if none does.
+    """The date in a text, by the pattern that fits it; NULL if none does.
 
     Malformed text gives NULL under ANSI mode too, where ``to_date`` raises.
+    A text is parsed only by a pattern of its own shape (each letter of the
+    pattern stands for one digit), since a failed parse costs an exception.
     """
-    parsed = [F.try_to_date(column, pattern) for pattern in patterns]
-    return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
+    chain = None
+    for pattern in patterns:
+        shape = "^" + re.sub("[A-Za-z]", r"\\d", pattern) + "$"
+        chain = (F if chain is None else chain).when(
+            column.rlike(shape), F.try_to_date(column, pattern)
+        )
+    return chain
+
+
+def parse_int(column: Column, target: str = "int") -> Column:
+    """A whole number in a text; NULL for other text and for numbers too large.
+
+    The shape test gives what ``try_cast`` alone would, without an exception
+    for every value that is not a number.
+    """
+    whole = column.cast("string").rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$")
+    return F.when(whole, column.try_cast(target))
 
 
 def parse_flag(column: Column) -> Column:

@@ -8,9 +8,9 @@ from collections import defaultdict
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, SparkSession
 
 from epilake.layout import Batch, LakeLayout
 from epilake.sinks.files import write_batch, write_pointer
@@ -59,7 +59,7 @@ def land(
             write_batch(reduce(DataFrame.unionByName, parts), layout, batch)
             write_pointer(spark, layout, batch)
             landed.append(batch)
-        except (AnalysisException, Py4JJavaError, ValueError) as error:
+        except (PySparkException, Py4JJavaError, ValueError) as error:
             failed[dataset] = error
     if failed:
         detail = "; ".join(f"{name}: {str(error).splitlines()[0]}" for name, error in failed.items())

@@ -148,8 +148,8 @@ def zero_measure_count_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     " (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1"
 )
 def latest_row_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    newest = latest_per_key(table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_id"])
-    return newest.select("user_id", "event_id", "event_type", "value")
+    events = table(spark, sf_dir, "events").drop("props")
+    return latest_per_key(events, ["user_id"], "ts", ["event_id"]).drop("ts")
 
 
 def _outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,6 @@ LINE_SCHEMA = "archive STRING, member STRING, line_no BIGINT, line STRING"
 _LINES_PER_BATCH = 20_000
 
 
-class ArchiveHeaderError(ValueError):
-    """The members of the archives of one dataset do not share a header."""
-
-
 def read_archives(
     spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
 ) -> DataFrame:
@@ -35,17 +31,17 @@ def read_archives(
     return reader.load([paths] if isinstance(paths, str) else list(paths)).select("path", "content")
 
 
-def inflate(archives: DataFrame, dialect: CsvDialect, headers_only: bool = False) -> DataFrame:
+def inflate(archives: DataFrame, dialect: CsvDialect, header: str | None = None) -> DataFrame:
     """The text lines of all archive members, numbered from 0 in each member.
 
     A member's folders are dropped from its name. Members are inflated as a
     stream and leave the task in small batches, so the size of the text does
-    not matter to memory. ``headers_only`` stops after each first line.
+    not matter to memory. With ``header``, a member that starts with another
+    line fails the job, as its columns would be mixed up with the others'.
     """
     # utf-8-sig is UTF-8 that tolerates a byte order mark.
     encoding = "utf-8-sig" if dialect.encoding.upper() == "UTF-8" else dialect.encoding
     newline = dialect.line_sep
-    limit = 1 if headers_only else None
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -59,8 +55,9 @@ def inflate(archives: DataFrame, dialect: CsvDialect, headers_only: bool = False
         member = info.filename.rsplit("/", 1)[-1]
         with archive.open(info) as raw, io.TextIOWrapper(raw, encoding, newline=newline) as text:
             end, first = newline or "\n", 0
-            rest = islice(text, limit)
-            while chunk := [line.removesuffix(end) for line in islice(rest, _LINES_PER_BATCH)]:
+            while chunk := [line.removesuffix(end) for line in islice(text, _LINES_PER_BATCH)]:
+                if first == 0 and header is not None and chunk[0] != header:
+                    raise ValueError(f"header of {info.filename} in {path} is not {header!r}")
                 count = len(chunk)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -76,13 +73,20 @@ def inflate(archives: DataFrame, dialect: CsvDialect, headers_only: bool = False
     return archives.select("path", "content").mapInArrow(members, LINE_SCHEMA)
 
 
-def header_columns(archives: DataFrame, dialect: CsvDialect) -> list[str]:
-    """The column names that all members agree on."""
-    headers = inflate(archives, dialect, headers_only=True).select("line").distinct().head(2)
-    if len(headers) != 1:
-        raise ArchiveHeaderError(f"expected one header, found {[row['line'] for row in headers]!r}")
-    record = csv.reader([headers[0]["line"]], delimiter=dialect.sep, quotechar=dialect.quote)
-    return next(record)
+def first_line(spark: SparkSession, paths: str | Sequence[str], dialect: CsvDialect) -> str:
+    """The first line of one archive; the content of the others is not read."""
+    found = read_archives(spark, paths).select("path").head()
+    if found is None:
+        raise ValueError(f"no archive at {paths!r}")
+    lines = inflate(read_archives(spark, found["path"]), dialect)
+    first = lines.filter(F.col("line_no") == 0).head()
+    if first is None:
+        raise ValueError(f"no text in {found['path']}")
+    return first["line"]
+
+
+def split_header(header: str, dialect: CsvDialect) -> list[str]:
+    return next(csv.reader([header], delimiter=dialect.sep, quotechar=dialect.quote))
 
 
 def parse_lines(lines: DataFrame, columns: Sequence[str], dialect: CsvDialect) -> DataFrame:
@@ -98,5 +102,9 @@ def read_zipped_delimited(
     spark: SparkSession, paths: str | Sequence[str], dialect: CsvDialect
 ) -> DataFrame:
     """Delimited text inside zip archives, every column as text."""
-    archives = read_archives(spark, paths)
-    return parse_lines(inflate(archives, dialect), header_columns(archives, dialect), dialect)
+    line = first_line(spark, paths, dialect)
+    columns = split_header(line, dialect)
+    if not dialect.header:
+        columns = [f"_c{position}" for position in range(len(columns))]
+    lines = inflate(read_archives(spark, paths), dialect, line if dialect.header else None)
+    return parse_lines(lines, columns, dialect)

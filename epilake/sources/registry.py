@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from epilake.functions.columns import named, parse_flag
+from epilake.functions.columns import named, parse_flag, parse_int
 from epilake.layout import Batch, LakeLayout
 from epilake.operators.rename import require_columns
 from epilake.sources.delimited import read_delimited
@@ -104,21 +104,23 @@ MONTHLY = (MICRODATA, PROFESSIONALS, INDIGENOUS, INPATIENTS, TESTS)
 REGISTRY = {spec.name: spec for spec in (*DAILY, *MONTHLY)}
 
 
-def typed(name: str, target: str) -> Column:
+def typed(name: str, source: str, target: str) -> Column:
     """A column cast without failing: text that does not fit gives NULL."""
     if target == "boolean":
         return parse_flag(named(name))
+    if source == "string" and target in ("int", "bigint"):
+        return parse_int(named(name), target)
     return named(name).try_cast(target)
 
 
 def apply_types(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Check that the listed columns are there and give them their types."""
     require_columns(df, columns)
-    types = dict(df.dtypes)
+    types = {field.name.lower(): field.dataType.simpleString() for field in df.schema}
     changes = {
-        name: typed(name, target).alias(name)
+        name: typed(name, types[name.lower()], target)
         for name, target in columns.items()
-        if types.get(name) != target
+        if types[name.lower()] != target
     }
     return df.withColumns(changes) if changes else df
 

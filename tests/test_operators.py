@@ -1,0 +1,284 @@
+"""Generic operators: NULL rules, strictness, skew, and plans."""
+
+from __future__ import annotations
+
+import datetime as dt
+import uuid
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from epilake.functions.columns import named, parse_date, parse_flag, route
+from epilake.operators.aggregate import one_outcome, outcome_count, outcome_counts, zero_count, zero_count_sql
+from epilake.operators.filters import drop_placeholder, keep_any_known
+from epilake.operators.latest import latest_per_key
+from epilake.operators.rename import MissingColumnsError, rename_strict, sort_desc
+from epilake.operators.stamp import parse_date_column, stamp
+from epilake.plans import daily, monthly
+from epilake.queries import QUERIES
+from epilake.sinks import jdbc
+from epilake.sinks.jdbc import (
+    JdbcTarget,
+    LoadMismatchError,
+    append_once,
+    count_table,
+    missing_rows,
+    overwrite_table,
+    read_table,
+)
+from epilake.sources.registry import CONDITIONS, apply_types
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan_of(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def initial_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def tuples(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def test_placeholder_drops_null_too(spark):
+    df = spark.createDataFrame([("a",), ("Ignorado",), (None,)], "`n m` string")
+    assert tuples(drop_placeholder(df, "n m", "Ignorado")) == [("a",)]
+
+
+def test_any_known_null_rules(spark):
+    schema = ", ".join(f"{name} string" for name in CONDITIONS)
+    data = [
+        ("IGNORADO",) * 13,
+        ("IGNORADO",) * 12 + (None,),
+        (None,) * 13,
+        ("SIM",) + ("IGNORADO",) * 12,
+        ("SIM",) + (None,) * 12,
+    ]
+    df = spark.createDataFrame(data, schema)
+    kept = keep_any_known(df, CONDITIONS, "IGNORADO")
+    assert Counter(tuples(kept)) == Counter(row + ("true",) for row in data[1:])
+    assert keep_any_known(df, CONDITIONS, "IGNORADO", keep_flag=False).columns == list(CONDITIONS)
+
+
+def test_rename_reports_missing_headers(spark):
+    df = spark.createDataFrame([("a", 1)], "`Municipio` string, `PRIMEIRA DOSE` int")
+    with pytest.raises(MissingColumnsError, match="'Municipio '"):
+        daily.applied_doses(df)
+
+
+def test_drop_of_an_absent_column_is_harmless(spark):
+    names = list(daily.RANKING_NAMES)
+    df = spark.createDataFrame([("a", 1, 2, 3, "4,5")], ", ".join(f"`{n}` {t}" for n, t in zip(names, ["string", "int", "int", "int", "string"])))
+    assert daily.applied_doses(df).columns == list(daily.RANKING_NAMES.values())
+
+
+def test_both_ordinal_signs_are_told_apart(spark):
+    assert "1\u00ba DOSE" in daily.VACCINE_NAMES and "2\u00b0 DOSE" in daily.VACCINE_NAMES
+
+
+def test_apply_types_checks_and_casts(spark):
+    df = spark.createDataFrame([(" 12 ", "x", "FALSE"), ("1,5", "y", "2")], "a string, b string, c string")
+    typed = apply_types(df, {"a": "int", "b": "string", "c": "boolean"})
+    assert tuples(typed) == [(12, "x", False), (None, "y", None)]
+    with pytest.raises(MissingColumnsError, match="'z'"):
+        apply_types(df, {"z": "int"})
+
+
+def test_names_with_dots_and_backticks(spark):
+    df = spark.createDataFrame([("2", 1)], "`a.b` string, `c``d` int")
+    assert tuples(apply_types(df, {"a.b": "int"})) == [(2, 1)]
+    assert tuples(df.select(named("c`d"))) == [(1,)]
+
+
+def test_sort_desc_breaks_ties_by_the_rest(spark):
+    df = spark.createDataFrame([("a", 5), ("b", 5), ("c", None), ("d", 50)], "n string, v int")
+    assert tuples(sort_desc(df, "v")) == [("d", 50), ("b", 5), ("a", 5), ("c", None)]
+
+
+def test_zero_count_forms_agree(spark):
+    df = spark.createDataFrame(
+        [("a", 0), ("a", 0), ("a", None), ("b", 1), ("c", 0), (None, 0)], "k string, v int"
+    )
+    expected = [("a", 2), (None, 1), ("c", 1)]
+    assert tuples(zero_count(df, ["k"], "v", "n")) == expected
+    assert tuples(zero_count_sql(df, ["k"], "v", "n")) == expected
+
+
+def test_latest_ties_and_nulls(spark):
+    df = spark.createDataFrame(
+        [("x", 1, "a"), ("x", 2, "b"), ("x", 2, "c"), ("y", None, "d"), ("y", 0, "a"), (None, 3, "e")],
+        "k string, t int, v string",
+    )
+    expected = {("x", 2, "c"), ("y", 0, "a"), (None, 3, "e")}
+    assert set(tuples(latest_per_key(df, ["k"], "t"))) == expected
+    assert set(tuples(latest_per_key(df.repartition(5), ["k"], "t"))) == expected
+
+
+def test_latest_keeps_names_order_and_nulls(spark):
+    df = spark.createDataFrame([(1, None, "x", None), (1, None, "x", 2.0)], "`a.b` int, t date, k string, `c d` double")
+    newest = latest_per_key(df, ["k"], "t")
+    assert newest.dtypes == df.dtypes
+    assert tuples(newest) == [(1, None, "x", 2.0)]
+
+
+def test_outcome_sides_agree_with_single_counts(spark):
+    df = spark.createDataFrame(
+        [("a", "true"), ("a", "1"), ("a", "FALSE"), ("b", "0"), (None, "True"), ("c", None), ("d", "?")],
+        "k string, obito string",
+    )
+    both = outcome_counts(df, "obito", ["k"], "t", "f")
+    for outcome, alias in ((True, "t"), (False, "f")):
+        single = outcome_count(df, "obito", outcome, ["k"], alias, "k")
+        assert tuples(one_outcome(both, ["k"], alias, "k")) == tuples(single)
+    assert tuples(one_outcome(both, ["k"], "t", "k")) == [("a", 2), (None, 1)]
+
+
+@pytest.mark.parametrize(
+    ("text", "patterns", "expected"),
+    [
+        ("03/11/2022", ["dd/MM/yyyy"], dt.date(2022, 11, 3)),
+        ("3/11/2022", ["dd/MM/yyyy"], None),
+        ("31/02/2022", ["dd/MM/yyyy"], None),
+        ("sem data", ["dd/MM/yyyy"], None),
+        (None, ["dd/MM/yyyy"], None),
+        ("2022-11-03", daily.DATE_PATTERNS, dt.date(2022, 11, 3)),
+        ("2022-11-03 23:59:59", daily.DATE_PATTERNS, dt.date(2022, 11, 3)),
+        ("2022-11-03T23:59:59", daily.DATE_PATTERNS, None),
+    ],
+)
+def test_parse_date(spark, text, patterns, expected):
+    df = spark.createDataFrame([(text,)], "t string")
+    assert tuples(df.select(parse_date(F.col("t"), *patterns))) == [(expected,)]
+
+
+def test_parse_date_passes_dates_and_timestamps(spark):
+    df = spark.sql("SELECT DATE '2022-11-03' AS d, TIMESTAMP '2022-11-03 10:00:00' AS t")
+    assert tuples(parse_date_column(df, "d", "yyyy-MM-dd").select("d")) == [(dt.date(2022, 11, 3),)]
+    assert tuples(parse_date_column(df, "t", *daily.DATE_PATTERNS).select("t")) == [(dt.date(2022, 11, 3),)]
+
+
+def test_parse_flag(spark):
+    df = spark.createDataFrame([("true",), ("FALSE",), (" 1 ",), ("0",), ("2",), (None,)], "t string")
+    assert [row[0] for row in df.select(parse_flag(F.col("t"))).collect()] == [True, False, True, False, None, None]
+    assert tuples(spark.range(2).select(parse_flag(F.col("id")))) == [(False,), (True,)]
+
+
+def test_route(spark):
+    df = spark.createDataFrame([("csv",), ("xls",), (None,)], "t string")
+    assert tuples(df.select(route(F.col("t"), {"csv": "c", "zip": "z"}))) == [("c",), (None,), (None,)]
+
+
+def test_stamp_defaults_to_today(spark):
+    df = stamp(spark.range(1), "d")
+    assert dict(df.dtypes)["d"] == "date"
+    assert df.filter(F.abs(F.datediff("d", F.current_date())) <= 1).count() == 1
+
+
+# Appends and loads
+
+
+@pytest.mark.parametrize("copies", [1, 3, 10_000])
+def test_missing_rows_is_a_multiset_difference(spark, monkeypatch, copies):
+    monkeypatch.setattr(jdbc, "_COPIES", copies)
+    batch = [("hot", None)] * 10 + [(None, 1)] * 4 + [("a", 2)]
+    present = [("hot", None)] * 3 + [(None, 1)] * 5 + [("z", 9)]
+    schema = "k string, v int"
+    left, right = spark.createDataFrame(batch, schema), spark.createDataFrame(present, schema)
+    found = missing_rows(left, right)
+    assert found.columns == left.columns
+    assert Counter(tuples(found)) == Counter(batch) - Counter(present)
+    assert missing_rows(left, left).count() == 0
+
+
+def test_hot_row_is_put_out_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(jdbc, "_COPIES", 100)
+    hot = spark.range(50_000).select(F.lit("x").alias("k"))
+    found = missing_rows(hot, hot.limit(0))
+    with_parts = found.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in with_parts) == 50_000
+    assert len(with_parts) > 4 and max(row["count"] for row in with_parts) < 15_000
+
+
+def test_append_completes_a_half_finished_load(spark):
+    target = memory_database()
+    batch = spark.createDataFrame(
+        [("a", 1, dt.date(2022, 11, 3))] * 3 + [(None, None, dt.date(2022, 11, 3))],
+        "m string, n int, data_execucao date",
+    )
+    older = batch.withColumn("data_execucao", F.lit(dt.date(2022, 11, 2)))
+    assert append_once(older, target, "tb", "data_execucao", dt.date(2022, 11, 2)) == 4
+    jdbc._write(batch.filter("m = 'a'").limit(1), target, "tb", "append")
+    assert append_once(batch, target, "tb", "data_execucao", dt.date(2022, 11, 3)) == 3
+    assert append_once(batch, target, "tb") == 0
+    assert Counter(tuples(read_table(spark, target, "tb"))) == Counter(tuples(older) + tuples(batch))
+
+
+def test_overwrite_with_another_schema_and_truncate(spark):
+    target = memory_database()
+    overwrite_table(spark.range(5), target, "tb")
+    overwrite_table(spark.range(3).select(F.col("id").alias("outro")), target, "tb")
+    assert read_table(spark, target, "tb").columns == ["outro"]
+    keeping = JdbcTarget(target.url, target.properties, truncate=True)
+    overwrite_table(spark.range(7).select(F.col("id").alias("outro")), keeping, "tb")
+    assert count_table(spark, target, "tb") == 7
+    assert read_table(spark, target, "tb", "outro", (0, 7)).count() == 7
+
+
+def test_load_mismatch_is_reported(spark, monkeypatch):
+    monkeypatch.setattr(jdbc, "count_table", lambda *args: 4)
+    with pytest.raises(LoadMismatchError, match="4 rows instead of 5"):
+        overwrite_table(spark.range(5), memory_database(), "tb")
+
+
+def memory_database() -> JdbcTarget:
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    return JdbcTarget(f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true", {"driver": driver}, connections=2)
+
+
+# Plans
+
+
+def test_latest_prunes_before_the_shuffle(spark):
+    plan = initial_plan(QUERIES["latest_row_per_key"](spark, SF))
+    below = plan[plan.index("Exchange hashpartitioning") :]
+    assert "partial_max" in below and "Window" not in plan
+    assert "props" not in plan
+
+
+def test_filters_reach_the_scan(spark):
+    plan = initial_plan(QUERIES["filter_not_placeholder"](spark, SF))
+    assert "PushedFilters: [IsNotNull(o_orderpriority), Not(EqualTo(o_orderpriority,4-NOT SPECIFIED))]" in plan
+    assert "o_totalprice" not in plan
+    plan = initial_plan(QUERIES["zero_measure_count"](spark, SF))
+    assert "EqualTo(l_discount,0.0)" in plan
+    assert "ReadSchema: struct<l_suppkey:bigint,l_discount:double>" in plan
+    assert "partial_count" in plan
+
+
+def test_outcomes_take_one_scan_and_one_shuffle(spark):
+    df = spark.read.parquet(f"{SF}/orders.parquet").withColumn("f", F.col("o_orderstatus") == "F")
+    plan = initial_plan(outcome_counts(df, "f", ["o_orderpriority"], "t", "u"))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+def test_projections_do_not_shuffle(spark):
+    for key in ("any_known_flag", "rename_drop", "audit_run_date", "parse_br_date", "cast_typed", "catalog_expand", "zip_expand"):
+        assert "Exchange" not in initial_plan(QUERIES[key](spark, SF)), key
+
+
+def test_missing_rows_shuffles_the_input_once(spark, monkeypatch):
+    monkeypatch.setattr(jdbc, "_COPIES", 2)
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_returnflag", "l_linestatus")
+    plan = plan_of(missing_rows(lines, lines.filter("l_linestatus = 'F'")))
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert final.count("ReusedExchange") == 1
+
+
+def test_no_monthly_output_depends_on_scan_order(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 1)], "`Ocupação` string, `Número de casos confirmados COVID-19` int")
+    assert tuples(monthly.professional_cases(df)) == tuples(monthly.professional_cases(df.orderBy(F.desc("Ocupação"))))
