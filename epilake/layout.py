@@ -25,6 +25,8 @@ class LakeLayout:
     Parquet is the default for both layers: scans prune columns and skip row
     groups, and NULL stays distinct from the empty string. ``csv`` keeps the
     layers readable by plain text tools; every part file carries the header.
+    ``max_records`` starts a new file after so many rows, for tasks whose
+    output is out of proportion, such as that of one large archive.
     """
 
     raw: str
@@ -33,6 +35,7 @@ class LakeLayout:
     curated_format: str = "parquet"
     raw_dialect: CsvDialect = field(default=STAGED)
     curated_dialect: CsvDialect = field(default=STAGED)
+    max_records: int = 20_000_000
 
     def __post_init__(self) -> None:
         for name in (self.raw_format, self.curated_format):

@@ -347,7 +347,7 @@ def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     def pack(batches):
         for batch in batches:
             content = io.BytesIO()
-            with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+            with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
                 lines = [header, *batch.column(0).to_pylist()]
                 archive.writestr("pasta/orders.csv", "\n".join(lines))
             yield pa.RecordBatch.from_arrays(
@@ -431,6 +431,6 @@ def jdbc_overwrite_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         overwrite_table(first, target, name)
     for _ in range(2):
-        append_once(second, target, name, "data_execucao", NEXT_DATE)
+        append_once(second, target, name, "data_execucao")
     bounds = customer.agg(F.min("c_custkey"), F.max("c_custkey")).head()
     return read_table(spark, target, name, "c_custkey", tuple(bounds))

@@ -9,26 +9,22 @@ from epilake.sources.delimited import discover_schema, read_delimited
 from epilake.sources.dialect import CONTROL, CsvDialect
 
 
-def write_rows(
-    df: DataFrame, path: str, fmt: str, dialect: CsvDialect, max_records: int | None = None
-) -> None:
-    """Replace one directory. Every task writes its own part.
+def write_rows(df: DataFrame, path: str, fmt: str, dialect: CsvDialect, max_records: int = 0) -> None:
+    """Replace one directory. Every task writes its own part files.
 
-    ``max_records`` starts a new file after so many rows, for the rare task
-    whose output is out of proportion, such as one large archive.
+    ``max_records`` bounds the rows of a file; 0 leaves them unbounded.
     """
-    writer = df.write.mode("overwrite")
-    if max_records is not None:
-        writer = writer.option("maxRecordsPerFile", max_records)
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records)
     if fmt == "csv":
         writer.options(**dialect.write_options()).csv(path)
     else:
         writer.format(fmt).save(path)
 
 
-def write_batch(df: DataFrame, layout: LakeLayout, batch: Batch, max_records: int | None = None) -> None:
+def write_batch(df: DataFrame, layout: LakeLayout, batch: Batch) -> None:
     """Land a batch. It stays invisible until its pointer is written."""
-    write_rows(df, layout.batch_path(batch), layout.raw_format, layout.raw_dialect, max_records)
+    path = layout.batch_path(batch)
+    write_rows(df, path, layout.raw_format, layout.raw_dialect, layout.max_records)
 
 
 def write_pointer(spark: SparkSession, layout: LakeLayout, batch: Batch) -> None:
@@ -49,7 +45,7 @@ def write_curated(df: DataFrame, layout: LakeLayout, output: str, process_date:
     cheaper than the source; text layers return the input itself.
     """
     path = layout.curated_path(output, process_date)
-    write_rows(df, path, layout.curated_format, layout.curated_dialect)
+    write_rows(df, path, layout.curated_format, layout.curated_dialect, layout.max_records)
     return df.sparkSession.read.parquet(path) if layout.curated_format == "parquet" else df
 
 

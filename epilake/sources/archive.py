@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from epilake.functions.columns import quoted
 from epilake.sources.dialect import CsvDialect
 
-LINE_SCHEMA = "archive STRING, member STRING, line_no BIGINT, line STRING"
+LINE_SCHEMA = "line_no BIGINT, line STRING"
+ORIGIN_SCHEMA = "archive STRING, member STRING"
 _LINES_PER_BATCH = 20_000
 
 
@@ -31,13 +32,16 @@ def read_archives(
     return reader.load([paths] if isinstance(paths, str) else list(paths)).select("path", "content")
 
 
-def inflate(archives: DataFrame, dialect: CsvDialect, header: str | None = None) -> DataFrame:
+def inflate(
+    archives: DataFrame, dialect: CsvDialect, header: str | None = None, origin: bool = False
+) -> DataFrame:
     """The text lines of all archive members, numbered from 0 in each member.
 
-    A member's folders are dropped from its name. Members are inflated as a
-    stream and leave the task in small batches, so the size of the text does
-    not matter to memory. With ``header``, a member that starts with another
-    line fails the job, as its columns would be mixed up with the others'.
+    Members are inflated as a stream and leave the task in small batches, so
+    the size of the text does not matter to memory. With ``header``, a member
+    that starts with another line fails the job, as its columns would be mixed
+    up with the others'. ``origin`` adds the archive's path and the member's
+    name without its folders, which are often longer than the line itself.
     """
     # utf-8-sig is UTF-8 that tolerates a byte order mark.
     encoding = "utf-8-sig" if dialect.encoding.upper() == "UTF-8" else dialect.encoding
@@ -59,18 +63,15 @@ def inflate(archives: DataFrame, dialect: CsvDialect, header: str | None = None)
                 if first == 0 and header is not None and chunk[0] != header:
                     raise ValueError(f"header of {info.filename} in {path} is not {header!r}")
                 count = len(chunk)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([path] * count),
-                        pa.array([member] * count),
-                        pa.array(range(first, first + count), pa.int64()),
-                        pa.array(chunk, pa.string()),
-                    ],
-                    names=["archive", "member", "line_no", "line"],
-                )
+                columns = [pa.array(range(first, first + count), pa.int64()), pa.array(chunk, pa.string())]
+                if origin:
+                    columns = [pa.repeat(path, count), pa.repeat(member, count), *columns]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
                 first += count
 
-    return archives.select("path", "content").mapInArrow(members, LINE_SCHEMA)
+    schema = f"{ORIGIN_SCHEMA}, {LINE_SCHEMA}" if origin else LINE_SCHEMA
+    names = [field.split()[0] for field in schema.split(", ")]
+    return archives.select("path", "content").mapInArrow(members, schema)
 
 
 def first_line(spark: SparkSession, paths: str | Sequence[str], dialect: CsvDialect) -> str:

@@ -9,14 +9,14 @@ import pytest
 from fixtures import DATE, SOURCES, publish, write
 
 from epilake.layout import Batch, LakeLayout
-from epilake.plans.jobs import export, run_all, run_daily, run_monthly
+from epilake.plans.jobs import LOADS, Written, export, run_all, run_daily, run_monthly
 from epilake.plans.landing import LandingError, land
 from epilake.sinks.files import read_curated, write_batch, write_pointer
 from epilake.sinks.jdbc import JdbcTarget, count_table, read_table
 from epilake.sources.catalog import read_catalog
 from epilake.sources.control import latest_batches
 from epilake.sources.dialect import CsvDialect
-from epilake.sources.registry import CASES, REGISTRY, read_batch
+from epilake.sources.registry import BEDS, CASES, REGISTRY, read_batch
 
 RUN_DATE = dt.date(2022, 11, 3)
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -165,7 +165,7 @@ def test_test_scoreboard(curated):
 def test_export_twice_loads_once(spark, lake, curated):
     target = memory_database()
     for _ in range(2):
-        tables = export(spark, lake, target, DATE, RUN_DATE)
+        tables = export(spark, lake, target, DATE)
     assert len(tables) == 12
     counts = {table: count_table(spark, target, table) for table in tables}
     assert counts["tb_raca_cor"] == 6
@@ -229,6 +229,27 @@ def test_failed_dataset_keeps_its_pointer_and_spares_the_others(spark, tmp_path)
     }
 
 
+def test_datasets_can_be_run_alone_and_may_be_empty(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    batch = Batch(BEDS.name, DATE, "run-1")
+    write_batch(spark.createDataFrame([], "datahora string, nome_drs string"), layout, batch)
+    write_pointer(spark, layout, batch)
+    assert run_daily(spark, layout, [BEDS]) == [Written("last_date_leitos", DATE, 0)]
+    assert read_curated(spark, layout, "last_date_leitos", DATE).dtypes == [
+        ("datahora", "date"),
+        ("nome_drs", "string"),
+    ]
+    [load] = [load for load in LOADS if load.spec is BEDS]
+    target = memory_database()
+    assert export(spark, layout, target, loads=[load]) == ["tb_last_date_leitos"]
+    assert count_table(spark, target, "tb_last_date_leitos") == 0
+
+
+def test_views_for_sql_users(spark, curated):
+    assert spark.sql("SELECT count(*) FROM clean_table").head()[0] == 6
+    assert spark.sql("SELECT count(*) FROM `table` WHERE obito").head()[0] == 3
+
+
 def test_reads_raw_files_that_others_landed(spark, tmp_path):
     """A plain file and a quoted one-line pointer, as an importer leaves them."""
     layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated", "csv", raw_dialect=CsvDialect())

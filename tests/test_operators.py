@@ -211,13 +211,20 @@ def test_append_completes_a_half_finished_load(spark):
         "m string, n int, data_execucao date",
     )
     older = batch.withColumn("data_execucao", F.lit(dt.date(2022, 11, 2)))
-    assert append_once(older, target, "tb", "data_execucao", dt.date(2022, 11, 2)) == 4
+    assert append_once(older, target, "tb", "data_execucao") == 4
     jdbc._write(batch.filter("m = 'a'").limit(1), target, "tb", "append")
-    assert append_once(batch, target, "tb", "data_execucao", dt.date(2022, 11, 3)) == 3
+    assert append_once(batch, target, "tb", "data_execucao") == 3
     assert append_once(batch, target, "tb") == 0
     assert Counter(tuples(read_table(spark, target, "tb"))) == Counter(tuples(older) + tuples(batch))
 
 
+def test_append_once_with_unknown_slice(spark):
+    target = memory_database()
+    batch = spark.createDataFrame([("a", None), ("b", 3)], "m string, run int")
+    for rows, added in ((batch.limit(0), 0), (batch.filter("run IS NULL"), 1), (batch, 1), (batch, 0)):
+        assert append_once(rows, target, "tb", "run") == added
+
+
 def test_overwrite_with_another_schema_and_truncate(spark):
     target = memory_database()
     overwrite_table(spark.range(5), target, "tb")

@@ -190,7 +190,7 @@ def test_archives_in_a_tree(spark, tmp_path):
     zip_file(tmp_path / "z/one.zip", {"x/": "", "x/a.csv": rows("k;v", "1;a", "", "2;b")})
     zip_file(tmp_path / "z/deep/two.zip", {"b.csv": "\ufeff" + rows("k;v", '3;"c;c"'), "c.csv": "k;v"})
     archives = read_archives(spark, str(tmp_path / "z"), recursive=True)
-    lines = inflate(archives, CsvDialect())
+    lines = inflate(archives, CsvDialect(), origin=True)
     found = {(row["archive"].rsplit("/", 1)[-1], row["member"], row["line_no"], row["line"]) for row in lines.collect()}
     assert found == {
         ("one.zip", "a.csv", 0, "k;v"),
