@@ -27,8 +27,10 @@ def parse_date_column(
     if df.schema[column].dataType.simpleString() == "date":
         return df
     text = named(column).cast("string")
-    parsed = parse_date(text, *patterns)
-    if rejects is not None:
-        lost = F.count_if(text.isNotNull() & parsed.isNull())
-        df = df.observe(rejects, lost.alias("rejected"))
-    return df.withColumn(column, parsed)
+    if rejects is None:
+        return df.withColumn(column, parse_date(text, *patterns))
+    # Parsed below the observation, so that both use the one result.
+    parsed = df.withColumn("__parsed", parse_date(text, *patterns))
+    lost = F.count_if(text.isNotNull() & F.col("__parsed").isNull())
+    observed = parsed.observe(rejects, lost.alias("rejected"))
+    return observed.withColumn(column, F.col("__parsed")).drop("__parsed")
