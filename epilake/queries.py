@@ -32,6 +32,7 @@ from epilake.operators.latest import latest_per_key
 from epilake.operators.rename import rename_strict, sort_desc
 from epilake.operators.stamp import parse_date_column, stamp
 from epilake.plans.daily import DATE_PATTERNS
+from epilake.plans.jobs import run_daily, run_monthly
 from epilake.session import scratch_path
 from epilake.sinks.files import read_curated, write_batch, write_curated, write_pointer, write_rows
 from epilake.sinks.jdbc import JdbcTarget, append_once, missing_rows, overwrite_table, read_table
@@ -40,7 +41,7 @@ from epilake.sources.catalog import in_period, landing_plan
 from epilake.sources.control import latest_batches, latest_pointers, parse_pointer
 from epilake.sources.delimited import read_delimited
 from epilake.sources.dialect import STAGED
-from epilake.sources.registry import DatasetSpec, apply_types, read_batch
+from epilake.sources.registry import CASES, INPATIENTS, DatasetSpec, apply_types, read_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -397,6 +398,56 @@ def curated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dates[0].unionAll(dates[1])
 
 
+# Whole jobs on batches made from the tables
+
+
+def _land(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame) -> LakeLayout:
+    root = scratch_path(spark, label)
+    layout = LakeLayout(f"{root}/raw", f"{root}/curated")
+    batch = Batch(spec.name, f"{RUN_DATE:%Y%m%d}", "r1")
+    write_batch(rows.select(*[F.col(name).cast("string") for name in rows.columns]), layout, batch)
+    write_pointer(spark, layout, batch)
+    return layout
+
+
+@query(
+    "SELECT 'F' || l_suppkey AS nome_munic, COUNT(*) AS dias_sem_casos_novos FROM lineitem"
+    " WHERE l_returnflag <> 'A' AND l_linenumber = 1 GROUP BY 1"
+)
+def daily_cases_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.lit("F"), F.col("l_suppkey").cast("string"))
+    cases = table(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") == "A", "Ignorado").otherwise(name).alias("nome_munic"),
+        F.col("l_suppkey").alias("codigo_ibge"),
+        (F.col("l_linenumber") - 1).alias("casos_novos"),
+    )
+    layout = _land(spark, "daily_cases_job", CASES, cases)
+    run_daily(spark, layout, [CASES])
+    return read_curated(spark, layout, "sem_casos_novos", f"{RUN_DATE:%Y%m%d}")
+
+
+@query(
+    "SELECT o_orderpriority AS nome_munic, month(o_orderdate)::VARCHAR AS nome_drs,"
+    " (o_custkey % 100)::INT AS idade, NULL::VARCHAR AS raca_cor, 'M' AS cs_sexo,"
+    " 'CONFIRMADO' AS diagnostico_covid19, COUNT(*) AS \"Total_Obitos\" FROM orders"
+    " WHERE o_orderstatus = 'F' GROUP BY ALL"
+)
+def monthly_outcomes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.col("o_orderstatus")
+    patients = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("nome_munic"),
+        F.month("o_orderdate").alias("nome_drs"),
+        (F.col("o_custkey") % 100).alias("idade"),
+        F.lit(None).cast("string").alias("raca_cor"),
+        F.lit("M").alias("cs_sexo"),
+        F.lit("CONFIRMADO").alias("diagnostico_covid19"),
+        F.when(status == "F", "True").when(status == "O", "0").alias("obito"),
+    )
+    layout = _land(spark, "monthly_outcomes_job", INPATIENTS, patients)
+    run_monthly(spark, layout, RUN_DATE, [INPATIENTS])
+    return read_curated(spark, layout, "total_obitos", f"{RUN_DATE:%Y%m%d}")
+
+
 # Appends
 
 

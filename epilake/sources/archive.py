@@ -7,8 +7,11 @@ import io
 import zipfile
 from collections.abc import Iterator, Sequence
 from itertools import islice
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +20,27 @@ from epilake.sources.dialect import CsvDialect
 
 LINE_SCHEMA = "line_no BIGINT, line STRING"
 ORIGIN_SCHEMA = "archive STRING, member STRING"
+HELD_BYTES = 256 * 1024 * 1024
 _LINES_PER_BATCH = 20_000
 
 
 def read_archives(
-    spark: SparkSession, paths: str | Sequence[str], recursive: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    recursive: bool = False,
+    held: int = HELD_BYTES,
 ) -> DataFrame:
     """Archive files as rows (path, content).
 
-    Small archives share a task and a large one has a task to itself, so a
-    task holds about ``spark.sql.files.maxPartitionBytes`` or one archive.
+    Small archives share a task and a large one has a task to itself. Beyond
+    ``held`` bytes the content stays NULL; ``inflate`` then reads the file
+    from its path, so an archive need not fit in memory, or in one value.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
-    return reader.load([paths] if isinstance(paths, str) else list(paths)).select("path", "content")
+    files = reader.load([paths] if isinstance(paths, str) else list(paths))
+    small = files.filter(F.col("length") <= held).select("path", "content")
+    large = files.filter(F.col("length") > held).select("path", F.lit(None).cast("binary"))
+    return small.unionAll(large)
 
 
 def inflate(
@@ -47,13 +58,21 @@ def inflate(
     encoding = "utf-8-sig" if dialect.encoding.upper() == "UTF-8" else dialect.encoding
     newline = dialect.line_sep
 
+    def open_path(path: str) -> BinaryIO | pa.NativeFile:
+        if path.startswith("file:"):
+            return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
+        files, name = FileSystem.from_uri(quote(path, safe="/:@"))
+        return files.open_input_file(name)
+
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive:
-                    for info in archive.infolist():
-                        if not info.is_dir():
-                            yield from lines(path.as_py(), archive, info)
+            for location, content in zip(batch.column("path"), batch.column("content")):
+                path, held = location.as_py(), content.is_valid
+                with pa.BufferReader(content.as_buffer()) if held else open_path(path) as file:
+                    with zipfile.ZipFile(file) as archive:
+                        for info in archive.infolist():
+                            if not info.is_dir():
+                                yield from lines(path, archive, info)
 
     def lines(path: str, archive: zipfile.ZipFile, info: zipfile.ZipInfo):
         member = info.filename.rsplit("/", 1)[-1]

@@ -11,11 +11,8 @@ from epilake.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session(
-        8,
-        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints"))},
-    )
+def spark():
+    session = local_session(8)
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
