@@ -52,5 +52,8 @@ class LakeLayout:
     def control_path(self, dataset: str) -> str:
         return f"{self.dataset_path(dataset)}/Control_file_{dataset}.txt"
 
+    def output_path(self, output: str) -> str:
+        return f"{self.curated.rstrip('/')}/{output}"
+
     def curated_path(self, output: str, process_date: str) -> str:
-        return f"{self.curated.rstrip('/')}/{output}/process_date={process_date}"
+        return f"{self.output_path(output)}/process_date={process_date}"

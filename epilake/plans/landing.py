@@ -23,7 +23,12 @@ READERS = {"csv": read_delimited, "zip": read_zipped_delimited}
 
 
 class LandingError(RuntimeError):
-    """Some datasets did not land; the others did."""
+    """Some datasets did not land (``failed``); the others did (``landed``)."""
+
+    def __init__(self, landed: list[Batch], failed: dict[str, Exception]):
+        self.landed, self.failed = landed, failed
+        detail = "; ".join(f"{name}: {str(error).splitlines()[0]}" for name, error in failed.items())
+        super().__init__(f"landed {len(landed)}, failed {len(failed)}: {detail}")
 
 
 def land(
@@ -50,7 +55,8 @@ def land(
     for row in landing_plan(catalog, period, run_date, run_id).collect():
         urls[row["dataset"]][row["route"]].append(row["url"])
 
-    landed, failed = [], {}
+    landed: list[Batch] = []
+    failed: dict[str, Exception] = {}
     for dataset, routes in urls.items():
         batch = Batch(dataset, f"{run_date:%Y%m%d}", run_id)
         dialect = specs[dataset].dialect if dataset in specs else DatasetSpec(dataset, {}).dialect
@@ -62,6 +68,5 @@ def land(
         except (PySparkException, Py4JJavaError, ValueError) as error:
             failed[dataset] = error
     if failed:
-        detail = "; ".join(f"{name}: {str(error).splitlines()[0]}" for name, error in failed.items())
-        raise LandingError(f"landed {len(landed)}, failed {len(failed)}: {detail}")
+        raise LandingError(landed, failed)
     return landed

@@ -23,7 +23,6 @@ from epilake.operators.aggregate import (
     one_outcome,
     outcome_count,
     outcome_counts,
-    pin_boolean,
     zero_count,
     zero_count_sql,
 )
@@ -391,11 +390,7 @@ def curated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     for status, date in (("F", "20221103"), ("O", "20221104"), ("P", "20221103")):
         write_curated(orders.filter(F.col("o_orderstatus") == status), layout, "pedidos", date)
-    dates = [
-        read_curated(spark, layout, "pedidos", date).withColumn("process_date", F.lit(date))
-        for date in ("20221103", "20221104")
-    ]
-    return dates[0].unionAll(dates[1])
+    return read_curated(spark, layout, "pedidos")
 
 
 # Whole jobs on batches made from the tables

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from epilake.layout import Batch, LakeLayout
 from epilake.sources.delimited import discover_schema, read_delimited
@@ -50,11 +51,23 @@ def write_curated(df: DataFrame, layout: LakeLayout, output: str, process_date:
 
 
 def read_curated(
-    spark: SparkSession, layout: LakeLayout, output: str, process_date: str, infer: bool = True
+    spark: SparkSession,
+    layout: LakeLayout,
+    output: str,
+    process_date: str | None = None,
+    infer: bool = True,
 ) -> DataFrame:
-    """One output of one date. Text layers need ``infer`` for other types than text."""
-    path = layout.curated_path(output, process_date)
+    """One output of one date, or of all dates with ``process_date`` as a column.
+
+    Text layers need ``infer`` for other types than text.
+    """
+    path = layout.curated_path(output, process_date) if process_date else layout.output_path(output)
     if layout.curated_format == "parquet":
-        return spark.read.parquet(path)
-    schema = discover_schema(spark, path, layout.curated_dialect) if infer else None
-    return read_delimited(spark, path, layout.curated_dialect, schema)
+        rows = spark.read.parquet(path)
+    else:
+        schema = discover_schema(spark, path, layout.curated_dialect) if infer else None
+        rows = read_delimited(spark, path, layout.curated_dialect, schema)
+    if process_date is None:
+        # Directory names are read as numbers; a filter on the text still prunes.
+        rows = rows.withColumn("process_date", F.col("process_date").cast("string"))
+    return rows

@@ -19,6 +19,7 @@ from epilake.sources.dialect import CsvDialect
 from epilake.sources.registry import BEDS, CASES, REGISTRY, read_batch
 
 RUN_DATE = dt.date(2022, 11, 3)
+DAY_SCHEMA = "nome_munic string, codigo_ibge string, casos_novos string"
 DERBY = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
 
 
@@ -194,7 +195,7 @@ def test_rerun_of_one_date_leaves_others(spark, tmp_path):
 
     # The next day brings no zero day at all, and is run twice.
     later = Batch(CASES.name, "20221104", "run-2")
-    day = spark.createDataFrame([("Zeta", "1", "5")], "nome_munic string, codigo_ibge string, casos_novos string")
+    day = spark.createDataFrame([("Zeta", "1", "5")], DAY_SCHEMA)
     write_batch(day, layout, later)
     write_pointer(spark, layout, later)
     for _ in range(2):
@@ -202,6 +203,11 @@ def test_rerun_of_one_date_leaves_others(spark, tmp_path):
     assert read_curated(spark, layout, "sem_casos_novos", "20221104").count() == 0
     assert read_curated(spark, layout, "clean_casos_obitos", "20221104").count() == 1
     assert read_curated(spark, layout, "sem_casos_novos", DATE).count() == 2
+    every = read_curated(spark, layout, "clean_casos_obitos")
+    later = every.filter("process_date = '20221104'")
+    assert every.count() == 7 and later.count() == 1
+    plan = later._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(process_date" in plan
 
 
 def test_rerun_with_empty_result_clears_the_date(spark, tmp_path):
@@ -209,7 +215,7 @@ def test_rerun_with_empty_result_clears_the_date(spark, tmp_path):
     land(spark, layout, read_catalog(spark, publish(tmp_path)), "diaria", RUN_DATE, "run-1")
     run_daily(spark, layout)
     again = Batch(CASES.name, DATE, "run-2")
-    day = spark.createDataFrame([("Zeta", "1", "5")], "nome_munic string, codigo_ibge string, casos_novos string")
+    day = spark.createDataFrame([("Zeta", "1", "5")], DAY_SCHEMA)
     write_batch(day, layout, again)
     write_pointer(spark, layout, again)
     run_daily(spark, layout)
@@ -221,8 +227,9 @@ def test_failed_dataset_keeps_its_pointer_and_spares_the_others(spark, tmp_path)
     catalog = read_catalog(spark, publish(tmp_path))
     land(spark, layout, catalog, "diaria", RUN_DATE, "run-1")
     (tmp_path / f"site/2022/11/{DATE}_leitos.csv").unlink()
-    with pytest.raises(LandingError, match="failed 1: leitos_interna"):
+    with pytest.raises(LandingError, match="failed 1: leitos_interna") as raised:
         land(spark, layout, catalog, "diaria", RUN_DATE, "run-2")
+    assert len(raised.value.landed) == len(SOURCES) - 1
     batches = latest_batches(spark, layout, list(REGISTRY))
     assert {name for name, batch in batches.items() if batch.uuid == "run-1"} == {
         "leitos_internações_por_diretoria_regionaldesaude"

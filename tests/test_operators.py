@@ -13,7 +13,7 @@ from epilake.functions.columns import named, parse_date, parse_flag, route
 from epilake.operators.aggregate import one_outcome, outcome_count, outcome_counts, zero_count, zero_count_sql
 from epilake.operators.filters import drop_placeholder, keep_any_known
 from epilake.operators.latest import latest_per_key
-from epilake.operators.rename import MissingColumnsError, rename_strict, sort_desc
+from epilake.operators.rename import MissingColumnsError, sort_desc
 from epilake.operators.stamp import parse_date_column, stamp
 from epilake.plans import daily, monthly
 from epilake.queries import QUERIES
@@ -72,8 +72,8 @@ def test_rename_reports_missing_headers(spark):
 
 
 def test_drop_of_an_absent_column_is_harmless(spark):
-    names = list(daily.RANKING_NAMES)
-    df = spark.createDataFrame([("a", 1, 2, 3, "4,5")], ", ".join(f"`{n}` {t}" for n, t in zip(names, ["string", "int", "int", "int", "string"])))
+    schema = ", ".join(f"`{name}` string" for name in daily.RANKING_NAMES)
+    df = spark.createDataFrame([("a", "1", "2", "3", "4,5")], schema)
     assert daily.applied_doses(df).columns == list(daily.RANKING_NAMES.values())
 
 
@@ -120,7 +120,8 @@ def test_latest_ties_and_nulls(spark):
 
 
 def test_latest_keeps_names_order_and_nulls(spark):
-    df = spark.createDataFrame([(1, None, "x", None), (1, None, "x", 2.0)], "`a.b` int, t date, k string, `c d` double")
+    schema = "`a.b` int, t date, k string, `c d` double"
+    df = spark.createDataFrame([(1, None, "x", None), (1, None, "x", 2.0)], schema)
     newest = latest_per_key(df, ["k"], "t")
     assert newest.dtypes == df.dtypes
     assert tuples(newest) == [(1, None, "x", 2.0)]
@@ -159,12 +160,14 @@ def test_parse_date(spark, text, patterns, expected):
 def test_parse_date_passes_dates_and_timestamps(spark):
     df = spark.sql("SELECT DATE '2022-11-03' AS d, TIMESTAMP '2022-11-03 10:00:00' AS t")
     assert tuples(parse_date_column(df, "d", "yyyy-MM-dd").select("d")) == [(dt.date(2022, 11, 3),)]
-    assert tuples(parse_date_column(df, "t", *daily.DATE_PATTERNS).select("t")) == [(dt.date(2022, 11, 3),)]
+    dated = parse_date_column(df, "t", *daily.DATE_PATTERNS)
+    assert tuples(dated.select("t")) == [(dt.date(2022, 11, 3),)]
 
 
 def test_parse_flag(spark):
     df = spark.createDataFrame([("true",), ("FALSE",), (" 1 ",), ("0",), ("2",), (None,)], "t string")
-    assert [row[0] for row in df.select(parse_flag(F.col("t"))).collect()] == [True, False, True, False, None, None]
+    parsed = [row[0] for row in df.select(parse_flag(F.col("t"))).collect()]
+    assert parsed == [True, False, True, False, None, None]
     assert tuples(spark.range(2).select(parse_flag(F.col("id")))) == [(False,), (True,)]
 
 
@@ -244,7 +247,8 @@ def test_load_mismatch_is_reported(spark, monkeypatch):
 
 def memory_database() -> JdbcTarget:
     driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-    return JdbcTarget(f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true", {"driver": driver}, connections=2)
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
+    return JdbcTarget(url, {"driver": driver}, connections=2)
 
 
 # Plans
@@ -274,7 +278,8 @@ def test_outcomes_take_one_scan_and_one_shuffle(spark):
 
 
 def test_projections_do_not_shuffle(spark):
-    for key in ("any_known_flag", "rename_drop", "audit_run_date", "parse_br_date", "cast_typed", "catalog_expand", "zip_expand"):
+    keys = "any_known_flag rename_drop audit_run_date parse_br_date cast_typed catalog_expand zip_expand"
+    for key in keys.split():
         assert "Exchange" not in initial_plan(QUERIES[key](spark, SF)), key
 
 
@@ -287,5 +292,7 @@ def test_missing_rows_shuffles_the_input_once(spark, monkeypatch):
 
 
 def test_no_monthly_output_depends_on_scan_order(spark):
-    df = spark.createDataFrame([("a", 1), ("b", 1)], "`Ocupação` string, `Número de casos confirmados COVID-19` int")
-    assert tuples(monthly.professional_cases(df)) == tuples(monthly.professional_cases(df.orderBy(F.desc("Ocupação"))))
+    schema = "`Ocupação` string, `Número de casos confirmados COVID-19` int"
+    df = spark.createDataFrame([("a", 1), ("b", 1)], schema)
+    turned = df.orderBy(F.desc("Ocupação"))
+    assert tuples(monthly.professional_cases(df)) == tuples(monthly.professional_cases(turned))
