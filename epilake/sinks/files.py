@@ -47,7 +47,9 @@ def write_curated(df: DataFrame, layout: LakeLayout, output: str, process_date:
     """
     path = layout.curated_path(output, process_date)
     write_rows(df, path, layout.curated_format, layout.curated_dialect, layout.max_records)
-    return df.sparkSession.read.parquet(path) if layout.curated_format == "parquet" else df
+    if layout.curated_format != "parquet":
+        return df
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def read_curated(

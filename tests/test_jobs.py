@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 import pytest
 from fixtures import DATE, SOURCES, publish, write
@@ -252,6 +253,19 @@ def test_datasets_can_be_run_alone_and_may_be_empty(spark, tmp_path):
     assert count_table(spark, target, "tb_last_date_leitos") == 0
 
 
+def test_more_columns_can_be_typed(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    batch = Batch(CASES.name, DATE, "run-1")
+    day = spark.createDataFrame([("Zeta", "1", "0", "7")], DAY_SCHEMA + ", pop string")
+    write_batch(day, layout, batch)
+    write_pointer(spark, layout, batch)
+    wider = replace(CASES, columns={**CASES.columns, "pop": "bigint"})
+    run_daily(spark, layout, [wider])
+    clean = read_curated(spark, layout, "clean_casos_obitos", DATE)
+    assert dict(clean.dtypes)["pop"] == "bigint"
+    assert [tuple(row) for row in clean.collect()] == [("Zeta", 1, 0, 7)]
+
+
 def test_views_for_sql_users(spark, curated):
     assert spark.sql("SELECT count(*) FROM clean_table").head()[0] == 6
     assert spark.sql("SELECT count(*) FROM `table` WHERE obito").head()[0] == 3
