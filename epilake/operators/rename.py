@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from epilake.functions.columns import named
 
@@ -35,6 +36,9 @@ def sort_desc(df: DataFrame, column: str) -> DataFrame:
 
     The ties matter for size as well as for repeatable output: the range
     partitioning of the sort can then divide the rows of one frequent value.
+    Full copies of one row are divided by the input split they come from,
+    which is the same when a task runs again.
     """
     ties = [named(other).desc_nulls_last() for other in df.columns if other != column]
-    return df.orderBy(named(column).desc_nulls_last(), *ties)
+    split = df.withColumn("__split", F.spark_partition_id())
+    return split.orderBy(named(column).desc_nulls_last(), *ties, "__split").drop("__split")

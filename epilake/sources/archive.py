@@ -20,7 +20,7 @@ from epilake.sources.dialect import CsvDialect
 
 LINE_SCHEMA = "line_no BIGINT, line STRING"
 ORIGIN_SCHEMA = "archive STRING, member STRING"
-HELD_BYTES = 256 * 1024 * 1024
+HELD_BYTES = 512 * 1024 * 1024
 _LINES_PER_BATCH = 20_000
 
 
@@ -28,19 +28,22 @@ def read_archives(
     spark: SparkSession,
     paths: str | Sequence[str],
     recursive: bool = False,
-    held: int = HELD_BYTES,
+    held: int | None = None,
 ) -> DataFrame:
-    """Archive files as rows (path, content).
+    """Archive files as rows (path, content, held).
 
     Small archives share a task and a large one has a task to itself. Beyond
     ``held`` bytes the content stays NULL; ``inflate`` then reads the file
     from its path, so an archive need not fit in memory, or in one value.
     """
+    held = HELD_BYTES if held is None else held
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     files = reader.load([paths] if isinstance(paths, str) else list(paths))
-    small = files.filter(F.col("length") <= held).select("path", "content")
-    large = files.filter(F.col("length") > held).select("path", F.lit(None).cast("binary"))
-    return small.unionAll(large)
+    small = files.filter(F.col("length") <= held)
+    large = files.filter(F.col("length") > held).withColumn("content", F.lit(None).cast("binary"))
+    return small.select("path", "content", F.lit(True).alias("held")).unionAll(
+        large.select("path", "content", F.lit(False))
+    )
 
 
 def inflate(
@@ -126,5 +129,9 @@ def read_zipped_delimited(
     columns = split_header(line, dialect)
     if not dialect.header:
         columns = [f"_c{position}" for position in range(len(columns))]
-    lines = inflate(read_archives(spark, paths), dialect, line if dialect.header else None)
-    return parse_lines(lines, columns, dialect)
+    header = line if dialect.header else None
+    archives = read_archives(spark, paths)
+    small = inflate(archives.filter("held"), dialect, header)
+    # A large archive is inflated by one task; parsing and writing need not be.
+    large = inflate(archives.filter("NOT held"), dialect, header).repartition("line_no")
+    return parse_lines(small.unionAll(large), columns, dialect)

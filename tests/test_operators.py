@@ -100,6 +100,32 @@ def test_sort_desc_breaks_ties_by_the_rest(spark):
     assert tuples(sort_desc(df, "v")) == [("d", 50), ("b", 5), ("a", 5), ("c", None)]
 
 
+def test_copies_of_a_row_are_sorted_by_many_tasks(spark):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    hot = spark.range(0, 20_000, 1, 8).select(F.lit("x").alias("n"), F.lit(5).alias("v"))
+    df = hot.unionAll(spark.range(100).selectExpr("'y'", "CAST(id AS INT)"))
+    spark.conf.set(key, "false")
+    try:
+        rows = sort_desc(df, "v").select("v", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.unset(key)
+    assert [row["v"] for row in rows] == sorted((row["v"] for row in rows), reverse=True)
+    tasks = Counter(row["task"] for row in rows)
+    assert len(rows) == 20_100 and len(tasks) > 4 and max(tasks.values()) < 8_000
+
+
+def test_hot_key_against_brute_force(spark):
+    data = [("hot" if i % 3 else f"k{i % 50}", i % 7, i * 37 % 1009) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, v int, t int").repartition(8)
+    zeros = Counter(k for k, v, _ in data if v == 0)
+    assert dict(tuples(zero_count(df, ["k"], "v", "n"))) == zeros
+    best = {}
+    for k, v, t in data:
+        best[k] = max(best.get(k, (-1, -1)), (t, v))
+    found = {k: (t, v) for k, v, t in tuples(latest_per_key(df, ["k"], "t"))}
+    assert found == best
+
+
 def test_zero_count_forms_agree(spark):
     df = spark.createDataFrame(
         [("a", 0), ("a", 0), ("a", None), ("b", 1), ("c", 0), (None, 0)], "k string, v int"

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from epilake.layout import Batch, LakeLayout
 from epilake.session import scratch_path
 from epilake.sinks.files import write_pointer, write_rows
+from epilake.sources import archive
 from epilake.sources.archive import inflate, read_archives, read_zipped_delimited
 from epilake.sources.catalog import CATALOG_SCHEMA_PERIODS, landing_plan, read_catalog
 from epilake.sources.control import ControlFileError, latest_batches, read_control_files
@@ -236,7 +237,7 @@ def test_long_member_is_streamed_in_batches(spark, tmp_path):
     assert tuple(total) == (count, count * (count - 1) // 2)
 
 
-def test_large_archives_are_read_from_their_path(spark, tmp_path):
+def test_large_archives_are_read_from_their_path(spark, tmp_path, monkeypatch):
     paths = [
         zip_file(tmp_path / "menor ç 50%.zip", {"a.csv": rows("k", "1")}),
         zip_file(tmp_path / "maior ç 50%.zip", {"a.csv": rows("k", *map(str, range(2, 2000)))}),
@@ -248,6 +249,14 @@ def test_large_archives_are_read_from_their_path(spark, tmp_path):
     assert content["maior ç 50%.zip"] is None and content["menor ç 50%.zip"] is not None
     lines = inflate(archives, CsvDialect(), "k").filter("line_no > 0")
     assert sorted(int(row["line"]) for row in lines.collect()) == list(range(1, 2000))
+    monkeypatch.setattr(archive, "HELD_BYTES", 1000)
+    frame = read_zipped_delimited(spark, paths, CsvDialect())
+    assert sorted(int(row["k"]) for row in frame.collect()) == list(range(1, 2000))
+    monkeypatch.setattr(archive, "HELD_BYTES", 10**9)
+    frame = read_zipped_delimited(spark, paths, CsvDialect())
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("content:binary") == 1
+    assert sorted(int(row["k"]) for row in frame.collect()) == list(range(1, 2000))
 
 
 def test_scratch_path_follows_the_session(spark):
