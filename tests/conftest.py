@@ -12,7 +12,7 @@ from epilake.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8)
+    session = local_session("8,3")  # eight cores, three attempts per task
     session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
