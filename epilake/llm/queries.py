@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epilake.llm import chunks, repeats
 from epilake.llm.decontaminate import contamination
+from epilake.llm.language import predict_language
+from epilake.llm.main_text import extract
 from epilake.llm.minhash import NearDuplicates, near_duplicates
 from epilake.llm.mixing import Mixture, mix
+from epilake.llm.quality import quality_scores
 from epilake.llm.rules import quality_rules
 from epilake.llm.tables import table
 from epilake.llm.token_files import TokenFiles, token_output
@@ -39,12 +43,39 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), NearDuplicates(width=3, percent=85, rows=5))
 
 
+@query
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mix(table(spark, sf_dir, "documents"), Mixture())
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op4_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chunks.without_repeats(table(spark, sf_dir, "documents"))
+    size = F.octet_length("text").cast("long")
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        "n_chunks",
+        (F.col("n_bytes") - size).alias("n_removed"),
+        (F.size("spans") / 2).cast("long").alias("n_spans"),
+        (F.size("spans") > 0).alias("repeated"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
+        "spans",
+        "text",
+    )
+
+
+@query
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -52,6 +83,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+@query
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), TokenFiles(byte_tokenizer()))
@@ -64,6 +100,13 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*base)
 
 
+@query
+def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    n_spans = (F.size("spans") / 2).cast("long").alias("n_spans")
+    return rows.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
+
+
 ORACLES["op6_decontamination"] = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id,
