@@ -273,3 +273,17 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates | None = None) -> Data
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def distinct_documents(docs: DataFrame, rule: NearDuplicates | None = None) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each group does, with all their columns.
+
+    The document of the least id stays; rows that share an id are one document,
+    of which one row stays. Rows without an id stay.
+    """
+    removed = near_duplicates(docs, rule).where("NOT kept").select("doc_id").distinct()
+    rows = docs.join(removed.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1").isEmpty():
+        return rows
+    return rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(rows.where("doc_id IS NULL"))

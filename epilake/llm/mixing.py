@@ -103,13 +103,18 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 def mixed_documents(docs: DataFrame, rule: Mixture | None = None) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it, with the columns of ``docs``.
 
-    Rows that share an id are told apart by their place among them, so every
-    row is taken by its own count. ``mix_`` is not allowed as a prefix of columns.
+    Rows that share an id, or have none, are told apart by their place among
+    themselves, so every row is taken by its own count. Texts are shuffled once,
+    by id, and not sorted unless ids repeat.
     """
-    place = Window.partitionBy("doc_id").orderBy("source", F.xxhash64("text"))
-    placed = docs.withColumn("mix_place", F.row_number().over(place))
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.where("n > 1").isEmpty():
+        placed = docs.withColumn("mix_place", F.lit(1))
+    else:
+        place = Window.partitionBy("doc_id").orderBy("source", F.xxhash64("text"))
+        placed = docs.withColumn("mix_place", F.row_number().over(place))
     picks = mix(placed, rule, keep=("mix_place",)).where("copies > 0")
-    picks = picks.select(F.col("doc_id").alias("mix_id"), F.col("mix_place").alias("mix_at"), "copies")
+    picks = picks.select(F.col("doc_id").alias("mix_id"), F.col("mix_place").alias("mix_at"), "copies").hint("shuffle_hash")
     rows = placed.join(picks, F.col("doc_id").eqNullSafe(F.col("mix_id")) & (F.col("mix_place") == F.col("mix_at")))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("mix_copy")
     return rows.select(*docs.columns, copies).drop("mix_copy")

@@ -150,12 +150,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, modulus: int = 5) -> Data
 def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` with a score of at least ``ACCEPT``, all their columns.
 
-    Features are computed twice, once for the labelled rows and once on the way
-    through, so that texts are neither joined nor written here.
+    Features are computed twice, for the model and on the way through, so that
+    texts are neither joined nor written here.
     """
-    marked = labels.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(marked, "doc_id", "left_semi")
-    model = train(stored(with_features(known, "doc_id"), "features"), labels)
+    rows = with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
+    model = train(stored(rows, "features"), labels)
     plain = docs.columns
     schema = docs.withColumn("gam_score", F.lit(0.0)).schema
 
