@@ -1,0 +1,110 @@
+"""Near-duplicates against brute force over full shingle sets."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from epilake.llm import words
+from epilake.llm.components import components
+from epilake.llm.minhash import NearDuplicates, distinct_documents, estimates, minima, near_duplicates, packed
+
+
+def shingles(text: str | None, width: int) -> set[tuple[str, ...]]:
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", lower)
+    size = min(width, len(found))
+    return {tuple(found[k : k + size]) for k in range(len(found) - size + 1)} if size else set()
+
+
+def brute(rows: list[tuple[int, str | None]], width: int, percent: int) -> dict[int, tuple[int, int]]:
+    sets = {i: shingles(t, width) for i, t in rows}
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if a < b and sets[a] and sets[b] and 100 * both >= percent * len(sets[a] | sets[b]) and label[a] != label[b]:
+                    label[a] = label[b] = min(label[a], label[b])
+                    changed = True
+    return {i: (len(sets[i]), label[i]) for i in sets}
+
+
+def variants(seed: int, base_words: int, copies: int) -> list[str]:
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(400)}" for _ in range(base_words)]
+    out = [" ".join(base)]
+    for _ in range(copies):
+        own = list(base)
+        for _ in range(rng.randrange(0, max(2, base_words // 12))):
+            own[rng.randrange(len(own))] = f"x{rng.randrange(10_000)}"
+        out.append(" ".join(own))
+    return out
+
+
+@pytest.mark.parametrize(("width", "percent"), [(3, 85), (5, 80)])
+def test_matches_brute_force(documents, width, percent):
+    texts = [t for seed in range(12) for t in variants(seed, 8 + 13 * seed, 9)]
+    texts += ["", None, "one", "ONE", "one two", "two one", "\t\n ", "a b c", "A  b\nc"]
+    random.Random(5).shuffle(texts)
+    rows = list(enumerate(texts))
+    found = near_duplicates(documents(*rows), NearDuplicates(width=width, percent=percent, rows=5)).collect()
+    expected = brute(rows, width, percent)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_a_group_larger_than_a_block(documents, monkeypatch):
+    monkeypatch.setattr("epilake.llm.minhash.BLOCK", 8)
+    rows = list(enumerate(variants(3, 120, 60)))
+    found = near_duplicates(documents(*rows), NearDuplicates(width=3, percent=85)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows, 3, 85)
+
+
+def test_missing_repeated_and_extra(spark, documents):
+    rows = documents((5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (7, None), (8, "a b c d e f"))
+    rows = rows.withColumn("rep", F.lit(1)).withColumn("component", F.lit(2))
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(rows).collect()}
+    assert found == {(5, 5, True), (None, None, True), (7, 7, True), (8, 5, False)}
+    kept = distinct_documents(rows)
+    assert kept.columns == rows.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 5, 7]
+
+
+def test_empty_table(documents, spark):
+    none = documents((1, "a")).where("false")
+    assert near_duplicates(none).collect() == []
+
+
+def test_components_of_a_path_and_a_star(spark):
+    links = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
+    found = dict(components(spark.createDataFrame(links, "a long, b long")).collect())
+    assert found == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 130), 100)}
+
+
+def test_estimates_follow_similarity():
+    rng = np.random.default_rng(1)
+    count = 400
+    for share in (0.0, 0.5, 0.8, 0.95):
+        both = rng.integers(0, 2**63, 2000).astype(np.uint64)
+        keep = int(2000 * 2 * share / (1 + share))
+        one, two = np.sort(both[:2000]), np.sort(np.concatenate([both[:keep], rng.integers(0, 2**63, 2000 - keep).astype(np.uint64)]))
+        marks = packed(minima(np.concatenate([one, two]), np.array([0, 2000]), count))
+        assert abs(estimates(marks[:1], marks[1:], count)[0, 0] - share) < 0.12
+
+
+def test_shingles_do_not_depend_on_neighbours():
+    import pyarrow as pa
+
+    texts = ["a b c d", "", "x", None, "a b c d", "é ü ß a b c", "a b"]
+    together = [x.tolist() for part in words.slices(pa.array(texts)) for x in words.shingle_sets(part, 3)]
+    alone = [x.tolist() for t in texts for part in words.slices(pa.array([t], pa.string())) for x in words.shingle_sets(part, 3)]
+    assert together == alone
+    small = [x.tolist() for part in words.slices(pa.array(texts), 4) for x in words.shingle_sets(part, 3)]
+    assert small == together
