@@ -1,0 +1,98 @@
+"""Code lengths against a recursive model, and accuracy on held-out documents."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from epilake.llm import words
+from epilake.llm.language import _ALL, Languages, Training, _codes, _contexts, context_counts, learn, predict_language
+
+
+def codes(text: str) -> list[int]:
+    return _codes(next(words.slices(pa.array([text])))).tolist()
+
+
+def blended(texts: list[str], size: int):
+    """Probability of a symbol after two, by recursion over orders, on plain dictionaries."""
+    counts = [defaultdict(Counter) for _ in range(3)]
+    for text in texts:
+        full = [0, 0, *codes(text)]
+        for k in range(2, len(full)):
+            for order in range(3):
+                counts[order][tuple(full[k - order : k])][full[k]] += 1
+
+    def chances(order: int, context: tuple[int, ...], symbols: list[int]) -> dict[int, float]:
+        if order < 0:
+            return dict.fromkeys(symbols, 1 / size)
+        shorter = chances(order - 1, context[1:], symbols)
+        own = counts[order][context]
+        if not own:
+            return shorter
+        left = sum(shorter[s] for s in symbols if s not in own)
+        total = sum(own.values()) + (len(own) if left > 0 else 0)
+        return {s: own[s] / total if s in own else len(own) / total * shorter[s] / left for s in symbols}
+
+    return chances
+
+
+def test_code_lengths(spark):
+    texts = {"aa": ["the thin other", "Then, that!", ""], "bb": ["über ÜBER öl", "der die das 12"]}
+    rows = spark.createDataFrame([(k, t) for k, v in texts.items() for t in v], "lang string, text string")
+    model = Languages([tuple(r) for r in context_counts(rows).collect()])
+    symbols = list(range(_ALL))
+    used = [s for s in symbols if s in set(range(28)) or any(s in codes(t) for v in texts.values() for t in v)]
+    assert model.size == len(used)
+    for text in ("the other über", "x", "Öl?", "", "zz 99"):
+        got = model.lengths(next(words.slices(pa.array([text]))))[0]
+        for k, lang in enumerate(("aa", "bb")):
+            chances = blended(texts[lang], model.size)
+            full = [0, 0, *codes(text)]
+            bits = -sum(math.log2(chances(2, (full[i - 2], full[i - 1]), used)[full[i]]) for i in range(2, len(full)))
+            assert got[k] == pytest.approx(bits, rel=1e-4, abs=1e-4)
+
+
+def test_contexts_do_not_cross_texts():
+    part = next(words.slices(pa.array(["ab", "", "c", "dé"])))
+    whole = _contexts(_codes(part), part.offsets, _ALL).tolist()
+    alone = []
+    for text in ("ab", "c", "dé"):
+        own = next(words.slices(pa.array([text])))
+        alone += _contexts(_codes(own), own.offsets, _ALL).tolist()
+    assert whole == alone
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(str(Path("/root/testdata/sf0.01/documents.parquet")))
+    found = predict_language(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    held = [r for r in found if r.held_out]
+    assert len(held) > 150 and len(found) == 1000
+    assert sum(r.lang == r.lang_pred for r in held) / len(held) > 0.98
+    assert all(0 <= r.score <= 1 for r in found)
+
+
+def test_learns_only_outside_the_held_out_class(spark, documents):
+    docs = documents(*[(k, "abc" if k % 2 else "xyz", "aa" if k % 2 else "bb", "s") for k in range(40)])
+    odd = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, "zz").otherwise(F.col("lang")))
+    assert learn(odd, Training()).names == ["aa", "bb"]
+    few = learn(docs, Training(per_language=1))
+    assert few.names == ["aa", "bb"]
+
+
+def test_missing_repeated_and_extra(documents):
+    docs = documents((1, "the cat", "en", "a"), (2, "le chat", "fr", "a"), (3, "der Hund", "de", "a"), (4, None), (5, ""), (6, "12 !"),
+                     (None, "the"), (None, "the"), (7, "文字"), (8, "the", None, "a"))
+    docs = docs.withColumn("held_out", F.lit("x")).withColumn("score", F.lit(7))
+    found = predict_language(docs).collect()
+    assert len(found) == 10
+    pred = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    assert [pred[k] for k in (4, 5, 6)] == [("und", 0.0)] * 3
+    assert pred[7][0] != "und" and pred[8][0] == pred[None][0] != "und"
+    none = predict_language(documents((1, "abc", None, "a"))).collect()
+    assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
+    assert predict_language(docs.where("false")).collect() == []
