@@ -26,11 +26,13 @@ from epilake.llm.tables import stored
 from epilake.session import scratch_path
 
 #: Words kept with their ids by a task before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 800_000
 #: A single space between two visible characters always begins a new piece for
 #: a byte-level pre-tokenizer, whatever stands around it.
 _PIECES = re.compile(r"(?<=\S) (?=\S)")
 _UNEVEN = re.compile(r" \s|\s |^ | $")
+#: Latin letters and then ASCII punctuation other than the apostrophe: two pieces, the first with the space.
+_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]*)")
 
 
 @dataclass(frozen=True)
@@ -44,8 +46,8 @@ class TokenFiles:
     docs_per_file: int = 4096
 
 
-class _Pieces(dict):
-    """Ids of pieces as little-endian bytes; an unknown piece is encoded once."""
+class _Encoder:
+    """Ids of texts as little-endian bytes. Pieces met before are looked up."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -53,10 +55,43 @@ class _Pieces(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
+        self.spaced = _Pieces(self)
+        visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in visible]
+        self.alphabet = {b: 256 + k for k, b in enumerate(others)}
+
+    def packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def whole(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def token(self, text: str) -> list[int]:
+        """Ids of what the pre-tokenizer would leave in one piece."""
+        return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.alphabet))]
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text, the same as encoding it whole: it is only cut where the pre-tokenizer cuts anyway."""
+        if not text:
+            return b""
+        cut = text.split(" ") if _UNEVEN.search(text) is None else _PIECES.split(text)
+        first = self.whole(cut[0])
+        return first + b"".join(map(self.spaced.__getitem__, cut[1:]))
+
+
+class _Pieces(dict):
+    """Ids of pieces with a space before them; an unknown piece is encoded once."""
+
+    def __init__(self, encoder: _Encoder) -> None:
+        self.encoder = encoder
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        out = np.array(ids, self.dtype).tobytes()
+        parts = _PLAIN.fullmatch(piece)
+        if parts is None:
+            out = self.encoder.whole(" " + piece)
+        else:
+            ids = self.encoder.token(" " + parts[1])
+            out = self.encoder.packed(ids + self.encoder.token(parts[2]) if parts[2] else ids)
         if len(piece) <= 64:
             if len(self) >= CACHE_WORDS:
                 self.clear()
@@ -64,36 +99,26 @@ class _Pieces(dict):
         return out
 
 
-_loaded: dict[str, _Pieces] = {}
+_loaded: dict[str, _Encoder] = {}
 
 
-def encoder(path: str) -> _Pieces:
+def encoder(path: str) -> _Encoder:
     if path not in _loaded:
-        _loaded[path] = _Pieces(path)
+        _loaded[path] = _Encoder(path)
     return _loaded[path]
 
 
-def encoded(pieces: _Pieces, text: str) -> bytes:
-    """The ids of a text, the same as encoding it whole: it is only cut where the pre-tokenizer cuts anyway."""
-    if not text:
-        return b""
-    cut = text.split(" ") if _UNEVEN.search(text) is None else _PIECES.split(text)
-    get = pieces.__getitem__
-    first = get(cut[0])
-    return first + b"".join([get(" " + x) for x in cut[1:]])
-
-
 def token_rows(docs: DataFrame, rule: TokenFiles) -> DataFrame:
     """``doc_id, ids`` with the ids of every text (NULL: empty) and the end id, packed and deflated."""
     path, end = rule.tokenizer, rule.end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = encoder(path)
-        tail = np.array([end], pieces.dtype).tobytes()
+        held = encoder(path)
+        tail = held.packed([end])
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
-                ids = [zlib.compress(encoded(pieces, x or "") + tail, 1) for x in part.column("text").to_pylist()]
+                ids = [zlib.compress(held.encode(x or "") + tail, 1) for x in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
