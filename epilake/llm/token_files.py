@@ -22,17 +22,24 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from epilake.llm import words
 from epilake.llm.tables import stored
 from epilake.session import scratch_path
 
-#: Words kept with their ids by a task before it starts anew.
-CACHE_WORDS = 800_000
-#: A single space between two visible characters always begins a new piece for
-#: a byte-level pre-tokenizer, whatever stands around it.
-_PIECES = re.compile(r"(?<=\S) (?=\S)")
-_UNEVEN = re.compile(r" \s|\s |^ | $")
-#: Latin letters and then ASCII punctuation other than the apostrophe: two pieces, the first with the space.
-_PLAIN = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-&(-/:-@\[-`{-~]*)")
+#: Distinct pieces kept with their ids by a task before it starts anew.
+CACHE_WORDS = 1_000_000
+SLICE_BYTES = 1 << 20
+#: A word of Latin letters, with or without a space before it.
+_PLAIN = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+#: Kinds of bytes: a space, ASCII letters, ASCII punctuation but the apostrophe, other visible ASCII, lead and later bytes.
+_SPACE, _LETTER, _PUNCTUATION, _OTHER, _LEAD, _TAIL = range(1, 7)
+_KINDS = np.zeros(256, np.uint8)
+_KINDS[0x21:0x7F] = _PUNCTUATION
+_KINDS[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
+_KINDS[[*range(0x30, 0x3A), 0x27]] = _OTHER
+_KINDS[0x20] = _SPACE
+_KINDS[0xC3:0xE0] = _LEAD
+_KINDS[0x80:0xC0] = _TAIL
 
 
 @dataclass(frozen=True)
@@ -47,7 +54,7 @@ class TokenFiles:
 
 
 class _Encoder:
-    """Ids of texts as little-endian bytes. Pieces met before are looked up."""
+    """Encodes slices of texts. Each distinct piece is encoded once, until ``CACHE_WORDS`` are held."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -55,48 +62,90 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        self.spaced = _Pieces(self)
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in visible]
         self.alphabet = {b: 256 + k for k, b in enumerate(others)}
-
-    def packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def token(self, text: str) -> list[int]:
-        """Ids of what the pre-tokenizer would leave in one piece."""
-        return [t.id for t in self.tokenizer.model.tokenize(text.encode().decode("latin-1").translate(self.alphabet))]
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text, the same as encoding it whole: it is only cut where the pre-tokenizer cuts anyway."""
-        if not text:
-            return b""
-        cut = text.split(" ") if _UNEVEN.search(text) is None else _PIECES.split(text)
-        first = self.whole(cut[0])
-        return first + b"".join(map(self.spaced.__getitem__, cut[1:]))
-
-
-class _Pieces(dict):
-    """Ids of pieces with a space before them; an unknown piece is encoded once."""
-
-    def __init__(self, encoder: _Encoder) -> None:
-        self.encoder = encoder
-
-    def __missing__(self, piece: str) -> bytes:
-        parts = _PLAIN.fullmatch(piece)
-        if parts is None:
-            out = self.encoder.whole(" " + piece)
-        else:
-            ids = self.encoder.token(" " + parts[1])
-            out = self.encoder.packed(ids + self.encoder.token(parts[2]) if parts[2] else ids)
-        if len(piece) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self[piece] = out
-        return out
+        self.forget()
+
+    def forget(self) -> None:
+        self.slots: dict[int, int] = {}
+        self.starts = np.zeros(1 << 16, np.int64)
+        self.ids = np.zeros(1 << 18, self.dtype)
+
+    def piece(self, data: bytes) -> list[int]:
+        """Ids of one piece. Plain words need no pre-tokenizer, which would leave them as they are."""
+        text = data.decode()
+        if _PLAIN.fullmatch(text):
+            name = text.replace(" ", "\u0120") if text.isascii() else data.decode("latin-1").translate(self.alphabet)
+            return [t.id for t in self.tokenizer.model.tokenize(name)]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+        count = len(self.slots)
+        new = [self.piece(x) for x in pieces]
+        ends = np.cumsum([len(x) for x in new]) + self.starts[count]
+        while len(self.starts) <= count + len(new):
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+        while len(self.ids) < ends[-1]:
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.starts[count] : ends[-1]] = [i for x in new for i in x]
+        self.starts[count + 1 : count + 1 + len(new)] = ends
+        self.slots.update(zip(hashes, range(count, count + len(new)), strict=True))
+
+    def encode(self, part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a slice, the same as encoding each text whole, and for each text the number of ids before it."""
+        starts, first = piece_starts(part)
+        if not len(starts):
+            return np.zeros(0, self.dtype), np.zeros(len(part.offsets), np.int64)
+        ends = np.append(starts[1:], len(part.data))
+        hashes = words.span_hashes(words.prefix_hashes(part.data), starts, ends)
+        order = np.argsort(hashes)
+        ordered = hashes[order]
+        new = np.ones(len(order), bool)
+        new[1:] = ordered[1:] != ordered[:-1]
+        kind = np.empty(len(order), np.int64)
+        kind[order] = np.cumsum(new) - 1
+        example, names = order[new], ordered[new].tolist()
+        if len(self.slots) + len(names) > CACHE_WORDS:
+            self.forget()
+        known = np.array([self.slots.get(x, -1) for x in names], np.int64)
+        unknown = np.flatnonzero(known < 0)
+        if len(unknown):
+            data, at = part.data.tobytes(), example[unknown]
+            pieces = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+            known[unknown] = len(self.slots) + np.arange(len(unknown))
+            self._learn([names[k] for k in unknown], pieces)
+        slot = known[kind]
+        low = self.starts[slot]
+        sizes = self.starts[slot + 1] - low
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.ids[np.repeat(low - before[:-1], sizes) + np.arange(before[-1])]
+        return ids, before[first]
+
+
+def piece_starts(part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces begin that are encoded alike in any context, and for each text the number of pieces before it.
+
+    They begin with a text, at a single space between visible characters, and at
+    ASCII punctuation (but the apostrophe) after an ASCII letter. Around spaces
+    only ASCII and two-byte letters from U+00C0 on count as visible.
+    """
+    data = part.data
+    kind = np.zeros(len(data) + 2, np.uint8)
+    kind[1:-1] = _KINDS[data]
+    here, before, after = kind[1:-1], kind[:-2], kind[2:]
+    two = np.zeros(len(data), bool)  # after the last byte of a two-byte character
+    two[2:] = (kind[2:-2] == _TAIL) & (kind[1:-3] == _LEAD)
+    left = (before == _LETTER) | (before == _PUNCTUATION) | (before == _OTHER) | two
+    right = (after == _LETTER) | (after == _PUNCTUATION) | (after == _OTHER) | (after == _LEAD)
+    begins = ((here == _SPACE) & left & right) | ((here == _PUNCTUATION) & (before == _LETTER))
+    begin = part.offsets[:-1][part.offsets[:-1] < part.offsets[1:]]
+    inside = part.offsets[1:-1]
+    last = inside[inside > 0] - 1
+    begins[last[here[last] == _SPACE]] = False  # a space that ends a text
+    begins[begin] = True
+    starts = np.flatnonzero(begins)
+    return starts, np.searchsorted(starts, part.offsets)
 
 
 _loaded: dict[str, _Encoder] = {}
@@ -114,12 +163,13 @@ def token_rows(docs: DataFrame, rule: TokenFiles) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = encoder(path)
-        tail = held.packed([end])
+        tail = np.array([end], held.dtype).tobytes()
         for batch in batches:
-            for low in range(0, batch.num_rows, 512):
-                part = batch.slice(low, 512)
-                ids = [zlib.compress(held.encode(x or "") + tail, 1) for x in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            for part in words.slices(batch.column("text"), SLICE_BYTES):
+                ids, before = held.encode(part)
+                lists = [zlib.compress(ids[a:b].tobytes() + tail, 1) for a, b in zip(before[:-1], before[1:], strict=True)]
+                names = batch.column("doc_id").slice(part.first, part.last - part.first)
+                yield pa.RecordBatch.from_arrays([names, pa.array(lists, pa.binary())], names=["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
 

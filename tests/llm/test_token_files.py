@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from epilake.llm import words
 from epilake.llm.queries import byte_tokenizer
 from epilake.llm.token_files import TokenFiles, encoder, read_sequences, token_output
 
@@ -41,8 +42,18 @@ def test_pieces_are_those_of_the_whole_text(whole):
     rng = random.Random(1)
     own = encoder(byte_tokenizer())
     cases = TRICKY + ["".join(rng.choice(TRICKY) + rng.choice(["", " ", "\n", "  "]) for _ in range(5)) for _ in range(400)]
-    for text in cases:
-        assert np.frombuffer(own.encode(text), own.dtype).tolist() == whole(text)[:-1], repr(text)
+    for size in (1 << 20, 50):
+        for part in words.slices(pa.array(cases), size):
+            ids, before = own.encode(part)
+            for k, text in enumerate(cases[part.first : part.last]):
+                assert ids[before[k] : before[k + 1]].tolist() == whole(text)[:-1], repr(text)
+
+
+def test_forgotten_pieces_are_learned_again(monkeypatch, whole):
+    monkeypatch.setattr("epilake.llm.token_files.CACHE_WORDS", 5)
+    own = encoder(byte_tokenizer())
+    for text in ("a b c d e f g", "h i j k a b", "a b"):
+        assert own.encode(next(words.slices(pa.array([text]))))[0].tolist() == whole(text)[:-1]
 
 
 @pytest.mark.parametrize("rule", [{}, {"length": 8, "batch": 2, "docs_per_file": 7}, {"length": 3, "batch": 1, "docs_per_file": 1}])
