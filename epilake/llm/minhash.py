@@ -206,8 +206,10 @@ def confirmed_links(groups: DataFrame, sets: DataFrame, rule: NearDuplicates) ->
     confirms on full sets. Links that connect nothing new in that task are not
     put out.
     """
-    sizes = groups.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    dealt = groups.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    sizes = groups.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("many"))
+    large = stored(sizes.where("many > 1"), "large")  # a table of its own, so that the join can split a large group
+    dealt = groups.join(large, "pivot", "left").withColumn("blocks", F.coalesce("many", F.lit(1).cast("long")))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
     dealt = dealt.select("pivot", "rep", "block", other).select(
         "pivot", "rep", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block"
