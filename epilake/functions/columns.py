@@ -18,30 +18,40 @@ def named(name: str) -> Column:
     return F.col(quoted(name))
 
 
+#: Stands for a date with a time of day: blank or ``T`` between them, fractions and a zone allowed.
+ISO_TIME = "iso date and time"
+_ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?$"
+
+
 def parse_date(column: Column, *patterns: str) -> Column:
     """The date in a text, by the pattern that fits it; NULL if none does.
 
     Malformed text gives NULL under ANSI mode too, where ``to_date`` raises.
     A text is parsed only by a pattern of its own shape (each letter of the
     pattern stands for one digit), since a failed parse costs an exception.
+    With ``ISO_TIME`` the date is the one written, whatever the zone.
     """
     chain = None
     for pattern in patterns:
-        shape = "^" + re.sub("[A-Za-z]", r"\\d", pattern) + "$"
-        chain = (F if chain is None else chain).when(
-            column.rlike(shape), F.try_to_date(column, pattern)
-        )
+        if pattern == ISO_TIME:
+            valid = column.try_cast("timestamp_ntz").isNotNull()
+            shape, value = _ISO_SHAPE, F.when(valid, F.try_to_date(F.substring(column, 1, 10), "yyyy-MM-dd"))
+        else:
+            shape = "^" + re.sub("[A-Za-z]", r"\\d", pattern) + "$"
+            value = F.try_to_date(column, pattern)
+        chain = (F if chain is None else chain).when(column.rlike(shape), value)
     return chain
 
 
-def parse_int(column: Column, target: str = "int") -> Column:
-    """A whole number in a text; NULL for other text and for numbers too large.
+def parse_int(column: Column, target: str = "bigint") -> Column:
+    """A whole number in a text, ``12.0`` included; NULL for other text and for numbers too large.
 
     The shape test gives what ``try_cast`` alone would, without an exception
     for every value that is not a number.
     """
-    whole = column.cast("string").rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$")
-    return F.when(whole, column.try_cast(target))
+    text = column.cast("string")
+    whole = text.rlike(r"^[\x00-\x20]*[+-]?[0-9]+([.]0*)?[\x00-\x20]*$")
+    return F.when(whole, F.regexp_replace(text, r"[.]0*[\x00-\x20]*$", "").try_cast(target))
 
 
 def parse_flag(column: Column) -> Column:

@@ -11,11 +11,12 @@ FORMATS = ("parquet", "csv")
 
 @dataclass(frozen=True)
 class Batch:
-    """One landed snapshot of a dataset."""
+    """One landed snapshot of a dataset; ``malformed`` counts records with a wrong number of fields."""
 
     dataset: str
     process_date: str
     uuid: str
+    malformed: int = field(default=0, compare=False)
 
 
 @dataclass(frozen=True)
@@ -55,5 +56,9 @@ class LakeLayout:
     def output_path(self, output: str) -> str:
         return f"{self.curated.rstrip('/')}/{output}"
 
+    def schema_path(self, output: str, process_date: str) -> str:
+        """Where the types of a text output are kept; readers of the output skip names with ``_``."""
+        return f"{self.output_path(output)}/_schema/process_date={process_date}"
+
     def curated_path(self, output: str, process_date: str) -> str:
         return f"{self.output_path(output)}/process_date={process_date}"

@@ -25,10 +25,18 @@ def rename_strict(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename columns, in one projection; every source column must be there.
 
     A plain rename ignores names that do not match, for example when a header
-    lost its trailing blank, and the error shows up far downstream.
+    lost its trailing blank, and the error shows up far downstream. A new name
+    that another column already has is an error, too.
     """
     require_columns(df, names)
-    return df.withColumnsRenamed(dict(names))
+    sources = {name.lower() for name in names}
+    kept = [column.lower() for column in df.columns if column.lower() not in sources]
+    result = kept + [name.lower() for name in names.values()]
+    doubled = sorted({name for name in result if result.count(name) > 1})
+    if doubled:
+        raise MissingColumnsError(f"renaming would give several columns {doubled!r}")
+    new = {name.lower(): target for name, target in names.items()}
+    return df.select(*[named(c).alias(new.get(c.lower(), c)) for c in df.columns])
 
 
 def sort_desc(df: DataFrame, column: str) -> DataFrame:

@@ -6,6 +6,7 @@ import datetime as dt
 import uuid
 from collections import defaultdict
 from collections.abc import Mapping
+from dataclasses import replace
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -14,13 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from epilake.layout import Batch, LakeLayout
 from epilake.sinks.files import write_batch, write_pointer
-from epilake.sources.archive import read_zipped_delimited
+from epilake.sources.archive import ArchiveStore, read_zipped_delimited
 from epilake.sources.catalog import landing_plan
-from epilake.sources.delimited import read_delimited
+from epilake.sources.control import current_batches
+from epilake.sources.delimited import MALFORMED, read_delimited
+from epilake.sources.dialect import CsvDialect
 from epilake.sources.registry import REGISTRY, DatasetSpec
 
-READERS = {"csv": read_delimited, "zip": read_zipped_delimited}
-
 
 class LandingError(RuntimeError):
     """Some datasets did not land (``failed``); the others did (``landed``)."""
@@ -39,21 +40,36 @@ def land(
     run_date: dt.date | None = None,
     run_id: str | None = None,
     specs: Mapping[str, DatasetSpec] = REGISTRY,
+    store: ArchiveStore | None = None,
+    recursive: bool = False,
+    spread: int | None = None,
 ) -> list[Batch]:
     """Land what the catalogue has for one period.
 
-    The url of an entry is a path on any Hadoop file system. All files of a
-    dataset are parsed with its own dialect in one job, kept as text, and
-    written in parallel; only then does the dataset's pointer move. A dataset
-    that fails keeps its old pointer and does not stop the others.
+    The url of an entry is a path on any Hadoop file system; archives are opened
+    through ``store``, and with ``recursive`` an archive's url may be a folder of
+    archives. All files of a dataset are parsed with its own dialect in one
+    job, kept as text, and written in parallel; only then does the dataset's
+    pointer move. Records with too many or too few fields keep their whole text
+    in a column of their own and are counted in the batch. ``spread`` is that
+    of ``read_zipped_delimited``. A dataset that fails keeps its old pointer
+    and does not stop the others; a ``run_id`` that already names the current
+    batch is such a failure.
     """
     run_date = run_date or dt.datetime.now(dt.timezone.utc).date()
+    reused = run_id is not None
     run_id = run_id or str(uuid.uuid4())
 
     # One row per catalogue entry: the plan is small, the files are not.
     urls: dict[str, dict[str, list[str]]] = defaultdict(lambda: defaultdict(list))
     for row in landing_plan(catalog, period, run_date, run_id).collect():
         urls[row["dataset"]][row["route"]].append(row["url"])
+    current = current_batches(spark, layout, sorted(urls))[0] if reused and urls else {}
+
+    def read(route: str, paths: list[str], dialect: CsvDialect) -> DataFrame:
+        if route == "zip":
+            return read_zipped_delimited(spark, paths, dialect, MALFORMED, recursive, store, spread)
+        return read_delimited(spark, paths, dialect, corrupt_column=MALFORMED)
 
     landed: list[Batch] = []
     failed: dict[str, Exception] = {}
@@ -61,10 +77,12 @@ def land(
         batch = Batch(dataset, f"{run_date:%Y%m%d}", run_id)
         dialect = specs[dataset].dialect if dataset in specs else DatasetSpec(dataset, {}).dialect
         try:
-            parts = [READERS[route](spark, paths, dialect) for route, paths in routes.items()]
-            write_batch(reduce(DataFrame.unionByName, parts), layout, batch)
+            if current.get(dataset) == batch:
+                raise ValueError(f"batch {run_id!r} of {batch.process_date} is the current one already")
+            parts = [read(route, paths, dialect) for route, paths in routes.items()]
+            malformed = write_batch(reduce(DataFrame.unionByName, parts), layout, batch)
             write_pointer(spark, layout, batch)
-            landed.append(batch)
+            landed.append(replace(batch, malformed=malformed))
         except (PySparkException, Py4JJavaError, ValueError) as error:
             failed[dataset] = error
     if failed:

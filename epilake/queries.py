@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import datetime as dt
 import io
+import json
 import uuid
 import zipfile
 from collections.abc import Callable
 
 import pyarrow as pa
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,16 +34,32 @@ from epilake.operators.latest import latest_per_key
 from epilake.operators.rename import rename_strict, sort_desc
 from epilake.operators.stamp import parse_date_column, stamp
 from epilake.plans.daily import DATE_PATTERNS
-from epilake.plans.jobs import run_daily, run_monthly
+from epilake.plans.jobs import LOADS, export, run_daily, run_monthly
+from epilake.plans.landing import land
 from epilake.session import scratch_path
 from epilake.sinks.files import read_curated, write_batch, write_curated, write_pointer, write_rows
 from epilake.sinks.jdbc import JdbcTarget, append_once, missing_rows, overwrite_table, read_table
-from epilake.sources.archive import inflate, parse_lines
-from epilake.sources.catalog import in_period, landing_plan
+from epilake.sources.archive import archive_members, inflate, parse_lines, read_zipped_delimited
+from epilake.sources.catalog import CATALOG_SCHEMA, in_period, landing_plan, read_catalog
 from epilake.sources.control import latest_batches, latest_pointers, parse_pointer
-from epilake.sources.delimited import read_delimited
-from epilake.sources.dialect import STAGED
-from epilake.sources.registry import CASES, INPATIENTS, DatasetSpec, apply_types, read_batch
+from epilake.sources.delimited import MALFORMED, read_delimited
+from epilake.sources.dialect import STAGED, CsvDialect
+from epilake.sources.registry import (
+    BEDS,
+    CASES,
+    CONDITIONS,
+    INDIGENOUS,
+    INPATIENTS,
+    MICRODATA,
+    PROFESSIONALS,
+    RANKING,
+    TESTS,
+    VACCINES,
+    DatasetSpec,
+    apply_types,
+    read_batch,
+    read_landed,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,21 +251,28 @@ def parse_iso_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT l_orderkey, l_linenumber, l_returnflag = 'R' AS obito,"
-    " CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS INT) END AS quantidade FROM lineitem"
-    " WHERE l_returnflag <> 'A'"
-    " UNION ALL SELECT l_orderkey, l_linenumber, NULL, CAST(l_quantity AS INT) FROM lineitem"
-    " WHERE l_returnflag = 'A'"
+    "SELECT l_orderkey, l_linenumber, CASE l_returnflag WHEN 'R' THEN true WHEN 'N' THEN false END AS obito,"
+    " CASE WHEN l_returnflag = 'N' THEN NULL WHEN l_linenumber = 2 THEN 3000000000 + CAST(l_quantity AS BIGINT)"
+    " ELSE CAST(l_quantity AS BIGINT) END AS quantidade FROM lineitem"
 )
 def cast_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flag, amount = F.col("l_returnflag"), F.col("l_quantity").cast("int").cast("string")
+    """Texts as files have them: ``7``, ``7.0``, a number beyond 32 bits, and two that are not whole."""
+    flag, line, amount = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_quantity").cast("bigint")
+    text = amount.cast("string")
+    written = (
+        F.when((flag == "N") & (line == 1), F.concat(text, F.lit(".234")))
+        .when(flag == "N", F.concat(text, F.lit(",5")))
+        .when(line == 2, (amount + 3_000_000_000).cast("string"))
+        .when(line == 3, F.concat(text, F.lit(".0")))
+        .otherwise(text)
+    )
     texts = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         F.when(flag == "R", "True").when(flag == "N", "0").otherwise("?").alias("obito"),
-        F.when(flag == "N", F.concat(amount, F.lit(",5"))).otherwise(amount).alias("quantidade"),
+        written.alias("quantidade"),
     )
-    return apply_types(texts, {"obito": "boolean", "quantidade": "int"})
+    return apply_types(texts, {"obito": "boolean", "quantidade": "bigint"})
 
 
 # Control files and the catalogue
@@ -324,60 +350,133 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT doc_id, line_no, regexp_replace(line, '[^\\x{0}-\\x{ff}]', '?', 'g') AS line FROM"
-    " (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,"
-    " generate_subscripts(string_split(text, chr(10)), 1)::INT - 1 AS line_no FROM documents)"
+    "SELECT doc_id, unnest(string_split(text, chr(10))) AS line,"
+    " generate_subscripts(string_split(text, chr(10)), 1)::INT - 1 AS line_no FROM documents"
 )
 def transcode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every byte of the texts as one character of an ISO-8859-1 file, and back."""
     latin = STAGED.with_(encoding="ISO-8859-1")
     path = scratch_path(spark, "transcode")
     lines = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
     texts = table(spark, sf_dir, "documents").select("doc_id", lines)
+    texts = texts.withColumn("line", F.decode(F.encode("line", "UTF-8"), "ISO-8859-1"))
     write_rows(texts, path, "csv", latin)
     rows = apply_types(read_delimited(spark, path, latin), {"doc_id": "bigint", "line_no": "int"})
-    return rows.withColumn("line", F.coalesce("line", F.lit("")))
+    line = F.decode(F.encode(F.coalesce("line", F.lit("")), "ISO-8859-1"), "UTF-8")
+    return rows.withColumn("line", line)
 
 
-@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
-def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["o_orderkey", "o_orderpriority", "o_totalprice"]
-    header = STAGED.sep.join(columns)
+def _publish_zips(rows: DataFrame, root: str) -> None:
+    """Zip files of two members in folders below ``root``, one file for each Arrow batch of each task."""
+    header = STAGED.sep.join(rows.columns)
 
-    # One archive per Arrow batch, so no archive grows with the table.
     def pack(batches):
-        for batch in batches:
+        task = TaskContext.get().partitionId()
+        files, base = FileSystem.from_uri(root)
+        for number, batch in enumerate(batches):
+            lines = batch.column(0).to_pylist()
             content = io.BytesIO()
             with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive:
-                lines = [header, *batch.column(0).to_pylist()]
-                archive.writestr("pasta/orders.csv", "\n".join(lines))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f"{uuid.uuid4().hex}.zip"]), pa.array([content.getvalue()], pa.binary())],
-                names=["path", "content"],
-            )
-
-    line = F.to_csv(F.struct(*columns), STAGED.record_options())
-    archives = (
-        table(spark, sf_dir, "orders").select(line).mapInArrow(pack, "path STRING, content BINARY")
-    )
-    rows = parse_lines(inflate(archives, STAGED), columns, STAGED)
+                for member, part in (("a", lines[::2]), ("b", lines[1::2])):
+                    archive.writestr(f"pasta/{member}.csv", "\n".join([header, *part]))
+            folder = f"{base}/{task % 3}"
+            files.create_dir(folder, recursive=True)
+            # A task that runs again writes the same file under the same name.
+            with files.open_output_stream(f"{folder}/{task}-{number}.zip") as out:
+                out.write(content.getvalue())
+            yield pa.RecordBatch.from_arrays([pa.array([len(lines)])], names=["lines"])
+
+    line = F.to_csv(F.struct(*rows.columns), STAGED.record_options())
+    rows.select(line).mapInArrow(pack, "lines BIGINT").write.format("noop").mode("overwrite").save()
+
+
+@query("SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def zip_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zip files of two members in a tree of folders, listed and read as landing does."""
+    root = scratch_path(spark, "zip_landing")
+    _publish_zips(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice"), root)
+    rows = read_zipped_delimited(spark, root, STAGED, recursive=True)
     return apply_types(rows, {"o_orderkey": "bigint", "o_totalprice": "double"})
 
 
-@query(
-    "SELECT p_brand, p_partkey, p_size FROM part"
-)
+@query("SELECT o_orderkey, o_orderpriority FROM orders")
+def zip_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members, then lines, then records, step by step."""
+    root = scratch_path(spark, "zip_expand")
+    _publish_zips(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"), root)
+    members = archive_members(spark, root, recursive=True)
+    rows = parse_lines(inflate(members, STAGED), ["o_orderkey", "o_orderpriority"], STAGED)
+    return apply_types(rows, {"o_orderkey": "bigint"})
+
+
+@query("SELECT p_brand, p_partkey, p_size FROM part WHERE p_size > 25")
 def batch_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land a batch as text, move its pointer, and read it by the pointer."""
+    """Land two batches as text; the pointer says which is read, whatever the ids."""
     root = scratch_path(spark, "batch_roundtrip")
     layout = LakeLayout(f"{root}/raw", f"{root}/curated", raw_format="csv")
     spec = DatasetSpec("part", {"p_brand": "string", "p_partkey": "bigint", "p_size": "int"})
     part = table(spark, sf_dir, "part").select(*spec.columns)
-    for batch in (Batch("part", "20221102", "b"), Batch("part", "20221103", "a")):
-        write_batch(part, layout, batch)
+    for batch, kept in ((Batch("part", "20221103", "b"), "p_size <= 25"), (Batch("part", "20221103", "a"), "p_size > 25")):
+        write_batch(part.filter(kept), layout, batch)
         write_pointer(spark, layout, batch)
     return read_batch(spark, layout, spec, latest_batches(spark, layout, ["part"])["part"])
 
 
+@query(
+    "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders WHERE o_orderstatus IN ('F', 'O')"
+)
+def land_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A JSON catalogue with a text file and zip files of one dataset, landed and read by its pointer."""
+    root = scratch_path(spark, "land_catalog")
+    layout = LakeLayout(f"{root}/raw", f"{root}/curated")
+    spec = DatasetSpec(
+        "pedidos", {"o_orderkey": "bigint", "o_orderpriority": "string", "o_totalprice": "double"}, STAGED
+    )
+    orders = table(spark, sf_dir, "orders")
+    dated = f"{root}/site/{RUN_DATE:%Y/%m/%Y%m%d}_aberto.csv"
+    write_rows(orders.filter("o_orderstatus = 'O'").select(*spec.columns), dated, "csv", STAGED)
+    _publish_zips(orders.filter("o_orderstatus = 'F'").select(*spec.columns), f"{root}/site/fechado.zip")
+    keys = ("base", "source", "dataset", "type", "Atualizacao")
+    entries = [
+        (f"{root}/site/", "aberto", "pedidos", "csv", "diaria"),
+        (f"{root}/site/", "aberto", "pedidos", "csv", "diaria"),
+        (f"{root}/site/", "fechado", "pedidos", "zip", "diaria"),
+        (f"{root}/site/", "outro", "pedidos", "xls", "diaria"),
+        (f"{root}/site/", "velho", "pedidos", "csv", "mensal"),
+    ]
+    listed = json.dumps([dict(zip(keys, entry, strict=True)) for entry in entries])
+    spark.createDataFrame([(listed,)], "value STRING").coalesce(1).write.text(f"{root}/catalogo.json")
+    catalog = read_catalog(spark, f"{root}/catalogo.json")
+    [batch] = land(spark, layout, catalog, "diaria", RUN_DATE, specs={spec.name: spec}, recursive=True)
+    assert latest_batches(spark, layout, [spec.name])[spec.name] == batch
+    return read_batch(spark, layout, spec, batch)
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_type <> 'signup' THEN event_type END AS event_type,"
+    " CASE event_type WHEN 'error' THEN event_id || ';error;' || user_id WHEN 'signup' THEN event_id::VARCHAR END"
+    " AS malformado FROM events"
+)
+def land_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a field too many or too few: their whole text is landed, and counted."""
+    root = scratch_path(spark, "land_malformed")
+    layout = LakeLayout(f"{root}/raw", f"{root}/curated")
+    kind, key = F.col("event_type"), F.col("event_id").cast("string")
+    line = (
+        F.when(kind == "error", F.concat_ws(";", key, kind, F.col("user_id").cast("string")))
+        .when(kind == "signup", key)
+        .otherwise(F.concat_ws(";", key, kind))
+    )
+    raw = CsvDialect(sep="\x01", quote="\0")  # lines are written as they are, under a header
+    texts = table(spark, sf_dir, "events").select(line.alias("event_id;event_type"))
+    write_rows(texts, f"{root}/site/2022/11/20221103_eventos.csv", "csv", raw)
+    catalog = spark.createDataFrame([(f"{root}/site/", "eventos", "eventos", "csv", "diaria")], CATALOG_SCHEMA)
+    [batch] = land(spark, layout, catalog, "diaria", RUN_DATE)
+    rows = read_landed(spark, layout, batch).withColumnRenamed(MALFORMED, "malformado")
+    assert batch.malformed > 0
+    return apply_types(rows, {"event_id": "bigint"}).select("event_id", "event_type", "malformado")
+
+
 @query(
     "SELECT o_orderkey, o_orderstatus,"
     " CASE o_orderstatus WHEN 'P' THEN '20221103' ELSE '20221104' END AS process_date"
@@ -393,6 +492,32 @@ def curated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, layout, "pedidos")
 
 
+@query(
+    "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN o_custkey::VARCHAR ELSE 'C' || o_custkey END AS cliente,"
+    " CASE o_orderstatus WHEN 'O' THEN o_orderpriority END AS prioridade, (o_orderkey % 7)::DOUBLE AS resto,"
+    " CASE o_orderstatus WHEN 'F' THEN '20221103' ELSE '20221104' END AS process_date"
+    " FROM orders WHERE o_orderstatus IN ('F', 'O')"
+)
+def curated_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second date has one column more and two of other types; all dates are read as one table."""
+    root = scratch_path(spark, "curated_all_dates")
+    layout = LakeLayout(f"{root}/raw", f"{root}/curated")
+    orders = table(spark, sf_dir, "orders")
+    rest = F.col("o_orderkey") % 7
+    first = orders.filter("o_orderstatus = 'F'").select(
+        "o_orderkey", F.col("o_custkey").alias("cliente"), rest.cast("int").alias("resto")
+    )
+    second = orders.filter("o_orderstatus = 'O'").select(
+        "o_orderkey",
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cliente"),
+        F.col("o_orderpriority").alias("prioridade"),
+        rest.cast("double").alias("resto"),
+    )
+    for rows, date in ((first, RUN_DATE), (second, NEXT_DATE)):
+        write_curated(rows, layout, "pedidos", f"{date:%Y%m%d}")
+    return read_curated(spark, layout, "pedidos")
+
+
 # Whole jobs on batches made from the tables
 
 
@@ -423,7 +548,7 @@ def daily_cases_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT o_orderpriority AS nome_munic, month(o_orderdate)::VARCHAR AS nome_drs,"
-    " (o_custkey % 100)::INT AS idade, NULL::VARCHAR AS raca_cor, 'M' AS cs_sexo,"
+    " (o_custkey % 100)::BIGINT AS idade, NULL::VARCHAR AS raca_cor, 'M' AS cs_sexo,"
     " 'CONFIRMADO' AS diagnostico_covid19, COUNT(*) AS \"Total_Obitos\" FROM orders"
     " WHERE o_orderstatus = 'F' GROUP BY ALL"
 )
@@ -443,6 +568,105 @@ def monthly_outcomes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, layout, "total_obitos", f"{RUN_DATE:%Y%m%d}")
 
 
+def _daily(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame, output: str) -> DataFrame:
+    layout = _land(spark, label, spec, rows)
+    run_daily(spark, layout, [spec])
+    return read_curated(spark, layout, output, f"{RUN_DATE:%Y%m%d}")
+
+
+def _monthly(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame, output: str) -> DataFrame:
+    layout = _land(spark, label, spec, rows)
+    run_monthly(spark, layout, RUN_DATE, [spec])
+    return read_curated(spark, layout, output, f"{RUN_DATE:%Y%m%d}")
+
+
+@query(
+    "SELECT CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS datahora,"
+    " user_id::VARCHAR AS nome_drs, event_id::VARCHAR AS evento FROM events"
+    " QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY datahora DESC NULLS LAST, evento DESC) = 1"
+)
+def beds_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest day of each region from three ways to write it; many ties, some texts that are no date."""
+    kind = F.col("event_type")
+    written = (
+        F.when(kind == "error", "ontem")
+        .when(kind == "signup", F.date_format("ts", "yyyy-MM-dd"))
+        .when(kind == "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    rows = table(spark, sf_dir, "events").select(
+        written.alias("datahora"), F.col("user_id").alias("nome_drs"), F.col("event_id").alias("evento")
+    )
+    return _daily(spark, "beds_job", BEDS, rows, "last_date_leitos")
+
+
+@query(
+    'SELECT c_name AS "Cidade", c_custkey AS "Rank_em_relacao_populacao_geral", c_nationkey::BIGINT AS "Dose_1",'
+    ' c_custkey * 100000 AS "Populacao_senso_2020", c_mktsegment AS "Porcentagem_aplicação_Dose_1" FROM customer'
+)
+def ranking_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = list(RANKING.columns)
+    values = ["c_name", "c_custkey", F.concat("c_nationkey", F.lit(".0")), F.col("c_custkey") * 100_000, "c_mktsegment"]
+    rows = table(spark, sf_dir, "customer").select(values + [F.lit("7").alias("total")])
+    return _daily(spark, "ranking_job", RANKING, rows.toDF(*columns, "Grand Total"), "aplicacao_doses")
+
+
+@query(
+    'SELECT l_shipdate::DATE::VARCHAR AS "VACINA", l_orderkey AS "DOSE_1", l_partkey AS "DOSE_2",'
+    ' l_suppkey AS "Dose_Unica", l_linenumber::BIGINT AS "DOSE_ADICIONAL_1", l_orderkey AS "DOSE_REFORCO_2",'
+    ' l_orderkey + 1 AS "DOSE_REFORCO_3", NULL::BIGINT AS "DOSE_REFORCO_4",'
+    ' l_partkey AS "REFORCO_FORA_DO_ESQUEMA_VACINAL" FROM lineitem'
+)
+def vaccines_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_orderkey", F.col("l_orderkey") + 1,
+              F.lit("1,5"), "l_partkey"]
+    rows = table(spark, sf_dir, "lineitem").select([F.date_format("l_shipdate", "yyyy-MM-dd")] + values)
+    return _daily(spark, "vaccines_job", VACCINES, rows.toDF(*VACCINES.columns), "estaticas_gerais_clean")
+
+
+@query(
+    "SELECT (l_orderkey * 10 + l_linenumber)::VARCHAR AS id, 'true' AS condition FROM lineitem"
+    " WHERE NOT coalesce(l_quantity <= 40 AND l_returnflag <> 'A', false)"
+)
+def microdata_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thirteen condition flags: known, unknown, or not stated."""
+    unknown, returned = F.lit("IGNORADO"), F.col("l_returnflag") == "A"
+    flags = [unknown] * 11 + [F.when(F.col("l_quantity") > 40, "SIM").otherwise(unknown), F.when(~returned, unknown)]
+    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
+    rows = table(spark, sf_dir, "lineitem").select(key, *flags).toDF("id", *CONDITIONS)
+    return _monthly(spark, "microdata_job", MICRODATA, rows, "clean_microdados").select("id", "condition")
+
+
+@query(
+    'SELECT p_name AS "Ocupação", CASE WHEN p_size <> 7 THEN p_size::BIGINT END AS "casos_confirmados_COVID-19" FROM part'
+)
+def professionals_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.when(F.col("p_size") != 7, F.col("p_size"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", size)
+    rows = rows.toDF("Código CBO", "Ocupação", "Número de casos confirmados COVID-19")
+    return _monthly(spark, "professionals_job", PROFESSIONALS, rows, "profissionais_casos_confirmados")
+
+
+@query(
+    'SELECT s_name AS "Municipio", s_nationkey::BIGINT AS "Total_Casos_Confirmados",'
+    " DATE '2022-11-03' AS data_execucao FROM supplier"
+)
+def indigenous_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "supplier").select("s_name", "s_nationkey").toDF(*INDIGENOUS.columns)
+    return _monthly(spark, "indigenous_job", INDIGENOUS, rows, "etnias_indigenas")
+
+
+@query(
+    'SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_orderdate::DATE END AS "Data_Coleta",'
+    ' o_orderpriority AS "Tipo_Teste", o_custkey AS "Quantidade" FROM orders'
+)
+def tests_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    written = F.when(F.col("o_orderkey") % 10 == 0, F.date_format("o_orderdate", "d MMM")).otherwise(day)
+    rows = table(spark, sf_dir, "orders").select(written, "o_orderpriority", "o_custkey").toDF(*TESTS.columns)
+    return _monthly(spark, "tests_job", TESTS, rows, "total_testes")
+
+
 # Appends
 
 
@@ -454,29 +678,51 @@ def append_missing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.unionAll(missing_rows(batch, present))
 
 
+def _database(spark: SparkSession, name: str) -> JdbcTarget:
+    """The database that ``spark.epilake.jdbc.url`` names, or a Derby inside the JVM of a local session."""
+    url = spark.conf.get("spark.epilake.jdbc.url", None)
+    if url is not None:
+        return JdbcTarget(url)
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    return JdbcTarget(f"jdbc:derby:memory:{name};create=true", {"driver": driver}, connections=4)
+
+
 @query(
     "SELECT *, DATE '2022-11-03' AS data_execucao FROM customer"
     " UNION ALL SELECT *, DATE '2022-11-04' AS data_execucao FROM customer"
 )
 def jdbc_overwrite_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load a table twice and append a later run twice: two runs remain.
-
-    The database is the one ``spark.epilake.jdbc.url`` names. Without it, a
-    Derby that lives inside the JVM of a local session stands in.
-    """
-    url = spark.conf.get("spark.epilake.jdbc.url", None)
+    """Load a table twice and append a later run twice: two runs remain."""
     name = f"run_{uuid.uuid4().hex}"
-    if url is None:
-        driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
-        target = JdbcTarget(f"jdbc:derby:memory:{name};create=true", {"driver": driver}, connections=4)
-    else:
-        target = JdbcTarget(url)
+    target = _database(spark, name)
     customer = table(spark, sf_dir, "customer")
     first = stamp(customer, "data_execucao", RUN_DATE)
     second = stamp(customer, "data_execucao", NEXT_DATE)
     for _ in range(2):
         overwrite_table(first, target, name)
     for _ in range(2):
-        append_once(second, target, name, "data_execucao")
+        append_once(second, target, name, "data_execucao", "c_custkey")
     bounds = customer.agg(F.min("c_custkey"), F.max("c_custkey")).head()
     return read_table(spark, target, name, "c_custkey", tuple(bounds))
+
+
+@query(
+    "SELECT 'F' || l_suppkey AS nome_munic, l_suppkey AS codigo_ibge, (l_linenumber - 1)::BIGINT AS casos_novos,"
+    " 'limpo' AS tabela FROM lineitem"
+    " UNION ALL SELECT DISTINCT 'F' || l_suppkey, l_suppkey, NULL, 'codigos' FROM lineitem"
+)
+def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two outputs of the case files, exported twice to the tables that hold them, and read back."""
+    name = F.concat(F.lit("F"), F.col("l_suppkey").cast("string"))
+    cases = table(spark, sf_dir, "lineitem").select(
+        name.alias("nome_munic"), F.col("l_suppkey").alias("codigo_ibge"), (F.col("l_linenumber") - 1).alias("casos_novos")
+    )
+    layout = _land(spark, "export_tables", CASES, cases)
+    run_daily(spark, layout, [CASES])
+    target = _database(spark, f"export_{uuid.uuid4().hex}")
+    loads = [load for load in LOADS if load.output in ("clean_casos_obitos", "cidades_codigo")]
+    for _ in range(2):
+        codes, clean = sorted(export(spark, layout, target, loads=loads))
+    left = read_table(spark, target, clean).withColumn("tabela", F.lit("limpo"))
+    right = read_table(spark, target, codes).withColumn("tabela", F.lit("codigos"))
+    return left.unionByName(right, allowMissingColumns=True)

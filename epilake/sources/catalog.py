@@ -34,7 +34,8 @@ def landing_plan(
 ) -> DataFrame:
     """What one run has to land: dataset, route, url, process_date, uuid.
 
-    Entries of another period or of a type without a route are left out. One
+    Entries of another period or of a type without a route are left out, and an
+    entry that is listed twice is landed once. One
     run date serves every entry, so url and batch can never disagree about it.
     """
     when = F.lit(run_date).cast("date")
@@ -53,4 +54,5 @@ def landing_plan(
             F.date_format(when, "yyyyMMdd").alias("process_date"),
             F.lit(run_id).alias("uuid"),
         )
+        .distinct()
     )

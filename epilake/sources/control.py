@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,22 +25,31 @@ def parse_pointer(line: Column) -> Column:
     return F.from_csv(line, POINTER_SCHEMA, CONTROL.record_options())
 
 
-def latest_pointers(pointers: DataFrame, key: str) -> DataFrame:
-    """The greatest (process_date, uuid) per key."""
-    newest = F.max(F.struct("process_date", "uuid")).alias("newest")
+def latest_pointers(pointers: DataFrame, key: str, *first: str) -> DataFrame:
+    """The greatest (process_date, uuid) per key, among those greatest in the columns of ``first``."""
+    newest = F.max(F.struct(*first, "process_date", "uuid")).alias("newest")
     return pointers.groupBy(key).agg(newest).select(key, "newest.process_date", "newest.uuid")
 
 
 def read_control_files(
     spark: SparkSession, layout: LakeLayout, datasets: Sequence[str]
 ) -> DataFrame:
-    """All pointers of some datasets, in one scan: dataset, process_date, uuid."""
+    """All pointers of some datasets, in one scan: dataset, process_date, uuid, written."""
     paths = [layout.control_path(dataset) for dataset in datasets]
     scan = read_delimited(spark, paths, CONTROL, POINTER_SCHEMA)
     # The path is percent-encoded, and a literal plus sign in it is not a blank.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     dataset = F.regexp_extract(path, r"/Control_file_([^/]+)\.txt(?:/[^/]*)?$", 1)
-    return scan.select(dataset.alias("dataset"), "process_date", "uuid")
+    written = F.col("_metadata.file_modification_time").alias("written")
+    return scan.select(dataset.alias("dataset"), "process_date", "uuid", written)
+
+
+def _found(spark: SparkSession, layout: LakeLayout, datasets: Sequence[str]) -> dict[str, Batch]:
+    pointers = read_control_files(spark, layout, datasets).filter(
+        F.col("process_date").isNotNull() & F.col("uuid").isNotNull()
+    )
+    rows = latest_pointers(pointers, "dataset", "written").collect()
+    return {row["dataset"]: Batch(**row.asDict()) for row in rows}
 
 
 def latest_batches(
@@ -47,14 +57,33 @@ def latest_batches(
 ) -> dict[str, Batch]:
     """The current batch of each dataset, all from one job.
 
-    Only the pointers reach the driver: one row per dataset.
+    The latest pointer file counts, and in it the greatest date and id. Only
+    the pointers reach the driver: one row per dataset.
     """
-    pointers = read_control_files(spark, layout, datasets).filter(
-        F.col("process_date").isNotNull() & F.col("uuid").isNotNull()
-    )
-    rows = latest_pointers(pointers, "dataset").collect()
-    found = {row["dataset"]: Batch(**row.asDict()) for row in rows}
+    found = _found(spark, layout, datasets)
     empty = [dataset for dataset in datasets if dataset not in found]
     if empty:
         raise ControlFileError(f"control file without a pointer for {empty!r}")
     return found
+
+
+def current_batches(
+    spark: SparkSession, layout: LakeLayout, datasets: Sequence[str]
+) -> tuple[dict[str, Batch], dict[str, Exception]]:
+    """The current batches there are, and why each other dataset has none.
+
+    One job, unless control files are missing; then one for each dataset.
+    """
+    try:
+        found, reasons = _found(spark, layout, datasets), {}
+    except AnalysisException:
+        found, reasons = {}, {}
+        for dataset in datasets:
+            try:
+                found |= _found(spark, layout, [dataset])
+            except AnalysisException as error:
+                reasons[dataset] = error
+    for dataset in datasets:
+        if dataset not in found and dataset not in reasons:
+            reasons[dataset] = ControlFileError(f"control file without a pointer for {[dataset]!r}")
+    return found, reasons

@@ -9,6 +9,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from epilake.sources.dialect import CsvDialect
 
+#: Column of landed batches with the whole text of a record whose field count is wrong, else NULL.
+MALFORMED = "_registro_malformado"
+
 
 def read_delimited(
     spark: SparkSession,

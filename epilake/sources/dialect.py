@@ -13,6 +13,8 @@ class CsvDialect:
     header of the others. Without it, a part that lacks the header loses its
     first row and files with another column order are mixed up, both silently.
     Turn it off only for files whose header has blank or repeated names.
+    ``multi_line`` lets a quoted value hold line breaks; a file is then read
+    by one task.
     """
 
     sep: str = ";"
@@ -23,6 +25,7 @@ class CsvDialect:
     line_sep: str | None = None
     quote_all: bool = False
     strict_header: bool = True
+    multi_line: bool = False
 
     def with_(self, **changes) -> CsvDialect:
         return replace(self, **changes)
@@ -43,6 +46,8 @@ class CsvDialect:
         options = self._common()
         if self.header and self.strict_header:
             options["enforceSchema"] = "false"
+        if self.multi_line:
+            options["multiLine"] = "true"
         return options
 
     def write_options(self) -> dict[str, str]:

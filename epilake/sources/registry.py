@@ -8,13 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from epilake.functions.columns import named, parse_flag, parse_int
 from epilake.layout import Batch, LakeLayout
 from epilake.operators.rename import require_columns
-from epilake.sources.delimited import read_delimited
+from epilake.sources.delimited import MALFORMED, read_delimited
 from epilake.sources.dialect import CsvDialect
 
 
@@ -28,7 +30,7 @@ class DatasetSpec:
 # Dataset and column names are those of the published files.
 CASES = DatasetSpec(
     "casos_e_obtos_por_municipio_e_data",
-    {"nome_munic": "string", "codigo_ibge": "int", "casos_novos": "int"},
+    {"nome_munic": "string", "codigo_ibge": "bigint", "casos_novos": "bigint"},
 )
 BEDS = DatasetSpec(
     "leitos_internações_por_diretoria_regionaldesaude",
@@ -38,9 +40,9 @@ RANKING = DatasetSpec(
     "ranking_vacinação",
     {
         "Municipio ": "string",
-        "Rank of % em relação a população geral": "int",
-        "PRIMEIRA DOSE": "int",
-        "POPULAÇÃO MUNICÍPIO 2020": "int",
+        "Rank of % em relação a população geral": "bigint",
+        "PRIMEIRA DOSE": "bigint",
+        "POPULAÇÃO MUNICÍPIO 2020": "bigint",
         "% em relação a população geral": "string",
     },
 )
@@ -48,14 +50,14 @@ VACCINES = DatasetSpec(
     "estatisticas_gerais",
     {
         "Imunobiologico ": "string",
-        "1º DOSE": "int",
-        "2° DOSE": "int",
-        "UNICA": "int",
-        "1º DOSE ADICIONAL": "int",
-        "2 REFORCO": "int",
-        "3 REFORCO": "int",
-        "4 REFORCO": "int",
-        "REFORCO FORA DO ESQUEMA VACINAL": "int",
+        "1º DOSE": "bigint",
+        "2° DOSE": "bigint",
+        "UNICA": "bigint",
+        "1º DOSE ADICIONAL": "bigint",
+        "2 REFORCO": "bigint",
+        "3 REFORCO": "bigint",
+        "4 REFORCO": "bigint",
+        "REFORCO FORA DO ESQUEMA VACINAL": "bigint",
     },
 )
 CONDITIONS = (
@@ -76,18 +78,18 @@ CONDITIONS = (
 MICRODATA = DatasetSpec("microdados_dos_casos", dict.fromkeys(CONDITIONS, "string"))
 PROFESSIONALS = DatasetSpec(
     "casos_confirmados_covid19_ocupacao_profissional_de_saude",
-    {"Número de casos confirmados COVID-19": "int"},
+    {"Número de casos confirmados COVID-19": "bigint"},
 )
 INDIGENOUS = DatasetSpec(
     "etnias_indigenas",
-    {"Municipio": "string", "Número de casos confirmados": "int"},
+    {"Municipio": "string", "Número de casos confirmados": "bigint"},
 )
 INPATIENTS = DatasetSpec(
     "pacientes_internados_por_SRAG",
     {
         "nome_munic": "string",
         "nome_drs": "string",
-        "idade": "int",
+        "idade": "bigint",
         "raca_cor": "string",
         "cs_sexo": "string",
         "diagnostico_covid19": "string",
@@ -96,7 +98,7 @@ INPATIENTS = DatasetSpec(
 )
 TESTS = DatasetSpec(
     "placar_testes",
-    {"Mês de Data coleta": "string", "Tipo teste": "string", "Qtde": "int"},
+    {"Mês de Data coleta": "string", "Tipo teste": "string", "Qtde": "bigint"},
 )
 
 DAILY = (CASES, BEDS, RANKING, VACCINES)
@@ -113,25 +115,62 @@ def typed(name: str, source: str, target: str) -> Column:
     return named(name).try_cast(target)
 
 
-def apply_types(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Check that the listed columns are there and give them their types."""
+def _changes(df: DataFrame, columns: Mapping[str, str]) -> dict[str, Column]:
+    """The listed columns that do not have their type yet, with the cast of each."""
     require_columns(df, columns)
     types = {field.name.lower(): field.dataType.simpleString() for field in df.schema}
-    changes = {
+    return {
         name: typed(name, types[name.lower()], target)
         for name, target in columns.items()
         if types[name.lower()] != target
     }
-    return df.withColumns(changes) if changes else df
 
 
-def read_batch(
-    spark: SparkSession, layout: LakeLayout, spec: DatasetSpec, batch: Batch
+def apply_types(
+    df: DataFrame, columns: Mapping[str, str], unfit: Observation | None = None
 ) -> DataFrame:
-    """One landed batch with the types of its registry entry."""
+    """Check that the listed columns are there and give them their types.
+
+    ``unfit`` receives, by column, the number of values that did not fit and
+    became NULL, as a by-product of whatever action runs the result.
+    """
+    changes = _changes(df, columns)
+    if not changes:
+        return df
+    if unfit is None:
+        return df.withColumns(changes)
+    # Cast below the observation, so that both use the one result.
+    names = {name: f"__typed_{position}" for position, name in enumerate(changes)}
+    cast = df.withColumns({names[name]: value for name, value in changes.items()})
+    lost = [F.count_if(named(n).isNotNull() & F.col(names[n]).isNull()).alias(n) for n in changes]
+    observed = cast.observe(unfit, *lost)
+    return observed.withColumns({name: F.col(names[name]) for name in changes}).drop(*names.values())
+
+
+def unfit_rows(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """The rows, as they were, in which a listed column holds what its type cannot."""
+    lost = [named(name).isNotNull() & value.isNull() for name, value in _changes(df, columns).items()]
+    return df.filter(reduce(lambda a, b: a | b, lost, F.lit(False)))
+
+
+def read_landed(spark: SparkSession, layout: LakeLayout, batch: Batch) -> DataFrame:
+    """One landed batch as text, malformed records in ``MALFORMED`` if any were landed."""
     path = layout.batch_path(batch)
     if layout.raw_format == "parquet":
-        rows = spark.read.parquet(path)
-    else:
-        rows = read_delimited(spark, path, layout.raw_dialect)
-    return apply_types(rows, spec.columns)
+        return spark.read.parquet(path)
+    return read_delimited(spark, path, layout.raw_dialect)
+
+
+def read_batch(
+    spark: SparkSession,
+    layout: LakeLayout,
+    spec: DatasetSpec,
+    batch: Batch,
+    unfit: Observation | None = None,
+) -> DataFrame:
+    """One landed batch with the types of its registry entry.
+
+    Of a malformed record the fields that were there are kept; its whole text
+    stays in the batch (``read_landed``).
+    """
+    return apply_types(read_landed(spark, layout, batch).drop(MALFORMED), spec.columns, unfit)

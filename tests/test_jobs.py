@@ -8,16 +8,17 @@ from dataclasses import replace
 
 import pytest
 from fixtures import DATE, SOURCES, publish, write
+from pyspark.sql import functions as F
 
 from epilake.layout import Batch, LakeLayout
-from epilake.plans.jobs import LOADS, Written, export, run_all, run_daily, run_monthly
+from epilake.plans.jobs import LOADS, JobError, Written, export, run_all, run_daily, run_monthly
 from epilake.plans.landing import LandingError, land
-from epilake.sinks.files import read_curated, write_batch, write_pointer
+from epilake.sinks.files import read_curated, write_batch, write_curated, write_pointer
 from epilake.sinks.jdbc import JdbcTarget, count_table, read_table
-from epilake.sources.catalog import read_catalog
+from epilake.sources.catalog import CATALOG_SCHEMA, read_catalog
 from epilake.sources.control import latest_batches
 from epilake.sources.dialect import CsvDialect
-from epilake.sources.registry import BEDS, CASES, REGISTRY, read_batch
+from epilake.sources.registry import BEDS, CASES, REGISTRY, VACCINES, DatasetSpec, read_batch, read_landed
 
 RUN_DATE = dt.date(2022, 11, 3)
 DAY_SCHEMA = "nome_munic string, codigo_ibge string, casos_novos string"
@@ -56,7 +57,7 @@ def test_landing_writes_batch_and_pointer(spark, lake):
     batch = latest_batches(spark, lake, [CASES.name])[CASES.name]
     assert batch == Batch(CASES.name, DATE, "run-1")
     rows = read_batch(spark, lake, CASES, batch)
-    assert dict(rows.dtypes)["casos_novos"] == "int"
+    assert dict(rows.dtypes)["casos_novos"] == "bigint"
     assert dict(rows.dtypes)["datahora"] == "string"  # unlisted columns pass as text
     assert rows.count() == 8
 
@@ -279,3 +280,92 @@ def test_reads_raw_files_that_others_landed(spark, tmp_path):
     write(tmp_path / f"raw/{CASES.name}/{DATE}/933dc255/{CASES.name}.csv", SOURCES[0][3])
     assert latest_batches(spark, layout, [CASES.name]) == {CASES.name: batch}
     assert read_batch(spark, layout, CASES, batch).count() == 8
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_failed_rerun_leaves_the_date_as_it_was(spark, tmp_path, fmt):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated", fmt, fmt)
+    rows = spark.range(5).select("id", F.lit("a").alias("v"))
+    write_curated(rows, layout, "saida", DATE)
+    failing = rows.withColumn("v", F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise("b"))
+    with pytest.raises(Exception, match="lost"):
+        write_curated(failing, layout, "saida", DATE)
+    assert {row["v"] for row in read_curated(spark, layout, "saida", DATE).collect()} == {"a"}
+    write_curated(rows.limit(0), layout, "saida", DATE)
+    cleared = read_curated(spark, layout, "saida", DATE)
+    assert cleared.count() == 0 and cleared.dtypes == [("id", "bigint"), ("v", "string")]
+    write_curated(rows, layout, "saida", DATE)
+    assert read_curated(spark, layout, "saida", DATE).count() == 5
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_all_dates_are_lined_up(spark, tmp_path, fmt):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated", fmt, fmt)
+    write_curated(spark.sql("SELECT 1 AS a, 2 AS b, 'x' AS c"), layout, "saida", "20221103")
+    write_curated(spark.sql("SELECT 'k' AS a, 2.5D AS b, 'y' AS c, DATE '2022-11-03' AS d"), layout, "saida", "20221104")
+    write_curated(spark.sql("SELECT 5 AS a, 6 AS b, 'z' AS c"), layout, "saida", "20221105")
+    rows = read_curated(spark, layout, "saida")
+    assert dict(rows.dtypes) == {"a": "string", "b": "double", "c": "string", "d": "date", "process_date": "string"}
+    found = {(r["a"], r["b"], r["c"], r["d"], r["process_date"]) for r in rows.collect()}
+    assert found == {
+        ("1", 2.0, "x", None, "20221103"),
+        ("k", 2.5, "y", RUN_DATE, "20221104"),
+        ("5", 6.0, "z", None, "20221105"),
+    }
+
+
+def test_values_that_do_not_fit_are_counted_and_kept(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    batch = Batch(CASES.name, DATE, "run-1")
+    day = [("Zeta", "1", "0.0"), ("Zeta", "2", "muitos"), ("Alfa", "x", "1.234"), ("Beta", None, None)]
+    write_batch(spark.createDataFrame(day, DAY_SCHEMA), layout, batch)
+    write_pointer(spark, layout, batch)
+    first, *others = run_daily(spark, layout, [CASES])
+    assert first.unfit == {"codigo_ibge": 1, "casos_novos": 2}
+    assert not any(entry.unfit for entry in others)
+    kept = read_curated(spark, layout, f"rejeitados_{CASES.name}", DATE)
+    assert sorted(map(tuple, kept.collect())) == [("Alfa", "x", "1.234"), ("Zeta", "2", "muitos")]
+    assert [tuple(r) for r in read_curated(spark, layout, "sem_casos_novos", DATE).collect()] == [("Zeta", 1)]
+
+
+def test_malformed_records_are_landed_whole_and_counted(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    write(tmp_path / f"site/2022/11/{DATE}_a.csv", "k;v\n1;2;LOST\n3;4\n5\n")
+    entry = (f"{tmp_path}/site/", "a", "d", "csv", "diaria")
+    catalog = spark.createDataFrame([entry, entry], CATALOG_SCHEMA)
+    [batch] = land(spark, layout, catalog, "diaria", RUN_DATE, "run-1")
+    assert batch.malformed == 2
+    rows = {tuple(row) for row in read_landed(spark, layout, batch).collect()}
+    assert rows == {("1", "2", "1;2;LOST"), ("3", "4", None), ("5", None, "5")}
+    assert read_batch(spark, layout, DatasetSpec("d", {"k": "bigint"}), batch).columns == ["k", "v"]
+
+
+def test_a_reused_run_id_does_not_touch_the_visible_batch(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    path = tmp_path / f"site/2022/11/{DATE}_a.csv"
+    write(path, "k\n1\n")
+    catalog = spark.createDataFrame([(f"{tmp_path}/site/", "a", "d", "csv", "diaria")], CATALOG_SCHEMA)
+    land(spark, layout, catalog, "diaria", RUN_DATE, "run-1")
+    write(path, "k\n2\n")
+    with pytest.raises(LandingError, match="is the current one already"):
+        land(spark, layout, catalog, "diaria", RUN_DATE, "run-1")
+    [batch] = latest_batches(spark, layout, ["d"]).values()
+    assert [row["k"] for row in read_landed(spark, layout, batch).collect()] == ["1"]
+
+
+def test_a_dataset_without_control_file_is_named_and_the_rest_runs(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated", "csv", raw_dialect=CsvDialect())
+    for dataset, _, _, text in SOURCES[:3]:
+        if dataset == "ranking_vacinação":
+            lines, extra = text.splitlines(), SOURCES[3][3].splitlines()
+            text = "\n".join(f"{a};{b}" for a, b in zip(lines, [extra[0], extra[1], extra[1]], strict=True)) + "\n"
+        write(tmp_path / f"raw/{dataset}/Control_file_{dataset}.txt", f'"{DATE}"|"u"\n')
+        write(tmp_path / f"raw/{dataset}/{DATE}/u/{dataset}.csv", text)
+    with pytest.raises(JobError, match="failed 1: estatisticas_gerais") as raised:
+        run_daily(spark, layout)
+    assert {entry.output for entry in raised.value.written} == {
+        "clean_casos_obitos", "cidades_codigo", "sem_casos_novos", "last_date_leitos", "aplicacao_doses",
+    }
+    written = run_daily(spark, layout, [VACCINES], sources={VACCINES.name: "ranking_vacinação"})
+    assert [entry.output for entry in written] == ["estaticas_gerais_clean"]
+    assert "VACINA" in read_curated(spark, layout, "estaticas_gerais_clean", DATE).columns

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from epilake.layout import Batch, LakeLayout
 from epilake.session import scratch_path
 from epilake.sinks.files import write_pointer, write_rows
-from epilake.sources import archive
-from epilake.sources.archive import inflate, read_archives, read_zipped_delimited
+from epilake.sources.archive import ArchiveStore, archive_members, inflate, read_zipped_delimited
 from epilake.sources.catalog import CATALOG_SCHEMA_PERIODS, landing_plan, read_catalog
 from epilake.sources.control import ControlFileError, latest_batches, read_control_files
 from epilake.sources.delimited import discover_schema, read_delimited
@@ -130,6 +129,7 @@ def test_control_files_in_one_scan(spark, tmp_path):
         ("dataset", "string"),
         ("process_date", "string"),
         ("uuid", "string"),
+        ("written", "timestamp"),
     ]
 
 
@@ -138,8 +138,8 @@ def test_pointer_moves(spark, tmp_path):
     for uuid in ("z", "a"):  # the later run wins, whatever its id
         write_pointer(spark, layout, Batch("d", DATE, uuid))
     assert latest_batches(spark, layout, ["d"])["d"].uuid == "a"
-    [part] = (tmp_path / "raw/d/Control_file_d.txt").glob("part-*")
-    assert part.read_text() == f'"{DATE}"|"a"\n'
+    parts = (tmp_path / "raw/d/Control_file_d.txt").glob("part-*")
+    assert {part.read_text() for part in parts} == {f'"{DATE}"|"z"\n', f'"{DATE}"|"a"\n'}
 
 
 def test_empty_control_file_names_the_dataset(spark, tmp_path):
@@ -191,8 +191,8 @@ def test_landing_plan(spark, tmp_path, as_list):
 def test_archives_in_a_tree(spark, tmp_path):
     zip_file(tmp_path / "z/one.zip", {"x/": "", "x/a.csv": rows("k;v", "1;a", "", "2;b")})
     zip_file(tmp_path / "z/deep/two.zip", {"b.csv": "\ufeff" + rows("k;v", '3;"c;c"'), "c.csv": "k;v"})
-    archives = read_archives(spark, str(tmp_path / "z"), recursive=True)
-    lines = inflate(archives, CsvDialect(), origin=True)
+    members = archive_members(spark, str(tmp_path / "z"), recursive=True)
+    lines = inflate(members, CsvDialect(), origin=True)
     name = F.substring_index("archive", "/", -1)
     assert set(map(tuple, lines.select(name, "member", "line_no", "line").collect())) == {
         ("one.zip", "a.csv", 0, "k;v"),
@@ -206,6 +206,8 @@ def test_archives_in_a_tree(spark, tmp_path):
     paths = [str(tmp_path / "z/one.zip"), str(tmp_path / "z/deep/two.zip")]
     frame = read_zipped_delimited(spark, paths, CsvDialect())
     assert texts(frame) == [["1", "a"], ["2", "b"], ["3", "c;c"]]
+    tree = read_zipped_delimited(spark, str(tmp_path / "z"), CsvDialect(), recursive=True, spread=3)
+    assert texts(tree) == texts(frame)
 
 
 def test_archive_members_with_another_header_are_rejected(spark, tmp_path):
@@ -237,26 +239,58 @@ def test_long_member_is_streamed_in_batches(spark, tmp_path):
     assert tuple(total) == (count, count * (count - 1) // 2)
 
 
-def test_large_archives_are_read_from_their_path(spark, tmp_path, monkeypatch):
-    paths = [
-        zip_file(tmp_path / "menor ç 50%.zip", {"a.csv": rows("k", "1")}),
-        zip_file(tmp_path / "maior ç 50%.zip", {"a.csv": rows("k", *map(str, range(2, 2000)))}),
-    ]
-    archives = read_archives(spark, paths, held=1000)
-    large = read_archives(spark, paths, held=0)._jdf.queryExecution().executedPlan().toString()
-    assert "LessThanOrEqual(length,0)" in large and "ReadSchema: struct<path:string,length" in large
-    content = {row["path"].rsplit("/", 1)[-1]: row["content"] for row in archives.collect()}
-    assert content["maior ç 50%.zip"] is None and content["menor ç 50%.zip"] is not None
-    lines = inflate(archives, CsvDialect(), "k").filter("line_no > 0")
-    assert sorted(int(row["line"]) for row in lines.collect()) == list(range(1, 2000))
-    monkeypatch.setattr(archive, "HELD_BYTES", 1000)
-    frame = read_zipped_delimited(spark, paths, CsvDialect())
-    assert sorted(int(row["k"]) for row in frame.collect()) == list(range(1, 2000))
-    monkeypatch.setattr(archive, "HELD_BYTES", 10**9)
-    frame = read_zipped_delimited(spark, paths, CsvDialect())
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("FileScan") == 2 and plan.count("content:binary") == 1
-    assert sorted(int(row["k"]) for row in frame.collect()) == list(range(1, 2000))
+def test_members_are_inflated_by_tasks_of_their_own(spark, tmp_path):
+    members = {f"{k}.csv": rows("k", *map(str, range(1000 * k, 1000 * k + 1000))) for k in range(40)}
+    path = zip_file(tmp_path / "um ç 50%.zip", members)
+    lines = inflate(archive_members(spark, path), CsvDialect(), "k").filter("line_no > 0")
+    tasks = lines.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in tasks) == 40_000 and len(tasks) > 15
+    assert sorted(int(row["line"]) for row in lines.collect()) == list(range(40_000))
+
+
+def test_archive_paths_of_known_and_unknown_stores(spark):
+    store = ArchiveStore({"region": "sa-east-1"})
+    assert store.uri("s3a://lake/a b.zip") == "s3://lake/a%20b.zip?region=sa-east-1"
+    assert store.uri("file:///x/a b.zip") == store.uri("/x/a b.zip") == "/x/a b.zip"
+    with pytest.raises(ValueError, match="'wasbs' store"):
+        archive_members(spark, "wasbs://raw@lake/a.zip")
+
+
+DIALECTS = {
+    "records": (CsvDialect(), rows("a;b", "1;2;LOST", "3;4", "5")),
+    "other line ends": (CsvDialect(line_sep="|"), "a;b|1;2|3;4"),
+    "carriage returns": (CsvDialect(), "a;b\r\n1;2\r3;4\r\n"),
+    "quoted line breaks": (CsvDialect(multi_line=True), rows("a;b", '1;"x\ny;\\"z\n\n"', "2;c")),
+    "blank names": (CsvDialect(strict_header=False), rows("a;;", "1;2;3")),
+    "repeated names": (CsvDialect(strict_header=False), rows("a;b;A", "1;2;3")),
+    "other order": (CsvDialect(strict_header=False), rows("b;a", "1;2")),
+}
+
+
+@pytest.mark.parametrize("case", DIALECTS)
+def test_files_and_archives_read_alike(spark, tmp_path, case):
+    dialect, text = DIALECTS[case]
+    plain = read_delimited(spark, write(tmp_path / "a.csv", text), dialect, corrupt_column="_c")
+    zipped = read_zipped_delimited(spark, zip_file(tmp_path / "a.zip", {"a.csv": text}), dialect, "_c")
+    assert zipped.columns == plain.columns
+    assert texts(zipped) == texts(plain)
+
+
+def test_files_and_archives_replace_invalid_bytes(spark, tmp_path):
+    data = b"a;b\n1;caf\xe9 x\n2;\xff\n"
+    (tmp_path / "a.csv").write_bytes(data)
+    plain = read_delimited(spark, str(tmp_path / "a.csv"), CsvDialect())
+    zipped = read_zipped_delimited(spark, zip_file(tmp_path / "a.zip", {"a.csv": data}), CsvDialect())
+    assert texts(zipped) == texts(plain) == [["1", "caf\ufffd x"], ["2", "\ufffd"]]
+
+
+@pytest.mark.parametrize("header", ["a;;", "a;A"])
+def test_strict_headers_fail_alike(spark, tmp_path, header):
+    text = rows(header, "1;2;3")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_delimited(spark, write(tmp_path / "a.csv", text), CsvDialect()).collect()
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        read_zipped_delimited(spark, zip_file(tmp_path / "a.zip", {"a.csv": text}), CsvDialect())
 
 
 def test_scratch_path_follows_the_session(spark):
