@@ -29,6 +29,8 @@ from epilake.session import scratch_path
 #: Distinct pieces kept with their ids by a task before it starts anew.
 CACHE_WORDS = 1_000_000
 SLICE_BYTES = 1 << 20
+#: Ids for each file that the driver sees when it divides them into ranges.
+SAMPLED = 64
 #: A word of Latin letters, with or without a space before it.
 _PLAIN = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
 #: Kinds of bytes: a space, ASCII letters, ASCII punctuation but the apostrophe, other visible ASCII, lead and later bytes.
@@ -44,13 +46,18 @@ _KINDS[0x80:0xC0] = _TAIL
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """``tokenizer``: path of a byte-level BPE file. ``end``: id put after each document."""
+    """``tokenizer``: path of a byte-level BPE file. ``end``: id put after each document.
+
+    With more documents than ``most_files`` files of ``docs_per_file`` hold,
+    files get larger.
+    """
 
     tokenizer: str
     end: int = 2
     length: int = 1024
     batch: int = 512
     docs_per_file: int = 4096
+    most_files: int = 16_384
 
 
 class _Encoder:
@@ -68,7 +75,9 @@ class _Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.slots: dict[int, int] = {}
+        # Hashes of pieces in order, the slot of each, and by slot where its ids begin.
+        self.known = np.zeros(0, np.uint64)
+        self.slots = np.zeros(0, np.int64)
         self.starts = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, self.dtype)
 
@@ -80,8 +89,8 @@ class _Encoder:
             return [t.id for t in self.tokenizer.model.tokenize(name)]
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
-        count = len(self.slots)
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        count = len(self.known)
         new = [self.piece(x) for x in pieces]
         ends = np.cumsum([len(x) for x in new]) + self.starts[count]
         while len(self.starts) <= count + len(new):
@@ -90,7 +99,10 @@ class _Encoder:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.starts[count] : ends[-1]] = [i for x in new for i in x]
         self.starts[count + 1 : count + 1 + len(new)] = ends
-        self.slots.update(zip(hashes, range(count, count + len(new)), strict=True))
+        known = np.concatenate([self.known, hashes])
+        order = np.argsort(known, kind="stable")
+        self.known = known[order]
+        self.slots = np.concatenate([self.slots, count + np.arange(len(new))])[order]
 
     def encode(self, part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, the same as encoding each text whole, and for each text the number of ids before it."""
@@ -105,16 +117,20 @@ class _Encoder:
         new[1:] = ordered[1:] != ordered[:-1]
         kind = np.empty(len(order), np.int64)
         kind[order] = np.cumsum(new) - 1
-        example, names = order[new], ordered[new].tolist()
-        if len(self.slots) + len(names) > CACHE_WORDS:
+        example, names = order[new], ordered[new]
+        if len(self.known) + len(names) > CACHE_WORDS:
             self.forget()
-        known = np.array([self.slots.get(x, -1) for x in names], np.int64)
-        unknown = np.flatnonzero(known < 0)
+        place = np.searchsorted(self.known, names)
+        found = place < len(self.known)
+        found[found] = self.known[place[found]] == names[found]
+        known = np.empty(len(names), np.int64)
+        known[found] = self.slots[place[found]]
+        unknown = np.flatnonzero(~found)
         if len(unknown):
             data, at = part.data.tobytes(), example[unknown]
             pieces = [data[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-            known[unknown] = len(self.slots) + np.arange(len(unknown))
-            self._learn([names[k] for k in unknown], pieces)
+            known[unknown] = len(self.known) + np.arange(len(unknown))
+            self._learn(names[unknown], pieces)
         slot = known[kind]
         low = self.starts[slot]
         sizes = self.starts[slot + 1] - low
@@ -157,21 +173,26 @@ def encoder(path: str) -> _Encoder:
     return _loaded[path]
 
 
-def token_rows(docs: DataFrame, rule: TokenFiles) -> DataFrame:
-    """``doc_id, ids`` with the ids of every text (NULL: empty) and the end id, packed and deflated."""
-    path, end = rule.tokenizer, rule.end
+def token_rows(docs: DataFrame, rule: TokenFiles, bounds: list[int]) -> DataFrame:
+    """``file, doc_id, ids``: the ids of every text (NULL: empty) and the end id, deflated, and the range that holds the document."""
+    path, end, last = rule.tokenizer, rule.end, np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = encoder(path)
         tail = np.array([end], held.dtype).tobytes()
         for batch in batches:
+            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
+            place = np.searchsorted(last, batch.column("doc_id").fill_null(0).to_numpy())
+            place = pa.array(np.where(known, place, 0))
             for part in words.slices(batch.column("text"), SLICE_BYTES):
                 ids, before = held.encode(part)
                 lists = [zlib.compress(ids[a:b].tobytes() + tail, 1) for a, b in zip(before[:-1], before[1:], strict=True)]
-                names = batch.column("doc_id").slice(part.first, part.last - part.first)
-                yield pa.RecordBatch.from_arrays([names, pa.array(lists, pa.binary())], names=["doc_id", "ids"])
+                rows = part.last - part.first
+                own = [place.slice(part.first, rows), batch.column("doc_id").slice(part.first, rows), pa.array(lists, pa.binary())]
+                yield pa.RecordBatch.from_arrays(own, names=["file", "doc_id", "ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "file long, doc_id long, ids binary")
 
 
 def shared_file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -241,18 +262,11 @@ class _Writer:
 def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFrame:
     """Write all of ``docs(doc_id, text)`` to new files in ``folder``; returns ``file, documents, tokens``.
 
-    Ranges of ids come from quantiles, so a file holds about
-    ``docs_per_file`` documents; a NULL id comes before all others. A task that
-    is run again writes the same file once more under the same name.
+    A file holds about ``docs_per_file`` documents of one range of ids; a NULL id
+    comes before all others. A task that is run again writes the same file once
+    more under the same name.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    files = max(1, -(-ids.count() // rule.docs_per_file))
-    bounds: list[int] = []
-    if files > 1:
-        points = [k / files for k in range(1, files)]
-        found = ids.agg(F.percentile_approx("doc_id", points, 100 * files)).first()[0]
-        bounds = sorted(set(found or []))
-    place = _range_index(bounds)
+    bounds = _bounds(docs.select(F.col("doc_id").cast("long").alias("doc_id")), rule)
     path = rule.tokenizer
     system, base = shared_file_system(folder)
     system.create_dir(base, recursive=True)
@@ -275,24 +289,24 @@ def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFra
         writer.close()
         return pa.RecordBatch.from_pydict({"file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
 
-    rows = token_rows(docs, rule).withColumn("file", place)
+    rows = token_rows(docs, rule, bounds)
     rows = rows.repartition(max(1, len(bounds) + 1), "file").sortWithinPartitions("file", "doc_id", "ids")
-    written = rows.select("file", "doc_id", "ids").mapInArrow(run, "file long, documents long, tokens long")
+    written = rows.mapInArrow(run, "file long, documents long, tokens long")
     return stored(written, "token-manifest")
 
 
-def _range_index(bounds: list[int]):
-    """The number of bounds below an id, by halving: a nest of conditions as deep as the logarithm of their number."""
-    if not bounds:
-        return F.lit(0).cast("long")
-
-    def nest(low: int, high: int):
-        if low == high:
-            return F.lit(low).cast("long")
-        middle = (low + high) // 2
-        return F.when(F.col("doc_id") > bounds[middle], nest(middle + 1, high)).otherwise(nest(low, middle))
-
-    return F.coalesce(F.when(F.col("doc_id").isNotNull(), nest(0, len(bounds))), F.lit(0).cast("long"))
+def _bounds(ids: DataFrame, rule: TokenFiles) -> list[int]:
+    """Last ids of all files but the last, from a sample by hash of about ``SAMPLED`` ids for each file."""
+    count = ids.count()
+    files = min(rule.most_files, -(-count // rule.docs_per_file))
+    if files < 2:
+        return []
+    most = -(2.0**63) + 2.0**64 * SAMPLED * files / count
+    sample = ids.where("doc_id IS NOT NULL").where(F.xxhash64("doc_id").cast("double") <= most).distinct()
+    found = np.sort(sample.toArrow().column("doc_id").to_numpy())
+    if not len(found):
+        return []
+    return np.unique(found[[len(found) * k // files for k in range(1, files)]]).tolist()
 
 
 def read_sequences(content: pa.Buffer | str) -> pa.RecordBatchFileReader:
