@@ -30,6 +30,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
+        pa.default_memory_pool().release_unused()  # workers outlive their tasks
 
     return df.mapInArrow(run, schema)
 
