@@ -14,9 +14,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     Alternates two steps (large star, small star) that hang a node's neighbours
     on the smallest of them, until nothing changes: a number of rounds that
     grows with the logarithm of the longest path. Each round is written to the
-    shared folder. A node with very many neighbours is never gathered: the
-    least neighbour comes from an aggregate, and the join that follows may be
-    split by its key. No links give no rows.
+    shared folder. A node with very many neighbours is never gathered: its least
+    neighbour comes from an aggregate, and the join that follows can be split.
+    No links give no rows.
     """
     edges = stored(_ordered(links), "links")
     last = None
@@ -41,7 +41,8 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Hang the larger neighbours of every node on the least of its neighbourhood."""
     both = edges.select(F.col("high").alias("n"), F.col("low").alias("m"))
     both = both.union(edges.select(F.col("low").alias("n"), F.col("high").alias("m")))
-    least = both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least"))
+    # A table of its own, so that the join can split a node with very many neighbours.
+    least = stored(both.groupBy("n").agg(F.least(F.min("m"), F.col("n")).alias("least")), "least")
     return _ordered(both.join(least, "n").where("m > n").select(F.col("m").alias("a"), F.col("least").alias("b")))
 
 

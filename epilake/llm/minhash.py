@@ -25,7 +25,7 @@ from epilake.llm.tables import map_batches, stored
 #: Low bits of each minimum that the packed signature keeps.
 BITS = 4
 #: Documents compared at once inside a task.
-BLOCK = 384
+BLOCK = 192
 
 
 @dataclass(frozen=True)
@@ -194,7 +194,8 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     """``pivot, rep``: every bucket of a band, under the smallest document in it, the pivot itself included."""
     keyed = reps.select("rep", F.explode("bands").alias("band"))
     buckets = keyed.groupBy("band").agg(F.min("rep").alias("pivot"), F.max("rep").alias("most"))
-    members = keyed.join(buckets.where("pivot < most").select("band", "pivot"), "band")
+    shared = stored(buckets.where("pivot < most").select("band", "pivot"), "buckets")
+    members = keyed.join(shared, "band")  # tables on both sides, so that a large bucket can be split
     return members.select("pivot", "rep").distinct()
 
 
