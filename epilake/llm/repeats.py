@@ -200,8 +200,11 @@ def _exploded(rows: DataFrame) -> DataFrame:
 def _forms(cells: DataFrame, label: str) -> DataFrame:
     """Per form (of a key that occurs more than once): how often it occurs, the forms of its key, and one occurrence."""
     found = cells.groupBy("keys", "forms").agg(F.count("*").alias("n"), F.min("row_id").alias("row_id"))
-    of_key = found.groupBy("keys").agg(F.count("*").alias("kinds"))
-    return stored(found.join(of_key, "keys").where("n > 1 OR kinds > 1"), label)
+    found = stored(found, label)
+    several = stored(found.groupBy("keys").agg(F.count("*").alias("kinds")).where("kinds > 1"), label)
+    # Tables on both sides, so that the join can split a key with very many forms.
+    joined = found.join(several, "keys", "left")
+    return joined.withColumn("kinds", F.coalesce("kinds", F.lit(1))).where("n > 1 OR kinds > 1")
 
 
 def _settled(cells: DataFrame, forms: DataFrame) -> DataFrame:
