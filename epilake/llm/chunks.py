@@ -29,7 +29,7 @@ class Chunking:
 
     least: int = 16
     most: int = 256
-    bits: int = 5
+    bits: int = 4
     run: int = 96
 
 
