@@ -53,9 +53,10 @@ def _chance(total: np.ndarray) -> np.ndarray:
 
 
 def _edges(values: np.ndarray, bins: int) -> np.ndarray:
-    """Cuts at quantiles of the rows and, for long tails, of the distinct values."""
+    """Cuts at quantiles of the rows and, for long tails, of the distinct values; the least value has a bin of its own."""
     part = np.linspace(0, 1, bins // 2 + 1)[1:-1]
-    return np.unique(np.concatenate([np.quantile(values, part), np.quantile(np.unique(values), part)]))
+    distinct = np.unique(values)
+    return np.unique(np.concatenate([np.quantile(values, part), np.quantile(distinct, part), distinct[1:2]]))
 
 
 def _worth(g: np.ndarray, h: np.ndarray) -> np.ndarray:
