@@ -60,6 +60,11 @@ def targets(sizes: DataFrame, rule: Mixture) -> DataFrame:
     return rows.select("source", "source_size", F.least("limit", F.col("level") * F.col("weight")).alias("target"))
 
 
+def _spread(text: Column) -> Column:
+    """A number below 2**32 from a text, the same in any SQL that has MD5."""
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+
+
 def mix(docs: DataFrame, rule: Mixture | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``docs(doc_id, text, source)``.
 
@@ -71,7 +76,7 @@ def mix(docs: DataFrame, rule: Mixture | None = None, keep: tuple[str, ...] = ()
     sizes = stored(docs.select("doc_id", "source", word_count().alias("size"), *keep), "sizes")
     plan = stored(targets(sizes, rule), "targets")
     slices = max(1, -(-sizes.count() // rule.slice_rows))
-    rows = sizes.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(slices)))
+    rows = sizes.withColumn("slice", F.coalesce(_spread(F.col("doc_id").cast("string")) % slices, F.lit(0)).cast("long"))
     # Rows before each size in its source, and before each slice in its size: both from counts.
     by_slice = rows.groupBy("source", "size", "slice").agg(F.count("*").alias("n"))
     by_size = by_slice.groupBy("source", "size").agg(F.sum("n").alias("n"))
@@ -85,7 +90,7 @@ def mix(docs: DataFrame, rule: Mixture | None = None, keep: tuple[str, ...] = ()
         rows = _join_null_safe(rows, extra, keys)
     rank = F.col("lower") + F.col("earlier") + F.col("inside")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    offset = F.pmod(F.xxhash64(F.lit(rule.seed), F.coalesce("source", F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
+    offset = _spread(F.concat(F.lit(f"{rule.seed} "), F.coalesce("source", F.lit("")))) / float(1 << 32)
     crossed = F.floor((rank + 1) * each + offset) - F.floor(rank * each + offset)
     rows = rows.withColumn("copies", crossed.cast("long"))
     return rows.select(

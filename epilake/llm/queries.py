@@ -23,9 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
-#: Words between white space, as the contracts of several queries have them.
-SPACE_WORD = "[^\\x20\\x09-\\x0D]+"
-
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -161,3 +158,58 @@ least_id AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
 SELECT doc.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc.doc_id AS kept
 FROM doc JOIN least_id ON doc.doc_id = x LEFT JOIN size ON size.doc_id = doc.doc_id
 """
+
+ORACLES["op3_mixing"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+total AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight,
+    2.0::DOUBLE * source_size AS most, sum(source_size) OVER ()::BIGINT * 150 / 100 AS whole
+  FROM total),
+level AS (
+  SELECT *, (whole - coalesce(sum(most) OVER (ORDER BY most / weight, source NULLS LAST
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS share
+  FROM weighed),
+target AS (
+  SELECT source, source_size, least(most, max(share) OVER () * weight) AS target,
+    ('0x' || substr(md5('7 ' || coalesce(source, '')), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS start
+  FROM level),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY size,
+      ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, ceil(count(*) / 4096)) FROM documents), doc_id) - 1 AS place
+  FROM sized),
+picked AS (
+  SELECT doc_id, placed.source, size, source_size, target,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS each, place, start
+  FROM placed JOIN target ON placed.source IS NOT DISTINCT FROM target.source),
+counted AS (
+  SELECT *, (floor((place + 1) * each + start) - floor(place * each + start))::BIGINT AS copies FROM picked)
+SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM counted
+"""
+
+ORACLES["op10_repeated_strings"] = r"""
+WITH doc AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+place AS (
+  SELECT doc_id, p, md5_number(substr(h, 2 * p + 1, 800)) AS m
+  FROM doc, unnest(generate_series(0, n - 400)) AS t(p) WHERE n >= 400),
+again AS (SELECT m FROM place GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT doc_id, p FROM place WHERE m IN (SELECT m FROM again)),
+edge AS (
+  SELECT doc_id, p, CASE WHEN p <= lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400 THEN 0 ELSE 1 END AS new FROM hit),
+run AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS k FROM edge),
+span AS (SELECT doc_id, min(p) AS a, max(p) + 400 AS b FROM run GROUP BY doc_id, k),
+part AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low, a AS high FROM span
+  UNION ALL SELECT span.doc_id, max(b), any_value(n) FROM span JOIN doc ON doc.doc_id = span.doc_id GROUP BY span.doc_id),
+left_over AS (
+  SELECT part.doc_id, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS h
+  FROM part JOIN doc ON doc.doc_id = part.doc_id GROUP BY part.doc_id),
+gone AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans FROM span GROUP BY doc_id)
+SELECT doc.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(left_over.h, doc.h))) AS kept_sha256
+FROM doc LEFT JOIN gone ON gone.doc_id = doc.doc_id LEFT JOIN left_over ON left_over.doc_id = doc.doc_id
+"""
