@@ -33,7 +33,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
 
     Every call returns a new path, so reruns never read or remove older data.
-    Only a local session may fall back to a temporary folder of the machine.
+    Nothing here removes one either: a result may still be read from it. Whoever
+    owns the folder clears it between runs. Only a local session may fall back
+    to a temporary folder of the machine.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:

@@ -7,13 +7,13 @@ job unchanged, as text; only listed columns are checked and typed.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from epilake.functions.columns import named, parse_flag, parse_int
+from epilake.functions.columns import named, parse_date, parse_flag, parse_int
 from epilake.layout import Batch, LakeLayout
 from epilake.operators.rename import require_columns
 from epilake.sources.delimited import MALFORMED, read_delimited
@@ -153,6 +153,43 @@ def unfit_rows(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return df.filter(reduce(lambda a, b: a | b, lost, F.lit(False)))
 
 
+def _fits(text: Column) -> dict[str, Column]:
+    """Whether a text can be a value of each type, in the order in which types are tried."""
+    number = text.rlike(r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$")
+    time = text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:")
+    return {
+        "bigint": text.rlike("^[+-]?[0-9]+$") & parse_int(text).isNotNull(),
+        "double": number,
+        "boolean": F.lower(text).isin("true", "false"),
+        "date": parse_date(text, "yyyy-MM-dd").isNotNull(),
+        "timestamp": time & text.try_cast("timestamp").isNotNull(),
+    }
+
+
+def inferred(df: DataFrame, spec: DatasetSpec) -> DatasetSpec:
+    """The entry, with types for the text columns it does not list, if all their values suggest one.
+
+    One pass over the rows, without gathering any. A column without values stays text.
+    """
+    listed = {name.lower() for name in spec.columns}
+    open_ = [n for n, t in df.dtypes if t == "string" and n.lower() not in listed and n != MALFORMED]
+    checks = []
+    for position, name in enumerate(open_):
+        checks.append(F.count(named(name)).alias(f"n{position}"))
+        for kind, fits in _fits(named(name)).items():
+            ok = named(name).isNull() | F.coalesce(fits, F.lit(False))
+            checks.append(F.bool_and(ok).alias(f"{kind}{position}"))
+    if not checks:
+        return spec
+    row = df.agg(*checks).head()
+    found = {}
+    for position, name in enumerate(open_):
+        kinds = [kind for kind in _fits(named(name)) if row[f"{kind}{position}"]]
+        if row[f"n{position}"] and kinds:
+            found[name] = kinds[0]
+    return replace(spec, columns={**spec.columns, **found})
+
+
 def read_landed(spark: SparkSession, layout: LakeLayout, batch: Batch) -> DataFrame:
     """One landed batch as text, malformed records in ``MALFORMED`` if any were landed."""
     path = layout.batch_path(batch)

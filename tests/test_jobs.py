@@ -369,3 +369,33 @@ def test_a_dataset_without_control_file_is_named_and_the_rest_runs(spark, tmp_pa
     written = run_daily(spark, layout, [VACCINES], sources={VACCINES.name: "ranking_vacinação"})
     assert [entry.output for entry in written] == ["estaticas_gerais_clean"]
     assert "VACINA" in read_curated(spark, layout, "estaticas_gerais_clean", DATE).columns
+
+
+def test_columns_outside_the_registry_can_be_inferred(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    batch = Batch(CASES.name, DATE, "run-1")
+    schema = DAY_SCHEMA + ", pop string, taxa string, dia string, hora string, grave string, nota string, vazia string"
+    day = [
+        ("Zeta", "1", "0", "7", "1.5", "2022-11-03", "2022-11-03T10:00:00", "true", "x1", None),
+        ("Alfa", "2", "3", "3000000000", "2", None, "2022-11-03 11:00:00", "FALSE", "5", None),
+    ]
+    write_batch(spark.createDataFrame(day, schema), layout, batch)
+    write_pointer(spark, layout, batch)
+    run_daily(spark, layout, [CASES], infer=True)
+    types = dict(read_curated(spark, layout, "clean_casos_obitos", DATE).dtypes)
+    assert [types[n] for n in ("pop", "taxa", "dia", "hora", "grave", "nota", "vazia")] == [
+        "bigint", "double", "date", "timestamp", "boolean", "string", "string",
+    ]
+
+
+def test_export_names_the_tables_it_could_not_fill(spark, tmp_path):
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    batch = Batch(CASES.name, DATE, "run-1")
+    write_batch(spark.createDataFrame([("Zeta", "1", "0")], DAY_SCHEMA), layout, batch)
+    write_pointer(spark, layout, batch)
+    run_daily(spark, layout, [CASES])
+    target = memory_database()
+    with pytest.raises(JobError, match="failed 9") as raised:
+        export(spark, layout, target)
+    assert raised.value.written == ["tb_cidades_codigo", "tb_clean_casos_obitos", "tb_sem_casos_novos"]
+    assert count_table(spark, target, "tb_sem_casos_novos") == 1
