@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epilake.llm import words
+from epilake.llm.tables import anonymous
 
 #: Bytes of benchmark text whose tables a task holds at once; larger sets are searched in turns.
 BLOCK_BYTES = 4 << 20
@@ -200,4 +201,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` in which no benchmark passage occurs, with all their columns."""
-    return find_passages(docs, benchmark, window).where(F.size("wm_spans") == 0).select(*docs.columns)
+    plain = anonymous(docs, "text")
+    rows = find_passages(plain, benchmark, window).where(F.size("wm_spans") == 0)
+    return rows.select(*plain.columns).toDF(*docs.columns)

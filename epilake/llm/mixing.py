@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epilake.llm.tables import stored
+from epilake.llm.tables import anonymous, stored
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -112,14 +112,15 @@ def mixed_documents(docs: DataFrame, rule: Mixture | None = None) -> DataFrame:
     themselves, so every row is taken by its own count. Texts are shuffled once,
     by id, and not sorted unless ids repeat.
     """
-    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    plain = anonymous(docs, "doc_id", "text", "source")
+    ids = plain.groupBy("doc_id").agg(F.count("*").alias("n"))
     if ids.where("n > 1").isEmpty():
-        placed = docs.withColumn("mix_place", F.lit(1))
+        placed = plain.withColumn("place", F.lit(1))
     else:
         place = Window.partitionBy("doc_id").orderBy("source", F.xxhash64("text"))
-        placed = docs.withColumn("mix_place", F.row_number().over(place))
-    picks = mix(placed, rule, keep=("mix_place",)).where("copies > 0")
-    picks = picks.select(F.col("doc_id").alias("mix_id"), F.col("mix_place").alias("mix_at"), "copies").hint("shuffle_hash")
-    rows = placed.join(picks, F.col("doc_id").eqNullSafe(F.col("mix_id")) & (F.col("mix_place") == F.col("mix_at")))
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("mix_copy")
-    return rows.select(*docs.columns, copies).drop("mix_copy")
+        placed = plain.withColumn("place", F.row_number().over(place))
+    picks = mix(placed, rule, keep=("place",)).where("copies > 0")
+    picks = picks.select(F.col("doc_id").alias("own_id"), F.col("place").alias("own_place"), "copies").hint("shuffle_hash")
+    rows = placed.join(picks, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("place") == F.col("own_place")))
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")
+    return rows.select(*plain.columns, copies).drop("copy").toDF(*docs.columns)

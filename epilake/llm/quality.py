@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from epilake.llm import words
 from epilake.llm.gam import Additive, Boosting, fit
-from epilake.llm.tables import crc_class, map_batches, stored
+from epilake.llm.tables import anonymous, crc_class, map_batches, stored
 
 #: Labelled rows that a model is fitted on: those with the least hash of their id.
 LABELLED_ROWS = 40_000
@@ -158,12 +158,12 @@ def accepted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = with_features(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id")
     model = train(stored(rows, "features"), labels)
-    plain = docs.columns
-    schema = docs.withColumn("gam_score", F.lit(0.0)).schema
+    plain = anonymous(docs, "text")
+    schema = plain.withColumn("score", F.lit(0.0)).schema
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = np.concatenate([text_features(part) for part in words.slices(batch.column("text"))])
         scores = pa.array(model.predict(rows.astype(np.float64)))
-        return pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*plain, "gam_score"])
+        return pa.RecordBatch.from_arrays([*batch.columns, scores], names=schema.names)
 
-    return map_batches(docs, run, schema).where(F.col("gam_score") >= ACCEPT).select(*plain)
+    return map_batches(plain, run, schema).where(F.col("score") >= ACCEPT).drop("score").toDF(*docs.columns)

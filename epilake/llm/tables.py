@@ -35,6 +35,11 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def anonymous(docs: DataFrame, *kept: str) -> DataFrame:
+    """``docs`` with its columns named by place, but for those of ``kept``: no name can clash with one that is added."""
+    return docs.toDF(*[c if c in kept else f"c{place}" for place, c in enumerate(docs.columns)])
+
+
 def crc_class(column: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -94,3 +94,14 @@ def test_odd_rows_pass_through_all_stages(spark, tmp_path):
         for name in ("labels", "benchmark"):
             spark.read.parquet(f"{SF}/{name}.parquet").where("false").write.parquet(str(folder / f"{name}.parquet"))
         assert corpus_pipeline.run(spark, str(folder)).count() >= 0
+
+
+def test_columns_with_clashing_names_pass_through(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ("score", "features", "wm_spans", "place", "own_id", "copies", "rep", "component", "size", "c0", "kept")
+    for name in names:
+        docs = docs.withColumn(name, docs.doc_id)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF), "clash")
+    assert docs.columns[-len(names) :] == list(names)
+    assert docs.where(" OR ".join(f"{name} != doc_id" for name in names)).isEmpty() and not docs.isEmpty()
