@@ -290,7 +290,7 @@ def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFra
         return pa.RecordBatch.from_pydict({"file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
 
     rows = token_rows(docs, rule, bounds)
-    rows = rows.repartition(max(1, len(bounds) + 1), "file").sortWithinPartitions("file", "doc_id", "ids")
+    rows = rows.repartitionById(len(bounds) + 1, F.col("file").cast("int")).sortWithinPartitions("file", "doc_id", "ids")
     written = rows.mapInArrow(run, "file long, documents long, tokens long")
     return stored(written, "token-manifest")
 
