@@ -126,6 +126,11 @@ def _changes(df: DataFrame, columns: Mapping[str, str]) -> dict[str, Column]:
     }
 
 
+def has_casts(df: DataFrame, columns: Mapping[str, str]) -> bool:
+    """Whether ``apply_types`` has anything to cast."""
+    return bool(_changes(df, columns))
+
+
 def apply_types(
     df: DataFrame, columns: Mapping[str, str], unfit: Observation | None = None
 ) -> DataFrame:
