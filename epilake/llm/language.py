@@ -151,7 +151,8 @@ def learn(docs: DataFrame, rule: Training) -> Languages:
     # Hashes are even, so twice the share that is wanted leaves enough, and no language is gathered whole.
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     sizes = sizes.select("lang", (F.lit(-(2.0**63)) + 2.0**65 * rule.per_language / F.col("n")).alias("most"))
-    low = rows.select("doc_id", "lang").join(sizes, "lang").where(F.xxhash64("doc_id").cast("double") <= F.col("most"))
+    # One row for each language, far less than the model, which the driver holds and sends out.
+    low = rows.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(F.xxhash64("doc_id").cast("double") <= F.col("most"))
     chosen = low.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
     chosen = chosen.where(F.col("place") <= rule.per_language).select("doc_id", "lang").distinct()
     sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
