@@ -707,9 +707,9 @@ def jdbc_overwrite_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "SELECT 'F' || l_suppkey AS nome_munic, l_suppkey AS codigo_ibge, (l_linenumber - 1)::BIGINT AS casos_novos,"
-    " 'limpo' AS tabela FROM lineitem"
-    " UNION ALL SELECT DISTINCT 'F' || l_suppkey, l_suppkey, NULL, 'codigos' FROM lineitem"
+    "SELECT DISTINCT 'F' || l_suppkey AS nome_munic, l_suppkey AS codigo_ibge, NULL::BIGINT AS dias_sem_casos_novos"
+    " FROM lineitem UNION ALL SELECT 'F' || l_suppkey, NULL, COUNT(*) FROM lineitem"
+    " WHERE l_linenumber = 1 GROUP BY l_suppkey"
 )
 def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two outputs of the case files, exported twice to the tables that hold them, and read back."""
@@ -720,9 +720,7 @@ def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _land(spark, "export_tables", CASES, cases)
     run_daily(spark, layout, [CASES])
     target = _database(spark, f"export_{uuid.uuid4().hex}")
-    loads = [load for load in LOADS if load.output in ("clean_casos_obitos", "cidades_codigo")]
+    loads = [load for load in LOADS if load.output in ("sem_casos_novos", "cidades_codigo")]
     for _ in range(2):
-        codes, clean = sorted(export(spark, layout, target, loads=loads))
-    left = read_table(spark, target, clean).withColumn("tabela", F.lit("limpo"))
-    right = read_table(spark, target, codes).withColumn("tabela", F.lit("codigos"))
-    return left.unionByName(right, allowMissingColumns=True)
+        codes, days = sorted(export(spark, layout, target, loads=loads))
+    return read_table(spark, target, codes).unionByName(read_table(spark, target, days), allowMissingColumns=True)
