@@ -1,15 +1,16 @@
 """Main text of web pages by line-block distribution.
 
-Markup is stripped to one line per block; what menus, headers, footers and the
-like hold becomes empty lines. Text lengths are summed over a sliding window of
-lines. A surge of that sum begins the text, a dive to nothing ends it, and all
-lines between are kept, short ones too.
+Markup is stripped to one line per block with text; what menus, headers, footers
+and the like hold is left out. Text lengths are summed over a sliding window of
+lines. A dive of that sum to nothing parts the lines into regions, and a region
+with a surge is kept whole, short lines too.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -43,6 +44,7 @@ _BLOCKS = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HOLDERS = frozenset("article main".split())
+_CONTAINERS = frozenset("article body dialog div main section".split())
 _NEVER = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments complementary consent"
     " contentinfo cookie cookies discussion disqus footer gdpr login menu menubar modal nav navbar navigation newsletter notice"
@@ -58,6 +60,7 @@ class _Line:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     held: bool = False
+    container: int = 0
 
 
 def _boilerplate(tag: str, attributes: str, inside: int) -> bool:
@@ -72,10 +75,12 @@ def _boilerplate(tag: str, attributes: str, inside: int) -> bool:
     return bool(names & _NEVER) or bool(names & _UNLESS_CONTENT and not names & _CONTENT)
 
 
-def page_lines(page: str) -> list[tuple[str, int, bool]]:
-    """Text, length outside links, and whether an article holds it, of every line; lines of dropped elements are empty."""
+def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
+    """Text, length outside links, whether an article holds it, and the number of its container, of every line with text."""
     lines: list[_Line] = [_Line()]
     skip, depth, soft, links, inside, at = "", 0, False, 0, 0, 0
+    opened, stack = 0, [("", 0)]
+    open_tags: Counter[str] = Counter()
 
     def text(piece: str) -> None:
         if skip or not piece:
@@ -103,50 +108,84 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 continue
             else:
                 continue
+        dropped = not closing and tag not in _VOID and tag not in _HOLDERS and _boilerplate(tag, attributes, inside)
+        if tag in _CONTAINERS and not dropped:
+            if not closing:
+                opened += 1
+                stack.append((tag, opened))
+                open_tags[tag] += 1
+            while closing and open_tags[tag]:
+                last = stack.pop()[0]
+                open_tags[last] -= 1
+                if last == tag:
+                    break
         if tag in _BLOCKS:
             links = 0
-            lines.append(_Line())
+            lines.append(_Line(container=stack[-1][1]))
         elif tag == "br":
             text(" ")
         elif tag == "a":
             links = 0 if closing else 1
         if tag in _HOLDERS:
             inside = max(0, inside - 1) if closing else inside + 1
-        elif not closing and tag not in _VOID and _boilerplate(tag, attributes, inside):
+        elif dropped:
             skip, depth, soft = tag, 1, tag in ("p", "li", "span", "a", "b", "i", "em", "strong")
-            lines += [_Line() for _ in range(WINDOW + 1)]
+            lines.append(_Line(container=stack[-1][1]))
     text(page[at:])
     out = []
     for line in lines:
         whole = " ".join("".join(line.parts).split())
-        out.append((whole, max(0, len(whole) - 2 * line.linked), line.held))
+        if whole:
+            out.append((whole, max(0, len(whole) - 2 * line.linked), line.held, line.container))
     return out
 
 
+def _regions(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """First and last line of each region: no ``WINDOW`` lines in a row are empty in it, nor is its first or last."""
+    first = last = None
+    for k, size in enumerate(sizes):
+        if size:
+            if first is not None and k - last > WINDOW:
+                yield first, last
+                first = None
+            first, last = k if first is None else first, k
+    if first is not None:
+        yield first, last
+
+
+def _kept(sizes: list[int], containers: list[int], most: int) -> Iterator[int]:
+    """The lines of regions with a window of ``most``, and of other regions and gaps that lie in the same containers."""
+    sums = [sum(sizes[k : k + WINDOW]) for k in range(len(sizes))]
+    regions = list(_regions(sizes))
+    surges = [max(sums[a : b + 1]) >= most for a, b in regions]
+    held = {c for (a, b), surge in zip(regions, surges, strict=True) if surge for c in containers[a : b + 1]}
+    taken = [surge or not held.isdisjoint(containers[a : b + 1]) for (a, b), surge in zip(regions, surges, strict=True)]
+    regions = [r for r, take in zip(regions, taken, strict=True) if take]
+    after = -1
+    for a, b in regions:
+        yield from (k for k in range(after + 1, a) if after >= 0 and containers[k] in held)
+        yield from range(a, b + 1)
+        after = b
+
+
 def main_text(page: str | None) -> str:
     """The lines of a page between surges and dives, joined by empty lines.
 
     A window surges at ``SURGE`` characters outside links, or at half of the
-    page's greatest window where that is less, and dives when it holds none. If
-    an article or main element holds text, a line in it is a surge by itself,
-    however short, and lines outside are empty.
+    page's greatest window where that is less, and dives when it holds none. A
+    region without a surge, and lines of links between two kept regions, stay
+    if they lie in the container of kept lines. If an article or main element
+    holds text, its lines are kept, however short, and lines outside are not.
     """
     if not page:
         return ""
     lines = page_lines(page)
-    if any(held and whole for whole, _, held in lines):
-        lines = [(whole, SURGE if whole else 0, True) if held else ("", 0, False) for whole, _, held in lines]
-    sums = [sum(n for _, n, _ in lines[k : k + WINDOW]) for k in range(len(lines))]
-    surge = max(1, min(SURGE, max(sums) / 2))
-    kept, k = [], 0
-    while k < len(lines):
-        if sums[k] < surge or not lines[k][1]:
-            k += 1
-            continue
-        while k < len(lines) and sums[k]:
-            kept.append(lines[k][0])
-            k += 1
-    return "\n\n".join(x for x in kept if x)
+    if any(held for _, _, held, _ in lines):
+        return "\n\n".join(whole for whole, _, held, _ in lines if held)
+    sizes = [n for _, n, _, _ in lines]
+    greatest = max((sum(sizes[k : k + WINDOW]) for k in range(len(sizes))), default=0)
+    kept = _kept(sizes, [c for *_, c in lines], max(1, min(SURGE, greatest / 2)))
+    return "\n\n".join(lines[k][0] for k in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -38,6 +38,30 @@ def test_pages(page, text):
     assert main_text(page) == text
 
 
+LINKS = "<ul>" + "<li><a href=/>a link</a>" * 5 + "</ul>"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div><p>{LONG}</p><div class=ad><p>Buy</p></div><p>Short end.</p></div>", f"{LONG}\n\nShort end."),
+        (f"<div><p>{LONG}</p></div></div><div><div><p>One.</p></div></div><div><div><p>Two.</p></div></div>", f"{LONG}\n\nOne.\n\nTwo."),
+        (f"<p>{LONG}</p><table><tr><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr></table>", f"{LONG}\n\na\n\nb\n\nc\n\nd"),
+        (f"<div><h1>T</h1></div><div><p>By N.</p></div><div><p>May.</p></div><p>{LONG}</p>", f"T\n\nBy N.\n\nMay.\n\n{LONG}"),
+        (f"<div><p>{LONG}</p>{LINKS}<p>End.</p></div>{LINKS}<div>Imprint</div>", "\n\n".join([LONG, *["a link"] * 5, "End."])),
+    ],
+)
+def test_blocks_between_surges_without_an_article(page, text):
+    assert main_text(page) == text
+
+
+def test_every_page_of_a_table_without_articles(spark):
+    pages = spark.read.parquet(str(Path("/root/testdata/sf0.01/pages.parquet")))
+    plain = pages.withColumn("html", F.expr("replace(replace(html, '<article>', '<div>'), '</article>', '</div>')"))
+    texts = [{r.page_id: r.text for r in extract(rows).collect()} for rows in (pages, plain)]
+    assert texts[0] == texts[1]
+
+
 def test_long_and_broken_pages_take_linear_time():
     assert main_text("<p " + "a='" * 50_000) == ""
     assert main_text("<" * 100_000).startswith("<")
