@@ -13,6 +13,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -153,38 +154,36 @@ def _regions(sizes: list[int]) -> Iterator[tuple[int, int]]:
         yield first, last
 
 
-def _kept(sizes: list[int], containers: list[int], most: int) -> Iterator[int]:
-    """The lines of regions with a window of ``most``, and of other regions and gaps that lie in the same containers."""
-    sums = [sum(sizes[k : k + WINDOW]) for k in range(len(sizes))]
-    regions = list(_regions(sizes))
-    surges = [max(sums[a : b + 1]) >= most for a, b in regions]
-    held = {c for (a, b), surge in zip(regions, surges, strict=True) if surge for c in containers[a : b + 1]}
-    taken = [surge or not held.isdisjoint(containers[a : b + 1]) for (a, b), surge in zip(regions, surges, strict=True)]
-    regions = [r for r, take in zip(regions, taken, strict=True) if take]
-    after = -1
-    for a, b in regions:
-        yield from (k for k in range(after + 1, a) if after >= 0 and containers[k] in held)
-        yield from range(a, b + 1)
-        after = b
-
-
 def main_text(page: str | None) -> str:
     """The lines of a page between surges and dives, joined by empty lines.
 
     A window surges at ``SURGE`` characters outside links, or at half of the
     page's greatest window where that is less, and dives when it holds none. A
     region without a surge, and lines of links between two kept regions, stay
-    if they lie in the container of kept lines. If an article or main element
-    holds text, its lines are kept, however short, and lines outside are not.
+    if they lie in the container of kept lines.
+
+    An article or main element is a weight: text in links counts in it, so that
+    nothing in it is a dive, and half of its own greatest window is a surge. If
+    a page has one with text, a surge outside takes twice ``SURGE``.
     """
     if not page:
         return ""
     lines = page_lines(page)
-    if any(held for _, _, held, _ in lines):
-        return "\n\n".join(whole for whole, _, held, _ in lines if held)
-    sizes = [n for _, n, _, _ in lines]
-    greatest = max((sum(sizes[k : k + WINDOW]) for k in range(len(sizes))), default=0)
-    kept = _kept(sizes, [c for *_, c in lines], max(1, min(SURGE, greatest / 2)))
+    weighted = any(held for _, _, held, _ in lines)
+    regions, low = [], 0
+    for held, group in groupby(lines, key=lambda line: line[2]):
+        sizes = [len(whole) if held else n for whole, n, _, _ in group]
+        sums = [sum(sizes[k : k + WINDOW]) for k in range(len(sizes))]
+        surge = 2 * SURGE if weighted and not held else max(1, min(SURGE, max(sums) / 2))
+        regions += [(low + a, low + b, max(sums[a : b + 1]) >= surge) for a, b in _regions(sizes)]
+        low += len(sizes)
+    containers = [c for *_, c in lines]
+    own = {c for a, b, surge in regions if surge for c in containers[a : b + 1]}
+    kept: list[int] = []
+    for a, b, surge in regions:
+        if surge or not own.isdisjoint(containers[a : b + 1]):
+            kept += [k for k in range(kept[-1] + 1, a) if containers[k] in own] if kept else []
+            kept += range(a, b + 1)
     return "\n\n".join(lines[k][0] for k in kept)
 
 

@@ -55,6 +55,18 @@ def test_blocks_between_surges_without_an_article(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div><p>{LONG}</p><p>{LONG}</p><p>End.</p></div><article>Card</article>", f"{LONG}\n\n{LONG}\n\nEnd.\n\nCard"),
+        (f"<div><p>{LONG}</p><p>{LONG}</p><article>Card</article><p>End.</p></div>", f"{LONG}\n\n{LONG}\n\nCard\n\nEnd."),
+        (f"<div>Slogan</div><article><h1>T</h1>{LINKS}<p>x</p></article><div>{LONG}</div>", "\n\n".join(["T", *["a link"] * 5, "x"])),
+    ],
+)
+def test_an_article_is_a_weight(page, text):
+    assert main_text(page) == text
+
+
 def test_every_page_of_a_table_without_articles(spark):
     pages = spark.read.parquet(str(Path("/root/testdata/sf0.01/pages.parquet")))
     plain = pages.withColumn("html", F.expr("replace(replace(html, '<article>', '<div>'), '</article>', '</div>')"))
