@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import groupby
@@ -33,6 +33,7 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: Elements that are never main text, elements that end a line,
@@ -54,6 +55,7 @@ _NEVER = frozenset(
 )
 _UNLESS_CONTENT = frozenset("alert banner dropdown header masthead recommended related share sharing sidebar side social topbar widget".split())
 _CONTENT = frozenset("article body content entry main page post story text".split())
+_STORY = frozenset("article entry hentry main post story".split())
 
 
 @dataclass
@@ -68,23 +70,48 @@ def _boilerplate(tag: str, attributes: str, inside: int) -> bool:
     """Whether an element's tag or names say that it is not main text; ``inside``: open articles and mains."""
     if tag in _DROPPED or (tag == "header" and not inside):
         return True
-    if not attributes or tag in _HOLDERS or tag in ("html", "body"):
+    if not attributes or tag in ("main", "html", "body"):
         return False
-    if _HIDDEN.search(attributes):
+    if tag != "article" and _HIDDEN.search(attributes):
         return True
     names = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
+    if tag == "article" and names & _STORY:
+        return False  # its other names may be those of categories
     return bool(names & _NEVER) or bool(names & _UNLESS_CONTENT and not names & _CONTENT)
 
 
+def _ends(tags: list[tuple[str, bool, str]]) -> tuple[dict[int, int], set[int]]:
+    """For each start tag the end tag, its own or that of an element around it, that ends it, and those that have their own."""
+    ends, own = {}, set()
+    blocks: list[int] = []
+    waiting: defaultdict[str, list[int]] = defaultdict(list)
+    for k, (tag, closing, attributes) in enumerate(tags):
+        if not closing and tag not in _VOID and not _CLOSED.search(attributes):
+            waiting[tag].append(k)
+            if tag in _BLOCKS:
+                blocks.append(k)
+        elif closing and waiting[tag]:
+            start = waiting[tag][-1] if tag in _BLOCKS else waiting[tag].pop()
+            ends[start] = k
+            own.add(start)
+            while tag in _BLOCKS:
+                last = blocks.pop()
+                waiting[tags[last][0]].pop()
+                ends[last] = k
+                if last == start:
+                    break
+    return ends, own
+
+
 def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
     """Text, length outside links, whether an article holds it, and the number of its container, of every line with text."""
     lines: list[_Line] = [_Line()]
-    skip, depth, soft, links, inside, at = "", 0, False, 0, 0, 0
+    stop, ended, soft, leaves, links, inside, at = -1, False, False, (), 0, 0, 0
     opened, stack = 0, [("", 0)]
     open_tags: Counter[str] = Counter()
 
     def text(piece: str) -> None:
-        if skip or not piece:
+        if stop >= 0 or not piece:
             return
         piece = html.unescape(piece) if "&" in piece else piece
         lines[-1].parts.append(piece)
@@ -92,24 +119,21 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
         if links:
             lines[-1].linked += len(piece.strip())
 
-    for m in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    tags = [((m[3] or m[6] or "").lower(), bool(m[2] or m[5]), m[4] or m[7] or "") for m in tokens]
+    ends, own = _ends(tags)
+    for k, (m, (tag, closing, attributes)) in enumerate(zip(tokens, tags, strict=True)):
         text(page[at : m.start()])
         at = m.end()
-        tag = (m[3] or m[6] or "").lower()
         if not tag:
             continue
-        closing, attributes = bool(m[2] or m[5]), m[4] or m[7] or ""
-        if skip:
-            if not closing and (tag in _HOLDERS or (soft and tag in _BLOCKS)):
-                skip = ""  # an end tag was left out
-            elif tag == skip and tag not in _VOID and not attributes.endswith("/"):
-                depth += -1 if closing else 1
-                if not depth:
-                    skip = ""
+        if stop >= 0:
+            if k < stop and (closing or not (tag in leaves or (soft and tag in _BLOCKS))):
                 continue
-            else:
+            stop = -1  # its end, or an end tag was left out, or it wraps the page
+            if closing and ended:
                 continue
-        dropped = not closing and tag not in _VOID and tag not in _HOLDERS and _boilerplate(tag, attributes, inside)
+        dropped = not closing and tag not in _VOID and not _CLOSED.search(attributes) and _boilerplate(tag, attributes, inside)
         if tag in _CONTAINERS and not dropped:
             if not closing:
                 opened += 1
@@ -127,11 +151,13 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
             text(" ")
         elif tag == "a":
             links = 0 if closing else 1
-        if tag in _HOLDERS:
-            inside = max(0, inside - 1) if closing else inside + 1
-        elif dropped:
-            skip, depth, soft = tag, 1, tag in ("p", "li", "span", "a", "b", "i", "em", "strong")
+        if dropped:
+            stop, ended = ends.get(k, len(tokens)), k in own
+            soft = tag == "p" or (not ended and tag in ("li", "span", "a", "b", "i", "em", "strong"))
+            leaves = _HOLDERS if not ended or tag == "form" else () if tag in _DROPPED else ("main",)
             lines.append(_Line(container=stack[-1][1]))
+        elif tag in _HOLDERS:
+            inside = max(0, inside - 1) if closing else inside + 1
     text(page[at:])
     out = []
     for line in lines:

@@ -67,6 +67,24 @@ def test_an_article_is_a_weight(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<article>x</article><section class=comments><article class=comment><p>{LONG}</p></article></section>", "x"),
+        (f"<div><p>{LONG}</p></div><aside><article class=teaser><p>{LONG}</p></article></aside>", LONG),
+        (f"<p>{LONG}</p><article class=comment><p>{LONG}</p><article class=comment>{LONG}</article></article><p>End.</p>", f"{LONG}\n\nEnd."),
+        (f"<ol><li class=comment><article>{LONG}</article><ul><li>{LONG}<li>x</ul></li></ol><main>x</main>", "x"),
+        (f"<article class='post tag-search category-notices'>{LONG}</article>", LONG),
+        (f"<form id=page><nav>{LONG}</nav><article>{LONG}</article></form>", LONG),
+        (f"<div><aside>{LONG}</div><article>x</article><aside>{LONG}</aside>", "x"),
+        (f"<li><ul><li class=ad>{LONG}</ul><p>{LONG}</p></li><div class=ad /><p>End.</p>", f"{LONG}\n\nEnd."),
+        (f"<p class=ad>{LONG}<div class=ad>{LONG}</div>{LONG}", LONG),
+    ],
+)
+def test_dropped_elements_end_at_their_end_tags(page, text):
+    assert main_text(page) == text
+
+
 def test_every_page_of_a_table_without_articles(spark):
     pages = spark.read.parquet(str(Path("/root/testdata/sf0.01/pages.parquet")))
     plain = pages.withColumn("html", F.expr("replace(replace(html, '<article>', '<div>'), '</article>', '</div>')"))
@@ -92,6 +110,10 @@ def test_every_page_of_a_table(spark):
         assert (texts[page.page_id].text, texts[page.page_id].n_chars) == (expected, len(expected))
 
 
+def test_deep_nesting_takes_linear_time():
+    assert main_text("<div class=ad><li>" * 50_000 + "</div>" * 50_000 + LONG) == LONG
+
+
 def test_missing_repeated_and_extra(spark):
     rows = spark.createDataFrame([(1, None, None), (None, "u", "<p>a"), (None, "u", "<p>a")], "page_id long, url string, html string")
     rows = rows.withColumn("text", F.lit("other")).withColumn("n_chars", F.lit(9))
