@@ -37,7 +37,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place, length and checksum of every document's ids, read back from the files."""
-    return token_output(docs, TokenFiles(byte_tokenizer()))
+    return token_output(docs, TokenFiles(byte_tokenizer(), added=True))
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -87,7 +87,7 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_output(table(spark, sf_dir, "documents"), TokenFiles(byte_tokenizer()))
+    return token_output(table(spark, sf_dir, "documents"), TokenFiles(byte_tokenizer(), added=True))
 
 
 @query

@@ -10,6 +10,7 @@ memory-mapped file gives any sequence without a copy.
 
 from __future__ import annotations
 
+import itertools
 import re
 import uuid
 import zlib
@@ -48,7 +49,9 @@ _KINDS[0x80:0xC0] = _TAIL
 class TokenFiles:
     """``tokenizer``: path of a byte-level BPE file. ``end``: id put after each document.
 
-    With more documents than ``most_files`` files of ``docs_per_file`` hold,
+    ``added``: the tokenizer's added tokens, special ones too, get their own ids
+    where a text spells them, as the library has it; if false, they are text
+    like any other. With more documents than ``most_files`` files of ``docs_per_file`` hold,
     files get larger.
     """
 
@@ -58,16 +61,22 @@ class TokenFiles:
     batch: int = 512
     docs_per_file: int = 4096
     most_files: int = 16_384
+    added: bool = False
 
 
 class _Encoder:
     """Encodes slices of texts. Each distinct piece is encoded once, until ``CACHE_WORDS`` are held."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
+        names = sorted((t.content.encode() for t in tokens), key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, names))) if names else None
+        #: Whether added tokens are found without regard to what surrounds them.
+        self.free = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in tokens)
         self.dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in visible]
@@ -84,11 +93,22 @@ class _Encoder:
     def piece(self, data: bytes) -> list[int]:
         """Ids of one piece. Plain words need no pre-tokenizer, which would leave them as they are."""
         text = data.decode()
-        if _PLAIN.fullmatch(text):
+        if _PLAIN.fullmatch(text) and not (self.added and self.added.search(data)):
             name = text.replace(" ", "\u0120") if text.isascii() else data.decode("latin-1").translate(self.alphabet)
             return [t.id for t in self.tokenizer.model.tokenize(name)]
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def added_spans(self, part: words.Slice) -> np.ndarray:
+        """Begin and end of every added token, or of every text with one where what surrounds it counts."""
+        data = part.data.tobytes()
+        if self.added is None or not self.added.search(data):
+            return np.zeros((0, 2), np.int64)
+        spans = []
+        for a, b in itertools.pairwise(part.offsets.tolist()):
+            found = [m.span() for m in self.added.finditer(data, a, b)]
+            spans += found if self.free else [(a, b)] * bool(found)
+        return np.array(spans, np.int64).reshape(-1, 2)
+
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
         count = len(self.known)
         new = [self.piece(x) for x in pieces]
@@ -106,7 +126,15 @@ class _Encoder:
 
     def encode(self, part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a slice, the same as encoding each text whole, and for each text the number of ids before it."""
-        starts, first = piece_starts(part)
+        spans = self.added_spans(part)
+        if len(spans):
+            offsets = np.sort(np.concatenate([part.offsets, np.unique(spans)]))
+            starts, _ = piece_starts(words.Slice(part.first, part.last, part.data, offsets))
+            span = np.searchsorted(spans[:, 0], starts) - 1  # the last that begins before
+            starts = starts[(span < 0) | (starts >= spans[span, 1])]
+            first = np.searchsorted(starts, part.offsets)
+        else:
+            starts, first = piece_starts(part)
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(part.offsets), np.int64)
         ends = np.append(starts[1:], len(part.data))
@@ -164,21 +192,21 @@ def piece_starts(part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.searchsorted(starts, part.offsets)
 
 
-_loaded: dict[str, _Encoder] = {}
+_loaded: dict[tuple[str, bool], _Encoder] = {}
 
 
-def encoder(path: str) -> _Encoder:
-    if path not in _loaded:
-        _loaded[path] = _Encoder(path)
-    return _loaded[path]
+def encoder(path: str, added: bool = False) -> _Encoder:
+    if (path, added) not in _loaded:
+        _loaded[path, added] = _Encoder(path, added)
+    return _loaded[path, added]
 
 
 def token_rows(docs: DataFrame, rule: TokenFiles, bounds: list[int]) -> DataFrame:
     """``file, doc_id, ids``: the ids of every text (NULL: empty) and the end id, deflated, and the range that holds the document."""
-    path, end, last = rule.tokenizer, rule.end, np.array(bounds, np.int64)
+    path, added, end, last = rule.tokenizer, rule.added, rule.end, np.array(bounds, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = encoder(path)
+        held = encoder(path, added)
         tail = np.array([end], held.dtype).tobytes()
         for batch in batches:
             known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
@@ -267,12 +295,12 @@ def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFra
     more under the same name.
     """
     bounds = _bounds(docs.select(F.col("doc_id").cast("long").alias("doc_id")), rule)
-    path = rule.tokenizer
+    path, added = rule.tokenizer, rule.added
     system, base = shared_file_system(folder)
     system.create_dir(base, recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = encoder(path).dtype
+        dtype = encoder(path, added).dtype
         writer, name = None, None
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("file", "doc_id", "ids")]

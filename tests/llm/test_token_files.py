@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from pathlib import Path
@@ -12,8 +13,9 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from epilake.llm import words
-from epilake.llm.queries import byte_tokenizer
+from epilake.llm.queries import byte_tokenizer, op8_token_files
 from epilake.llm.token_files import TokenFiles, encoder, read_sequences, token_output
 
 
@@ -90,6 +92,42 @@ def test_missing_repeated_and_extra(documents, whole):
     assert ids == [None, None, -1, 4, 4, 4]
 
 
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|> ", " é<|endoftext|>'s", "<|endoftext", "|>", "<|endoftext|>|>", "<|endof"]
+
+
+def as_loaded(path):
+    tokenizer = Tokenizer.from_file(path)
+    return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+@pytest.mark.parametrize("odd", [None, {"lstrip": True}, {"single_word": True, "content": "lead"}, {"content": "ad"}])
+def test_added_tokens_as_the_library_has_them(odd, tmp_path):
+    path = byte_tokenizer()
+    if odd:
+        data = json.loads(Path(path).read_text())
+        new = {"id": 50257, "content": "<x>", "single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": False}
+        path = str(tmp_path / "tokenizer.json")
+        Path(path).write_text(json.dumps(data | {"added_tokens": [*data["added_tokens"], new | odd]}))
+    whole, own = as_loaded(path), encoder(path, True)
+    rng = random.Random(2)
+    some = ADDED + TRICKY + ["a  <x> b", "lead"]
+    cases = some + ["".join(rng.choice(some) + rng.choice(["", " ", "\n", "  "]) for _ in range(5)) for _ in range(400)]
+    for size in (1 << 20, 50):
+        for part in words.slices(pa.array(cases), size):
+            ids, before = own.encode(part)
+            for k, text in enumerate(cases[part.first : part.last]):
+                assert ids[before[k] : before[k + 1]].tolist() == whole(text)[:-1], repr(text)
+
+
+def test_query_has_the_ids_of_the_tokenizer_as_loaded(spark, documents, tmp_path):
+    rows = list(enumerate(ADDED + TRICKY))
+    documents(*rows).write.parquet(str(tmp_path / "documents.parquet"))
+    want = expected(rows, as_loaded(byte_tokenizer()))
+    assert [tuple(r) for r in op8_token_files(spark, str(tmp_path)).orderBy("start").collect()] == want
+    stage = dict(corpus_pipeline.STAGES)["token files"]
+    assert [tuple(r) for r in stage(spark, documents(*rows), str(tmp_path)).orderBy("start").collect()] == want
+
+
 def test_empty_table(documents):
     none = documents((1, "a")).where("false")
     out = token_output(none, TokenFiles(byte_tokenizer()))
