@@ -13,13 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from epilake.llm import words
-from epilake.llm.tables import anonymous
+from epilake.llm.tables import anonymous, stored
 
-#: Bytes of benchmark text whose tables a task holds at once; larger sets are searched in turns.
+#: Bytes of distinct benchmark texts and their item ids whose tables a task holds at once; larger sets are searched in turns.
 BLOCK_BYTES = 4 << 20
 #: Windows that one cursor of a search moves over; many cursors move together.
 STRETCH = 64
@@ -43,9 +43,9 @@ def _blocks(values: np.ndarray, width: int) -> np.ndarray:
 
 
 class Patterns:
-    """Tables for all patterns of ``size`` words. ``items``: for each pattern its item ids."""
+    """Tables for all patterns of ``size`` words. ``rows``: for each pattern the numbers of the texts that hold it."""
 
-    def __init__(self, size: int, found: dict[bytes, tuple[np.ndarray, set[str]]]) -> None:
+    def __init__(self, size: int, found: dict[bytes, tuple[np.ndarray, set[int]]]) -> None:
         self.size, self.width = size, min(2, size)
         values = np.array([x for x, _ in found.values()], np.uint64).reshape(-1, size)
         blocks = _blocks(values, self.width)
@@ -53,7 +53,7 @@ class Patterns:
         self.values, blocks = values[order], blocks[order]
         keys = list(found)
         self.texts = [keys[i] for i in order]
-        self.items = [sorted(found[k][1]) for k in self.texts]
+        self.rows = [sorted(found[k][1]) for k in self.texts]
         self.suffixes = blocks[:, -1]
         self.shift = np.full(1 << TABLE_BITS, size - self.width + 1, np.int32)
         for j in range(blocks.shape[1]):
@@ -92,9 +92,9 @@ class Patterns:
         return places, number
 
 
-def pattern_tables(texts: pa.Array, ids: list[str | None], window: int) -> list[Patterns]:
-    """Tables for the windows of some items, one for each length; an item without words has none."""
-    found: dict[int, dict[bytes, tuple[np.ndarray, set[str]]]] = defaultdict(dict)
+def pattern_tables(texts: pa.Array, window: int) -> list[Patterns]:
+    """Tables for the windows of some texts, one for each length; a text without words has none."""
+    found: dict[int, dict[bytes, tuple[np.ndarray, set[int]]]] = defaultdict(dict)
     for part in words.slices(texts):
         data, starts, ends, first, values = _found_words(part)
         for row in range(part.last - part.first):
@@ -104,19 +104,18 @@ def pattern_tables(texts: pa.Array, ids: list[str | None], window: int) -> list[
             for k in range(b - a - size + 1 if size else 0):
                 key = b" ".join(own[k : k + size])
                 entry = found[size].setdefault(key, (values[a + k : a + k + size], set()))
-                if ids[part.first + row] is not None:
-                    entry[1].add(ids[part.first + row])
+                entry[1].add(part.first + row)
     return [Patterns(size, entries) for size, entries in sorted(found.items())]
 
 
-def _searched(batch: pa.RecordBatch, tables: list[Patterns]) -> pa.RecordBatch:
-    """Add what ``tables`` find to the spans and items that earlier turns found."""
+def _searched(batch: pa.RecordBatch, tables: list[Patterns], ids: list[list[str]]) -> pa.RecordBatch:
+    """Add what ``tables`` find, in texts with these item ids, to the spans and items that earlier turns found."""
     counts, spans, items = [], [], []
     earlier = zip(batch.column("wm_spans").to_pylist(), batch.column("wm_items").to_pylist(), strict=True)
     for part in words.slices(batch.column("text")):
         data, starts, ends, first, values = _found_words(part)
         edges = np.zeros(len(values) + 1, np.int32)
-        found: dict[int, set[str]] = defaultdict(set)
+        found: dict[int, set[int]] = defaultdict(set)
         for table in tables:
             places, number = table.search(values)
             rows = np.searchsorted(first, places, "right") - 1
@@ -126,7 +125,7 @@ def _searched(batch: pa.RecordBatch, tables: list[Patterns]) -> pa.RecordBatch:
                 if own == table.texts[n]:
                     edges[place] += 1
                     edges[place + table.size] -= 1
-                    found[row].update(table.items[n])
+                    found[row].update(table.rows[n])
         for row in range(part.last - part.first):
             a, b = int(first[row]), int(first[row + 1])
             old_spans, old_items = next(earlier)
@@ -134,15 +133,13 @@ def _searched(batch: pa.RecordBatch, tables: list[Patterns]) -> pa.RecordBatch:
                 for s, e in np.array(old_spans, np.int64).reshape(-1, 2).tolist():
                     edges[a + s] += 1
                     edges[a + e] -= 1
-            if old_items:
-                found[row].update(old_items)
             counts.append(b - a)
+            items.append(sorted({*(old_items or []), *(i for n in found[row] for i in ids[n])} if row in found else old_items or []))
         covered = np.concatenate([[0], (np.cumsum(edges[:-1]) > 0).astype(np.int8), [0]])
         for row in range(part.last - part.first):
             a, b = int(first[row]), int(first[row + 1])
             own = covered[a + 1 : b + 1]
             spans.append(np.flatnonzero(np.diff(own, prepend=0, append=0)).tolist() if own.any() else [])
-            items.append(sorted(found[row]) if row in found else [])
     new = {"wm_words": pa.array(counts, pa.int64()), "wm_spans": pa.array(spans, pa.list_(pa.int64())), "wm_items": pa.array(items, pa.list_(pa.string()))}
     names = batch.schema.names
     return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names=names)
@@ -154,14 +151,11 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     ``wm_spans`` holds the starts and ends, in words, of the stretches that lie
     inside an occurrence; ``wm_items`` the ids, as strings, of the items of
     ``benchmark(item_id, text)`` found. A NULL text has no words. An item with a
-    NULL id marks words but is not listed. The benchmark is cut into blocks of a
-    bounded size by hash; the driver makes the tables of one block after
-    another, and all documents are searched for each.
+    NULL id marks words but is not listed. The distinct texts of the benchmark
+    are cut into blocks of ``BLOCK_BYTES``; the driver makes the tables of one
+    block after another, and all documents are searched for each.
     """
     spark = docs.sparkSession
-    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
-    size = bench.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
     rows = docs.withColumns(
         {
             "wm_words": F.lit(0).cast("long"),
@@ -169,20 +163,44 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
             "wm_items": F.array().cast("array<string>"),
         }
     )
-    for block in range(blocks):
-        own = bench.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()
-        tables = pattern_tables(pa.array([x["text"] for x in own], pa.string()), [x["item_id"] for x in own], window)
-        held = spark.sparkContext.broadcast(tables)
+    for own in _benchmark_blocks(benchmark):
+        tables = pattern_tables(pa.array([x["text"] for x in own], pa.string()), window)
+        held = spark.sparkContext.broadcast((tables, [x["ids"] for x in own]))
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 if batch.num_rows:
-                    yield _searched(batch, held.value)
+                    yield _searched(batch, *held.value)
 
         rows = rows.mapInArrow(run, rows.schema)
     return rows
 
 
+def _benchmark_blocks(benchmark: DataFrame) -> Iterator[list[Row]]:
+    """``text, ids, size`` of the distinct texts, in blocks of at most ``BLOCK_BYTES`` or one row; at least one block.
+
+    The item ids of a text are dealt to several rows, by hash, if all ids
+    together are larger than a block.
+    """
+    bench = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
+    ids = bench.agg(F.sum(F.octet_length("item_id"))).first()[0] or 0
+    part = F.pmod(F.xxhash64("item_id"), F.lit(-(-ids // BLOCK_BYTES) or 1))
+    grouped = bench.groupBy("text", part.alias("part")).agg(F.collect_set("item_id").alias("ids"))
+    size = F.octet_length("text") + F.aggregate("ids", F.lit(0), lambda n, x: n + F.octet_length(x))
+    grouped = stored(grouped.select("text", "part", "ids", size.cast("long").alias("size")), "benchmark")
+    blocks = max(1, -(-(grouped.agg(F.sum("size")).first()[0] or 0) // BLOCK_BYTES))
+    for block in range(blocks):
+        own, held = [], 0
+        for row in grouped.where(F.pmod(F.xxhash64("text", "part"), F.lit(blocks)) == block).select("text", "ids", "size").collect():
+            if own and held + row["size"] > BLOCK_BYTES:
+                yield own
+                own, held = [], 0
+            own.append(row)
+            held += row["size"]
+        if own or blocks == 1:
+            yield own
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``doc_id, n_words, n_hit, n_items, items, contaminated`` for every row of ``docs(doc_id, text)``."""
     rows = find_passages(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, window)

@@ -62,6 +62,26 @@ def test_matches_brute_force(spark, documents, monkeypatch, block):
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in rows} == brute(docs, items)
 
 
+def test_equal_texts_and_many_ids_stay_within_blocks(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
+    made, real = [], decontaminate.pattern_tables
+
+    def counted(texts, *rest):
+        made.append(sum(len(t.as_py()) for t in texts))
+        return real(texts, *rest)
+
+    monkeypatch.setattr(decontaminate, "pattern_tables", counted)
+    docs, items = cases()
+    items += [(100 + k, items[5][1]) for k in range(2000)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = contamination(documents(*docs), bench).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in rows} == brute(docs, items)
+    assert max(made) <= 2000
+    made.clear()
+    contamination(documents(*docs), spark.createDataFrame([(k % 3, items[5][1]) for k in range(2000)], bench.schema)).collect()
+    assert made == [sum(map(len, [items[5][1]]))]
+
+
 def test_windows_do_not_cross_documents(spark, documents):
     text = "a b c d e f g h i j"
     bench = spark.createDataFrame([(1, text)], "item_id long, text string")
