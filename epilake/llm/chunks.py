@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epilake.llm import words
-from epilake.llm.tables import map_batches
+from epilake.llm.tables import map_batches, stored
 
 _GEAR = (words.BYTE_VALUES >> np.uint64(32)).astype(np.uint32)
 _REACH = 32
@@ -75,7 +75,7 @@ def _digests(part: words.Slice, rule: Chunking) -> tuple[np.ndarray, np.ndarray,
 
 
 def chunk_rows(docs: DataFrame, rule: Chunking) -> DataFrame:
-    """``doc_id, digests``: the distinct chunk digests of every row; a NULL id becomes the greatest number."""
+    """``row_id, doc_id, digests``: the distinct chunk digests of every row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = []
@@ -84,9 +84,9 @@ def chunk_rows(docs: DataFrame, rule: Chunking) -> DataFrame:
             lists += [np.unique(digests[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
         lengths = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
         values = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(lists), pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), values], names=["doc_id", "digests"])
+        return pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), values], names=["row_id", "doc_id", "digests"])
 
-    return map_batches(docs, run, "doc_id long, digests array<long>")
+    return map_batches(docs, run, "row_id long, doc_id long, digests array<long>")
 
 
 def _cut(data: bytes, starts: np.ndarray, ends: np.ndarray, known: np.ndarray, rule: Chunking) -> tuple[bytes, list[int]]:
@@ -113,15 +113,23 @@ def without_repeats(docs: DataFrame, rule: Chunking | None = None) -> DataFrame:
     Of all occurrences of a chunk, the first one stays: in the document of the
     least id, and there the first. Runs of repeated chunks shorter than ``run``
     bytes stay too. A NULL text is empty. Rows that share an id count as one
-    document, so an exact repetition of a row is no repeat; a NULL id comes last.
+    document, so an exact repetition of a row is no repeat. Rows with a NULL id
+    are documents of their own and come last.
     """
     rule = rule or Chunking()
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    held = chunk_rows(rows, rule).select("doc_id", F.explode("digests").alias("digest"))
-    firsts = held.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    names, place = ["row_id"], F.col("row_id")
+    if rows.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL").isEmpty():
+        rows = rows.withColumn("row_id", F.col("doc_id"))
+    else:
+        rows = stored(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
+        last = F.lit(_LAST).cast("decimal(20,0)") + 1 + F.col("row_id")
+        names, place = ["row_id", "doc_id"], F.coalesce("doc_id", last).cast("decimal(20,0)")
+    held = chunk_rows(rows, rule).select(*names, F.explode("digests").alias("digest"))
+    firsts = held.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     firsts = firsts.where("first < last").select("digest", "first")
-    later = held.join(firsts, "digest").where("doc_id > first")
-    known = later.groupBy("doc_id").agg(F.collect_set("digest").alias("known"))
+    later = held.join(firsts, "digest").where(place > F.col("first"))
+    known = later.groupBy("row_id").agg(F.collect_set("digest").alias("known"))
     schema = "doc_id long, text string, n_bytes long, n_chunks long, spans array<long>"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -145,5 +153,4 @@ def without_repeats(docs: DataFrame, rule: Chunking | None = None) -> DataFrame:
         arrays = [batch.column("doc_id"), pa.array(texts, pa.string()), *(pa.array(x, pa.int64()) for x in (sizes, counts))]
         return pa.RecordBatch.from_arrays([*arrays, pa.array(spans, pa.list_(pa.int64()))], names=["doc_id", "text", "n_bytes", "n_chunks", "spans"])
 
-    out = map_batches(rows.join(known, "doc_id", "left"), run, schema)
-    return out.withColumn("doc_id", F.when(F.col("doc_id") != _LAST, F.col("doc_id")))
+    return map_batches(rows.join(known, "row_id", "left"), run, schema)

@@ -201,17 +201,15 @@ def encoder(path: str, added: bool = False) -> _Encoder:
     return _loaded[path, added]
 
 
-def token_rows(docs: DataFrame, rule: TokenFiles, bounds: list[int]) -> DataFrame:
-    """``file, doc_id, ids``: the ids of every text (NULL: empty) and the end id, deflated, and the range that holds the document."""
-    path, added, end, last = rule.tokenizer, rule.added, rule.end, np.array(bounds, np.int64)
+def token_rows(docs: DataFrame, rule: TokenFiles, files: _Files) -> DataFrame:
+    """``file, doc_id, ids``: the ids of every text (NULL: empty) and the end id, deflated, and the file that holds the document."""
+    path, added, end = rule.tokenizer, rule.added, rule.end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = encoder(path, added)
         tail = np.array([end], held.dtype).tobytes()
         for batch in batches:
-            known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
-            place = np.searchsorted(last, batch.column("doc_id").fill_null(0).to_numpy())
-            place = pa.array(np.where(known, place, 0))
+            place = pa.array(files.places(batch.column("doc_id"), batch.column("part")))
             for part in words.slices(batch.column("text"), SLICE_BYTES):
                 ids, before = held.encode(part)
                 lists = [zlib.compress(ids[a:b].tobytes() + tail, 1) for a, b in zip(before[:-1], before[1:], strict=True)]
@@ -219,8 +217,7 @@ def token_rows(docs: DataFrame, rule: TokenFiles, bounds: list[int]) -> DataFram
                 own = [place.slice(part.first, rows), batch.column("doc_id").slice(part.first, rows), pa.array(lists, pa.binary())]
                 yield pa.RecordBatch.from_arrays(own, names=["file", "doc_id", "ids"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "file long, doc_id long, ids binary")
+    return docs.select("doc_id", "text", "part").mapInArrow(run, "file long, doc_id long, ids binary")
 
 
 def shared_file_system(uri: str) -> tuple[fs.FileSystem, str]:
@@ -291,10 +288,13 @@ def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFra
     """Write all of ``docs(doc_id, text)`` to new files in ``folder``; returns ``file, documents, tokens``.
 
     A file holds about ``docs_per_file`` documents of one range of ids; a NULL id
-    comes before all others. A task that is run again writes the same file once
+    comes before all others. The rows of an id that has more are dealt to files
+    of their own. A task that is run again writes the same file once
     more under the same name.
     """
-    bounds = _bounds(docs.select(F.col("doc_id").cast("long").alias("doc_id")), rule)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    files = _files(docs.select("doc_id"), rule)
+    docs = files.dealt(docs)
     path, added = rule.tokenizer, rule.added
     system, base = shared_file_system(folder)
     system.create_dir(base, recursive=True)
@@ -317,24 +317,55 @@ def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFra
         writer.close()
         return pa.RecordBatch.from_pydict({"file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
 
-    rows = token_rows(docs, rule, bounds)
-    rows = rows.repartitionById(len(bounds) + 1, F.col("file").cast("int")).sortWithinPartitions("file", "doc_id", "ids")
+    rows = token_rows(docs, rule, files)
+    rows = rows.repartitionById(files.count, F.col("file").cast("int")).sortWithinPartitions("file", "doc_id", "ids")
     written = rows.mapInArrow(run, "file long, documents long, tokens long")
     return stored(written, "token-manifest")
 
 
-def _bounds(ids: DataFrame, rule: TokenFiles) -> list[int]:
-    """Last ids of all files but the last, from a sample by hash of about ``SAMPLED`` ids for each file."""
+class _Files:
+    """Numbers of files, from the last ids of ranges and the ids that have several files, with the numbers of those."""
+
+    def __init__(self, bounds: list[int], parts: dict[int | None, int]) -> None:
+        self.nulls, self.parts = parts.get(None, 1), {k: n for k, n in parts.items() if k is not None}
+        before = [k - 1 for k in self.parts if k > -(1 << 63)]
+        self.last = np.unique(np.array([*bounds, *before, *self.parts], np.int64))
+        sizes = np.ones(len(self.last) + 1, np.int64)
+        sizes[np.searchsorted(self.last, np.array([*self.parts], np.int64))] = [*self.parts.values()]
+        # NULL ids share the first file, unless they have several.
+        self.first = np.cumsum(sizes) - sizes + (self.nulls if self.nulls > 1 else 0)
+        self.count = int(self.first[-1] + sizes[-1])
+
+    def places(self, ids: pa.Array, part: pa.Array) -> np.ndarray:
+        known = ids.is_valid().to_numpy(zero_copy_only=False)
+        place = self.first[np.searchsorted(self.last, ids.fill_null(0).to_numpy())]
+        return np.where(known, place, 0) + part.to_numpy()
+
+    def dealt(self, docs: DataFrame) -> DataFrame:
+        """``docs`` and the ``part`` of its id that a row belongs to, the same in every run of a task."""
+        if not self.parts and self.nulls < 2:
+            return docs.withColumn("part", F.lit(0).cast("long"))
+        spark, parts = docs.sparkSession, [*self.parts.items(), (None, self.nulls)]
+        sizes = F.broadcast(spark.createDataFrame(parts, "id long, parts long"))
+        rows = docs.withColumn("row_id", F.monotonically_increasing_id()).join(sizes, F.col("doc_id").eqNullSafe(F.col("id")), "left")
+        part = F.pmod(F.xxhash64("row_id"), F.coalesce("parts", F.lit(1)))
+        return stored(rows.select("doc_id", "text", part.alias("part")), "dealt")
+
+
+def _files(ids: DataFrame, rule: TokenFiles) -> _Files:
+    """Ranges of ids by a sample by hash of about ``SAMPLED`` ids for each file, and more files for ids with more rows than one."""
     count = ids.count()
     files = min(rule.most_files, -(-count // rule.docs_per_file))
     if files < 2:
-        return []
+        return _Files([], {})
+    each = max(rule.docs_per_file, -(-count // rule.most_files))
+    hot = ids.groupBy("doc_id").count().where(F.col("count") > each).collect()
+    parts = {r["doc_id"]: -(-r["count"] // each) for r in hot}
     most = -(2.0**63) + 2.0**64 * SAMPLED * files / count
     sample = ids.where("doc_id IS NOT NULL").where(F.xxhash64("doc_id").cast("double") <= most).distinct()
     found = np.sort(sample.toArrow().column("doc_id").to_numpy())
-    if not len(found):
-        return []
-    return np.unique(found[[len(found) * k // files for k in range(1, files)]]).tolist()
+    bounds = found[[len(found) * k // files for k in range(1, files)]].tolist() if len(found) else []
+    return _Files(bounds, parts)
 
 
 def read_sequences(content: pa.Buffer | str) -> pa.RecordBatchFileReader:

@@ -116,3 +116,10 @@ def test_missing_repeated_and_extra(documents):
     found = [(r.doc_id, r.text) for r in without_repeats(rows).collect()]
     assert sorted(found, key=str) == sorted([(1, long), (1, long), (None, ""), (None, "")], key=str)
     assert without_repeats(rows.where("false")).collect() == []
+
+
+def test_rows_without_id_are_told_apart(documents):
+    long, other = prose(random.Random(1), 100), prose(random.Random(2), 100)
+    greatest = (1 << 63) - 1
+    found = [(r.doc_id, r.text) for r in without_repeats(documents((None, long), (None, long), (greatest, other), (None, other))).collect()]
+    assert sorted(found, key=str) == sorted([(None, long), (None, ""), (greatest, other), (None, "")], key=str)

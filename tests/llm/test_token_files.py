@@ -128,6 +128,20 @@ def test_query_has_the_ids_of_the_tokenizer_as_loaded(spark, documents, tmp_path
     assert [tuple(r) for r in stage(spark, documents(*rows), str(tmp_path)).orderBy("start").collect()] == want
 
 
+def test_an_id_of_many_rows_has_several_files(documents, whole, tmp_path):
+    rows = [(k, "x y") for k in range(30)] + [(7, f"z {k}") for k in range(40)] + [(None, f"n {k}") for k in range(50)] + [(7, "same")] * 20
+    docs = documents(*rows).withColumn("part", F.lit("p")).withColumn("parts", F.lit(1)).withColumn("id", F.lit(3))
+    folder = (tmp_path / "tokens").as_uri()
+    found = sorted(token_output(docs, TokenFiles(byte_tokenizer(), docs_per_file=10), folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == sorted((i for i, _ in rows), key=lambda i: (i is not None, i or 0))
+    assert [r.start for r in found] == [0, *np.cumsum([r.n_tokens for r in found])[:-1]]
+    crc = lambda text: zlib.crc32(np.array(whole(text), "<u4").tobytes())
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.ids_crc32) for r in found) == sorted((i is None, i or 0, crc(t)) for i, t in rows)
+    sizes = [sum(b.column(3).flatten().to_pylist().__len__() for b in (reader.get_batch(i) for i in range(reader.num_record_batches)))
+             for reader in (read_sequences(str(p)) for p in sorted((tmp_path / "tokens").glob("*.arrow")))]
+    assert sum(sizes) == len(rows) and max(sizes) < 30
+
+
 def test_empty_table(documents):
     none = documents((1, "a")).where("false")
     out = token_output(none, TokenFiles(byte_tokenizer()))
