@@ -15,6 +15,7 @@ from epilake.llm.minhash import NearDuplicates, near_duplicates
 from epilake.llm.mixing import Mixture, mix
 from epilake.llm.quality import quality_scores
 from epilake.llm.rules import quality_rules
+from epilake.llm.sharding import Shards, shards
 from epilake.llm.tables import table
 from epilake.llm.token_files import TokenFiles, token_output
 
@@ -104,6 +105,11 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+@query
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"), Shards(16))
+
+
 ORACLES["op6_decontamination"] = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id,
@@ -213,3 +219,61 @@ SELECT doc.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_rem
   sha256(unhex(coalesce(left_over.h, doc.h))) AS kept_sha256
 FROM doc LEFT JOIN gone ON gone.doc_id = doc.doc_id LEFT JOIN left_over ON left_over.doc_id = doc.doc_id
 """
+
+ORACLES["op12_sharding"] = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, sha256(coalesce(text, '')) AS key FROM documents),
+bits AS (
+  SELECT b, b::BIGINT AS c, 0 AS n FROM range(256) AS t(b)
+  UNION ALL SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n + 1 FROM bits WHERE n < 8),
+tab AS (SELECT list(c ORDER BY b) AS tab FROM bits WHERE n = 8),
+bytes AS (
+  SELECT DISTINCT sha256(coalesce(text, '')) AS key, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n
+  FROM documents),
+crc AS (
+  SELECT key, 0 AS k, 4294967295::BIGINT AS c FROM bytes
+  UNION ALL
+  SELECT key, least(k + 1024, n),
+    list_reduce([c] || list_transform(range(0, least(1024, n - k)), lambda j : ('0x' || substr(piece, 2 * j + 1, 2))::BIGINT),
+      lambda s, b : xor(s >> 8, tab[(xor(s, b) & 255) + 1]))
+  FROM (SELECT key, k, c, n, substr(h, 2 * k + 1, 2048) AS piece FROM crc JOIN bytes USING (key) WHERE k < n), tab),
+summed AS (SELECT key, xor(c, 4294967295) AS text_crc32 FROM crc JOIN bytes USING (key) WHERE k = n),
+grouped AS (SELECT key, sum(size)::BIGINT AS size FROM doc GROUP BY key),
+ranked AS (
+  SELECT key, size, row_number() OVER w - 1 AS place,
+    sum(size) OVER ()::BIGINT - coalesce(sum(size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS rest
+  FROM grouped WINDOW w AS (ORDER BY size DESC, key)),
+large AS (SELECT coalesce(min(place), 0) AS many FROM ranked WHERE place >= 16 OR size * (16 - place) <= rest),
+alone AS (SELECT key, place AS shard FROM ranked, large WHERE place < many),
+ordered AS (
+  SELECT key, size, row_number() OVER (ORDER BY key) AS k, sum(size) OVER (ORDER BY key)::BIGINT AS upto
+  FROM grouped WHERE key NOT IN (SELECT key FROM alone)),
+bounds AS (
+  SELECT greatest(max(size), (sum(size) + 15 - many) // (16 - many))::BIGINT AS low, sum(size)::BIGINT AS high, 16 - many AS parts
+  FROM ordered, large GROUP BY many),
+search AS (  -- one capacity is checked greedily, a shard a step; then the next
+  SELECT low, high, 0::BIGINT AS taken, 0 AS used, high AS total, parts FROM bounds
+  UNION ALL
+  SELECT CASE WHEN full_at < total AND used + 1 >= parts THEN (low + high) // 2 + 1 ELSE low END,
+    CASE WHEN full_at >= total THEN (low + high) // 2 ELSE high END,
+    CASE WHEN full_at >= total OR used + 1 >= parts THEN 0 ELSE full_at END,
+    CASE WHEN full_at >= total OR used + 1 >= parts THEN 0 ELSE used + 1 END, total, parts
+  FROM (SELECT *, (SELECT max(upto) FROM ordered WHERE upto <= taken + (low + high) // 2)::BIGINT AS full_at
+        FROM search WHERE low < high)),
+best AS (SELECT min(high) AS capacity FROM search),
+walk AS (
+  SELECT 0::BIGINT AS taken, 0 AS shard
+  UNION ALL
+  SELECT (SELECT max(upto) FROM ordered WHERE upto <= taken + capacity)::BIGINT, shard + 1
+  FROM walk, best WHERE taken < (SELECT max(upto) FROM ordered)),
+placed AS (
+  SELECT key, many + (SELECT max(shard) FROM walk WHERE walk.taken < ordered.upto) AS shard FROM ordered, large
+  UNION ALL SELECT key, shard FROM alone),
+binned AS (
+  SELECT doc.*, shard, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+    % (SELECT greatest(1, ceil(count(*) / 8192)) FROM documents)::BIGINT AS bin
+  FROM doc JOIN placed USING (key))
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INT AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY bin, doc_id, key) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+FROM binned JOIN summed USING (key)
+"""
