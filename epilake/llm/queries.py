@@ -13,6 +13,7 @@ from epilake.llm.language import predict_language
 from epilake.llm.main_text import extract
 from epilake.llm.minhash import NearDuplicates, near_duplicates
 from epilake.llm.mixing import Mixture, mix
+from epilake.llm.negatives import HardNegatives, hard_negatives
 from epilake.llm.quality import quality_scores
 from epilake.llm.rules import quality_rules
 from epilake.llm.sharding import Shards, shards
@@ -110,6 +111,11 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"), Shards(16))
 
 
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"), HardNegatives())
+
+
 ORACLES["op6_decontamination"] = r"""
 WITH item AS (
   SELECT CAST(item_id AS VARCHAR) AS item_id,
@@ -277,3 +283,24 @@ SELECT doc_id, size::BIGINT AS size, text_crc32, 'bytes' AS law, shard::INT AS s
   row_number() OVER (PARTITION BY shard ORDER BY bin, doc_id, key) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
 FROM binned JOIN summed USING (key)
 """
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH vec AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x : floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x : x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label = v.label AS same, v.vec_id, list_dot_product(a.q, v.q)::BIGINT AS score
+  FROM vec a JOIN vec v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+negative AS (
+  SELECT p.anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+  FROM positive p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+  WHERE 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank::INT AS rank, negative_id, positive_score, negative_score FROM negative WHERE rank <= 5
+"""
