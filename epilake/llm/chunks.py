@@ -71,22 +71,25 @@ def _digests(part: words.Slice, rule: Chunking) -> tuple[np.ndarray, np.ndarray,
     starts[1:] = ends[:-1]
     begin = first[:-1][first[:-1] < first[1:]]
     starts[begin] = part.offsets[:-1][first[:-1] < first[1:]]
-    return starts, ends, first, words.span_hashes(words.prefix_hashes(part.data), starts, ends).view(np.int64)
+    return starts, ends, first, words.digests(part.data, starts, ends).view(np.int64)
 
 
 def chunk_rows(docs: DataFrame, rule: Chunking) -> DataFrame:
-    """``row_id, doc_id, digests``: the distinct chunk digests of every row."""
+    """``row_id, doc_id, one, two``: the halves of the distinct chunk digests of every row."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         lists = []
         for part in words.slices(batch.column("text")):
             _, _, first, digests = _digests(part, rule)
-            lists += [np.unique(digests[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+                # Half a digest tells the chunks of one row apart.
+                lists.append(digests[a:b][np.unique(digests[a:b, 0], return_index=True)[1]])
         lengths = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-        values = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(lists), pa.int64()))
-        return pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), values], names=["row_id", "doc_id", "digests"])
+        halves = np.concatenate(lists)
+        one, two = (pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.ascontiguousarray(halves[:, k]))) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("doc_id"), one, two], names=["row_id", "doc_id", "one", "two"])
 
-    return map_batches(docs, run, "row_id long, doc_id long, digests array<long>")
+    return map_batches(docs, run, "row_id long, doc_id long, one array<long>, two array<long>")
 
 
 def _cut(data: bytes, starts: np.ndarray, ends: np.ndarray, known: np.ndarray, rule: Chunking) -> tuple[bytes, list[int]]:
@@ -125,11 +128,11 @@ def without_repeats(docs: DataFrame, rule: Chunking | None = None) -> DataFrame:
         rows = stored(rows.withColumn("row_id", F.monotonically_increasing_id()), "numbered")
         last = F.lit(_LAST).cast("decimal(20,0)") + 1 + F.col("row_id")
         names, place = ["row_id", "doc_id"], F.coalesce("doc_id", last).cast("decimal(20,0)")
-    held = chunk_rows(rows, rule).select(*names, F.explode("digests").alias("digest"))
-    firsts = held.groupBy("digest").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.where("first < last").select("digest", "first")
-    later = held.join(firsts, "digest").where(place > F.col("first"))
-    known = later.groupBy("row_id").agg(F.collect_set("digest").alias("known"))
+    held = chunk_rows(rows, rule).select(*names, F.explode(F.arrays_zip("one", "two")).alias("digest")).select(*names, "digest.*")
+    firsts = held.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    firsts = firsts.where("first < last").select("one", "two", "first")
+    later = held.join(firsts, ["one", "two"]).where(place > F.col("first"))
+    known = later.groupBy("row_id").agg(F.collect_set("one").alias("known"))
     schema = "doc_id long, text string, n_bytes long, n_chunks long, spans array<long>"
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -140,7 +143,7 @@ def without_repeats(docs: DataFrame, rule: Chunking | None = None) -> DataFrame:
             for k in range(part.last - part.first):
                 a, b, base = int(first[k]), int(first[k + 1]), int(part.offsets[k])
                 data = part.data[base : part.offsets[k + 1]].tobytes()
-                own = digests[a:b]
+                own = digests[a:b, 0]
                 again = np.ones(b - a, bool)
                 again[np.unique(own, return_index=True)[1]] = False
                 if elsewhere[part.first + k]:

@@ -32,7 +32,7 @@ def _found_words(part: words.Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     """Lower-cased bytes, word starts and ends, words before each text, and word hashes."""
     data = words.LOWER[part.data]
     starts, ends, first = words.word_bounds(data, part.offsets, words.ALNUM)
-    return data, starts, ends, first, words.span_hashes(words.prefix_hashes(data), starts, ends)
+    return data, starts, ends, first, words.word_hashes(data, starts, ends)
 
 
 def _blocks(values: np.ndarray, width: int) -> np.ndarray:

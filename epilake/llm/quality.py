@@ -68,11 +68,10 @@ def text_features(part: words.Slice) -> np.ndarray:
     for name, kind in _CLASSES.items():
         sums = np.concatenate([[0], np.cumsum(kind[part.data], dtype=np.int32)])
         out[name] = share(sums[part.offsets[1:]] - sums[part.offsets[:-1]], size)
-    prefix = words.prefix_hashes(part.data)
     starts, ends, first = words.word_bounds(part.data, part.offsets, words.VISIBLE)
     n = np.diff(first)
     owner = np.repeat(np.arange(rows), n)
-    values = words.span_hashes(prefix, starts, ends)
+    values = words.word_hashes(part.data, starts, ends)
     distinct, top = _repeats(values, owner, rows)
     lengths = ends - starts
     out["log_words"] = np.log1p(n)
@@ -90,7 +89,7 @@ def text_features(part: words.Slice) -> np.ndarray:
     starts, ends, first = words.word_bounds(part.data, part.offsets, _NOT_NEWLINE)
     lines = np.diff(first)
     owner = np.repeat(np.arange(rows), lines)
-    distinct, _ = _repeats(words.span_hashes(prefix, starts, ends), owner, rows)
+    distinct, _ = _repeats(words.word_hashes(part.data, starts, ends), owner, rows)
     out["repeated_lines"] = share(lines - distinct, lines)
     out["words_per_line"] = share(n, lines)
     return np.stack([out[name] for name in FEATURES], axis=1).astype(np.float32)

@@ -8,7 +8,7 @@ suffixes of the corpus agree on ``length`` bytes only if their triggers agree.
 
 What a suffix array of dictionary and parse is asked here is which suffixes tie
 on ``length`` bytes in corpus order. The order itself is not needed, so suffixes
-get names by hash instead of ranks, in three refinements that each drop what is
+get names by digest (two halves of 64 bits) instead of ranks, in three refinements that each drop what is
 settled: the dictionary of phrases, blocks of starting points inside phrases that
 occur in several forms, and single starting points of blocks that do.
 Only one phrase of each form goes on to the next refinement.
@@ -100,8 +100,8 @@ def parsed(docs: DataFrame, rule: Parsing) -> DataFrame:
         for part in words.slices(batch.column("text")):
             prefix = words.prefix_hashes(part.data)
             low, high, trigger = _phrases(part, prefix, rule)
-            keys = words.span_hashes(prefix, trigger, trigger + rule.trigger)
-            forms = words.span_hashes(prefix, low, high + rule.length)
+            keys = words.digests(part.data, trigger, trigger + rule.trigger)[:, 0]
+            forms = words.digests(part.data, low, high + rule.length)[:, 1]
             forms = words.mixed(forms ^ words.mixed((trigger - low).astype(np.uint64)))
             of = _of_texts(part, low)
             base = np.repeat(part.offsets[:-1], np.diff(of))
@@ -148,10 +148,10 @@ def blocks(rows: DataFrame, rule: Parsing) -> DataFrame:
             own, trigger = own[index], trigger[index]
             begin, end = part.offsets[own], part.offsets[own + 1]
             near = trigger - k * size
-            keys = words.span_hashes(prefix, near, near - size + 1 + length)
+            keys = words.digests(part.data, near, near - size + 1 + length)[:, 0]
             far = near - size + 1
             whole = (far >= begin) & (near + length <= end)
-            forms = words.span_hashes(prefix, np.maximum(far, begin), np.minimum(near + length, end))
+            forms = words.digests(part.data, np.maximum(far, begin), np.minimum(near + length, end))[:, 1]
             alone = names[part.first + own].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (near - begin).astype(np.uint64)
             forms = np.where(whole, forms, words.mixed(words.mixed(alone)))
             salt = words.mixed((k + 1).astype(np.uint64))
@@ -171,13 +171,12 @@ def blocks(rows: DataFrame, rule: Parsing) -> DataFrame:
 
 
 def points(rows: DataFrame, rule: Parsing) -> DataFrame:
-    """``row_id, keys, low``: the name of the string at each point of the stretches ``ranges`` of ``rows(row_id, text, ranges)``."""
+    """``row_id, keys, forms, low``: the two halves of the name of the string at each point of the stretches ``ranges`` of ``rows(row_id, text, ranges)``."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts, counts = [], []
         ranges = batch.column("ranges").to_pylist()
         for part in words.slices(batch.column("text")):
-            prefix = words.prefix_hashes(part.data)
             at = []
             for k in range(part.last - part.first):
                 marks = {p for r in ranges[part.first + k] for p in range(r["low"], r["high"] + 1)}
@@ -185,11 +184,12 @@ def points(rows: DataFrame, rule: Parsing) -> DataFrame:
             n = np.array([len(x) for x in at])
             local = np.concatenate(at)
             start = local + np.repeat(part.offsets[:-1], n)
-            parts.append([words.span_hashes(prefix, start, start + rule.length).view(np.int64), local])
+            name = words.digests(part.data, start, start + rule.length).view(np.int64)
+            parts.append([name[:, 0], name[:, 1], local])
             counts.append(n)
-        return pa.RecordBatch.from_arrays([batch.column("row_id"), *_named(parts, counts)], names=["row_id", "keys", "low"])
+        return pa.RecordBatch.from_arrays([batch.column("row_id"), *_named(parts, counts)], names=["row_id", "keys", "forms", "low"])
 
-    return map_batches(rows, run, "row_id long, keys array<long>, low array<long>")
+    return map_batches(rows, run, "row_id long, keys array<long>, forms array<long>, low array<long>")
 
 
 def _exploded(rows: DataFrame) -> DataFrame:
@@ -204,7 +204,8 @@ def _forms(cells: DataFrame, label: str) -> DataFrame:
     several = stored(found.groupBy("keys").agg(F.count("*").alias("kinds")).where("kinds > 1"), label)
     # Tables on both sides, so that the join can split a key with very many forms.
     joined = found.join(several, "keys", "left")
-    return joined.withColumn("kinds", F.coalesce("kinds", F.lit(1))).where("n > 1 OR kinds > 1")
+    joined = joined.withColumn("kinds", F.coalesce("kinds", F.lit(1))).where("n > 1 OR kinds > 1")
+    return stored(joined, label)  # or joins by form would be dealt by key
 
 
 def _settled(cells: DataFrame, forms: DataFrame) -> DataFrame:
@@ -236,10 +237,10 @@ def repeated_spans(docs: DataFrame, rule: Parsing) -> tuple[DataFrame, DataFrame
     spans.append(_settled(cells, found))
     ranges = _to_refine(cells, found).groupBy("row_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     named = points(texts.join(ranges, "row_id"), rule)
-    single = named.select("row_id", F.explode(F.arrays_zip("keys", "low")).alias("cell")).select("row_id", "cell.*")
+    single = named.select("row_id", F.explode(F.arrays_zip("keys", "forms", "low")).alias("cell")).select("row_id", "cell.*")
     single = stored(single, "points")
-    again = single.groupBy("keys").agg(F.count("*").alias("n")).where("n > 1").select("keys")
-    hits = single.join(again, "keys", "left_semi").select("row_id", "low", F.col("low").alias("high"))
+    again = single.groupBy("keys", "forms").agg(F.count("*").alias("n")).where("n > 1").select("keys", "forms")
+    hits = single.join(again, ["keys", "forms"], "left_semi").select("row_id", "low", F.col("low").alias("high"))
     spans.append(hits)
     return parse.select("row_id", "doc_id", "n_bytes", "sha256"), spans[0].union(spans[1]).union(spans[2]), texts
 

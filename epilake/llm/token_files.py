@@ -84,11 +84,13 @@ class _Encoder:
         self.forget()
 
     def forget(self) -> None:
-        # Hashes of pieces in order, the slot of each, and by slot where its ids begin.
+        # Hashes of pieces in order, the slot of each, and by slot where its ids and its bytes begin.
         self.known = np.zeros(0, np.uint64)
         self.slots = np.zeros(0, np.int64)
         self.starts = np.zeros(1 << 16, np.int64)
         self.ids = np.zeros(1 << 18, self.dtype)
+        self.spelled = np.zeros(1 << 16, np.int64)
+        self.bytes = np.zeros(1 << 18, np.uint8)
 
     def piece(self, data: bytes) -> list[int]:
         """Ids of one piece. Plain words need no pre-tokenizer, which would leave them as they are."""
@@ -119,6 +121,13 @@ class _Encoder:
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.starts[count] : ends[-1]] = [i for x in new for i in x]
         self.starts[count + 1 : count + 1 + len(new)] = ends
+        spelled = np.cumsum([len(x) for x in pieces]) + self.spelled[count]
+        while len(self.spelled) < len(self.starts):
+            self.spelled = np.concatenate([self.spelled, np.zeros_like(self.spelled)])
+        while len(self.bytes) < spelled[-1]:
+            self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)])
+        self.bytes[self.spelled[count] : spelled[-1]] = np.frombuffer(b"".join(pieces), np.uint8)
+        self.spelled[count + 1 : count + 1 + len(new)] = spelled
         known = np.concatenate([self.known, hashes])
         order = np.argsort(known, kind="stable")
         self.known = known[order]
@@ -138,7 +147,7 @@ class _Encoder:
         if not len(starts):
             return np.zeros(0, self.dtype), np.zeros(len(part.offsets), np.int64)
         ends = np.append(starts[1:], len(part.data))
-        hashes = words.span_hashes(words.prefix_hashes(part.data), starts, ends)
+        hashes = words.word_hashes(part.data, starts, ends)
         order = np.argsort(hashes)
         ordered = hashes[order]
         new = np.ones(len(order), bool)
@@ -160,12 +169,31 @@ class _Encoder:
             known[unknown] = len(self.known) + np.arange(len(unknown))
             self._learn(names[unknown], pieces)
         slot = known[kind]
+        if not self._spells(slot, part.data, starts[0]):
+            return self._one_by_one(part)
         low = self.starts[slot]
         sizes = self.starts[slot + 1] - low
         before = np.concatenate([[0], np.cumsum(sizes)])
         ids = self.ids[np.repeat(low - before[:-1], sizes) + np.arange(before[-1])]
         return ids, before[first]
 
+    def _spells(self, slot: np.ndarray, data: np.ndarray, start: int) -> bool:
+        """Whether the pieces in these slots, one after another, are the data: a hash alone does not decide."""
+        low = self.spelled[slot]
+        sizes = self.spelled[slot + 1] - low
+        before = np.cumsum(sizes) - sizes
+        if before[-1] + sizes[-1] != len(data) - start:
+            return False
+        return np.array_equal(self.bytes[np.repeat(low - before, sizes) + np.arange(len(data) - start)], data[start:])
+
+    def _one_by_one(self, part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a slice in which two pieces have the same hash, each text encoded whole."""
+        data = part.data.tobytes()
+        texts = [data[a:b].decode() for a, b in itertools.pairwise(part.offsets.tolist())]
+        ids = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        before = np.cumsum([0, *map(len, ids)])
+        return np.array([i for x in ids for i in x], self.dtype), before
+
 
 def piece_starts(part: words.Slice) -> tuple[np.ndarray, np.ndarray]:
     """Where pieces begin that are encoded alike in any context, and for each text the number of pieces before it.

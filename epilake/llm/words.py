@@ -7,6 +7,7 @@ cut: one longer than a slice is a slice of its own.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -67,7 +68,11 @@ def prefix_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The hash of each ``data[start:end]``; equal bytes have equal hashes wherever they lie."""
+    """A rolling hash of each ``data[start:end]``; equal bytes have equal hashes wherever they lie.
+
+    Different bytes with equal hashes can be made, so it may choose places but
+    must not decide what is equal: ``word_hashes`` and ``digests`` are for that.
+    """
     _, down = powers(len(prefix))
     return mixed((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(_U64))
 
@@ -116,6 +121,48 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tupl
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(starts, offsets)
 
 
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 128-bit cryptographic digest of each ``data[start:end]``, as two columns of 64 bits."""
+    view, blake = memoryview(np.ascontiguousarray(data)), hashlib.blake2b
+    held = [blake(view[a:b], digest_size=16).digest() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return np.frombuffer(b"".join(held), np.uint64).reshape(-1, 2)
+
+
+#: Two primes, and for each a base: equal hashes of different words are as rare as 2**-62, and not made by patterns.
+_MODULI = ((2_147_483_647, 1_664_525_717), (2_147_483_629, 1_013_904_223))
+_residues: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _residue_powers(modulus: int, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The base to the powers 0..n, and its inverses, to a prime modulus."""
+    if modulus not in _residues or len(_residues[modulus][0]) <= n:
+        size = max(n + 1, 2 * SLICE_BYTES)
+        found = []
+        for factor in (base, pow(base, -1, modulus)):
+            values = np.ones(1, _U64)
+            while len(values) < size:
+                values = np.concatenate([values, values * _U64(pow(factor, len(values), modulus)) % _U64(modulus)])
+            found.append(values)
+        _residues[modulus] = (found[0], found[1])
+    return _residues[modulus]
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each ``data[start:end]``: polynomials to two prime moduli, mixed with the length."""
+    out = np.zeros(len(starts), _U64)
+    small = data.astype(_U64) + _U64(1)
+    for modulus, base in _MODULI:
+        up, down = _residue_powers(modulus, base, len(data))
+        terms = small * up[: len(data)]
+        if len(data) > 1 << 22:  # or the sums would not fit
+            terms %= _U64(modulus)
+        prefix = np.zeros(len(data) + 1, _U64)
+        np.cumsum(terms, out=prefix[1:])
+        value = (prefix[ends] - prefix[starts]) % _U64(modulus) * down[starts] % _U64(modulus)
+        out = (out << _U64(32)) | value
+    return mixed(out ^ mixed((ends - starts).astype(_U64)))
+
+
 def windows(values: np.ndarray, width: int) -> np.ndarray:
     """A hash of every ``width`` values in a row; windows over the end of a text are the caller's to skip."""
     n = len(values) - width + 1
@@ -123,6 +170,7 @@ def windows(values: np.ndarray, width: int) -> np.ndarray:
         return np.zeros(0, _U64)
     out = values[:n].copy()
     for k in range(1, width):
+        out ^= out >> _U64(29)
         out *= _U64(_BASE)
         out += values[k : n + k]
     return mixed(out)
@@ -136,7 +184,7 @@ def shingle_sets(part: Slice, width: int, lower: bool = True) -> Iterator[np.nda
     """
     data = LOWER[part.data] if lower else part.data
     starts, ends, first = word_bounds(data, part.offsets, VISIBLE)
-    words = span_hashes(prefix_hashes(data), starts, ends)
+    words = word_hashes(data, starts, ends)
     grams = windows(words, width)
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         if b - a >= width:
