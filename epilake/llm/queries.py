@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from epilake.llm import chunks, repeats
+from epilake.llm.alignment import Tokenizers, align
 from epilake.llm.decontaminate import contamination
 from epilake.llm.language import predict_language
 from epilake.llm.main_text import extract
@@ -106,6 +107,17 @@ def op10_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_bytes", "n_removed", n_spans, "kept_sha256")
 
 
+def piece_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(table(spark, sf_dir, "documents"), Tokenizers(byte_tokenizer(), piece_tokenizer()))
+
+
 @query
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards(table(spark, sf_dir, "documents"), Shards(16))
