@@ -494,28 +494,44 @@ def curated_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN o_custkey::VARCHAR ELSE 'C' || o_custkey END AS cliente,"
-    " CASE o_orderstatus WHEN 'O' THEN o_orderpriority END AS prioridade, (o_orderkey % 7)::DOUBLE AS resto,"
+    " CASE o_orderstatus WHEN 'O' THEN o_orderpriority END AS prioridade,"
+    " (o_orderkey % 7)::DOUBLE AS resto,"
+    " CASE o_orderstatus WHEN 'F' THEN (9007199254740993 + o_orderkey)::VARCHAR ELSE (o_orderkey % 1000 + 0.5)::VARCHAR END AS grande,"
+    " CASE o_orderstatus WHEN 'F' THEN (o_custkey::BIGINT * 1000000007)::DECIMAL(25, 4)::VARCHAR"
+    " ELSE (o_custkey % 90000 + 0.0625)::DECIMAL(25, 4)::VARCHAR END AS valor,"
     " CASE o_orderstatus WHEN 'F' THEN '20221103' ELSE '20221104' END AS process_date"
     " FROM orders WHERE o_orderstatus IN ('F', 'O')"
 )
 def curated_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second date has one column more and two of other types; all dates are read as one table."""
+    """The second date has one column more and four of other types; all dates are read as one table, every value exact.
+
+    ``grande`` is whole numbers beyond what a double holds on one date and doubles on the other, so its type is text;
+    ``valor`` is whole numbers on one date and decimals on the other, so its type is a decimal with room for both.
+    """
     root = scratch_path(spark, "curated_all_dates")
     layout = LakeLayout(f"{root}/raw", f"{root}/curated")
     orders = table(spark, sf_dir, "orders")
-    rest = F.col("o_orderkey") % 7
+    key, rest = F.col("o_orderkey"), F.col("o_orderkey") % 7
     first = orders.filter("o_orderstatus = 'F'").select(
-        "o_orderkey", F.col("o_custkey").alias("cliente"), rest.cast("int").alias("resto")
+        "o_orderkey",
+        F.col("o_custkey").alias("cliente"),
+        rest.cast("int").alias("resto"),
+        (F.lit(9007199254740993) + key).alias("grande"),
+        (F.col("o_custkey").cast("bigint") * 1000000007).alias("valor"),
     )
     second = orders.filter("o_orderstatus = 'O'").select(
         "o_orderkey",
         F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("cliente"),
         F.col("o_orderpriority").alias("prioridade"),
         rest.cast("double").alias("resto"),
+        (key % 1000 + 0.5).cast("double").alias("grande"),
+        (F.col("o_custkey") % 90000 + 0.0625).cast("decimal(10,4)").alias("valor"),
     )
     for rows, date in ((first, RUN_DATE), (second, NEXT_DATE)):
         write_curated(rows, layout, "pedidos", f"{date:%Y%m%d}")
-    return read_curated(spark, layout, "pedidos")
+    found = read_curated(spark, layout, "pedidos")
+    return found.withColumn("valor", F.col("valor").cast("string"))
+
 
 
 # Whole jobs on batches made from the tables

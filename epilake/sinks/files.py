@@ -2,23 +2,16 @@
 
 from __future__ import annotations
 
-import json
-from collections import defaultdict
-from functools import reduce
-
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException, PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StructType
 
 from epilake.functions.columns import named
 from epilake.layout import Batch, LakeLayout
-from epilake.sources.delimited import MALFORMED, discover_schema, read_delimited
+from epilake.sinks.history import DATE_COLUMN, date_schema, read_all_dates, record_schema
+from epilake.sources.delimited import MALFORMED, read_delimited
 from epilake.sources.dialect import CONTROL, CsvDialect
 
-DATE_COLUMN = "process_date"
-
 
 def write_rows(df: DataFrame, path: str, fmt: str, dialect: CsvDialect, max_records: int = 0) -> None:
     """Replace one directory. Every task writes its own part files.
@@ -72,7 +65,7 @@ def write_curated(df: DataFrame, layout: LakeLayout, output: str, process_date:
     the job has succeeded; a job that fails leaves those as they were. An empty
     result clears an earlier one. The returned frame scans the Parquet just
     written, which is narrower and cheaper than the source; text layers return
-    the input itself and keep its types beside the output.
+    the input itself. The types are kept beside the output.
     """
     if DATE_COLUMN in {column.lower() for column in df.columns}:
         raise ValueError(f"{DATE_COLUMN!r} is the name of the output's date")
@@ -92,65 +85,15 @@ def write_curated(df: DataFrame, layout: LakeLayout, output: str, process_date:
     if not written.get.get("rows", 0):  # no rows, no partition to replace
         empty = spark.createDataFrame([], df.schema)
         write_rows(empty, path, layout.curated_format, layout.curated_dialect)
-    if layout.curated_format == "parquet":
-        return spark.read.schema(df.schema).parquet(path)
-    kept = spark.createDataFrame([(df.schema.json(),)], "value STRING")
-    kept.coalesce(1).write.mode("overwrite").text(layout.schema_path(output, process_date))
-    return df
-
-
-def _text_schema(spark: SparkSession, layout: LakeLayout, output: str, date: str, infer: bool):
-    """Types of a text output: as kept when it was written, else inferred if allowed, else none."""
-    try:
-        lines = spark.read.text(layout.schema_path(output, date)).collect()
-        return StructType.fromJson(json.loads(lines[0]["value"]))
-    except AnalysisException:
-        path = layout.curated_path(output, date)
-        return discover_schema(spark, path, layout.curated_dialect) if infer else None
+    record_schema(spark, layout, output, process_date, df.schema)
+    return spark.read.schema(df.schema).parquet(path) if layout.curated_format == "parquet" else df
 
 
 def _read_date(spark: SparkSession, layout: LakeLayout, output: str, date: str, infer: bool) -> DataFrame:
     path = layout.curated_path(output, date)
     if layout.curated_format == "parquet":
         return spark.read.parquet(path)
-    schema = _text_schema(spark, layout, output, date, infer)
-    return read_delimited(spark, path, layout.curated_dialect, schema)
-
-
-def _common_type(types: list[DataType]) -> DataType | str:
-    """A type that holds the values of all: themselves, the wider number, or text."""
-    if all(t == types[0] for t in types):
-        return types[0]
-    if all(isinstance(t, NumericType) for t in types):
-        whole = all(t.simpleString() in ("tinyint", "smallint", "int", "bigint") for t in types)
-        return "bigint" if whole else "double"
-    return "string"
-
-
-def _read_all_dates(spark: SparkSession, layout: LakeLayout, output: str, infer: bool) -> DataFrame:
-    """Dates of one schema are one scan; the scans are lined up by name and common type."""
-    root = layout.output_path(output)
-    listed = spark.read.format("binaryFile").load(root).select(F.col(DATE_COLUMN).cast("string"))
-    dates = sorted(row[0] for row in listed.distinct().collect())
-    groups: dict[str, list[str]] = defaultdict(list)
-    for date in dates:
-        groups[_read_date(spark, layout, output, date, infer).schema.json()].append(date)
-    parts = []
-    for schema, own in groups.items():
-        fields = StructType.fromJson(json.loads(schema))
-        reader = spark.read.schema(fields).option("basePath", root)
-        paths = [layout.curated_path(output, date) for date in own]
-        if layout.curated_format == "csv":
-            parts.append(reader.options(**layout.curated_dialect.read_options()).csv(paths))
-        else:
-            parts.append(reader.parquet(*paths))
-    types: dict[str, list[DataType]] = defaultdict(list)
-    for part in parts:
-        for column in part.schema:
-            types[column.name].append(column.dataType)
-    common = {name: _common_type(found) for name, found in types.items()}
-    lined = [p.select(*[named(c).cast(common[c]).alias(c) for c in p.columns]) for p in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), lined)
+    return read_delimited(spark, path, layout.curated_dialect, date_schema(spark, layout, output, date, infer))
 
 
 def read_curated(
@@ -163,20 +106,11 @@ def read_curated(
     """One output of one date, or of all dates with ``process_date`` as a column.
 
     Over all dates a column is there if any date has it, NULL where a date
-    lacks it, in a type that holds every date's values. Text outputs have the
-    types they were written with; those of other programs are text, or
-    inferred with ``infer``.
+    lacks it, in a type that holds every date's values exactly: a wider number,
+    or text where no number does. Types come from the records that the writes
+    left; dates of other programs are looked into, and text outputs among them
+    are text, or inferred with ``infer``.
     """
     if process_date is not None:
         return _read_date(spark, layout, output, process_date, infer)
-    rows = None
-    if layout.curated_format == "parquet":
-        try:  # one scan, if the dates' types agree
-            rows = spark.read.option("mergeSchema", "true").parquet(layout.output_path(output))
-        except (PySparkException, Py4JJavaError) as error:
-            if "MERGE_SCHEMA" not in str(error) and "merge" not in str(error).lower():
-                raise
-    if rows is None:
-        rows = _read_all_dates(spark, layout, output, infer)
-    # Directory names are read as numbers; a filter on the text still prunes.
-    return rows.withColumn(DATE_COLUMN, named(DATE_COLUMN).cast("string"))
+    return read_all_dates(spark, layout, output, infer)

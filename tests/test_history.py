@@ -1,0 +1,191 @@
+"""Outputs over all dates: nothing is rounded, and no date costs a job."""
+
+from __future__ import annotations
+
+import datetime as dt
+import itertools
+import json
+from decimal import Decimal
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from epilake.functions.types import common_type, widened, wider
+from epilake.layout import LakeLayout
+from epilake.sinks import history
+from epilake.sinks.files import read_curated, write_curated
+from epilake.sinks.storage import create_file
+
+KINDS = [
+    T.ByteType(),
+    T.ShortType(),
+    T.IntegerType(),
+    T.LongType(),
+    T.FloatType(),
+    T.DoubleType(),
+    T.DecimalType(5, 2),
+    T.DecimalType(15, 0),
+    T.DecimalType(20, 0),
+    T.DecimalType(38, 10),
+    T.StringType(),
+    T.BooleanType(),
+    T.DateType(),
+    T.TimestampType(),
+    T.TimestampNTZType(),
+    T.BinaryType(),
+    T.NullType(),
+    T.ArrayType(T.IntegerType()),
+    T.ArrayType(T.DoubleType()),
+    T.StructType([T.StructField("a", T.LongType())]),
+    T.StructType([T.StructField("a", T.DoubleType()), T.StructField("b", T.DateType())]),
+]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(KINDS), min_size=1, max_size=5))
+def test_the_common_type_does_not_depend_on_the_order(kinds):
+    found = {common_type(order).json() for order in itertools.permutations(kinds)}
+    assert len(found) == 1
+
+
+def test_what_meets_in_what():
+    long, double, integer = T.LongType(), T.DoubleType(), T.IntegerType()
+    assert wider(integer, long) == long
+    assert wider(integer, double) == double
+    assert wider(T.FloatType(), T.ShortType()) == double
+    assert wider(long, double) == T.StringType()
+    assert wider(long, T.DecimalType(10, 4)) == T.DecimalType(23, 4)
+    assert wider(T.DecimalType(38, 0), T.DecimalType(5, 4)) == T.StringType()
+    assert wider(T.DecimalType(5, 2), double) == T.StringType()
+    assert wider(T.DateType(), T.TimestampNTZType()) == T.TimestampNTZType()
+    assert wider(T.DateType(), T.TimestampType()) == T.StringType()
+    assert wider(T.NullType(), double) == double
+
+
+VALUES = {
+    "tinyint": [-128, 127],
+    "int": [-(2**31), 2**31 - 1, 0],
+    "bigint": [-(2**63), 2**63 - 1, 2**53 + 1],
+    "float": [0.1, 3.4e38, -0.0],
+    "double": [0.1, 1e300, 5e-324, float("inf"), 2.0**53],
+    "decimal(9,4)": [Decimal("99999.9999"), Decimal("-0.0001")],
+    "decimal(38,0)": [Decimal(10**38 - 1)],
+    "string": ["x", ""],
+    "boolean": [True, False],
+    "date": [dt.date(1, 1, 1), dt.date(9999, 12, 31)],
+    "binary": [b"\xff\x00"],
+}
+
+
+@pytest.mark.parametrize("one,other", [*itertools.permutations(VALUES, 2)])
+def test_no_two_values_become_one(spark, one, other):
+    """Within each type, a value can be told from all others after widening, and numbers keep their value."""
+    for kind in (one, other):
+        rows = spark.createDataFrame([(v,) for v in [*VALUES[kind], None]], f"v {kind}")
+        own = rows.schema["v"].dataType
+        target = wider(own, spark.createDataFrame([], f"v {other if kind == one else one}").schema["v"].dataType)
+        back = rows.select("v", widened(F.col("v"), own, target).alias("w"))
+        if isinstance(target, T.StringType):
+            again = F.unhex("w") if kind == "binary" else F.col("w").cast(own)
+            back = back.select("v", again.alias("w"))
+        for v, w in back.collect():
+            assert v == w or (kind == "float" and pytest.approx(v) == w)
+
+
+def layout_at(path, fmt: str = "parquet") -> LakeLayout:
+    return LakeLayout(f"{path}/raw", f"{path}/curated", curated_format=fmt)
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_large_numbers_survive_a_double_on_another_date(spark, tmp_path, fmt):
+    layout = layout_at(tmp_path, fmt)
+    write_curated(spark.createDataFrame([(2**53 + 1, 1)], "n bigint, m int"), layout, "o", "20220101")
+    write_curated(spark.createDataFrame([(0.5, 2.5)], "n double, m double"), layout, "o", "20220102")
+    write_curated(spark.createDataFrame([(Decimal("0.10"),)], "m decimal(4,2)"), layout, "o", "20220103")
+    rows = {r.process_date: r for r in read_curated(spark, layout, "o").collect()}
+    assert [rows[d].n for d in sorted(rows)] == ["9007199254740993", "0.5", None]
+    assert [rows[d].m for d in sorted(rows)] == ["1", "2.5", "0.10"]
+
+
+def test_nested_columns_meet_field_by_field(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    write_curated(spark.sql("SELECT named_struct('a', 1, 'b', 2L) AS s, array(1, 2) AS l, map('k', 1) AS m"), layout, "o", "1")
+    write_curated(spark.sql("SELECT named_struct('b', 0.5D, 'c', 'x') AS s, array(0.5D) AS l, map('k', 2L) AS m"), layout, "o", "2")
+    write_curated(spark.sql("SELECT CAST(NULL AS STRUCT<a: INT>) AS s, 'text' AS m"), layout, "o", "3")
+    rows = {r.process_date: r for r in read_curated(spark, layout, "o").collect()}
+    assert rows["1"].s == (1, "2", None) and rows["2"].s == (None, "0.5", "x") and rows["3"].s is None
+    assert rows["1"].l == [1.0, 2.0] and rows["2"].l == [0.5] and rows["3"].l is None
+    assert json.loads(rows["1"].m) == {"k": 1} and rows["3"].m == "text"
+
+
+def test_dates_that_look_like_numbers_stay_text(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    for date in ("01022022", "2022-01-02", "1e3"):
+        write_curated(spark.range(2), layout, "o", date)
+    rows = read_curated(spark, layout, "o")
+    assert {r.process_date for r in rows.collect()} == {"01022022", "2022-01-02", "1e3"}
+    assert rows.filter("process_date = '01022022'").count() == 2
+
+
+def _jobs(spark, action) -> int:
+    group = f"jobs-{id(action)}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_more_dates_take_no_more_jobs_to_open(spark, tmp_path, monkeypatch):
+    layout = layout_at(tmp_path)
+    looked_into = []
+    found = history._found_schemas
+    monkeypatch.setattr(history, "_found_schemas", lambda *a: looked_into.extend(a[3]) or found(*a))
+    kinds = ["bigint", "double", "string"]
+    write = lambda k: write_curated(spark.range(3).select(F.col("id").cast(kinds[k % 3])), layout, "o", f"2022{k:04d}")
+    for k in range(3):
+        write(k)
+    few = _jobs(spark, lambda: read_curated(spark, layout, "o"))
+    for k in range(3, 15):
+        write(k)
+    assert _jobs(spark, lambda: read_curated(spark, layout, "o")) == few
+    assert not looked_into
+    assert read_curated(spark, layout, "o").count() == 45
+
+
+def test_a_record_is_not_believed_for_files_of_another_write(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    write_curated(spark.createDataFrame([(1,)], "n bigint"), layout, "o", "20220101")
+    write_curated(spark.createDataFrame([(2,)], "n bigint"), layout, "o", "20220102")
+    # Another program replaces one date, and the record of the first write stays.
+    spark.createDataFrame([(0.5, "x")], "n double, more string").write.mode("overwrite").parquet(layout.curated_path("o", "20220102"))
+    rows = {r.process_date: (r.n, r.more) for r in read_curated(spark, layout, "o").collect()}
+    assert rows == {"20220101": ("1", None), "20220102": ("0.5", "x")}
+
+
+def test_dates_of_other_programs_are_looked_into_by_halves(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    for k in range(9):
+        kind = "bigint" if k < 6 else "string"
+        spark.range(1).select(F.lit(k).cast(kind).alias("n")).write.parquet(layout.curated_path("o", f"2022010{k}"))
+    assert sorted(r.n for r in read_curated(spark, layout, "o").collect()) == [str(k) for k in range(9)]
+
+
+def test_records_of_an_earlier_version_hold_for_text(spark, tmp_path):
+    layout = layout_at(tmp_path, "csv")
+    write_curated(spark.createDataFrame([("007", 5)], "code string, n bigint"), layout, "o", "20220101")
+    schema = T.StructType.fromDDL("code string, n bigint")
+    create_file(spark, f"{layout.schema_path('o', '20220101')}/schema.json", schema.json(), overwrite=True)
+    assert read_curated(spark, layout, "o").collect()[0][:2] == ("007", 5)
+    assert read_curated(spark, layout, "o", "20220101").collect()[0] == ("007", 5)
+
+
+def test_an_empty_date_and_no_date(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    write_curated(spark.createDataFrame([], "n bigint"), layout, "o", "20220101")
+    write_curated(spark.createDataFrame([(1,)], "n bigint"), layout, "o", "20220102")
+    assert [r.n for r in read_curated(spark, layout, "o").collect()] == [1]
