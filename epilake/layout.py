@@ -5,18 +5,24 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from epilake.sources.dialect import STAGED, CsvDialect
+from epilake.sources.headers import Drift
 
 FORMATS = ("parquet", "csv")
 
 
 @dataclass(frozen=True)
 class Batch:
-    """One landed snapshot of a dataset; ``malformed`` counts records with a wrong number of fields."""
+    """One landed snapshot of a dataset.
+
+    ``malformed`` counts records with a wrong number of fields; ``drift`` says how its
+    columns differ from those of the batch before, None if there was none to compare with.
+    """
 
     dataset: str
     process_date: str
     uuid: str
     malformed: int = field(default=0, compare=False)
+    drift: Drift | None = field(default=None, compare=False)
 
 
 @dataclass(frozen=True)
@@ -53,6 +59,14 @@ class LakeLayout:
     def control_path(self, dataset: str) -> str:
         return f"{self.dataset_path(dataset)}/Control_file_{dataset}.txt"
 
+    def pointer_path(self, dataset: str, sequence: int) -> str:
+        """The pointer file of one landing; greater numbers are later."""
+        return f"{self.control_path(dataset)}/{sequence:019d}.csv"
+
+    def header_path(self, batch: Batch) -> str:
+        """Where the columns of a landed batch are kept; readers of the pointers skip names with ``_``."""
+        return f"{self.control_path(batch.dataset)}/_header-{batch.process_date}-{batch.uuid}.json"
+
     def output_path(self, output: str) -> str:
         return f"{self.curated.rstrip('/')}/{output}"
 

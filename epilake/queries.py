@@ -37,8 +37,9 @@ from epilake.plans.daily import DATE_PATTERNS
 from epilake.plans.jobs import LOADS, export, run_daily, run_monthly
 from epilake.plans.landing import land
 from epilake.session import scratch_path
-from epilake.sinks.files import read_curated, write_batch, write_curated, write_pointer, write_rows
+from epilake.sinks.files import read_curated, write_batch, write_curated, write_rows
 from epilake.sinks.jdbc import JdbcTarget, append_once, missing_rows, overwrite_table, read_table
+from epilake.sinks.pointers import write_pointer
 from epilake.sources.archive import archive_members, inflate, parse_lines, read_zipped_delimited
 from epilake.sources.catalog import CATALOG_SCHEMA, in_period, landing_plan, read_catalog
 from epilake.sources.control import latest_batches, latest_pointers, parse_pointer

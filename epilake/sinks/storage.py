@@ -55,6 +55,21 @@ def file_names(spark: SparkSession, path: str) -> list[str] | None:
     return [status.getPath().getName() for status in found]
 
 
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    files, place = _opened(spark, path)
+    try:
+        opened = files.open(place)
+    except Py4JJavaError as error:
+        if _is(error, "FileNotFoundException"):
+            return None
+        raise
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8")
+    finally:
+        opened.close()
+
+
 def remove_file(spark: SparkSession, path: str) -> None:
     """Take away one file, or an empty folder."""
     files, place = _opened(spark, path)

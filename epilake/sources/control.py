@@ -34,21 +34,27 @@ def latest_pointers(pointers: DataFrame, key: str, *first: str) -> DataFrame:
 def read_control_files(
     spark: SparkSession, layout: LakeLayout, datasets: Sequence[str]
 ) -> DataFrame:
-    """All pointers of some datasets, in one scan: dataset, process_date, uuid, written."""
+    """All pointers of some datasets, in one scan: dataset, process_date, uuid, sequence, written.
+
+    ``sequence`` is the number in the name of the pointer's file, and 0 for the
+    files of other programs, which have none.
+    """
     paths = [layout.control_path(dataset) for dataset in datasets]
     scan = read_delimited(spark, paths, CONTROL, POINTER_SCHEMA)
     # The path is percent-encoded, and a literal plus sign in it is not a blank.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     dataset = F.regexp_extract(path, r"/Control_file_([^/]+)\.txt(?:/[^/]*)?$", 1)
+    number = F.regexp_extract(path, r"/(\d{19})\.csv$", 1)
+    sequence = F.when(number != "", number.cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("sequence")
     written = F.col("_metadata.file_modification_time").alias("written")
-    return scan.select(dataset.alias("dataset"), "process_date", "uuid", written)
+    return scan.select(dataset.alias("dataset"), "process_date", "uuid", sequence, written)
 
 
 def _found(spark: SparkSession, layout: LakeLayout, datasets: Sequence[str]) -> dict[str, Batch]:
     pointers = read_control_files(spark, layout, datasets).filter(
         F.col("process_date").isNotNull() & F.col("uuid").isNotNull()
     )
-    rows = latest_pointers(pointers, "dataset", "written").collect()
+    rows = latest_pointers(pointers, "dataset", "sequence", "written").collect()
     return {row["dataset"]: Batch(**row.asDict()) for row in rows}
 
 
@@ -57,8 +63,9 @@ def latest_batches(
 ) -> dict[str, Batch]:
     """The current batch of each dataset, all from one job.
 
-    The latest pointer file counts, and in it the greatest date and id. Only
-    the pointers reach the driver: one row per dataset.
+    The pointer file with the greatest number counts; among files without one,
+    the latest, and in it the greatest date and id. Only the pointers reach the
+    driver: one row per dataset.
     """
     found = _found(spark, layout, datasets)
     empty = [dataset for dataset in datasets if dataset not in found]

@@ -10,7 +10,8 @@ from epilake.layout import Batch, LakeLayout
 from epilake.operators.aggregate import zero_count
 from epilake.operators.latest import latest_per_key
 from epilake.operators.rename import sort_desc
-from epilake.sinks.files import write_batch, write_curated, write_pointer
+from epilake.sinks.files import write_batch, write_curated
+from epilake.sinks.pointers import write_pointer
 from epilake.sinks.jdbc import missing_rows
 from epilake.sources.control import latest_batches
 from epilake.sources.registry import DatasetSpec, read_batch

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from epilake.layout import Batch, LakeLayout
 from epilake.plans.jobs import LOADS, JobError, Written, export, run_all, run_daily, run_monthly
 from epilake.plans.landing import LandingError, land
-from epilake.sinks.files import read_curated, write_batch, write_curated, write_pointer
+from epilake.sinks.files import read_curated, write_batch, write_curated
 from epilake.sinks.jdbc import JdbcTarget, count_table, read_table
+from epilake.sinks.pointers import write_pointer
 from epilake.sources.catalog import CATALOG_SCHEMA, read_catalog
 from epilake.sources.control import latest_batches
 from epilake.sources.dialect import CsvDialect

@@ -1,0 +1,178 @@
+"""The order of landings, what their columns were, and landings side by side."""
+
+from __future__ import annotations
+
+import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.errors import PySparkException
+from test_jobs import DATE, RUN_DATE, publish
+
+from epilake.layout import Batch, LakeLayout
+from epilake.plans import landing
+from epilake.plans.landing import LandingError, land
+from epilake.sinks.pointers import last_batch, record_header, write_pointer
+from epilake.sinks.storage import create_file, file_names, read_file
+from epilake.sources.catalog import read_catalog
+from epilake.sources.control import latest_batches
+from epilake.sources.headers import Drift, Header
+
+
+def layout_at(path) -> LakeLayout:
+    return LakeLayout(f"{path}/raw", f"{path}/curated")
+
+
+def folder(tmp_path, dataset="d"):
+    return tmp_path / f"raw/{dataset}/Control_file_{dataset}.txt"
+
+
+def same_time(tmp_path) -> None:
+    for path in folder(tmp_path).iterdir():
+        os.utime(path, (1_600_000_000, 1_600_000_000))
+
+
+@pytest.mark.parametrize("ids", [("z", "m", "a"), ("a", "m", "z")])
+def test_equal_time_stamps_decide_nothing(spark, tmp_path, ids):
+    layout = layout_at(tmp_path)
+    for number, uuid in enumerate(ids, 1):
+        assert write_pointer(spark, layout, Batch("d", DATE, uuid)) == number
+        same_time(tmp_path)
+        assert latest_batches(spark, layout, ["d"])["d"].uuid == uuid
+        assert last_batch(spark, layout, "d") == Batch("d", DATE, uuid)
+
+
+def test_clocks_that_go_back_decide_nothing(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    for uuid in ("first", "second"):
+        write_pointer(spark, layout, Batch("d", DATE, uuid))
+    early, late = sorted(folder(tmp_path).glob("*.csv"))
+    os.utime(early, (2_000_000_000, 2_000_000_000))
+    os.utime(late, (1_000_000_000, 1_000_000_000))
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == "second"
+
+
+def test_an_earlier_date_landed_later_is_the_current_one(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    write_pointer(spark, layout, Batch("d", "20221104", "a"))
+    write_pointer(spark, layout, Batch("d", "20221101", "b"))
+    assert latest_batches(spark, layout, ["d"])["d"] == Batch("d", "20221101", "b")
+
+
+def test_landings_at_once_take_different_numbers(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda k: write_pointer(spark, layout, Batch("d", DATE, f"u{k}")), range(24)))
+    assert sorted(numbers) == list(range(1, 25))
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == f"u{numbers.index(24)}"
+
+
+def test_numbered_pointers_count_before_those_of_others(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    spark.createDataFrame([(DATE, "old")], "a string, b string").write.csv(str(folder(tmp_path)), sep="|")
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == "old"
+    write_pointer(spark, layout, Batch("d", DATE, "new"))
+    for path in folder(tmp_path).glob("part-*"):
+        os.utime(path, (2_000_000_000, 2_000_000_000))
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == "new"
+
+
+def test_a_plain_file_is_replaced_and_an_unfinished_one_skipped(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    folder(tmp_path).parent.mkdir(parents=True)
+    folder(tmp_path).write_text(f"{DATE}|plain\n")
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == "plain"
+    assert last_batch(spark, layout, "d") is None
+    write_pointer(spark, layout, Batch("d", DATE, 'a "quoted" \\ id'))
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == 'a "quoted" \\ id'
+    (folder(tmp_path) / f"{2:019d}.csv").write_text("")  # created, not yet written
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == 'a "quoted" \\ id'
+    assert write_pointer(spark, layout, Batch("d", DATE, "next")) == 3
+
+
+def test_small_files(spark, tmp_path):
+    path = f"{tmp_path}/x/é 1.txt"
+    assert file_names(spark, f"{tmp_path}/x") == [] and read_file(spark, path) is None
+    assert create_file(spark, path, "ação")
+    assert not create_file(spark, path, "other")
+    assert read_file(spark, path) == "ação"
+    assert create_file(spark, path, "other", overwrite=True)
+    assert read_file(spark, path) == "other" and file_names(spark, path) is None
+
+
+def header(*columns: str) -> Header:
+    return Header(tuple((c, "string") if ":" not in c else tuple(c.split(":")) for c in columns))
+
+
+@pytest.mark.parametrize(
+    "before,after,drift",
+    [
+        ("a b c", "a b c", Drift()),
+        ("a b c", "a c", Drift(gone=("b",))),
+        ("a b", "a x b", Drift(added=("x",))),
+        ("a b c", "c a b", Drift(reordered=("c",))),
+        ("a b c", "b c a", Drift(reordered=("b", "c"))),
+        ("a:int b", "a:double b", Drift(retyped={"a": ("int", "double")})),
+        ("a b:int", "b:date A c", Drift(added=("A", "c"), gone=("a",), retyped={"b": ("int", "date")})),
+    ],
+)
+def test_what_changed_between_headers(before, after, drift):
+    found = header(*after.split()).drift_from(header(*before.split()))
+    assert found == drift and bool(found) == bool(drift != Drift())
+    assert Header.from_json(header(*after.split()).to_json()) == header(*after.split())
+
+
+def test_headers_are_kept_with_pointers(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    batches = [Batch("d", DATE, u) for u in "abc"]
+    drifts = []
+    for batch, columns in zip(batches, (["x", "y"], ["x", "y"], ["y", "x", "z"]), strict=True):
+        drifts.append(record_header(spark, layout, batch, header(*columns)))
+        write_pointer(spark, layout, batch)
+    assert drifts == [None, Drift(), Drift(added=("z",), reordered=("y",))]
+    assert str(drifts[2]) == "added: z; reordered: y" and str(drifts[1]) == "none"
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == "c"
+
+
+def test_landings_report_drift(spark, tmp_path):
+    layout = layout_at(tmp_path)
+    catalog = read_catalog(spark, publish(tmp_path))
+    first = land(spark, layout, catalog, "diaria", RUN_DATE, "run-1", profile=True)
+    assert all(batch.drift is None for batch in first)
+    path = next(tmp_path.glob(f"site/**/{DATE}_leitos.csv"))
+    text = path.read_text()
+    lines = text.splitlines()
+    path.write_text("\n".join([lines[0] + ";novo", *[line + ";1" for line in lines[1:]]]) + "\n")
+    second = {batch.dataset: batch.drift for batch in land(spark, layout, catalog, "diaria", RUN_DATE, "run-2", profile=True)}
+    assert second.pop("leitos_internações_por_diretoria_regionaldesaude") == Drift(added=("novo",))
+    assert not any(second.values()) and None not in second.values()
+
+
+def test_datasets_land_side_by_side(spark, tmp_path, monkeypatch):
+    layout = layout_at(tmp_path)
+    catalog = read_catalog(spark, publish(tmp_path))
+    together = threading.Barrier(2, timeout=60)
+    write, seen = landing.write_batch, []
+
+    def waiting(rows, layout, batch):
+        seen.append(batch.dataset)
+        if len(seen) <= 2:
+            together.wait()  # a barrier that one dataset alone would never pass
+        return write(rows, layout, batch)
+
+    monkeypatch.setattr(landing, "write_batch", waiting)
+    landed = land(spark, layout, catalog, "diaria", RUN_DATE, "run-1", at_once=2)
+    assert len(landed) == len({batch.dataset for batch in landed}) >= 2
+
+
+def test_failures_side_by_side_are_those_of_one_after_another(spark, tmp_path):
+    catalog = read_catalog(spark, publish(tmp_path))
+    (tmp_path / f"site/2022/11/{DATE}_leitos.csv").unlink()
+    seen = []
+    for at_once in (1, 8):
+        with pytest.raises(LandingError) as raised:
+            land(spark, layout_at(tmp_path / str(at_once)), catalog, "diaria", RUN_DATE, "run", at_once=at_once)
+        assert all(isinstance(error, PySparkException) for error in raised.value.failed.values())
+        seen.append(([batch.dataset for batch in raised.value.landed], list(raised.value.failed)))
+    assert seen[0] == seen[1]
