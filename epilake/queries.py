@@ -12,6 +12,8 @@ import json
 import uuid
 import zipfile
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 import pyarrow as pa
 from pyarrow.fs import FileSystem
@@ -19,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epilake.functions.columns import dated_url, parse_date, route
+from epilake.functions.columns import dated_url, named, parse_date, route
 from epilake.layout import Batch, LakeLayout
 from epilake.operators.aggregate import (
     distinct_dim,
@@ -34,17 +36,18 @@ from epilake.operators.latest import latest_per_key
 from epilake.operators.rename import rename_strict, sort_desc
 from epilake.operators.stamp import parse_date_column, stamp
 from epilake.plans.daily import DATE_PATTERNS
-from epilake.plans.jobs import LOADS, export, run_daily, run_monthly
+from epilake.plans.jobs import LOADS, export, export_loads, run_daily, run_monthly
 from epilake.plans.landing import land
 from epilake.session import scratch_path
 from epilake.sinks.files import read_curated, write_batch, write_curated, write_rows
 from epilake.sinks.jdbc import JdbcTarget, append_once, missing_rows, overwrite_table, read_table
-from epilake.sinks.pointers import write_pointer
+from epilake.sinks.pointers import record_header, write_pointer
 from epilake.sources.archive import archive_members, inflate, parse_lines, read_zipped_delimited
 from epilake.sources.catalog import CATALOG_SCHEMA, in_period, landing_plan, read_catalog
 from epilake.sources.control import latest_batches, latest_pointers, parse_pointer
 from epilake.sources.delimited import MALFORMED, read_delimited
 from epilake.sources.dialect import STAGED, CsvDialect
+from epilake.sources.headers import Header
 from epilake.sources.registry import (
     BEDS,
     CASES,
@@ -538,40 +541,42 @@ def curated_all_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Whole jobs on batches made from the tables
 
 
-def _land(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame) -> LakeLayout:
+def _lake(spark: SparkSession, label: str) -> LakeLayout:
     root = scratch_path(spark, label)
-    layout = LakeLayout(f"{root}/raw", f"{root}/curated")
-    batch = Batch(spec.name, f"{RUN_DATE:%Y%m%d}", "r1")
-    write_batch(rows.select(*[F.col(name).cast("string") for name in rows.columns]), layout, batch)
+    return LakeLayout(f"{root}/raw", f"{root}/curated")
+
+
+def _land_in(layout: LakeLayout, spec: DatasetSpec, rows: DataFrame, batch_id: str = "r1", date: dt.date = RUN_DATE) -> Batch:
+    """Land a frame as a batch of text, with its header, and make it the current one."""
+    spark, batch = rows.sparkSession, Batch(spec.name, f"{date:%Y%m%d}", batch_id)
+    text = rows.select(*[named(name).cast("string").alias(name) for name in rows.columns])
+    write_batch(text, layout, batch)
+    drift = record_header(spark, layout, batch, Header(tuple(rows.dtypes)))
     write_pointer(spark, layout, batch)
+    return replace(batch, drift=drift)
+
+
+def _land(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame) -> LakeLayout:
+    layout = _lake(spark, label)
+    _land_in(layout, spec, rows)
     return layout
 
 
-@query(
-    "SELECT 'F' || l_suppkey AS nome_munic, COUNT(*) AS dias_sem_casos_novos FROM lineitem"
-    " WHERE l_returnflag <> 'A' AND l_linenumber = 1 GROUP BY 1"
-)
-def daily_cases_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+# The health datasets as the test tables can fill them
+
+
+def _cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.lit("F"), F.col("l_suppkey").cast("string"))
-    cases = table(spark, sf_dir, "lineitem").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.when(F.col("l_returnflag") == "A", "Ignorado").otherwise(name).alias("nome_munic"),
         F.col("l_suppkey").alias("codigo_ibge"),
         (F.col("l_linenumber") - 1).alias("casos_novos"),
     )
-    layout = _land(spark, "daily_cases_job", CASES, cases)
-    run_daily(spark, layout, [CASES])
-    return read_curated(spark, layout, "sem_casos_novos", f"{RUN_DATE:%Y%m%d}")
 
 
-@query(
-    "SELECT o_orderpriority AS nome_munic, month(o_orderdate)::VARCHAR AS nome_drs,"
-    " (o_custkey % 100)::BIGINT AS idade, NULL::VARCHAR AS raca_cor, 'M' AS cs_sexo,"
-    " 'CONFIRMADO' AS diagnostico_covid19, COUNT(*) AS \"Total_Obitos\" FROM orders"
-    " WHERE o_orderstatus = 'F' GROUP BY ALL"
-)
-def monthly_outcomes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = F.col("o_orderstatus")
-    patients = table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("nome_munic"),
         F.month("o_orderdate").alias("nome_drs"),
         (F.col("o_custkey") % 100).alias("idade"),
@@ -580,9 +585,73 @@ def monthly_outcomes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("CONFIRMADO").alias("diagnostico_covid19"),
         F.when(status == "F", "True").when(status == "O", "0").alias("obito"),
     )
-    layout = _land(spark, "monthly_outcomes_job", INPATIENTS, patients)
-    run_monthly(spark, layout, RUN_DATE, [INPATIENTS])
-    return read_curated(spark, layout, "total_obitos", f"{RUN_DATE:%Y%m%d}")
+
+
+def _beds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_type")
+    written = (
+        F.when(kind == "error", "ontem")
+        .when(kind == "signup", F.date_format("ts", "yyyy-MM-dd"))
+        .when(kind == "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
+        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    )
+    return table(spark, sf_dir, "events").select(
+        written.alias("datahora"), F.col("user_id").alias("nome_drs"), F.col("event_id").alias("evento")
+    )
+
+
+def _ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ["c_name", "c_custkey", F.concat("c_nationkey", F.lit(".0")), F.col("c_custkey") * 100_000, "c_mktsegment"]
+    rows = table(spark, sf_dir, "customer").select(values + [F.lit("7").alias("total")])
+    return rows.toDF(*RANKING.columns, "Grand Total")
+
+
+def _vaccines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    values = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_orderkey", F.col("l_orderkey") + 1,
+              F.lit("1,5"), "l_partkey"]
+    rows = table(spark, sf_dir, "lineitem").select([F.date_format("l_shipdate", "yyyy-MM-dd")] + values)
+    return rows.toDF(*VACCINES.columns)
+
+
+def _microdata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unknown, returned = F.lit("IGNORADO"), F.col("l_returnflag") == "A"
+    flags = [unknown] * 11 + [F.when(F.col("l_quantity") > 40, "SIM").otherwise(unknown), F.when(~returned, unknown)]
+    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
+    return table(spark, sf_dir, "lineitem").select(key, *flags).toDF("id", *CONDITIONS)
+
+
+def _professionals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = F.when(F.col("p_size") != 7, F.col("p_size"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", size)
+    return rows.toDF("Código CBO", "Ocupação", "Número de casos confirmados COVID-19")
+
+
+def _indigenous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "supplier").select("s_name", "s_nationkey").toDF(*INDIGENOUS.columns)
+
+
+def _tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    day = F.date_format("o_orderdate", "dd/MM/yyyy")
+    written = F.when(F.col("o_orderkey") % 10 == 0, F.date_format("o_orderdate", "d MMM")).otherwise(day)
+    return table(spark, sf_dir, "orders").select(written, "o_orderpriority", "o_custkey").toDF(*TESTS.columns)
+
+
+@query(
+    "SELECT 'F' || l_suppkey AS nome_munic, COUNT(*) AS dias_sem_casos_novos FROM lineitem"
+    " WHERE l_returnflag <> 'A' AND l_linenumber = 1 GROUP BY 1"
+)
+def daily_cases_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, "daily_cases_job", CASES, _cases(spark, sf_dir), "sem_casos_novos")
+
+
+@query(
+    "SELECT o_orderpriority AS nome_munic, month(o_orderdate)::VARCHAR AS nome_drs,"
+    " (o_custkey % 100)::BIGINT AS idade, NULL::VARCHAR AS raca_cor, 'M' AS cs_sexo,"
+    " 'CONFIRMADO' AS diagnostico_covid19, COUNT(*) AS \"Total_Obitos\" FROM orders"
+    " WHERE o_orderstatus = 'F' GROUP BY ALL"
+)
+def monthly_outcomes_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _monthly(spark, "monthly_outcomes_job", INPATIENTS, _patients(spark, sf_dir), "total_obitos")
 
 
 def _daily(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame, output: str) -> DataFrame:
@@ -604,17 +673,7 @@ def _monthly(spark: SparkSession, label: str, spec: DatasetSpec, rows: DataFrame
 )
 def beds_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The latest day of each region from three ways to write it; many ties, some texts that are no date."""
-    kind = F.col("event_type")
-    written = (
-        F.when(kind == "error", "ontem")
-        .when(kind == "signup", F.date_format("ts", "yyyy-MM-dd"))
-        .when(kind == "click", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS"))
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
-    )
-    rows = table(spark, sf_dir, "events").select(
-        written.alias("datahora"), F.col("user_id").alias("nome_drs"), F.col("event_id").alias("evento")
-    )
-    return _daily(spark, "beds_job", BEDS, rows, "last_date_leitos")
+    return _daily(spark, "beds_job", BEDS, _beds(spark, sf_dir), "last_date_leitos")
 
 
 @query(
@@ -622,10 +681,7 @@ def beds_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     ' c_custkey * 100000 AS "Populacao_senso_2020", c_mktsegment AS "Porcentagem_aplicação_Dose_1" FROM customer'
 )
 def ranking_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = list(RANKING.columns)
-    values = ["c_name", "c_custkey", F.concat("c_nationkey", F.lit(".0")), F.col("c_custkey") * 100_000, "c_mktsegment"]
-    rows = table(spark, sf_dir, "customer").select(values + [F.lit("7").alias("total")])
-    return _daily(spark, "ranking_job", RANKING, rows.toDF(*columns, "Grand Total"), "aplicacao_doses")
+    return _daily(spark, "ranking_job", RANKING, _ranking(spark, sf_dir), "aplicacao_doses")
 
 
 @query(
@@ -635,10 +691,7 @@ def ranking_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     ' l_partkey AS "REFORCO_FORA_DO_ESQUEMA_VACINAL" FROM lineitem'
 )
 def vaccines_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_orderkey", F.col("l_orderkey") + 1,
-              F.lit("1,5"), "l_partkey"]
-    rows = table(spark, sf_dir, "lineitem").select([F.date_format("l_shipdate", "yyyy-MM-dd")] + values)
-    return _daily(spark, "vaccines_job", VACCINES, rows.toDF(*VACCINES.columns), "estaticas_gerais_clean")
+    return _daily(spark, "vaccines_job", VACCINES, _vaccines(spark, sf_dir), "estaticas_gerais_clean")
 
 
 @query(
@@ -647,21 +700,15 @@ def vaccines_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def microdata_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thirteen condition flags: known, unknown, or not stated."""
-    unknown, returned = F.lit("IGNORADO"), F.col("l_returnflag") == "A"
-    flags = [unknown] * 11 + [F.when(F.col("l_quantity") > 40, "SIM").otherwise(unknown), F.when(~returned, unknown)]
-    key = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string")
-    rows = table(spark, sf_dir, "lineitem").select(key, *flags).toDF("id", *CONDITIONS)
-    return _monthly(spark, "microdata_job", MICRODATA, rows, "clean_microdados").select("id", "condition")
+    rows = _monthly(spark, "microdata_job", MICRODATA, _microdata(spark, sf_dir), "clean_microdados")
+    return rows.select("id", "condition")
 
 
 @query(
     'SELECT p_name AS "Ocupação", CASE WHEN p_size <> 7 THEN p_size::BIGINT END AS "casos_confirmados_COVID-19" FROM part'
 )
 def professionals_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size = F.when(F.col("p_size") != 7, F.col("p_size"))
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", size)
-    rows = rows.toDF("Código CBO", "Ocupação", "Número de casos confirmados COVID-19")
-    return _monthly(spark, "professionals_job", PROFESSIONALS, rows, "profissionais_casos_confirmados")
+    return _monthly(spark, "professionals_job", PROFESSIONALS, _professionals(spark, sf_dir), "profissionais_casos_confirmados")
 
 
 @query(
@@ -669,8 +716,7 @@ def professionals_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     " DATE '2022-11-03' AS data_execucao FROM supplier"
 )
 def indigenous_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").select("s_name", "s_nationkey").toDF(*INDIGENOUS.columns)
-    return _monthly(spark, "indigenous_job", INDIGENOUS, rows, "etnias_indigenas")
+    return _monthly(spark, "indigenous_job", INDIGENOUS, _indigenous(spark, sf_dir), "etnias_indigenas")
 
 
 @query(
@@ -678,10 +724,7 @@ def indigenous_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     ' o_orderpriority AS "Tipo_Teste", o_custkey AS "Quantidade" FROM orders'
 )
 def tests_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.date_format("o_orderdate", "dd/MM/yyyy")
-    written = F.when(F.col("o_orderkey") % 10 == 0, F.date_format("o_orderdate", "d MMM")).otherwise(day)
-    rows = table(spark, sf_dir, "orders").select(written, "o_orderpriority", "o_custkey").toDF(*TESTS.columns)
-    return _monthly(spark, "tests_job", TESTS, rows, "total_testes")
+    return _monthly(spark, "tests_job", TESTS, _tests(spark, sf_dir), "total_testes")
 
 
 # Appends
@@ -741,3 +784,97 @@ def export_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     for _ in range(2):
         codes, days = sorted(export(spark, layout, target, loads=loads))
     return read_table(spark, target, codes).unionByName(read_table(spark, target, days), allowMissingColumns=True)
+
+
+@query(
+    "WITH clean AS (SELECT l_suppkey, l_linenumber - 1 AS casos FROM lineitem WHERE l_returnflag <> 'A'),"
+    " last_event AS (SELECT user_id, event_id::VARCHAR AS evento,"
+    " CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS datahora FROM events"
+    " QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY datahora DESC NULLS LAST, evento DESC) = 1),"
+    " outcome AS (SELECT o_orderstatus, COUNT(*) AS n FROM orders"
+    " GROUP BY o_orderstatus, o_orderpriority, month(o_orderdate), o_custkey % 100),"
+    " loads AS ("
+    " SELECT 'tb_raca_cor' AS tabela, COUNT(*) AS linhas, SUM(o_custkey % 100) AS soma, true AS inalterada FROM orders"
+    " UNION ALL SELECT 'tb_aplicacao_doses', COUNT(*), SUM(c_nationkey), true FROM customer"
+    " UNION ALL SELECT 'tb_cidades_codigo', COUNT(DISTINCT l_suppkey), SUM(DISTINCT l_suppkey), true FROM clean"
+    " UNION ALL SELECT 'tb_clean_casos_obitos', COUNT(*), SUM(casos), true FROM clean"
+    " UNION ALL SELECT 'tb_estaticas_gerais_clean', COUNT(*), SUM(l_orderkey), true FROM lineitem"
+    " UNION ALL SELECT 'tb_last_date_leitos', COUNT(*), SUM(evento::BIGINT), false FROM last_event"
+    " UNION ALL SELECT 'tb_sem_casos_novos', COUNT(DISTINCT l_suppkey), COUNT(*), false FROM clean WHERE casos = 0"
+    " UNION ALL SELECT 'tb_clean_microdados', COUNT(*), SUM(l_orderkey * 10 + l_linenumber), false FROM lineitem"
+    " WHERE NOT coalesce(l_quantity <= 40 AND l_returnflag <> 'A', false)"
+    " UNION ALL SELECT 'tb_etnias_indigenas', COUNT(*), SUM(s_nationkey), false FROM supplier"
+    " UNION ALL SELECT 'tb_profissionais_casos_confirmados', COUNT(*), SUM(CASE WHEN p_size <> 7 THEN p_size END), false FROM part"
+    " UNION ALL SELECT 'tb_total_curados', COUNT(*), SUM(n), false FROM outcome WHERE o_orderstatus = 'O'"
+    " UNION ALL SELECT 'tb_total_obitos', COUNT(*), SUM(n), false FROM outcome WHERE o_orderstatus = 'F')"
+    " SELECT tabela, linhas::BIGINT AS linhas, soma::BIGINT AS soma, inalterada FROM loads"
+)
+def export_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All twelve loads: an export that stops after five tables, and one that goes on.
+
+    For each table its rows and the sum of one of its columns, read back from the
+    database, and whether the second export found it loaded already.
+    """
+    layout = _lake(spark, "export_all_tables")
+    daily_rows = ((CASES, _cases), (BEDS, _beds), (RANKING, _ranking), (VACCINES, _vaccines))
+    monthly_rows = (
+        (MICRODATA, _microdata), (PROFESSIONALS, _professionals), (INDIGENOUS, _indigenous),
+        (INPATIENTS, _patients), (TESTS, _tests),
+    )
+    for spec, rows in (*daily_rows, *monthly_rows):
+        _land_in(layout, spec, rows(spark, sf_dir))
+    run_daily(spark, layout)
+    run_monthly(spark, layout, RUN_DATE)
+    target = _database(spark, f"export_{uuid.uuid4().hex}")
+    export_loads(spark, layout, target, loads=LOADS[:5])
+    parts = []
+    summed = {
+        "tb_raca_cor": "idade", "tb_aplicacao_doses": "Dose_1", "tb_cidades_codigo": "codigo_ibge",
+        "tb_clean_casos_obitos": "casos_novos", "tb_estaticas_gerais_clean": "DOSE_1", "tb_last_date_leitos": "evento",
+        "tb_sem_casos_novos": "dias_sem_casos_novos", "tb_clean_microdados": "id",
+        "tb_etnias_indigenas": "Total_Casos_Confirmados",
+        "tb_profissionais_casos_confirmados": "casos_confirmados_COVID-19", "tb_total_curados": "Total_Curados",
+        "tb_total_obitos": "Total_Obitos",
+    }
+    for load in export_loads(spark, layout, target):
+        rows = read_table(spark, target, load.table)
+        total = F.sum(named(summed[load.table]).cast("bigint")).alias("soma")
+        sums = rows.agg(F.count("*").alias("linhas"), total)
+        parts.append(sums.select(F.lit(load.table).alias("tabela"), "linhas", "soma", F.lit(load.unchanged).alias("inalterada")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# The order of landings, and what changed between them
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")
+def landing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later landing of an earlier date, with a smaller id: the batch that landed last is the current one."""
+    layout, spec = _lake(spark, "landing_order"), DatasetSpec("pedidos", {"o_orderkey": "bigint", "o_totalprice": "double"})
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    for status, batch_id, date in (("F", "z", NEXT_DATE), ("O", "a", RUN_DATE)):
+        _land_in(layout, spec, rows.filter(F.col("o_orderstatus") == status).drop("o_orderstatus"), batch_id, date)
+    return read_batch(spark, layout, spec, latest_batches(spark, layout, [spec.name])[spec.name])
+
+
+@query(
+    "SELECT * FROM (VALUES ('added', 'o_clerk', NULL, 'string'), ('gone', 'o_custkey', 'bigint', NULL),"
+    " ('reordered', 'o_orderstatus', NULL, NULL), ('retyped', 'o_totalprice', 'double', 'string'))"
+    " AS t(mudanca, coluna, antes, depois)"
+    " WHERE (SELECT COUNT(*) FROM orders) > 0"
+)
+def landing_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the columns of a batch differ from those of the batch before."""
+    layout, spec = _lake(spark, "landing_drift"), DatasetSpec("pedidos", {})
+    orders = table(spark, sf_dir, "orders")
+    first = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    price = F.format_string("R$ %.2f", "o_totalprice").alias("o_totalprice")
+    second = orders.select("o_orderstatus", "o_orderkey", price, F.col("o_orderpriority").alias("o_clerk"))
+    _land_in(layout, spec, first, "r1")
+    drift = _land_in(layout, spec, second, "r2").drift
+    before, after = dict(first.dtypes), dict(second.dtypes)
+    rows = [("added", name, None, after[name]) for name in drift.added]
+    rows += [("gone", name, before[name], None) for name in drift.gone]
+    rows += [("reordered", name, None, None) for name in drift.reordered]
+    rows += [("retyped", name, old, new) for name, (old, new) in drift.retyped.items()]
+    return spark.createDataFrame(rows, "mudanca STRING, coluna STRING, antes STRING, depois STRING")

@@ -1,0 +1,168 @@
+"""Tables replaced at once, and loads that are known to be the same."""
+
+from __future__ import annotations
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from epilake.layout import Batch, LakeLayout
+from epilake.plans.jobs import LOADS, JobError, Load, Loaded, export_loads, run_monthly
+from epilake.sinks import jdbc
+from epilake.sinks.files import write_batch
+from epilake.sinks.jdbc import JdbcTarget, count_table, overwrite_table, read_table, swap_statements, table_exists, transact
+from epilake.sinks.ledger import Entry, Ledger, source_digest
+from epilake.sinks.pointers import write_pointer
+from epilake.sources.registry import INDIGENOUS, INPATIENTS, PROFESSIONALS
+
+
+def memory_database(**options) -> JdbcTarget:
+    driver = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    url = f"jdbc:derby:memory:t{uuid.uuid4().hex};create=true"
+    return JdbcTarget(url, {"driver": driver}, connections=2, **options)
+
+
+def ids(spark, target, table="tb") -> list:
+    return sorted(row[0] for row in read_table(spark, target, table).collect())
+
+
+@pytest.mark.parametrize("truncate", [False, True])
+def test_a_failing_task_leaves_the_old_rows(spark, truncate):
+    target = memory_database(truncate=truncate)
+    overwrite_table(spark.range(5), target, "tb")
+    failing = spark.range(0, 100, 1, 8).withColumn("id", F.when(F.col("id") == 77, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="lost"):
+        overwrite_table(failing, target, "tb")
+    assert ids(spark, target) == [0, 1, 2, 3, 4]
+    assert overwrite_table(spark.range(3), target, "tb") == 3  # what was left beside it is no obstacle
+    assert ids(spark, target) == [0, 1, 2]
+    assert not table_exists(spark, target, "tb__new") and not table_exists(spark, target, "tb__old")
+
+
+@pytest.mark.parametrize("truncate", [False, True])
+def test_a_failing_swap_takes_nothing_and_gives_nothing(spark, truncate):
+    target = memory_database(truncate=truncate)
+    overwrite_table(spark.range(5), target, "tb")
+    with pytest.raises(Exception, match="(?i)nowhere"):
+        overwrite_table(spark.range(9), target, "tb", along=lambda n: [f"INSERT INTO nowhere VALUES ({n})"])
+    assert ids(spark, target) == [0, 1, 2, 3, 4]
+
+
+def test_readers_see_the_old_rows_until_the_swap(spark, monkeypatch):
+    target = memory_database()
+    overwrite_table(spark.range(5), target, "tb")
+    seen, count = [], jdbc.count_table
+
+    def counting(spark, target, table):
+        seen.append(ids(spark, target))
+        return count(spark, target, table)
+
+    monkeypatch.setattr(jdbc, "count_table", counting)
+    overwrite_table(spark.range(2), target, "tb")
+    assert seen == [[0, 1, 2, 3, 4]] and ids(spark, target) == [0, 1]
+
+
+def test_kept_definitions_and_new_ones(spark):
+    keeping = memory_database(truncate=True)
+    transact(spark, keeping, ['CREATE TABLE tb ("id" BIGINT NOT NULL PRIMARY KEY, "note" VARCHAR(9) DEFAULT \'kept\')'])
+    overwrite_table(spark.range(3), keeping, "tb")
+    assert sorted(tuple(r) for r in read_table(spark, keeping, "tb").collect()) == [(k, "kept") for k in range(3)]
+    replacing = JdbcTarget(keeping.url, keeping.properties, connections=2)
+    overwrite_table(spark.range(3).select(F.col("id").alias("other")), replacing, "tb")
+    assert read_table(spark, keeping, "tb").columns == ["other"]
+
+
+def test_an_empty_load_empties_the_table(spark):
+    target = memory_database()
+    for rows in (0, 4, 0):
+        assert overwrite_table(spark.range(rows), target, "tb") == rows == count_table(spark, target, "tb")
+
+
+def test_swaps_of_other_databases():
+    def swap(url, exists=True, **options):
+        return swap_statements(JdbcTarget(url, **options), "s.tb", "s.tb__new", '"a"', exists)
+
+    assert swap("jdbc:postgresql://h/d") == [
+        "ALTER TABLE s.tb RENAME TO tb__old",
+        "ALTER TABLE s.tb__new RENAME TO tb",
+        "DROP TABLE s.tb__old",
+    ]
+    assert swap("jdbc:sqlserver://h", exists=False) == ["EXEC sp_rename 's.tb__new', 'tb'"]
+    copied = ["DELETE FROM s.tb", 'INSERT INTO s.tb ("a") SELECT "a" FROM s.tb__new', "DROP TABLE s.tb__new"]
+    assert swap("jdbc:postgresql://h/d", truncate=True) == copied == swap("jdbc:mysql://h/d")
+    assert swap("jdbc:mysql://h/d", exists=False)[0].startswith("CREATE TABLE s.tb AS SELECT")
+
+
+def test_the_ledger_has_one_entry_for_each_load(spark):
+    ledger = Ledger(memory_database())
+    for _ in range(2):
+        ledger.prepare(spark)
+    assert ledger.last(spark) == {}
+    for entry in (Entry("a", "x", 1), Entry("b's", "y", 2), Entry("a", "z", 3)):
+        transact(spark, ledger.target, ledger.record(entry))
+    assert ledger.last(spark) == {"a": Entry("a", "z", 3), "b's": Entry("b's", "y", 2)}
+    assert read_table(spark, ledger.target, ledger.name).count() == 3
+    assert source_digest("a", "b") != source_digest("ab") != source_digest("a", "b", "")
+
+
+CASES_ROWS = [("n", "d", "30", "x", "F", "CONFIRMADO", "1"), ("n", "d", "quase 40", "x", "F", "CONFIRMADO", "0")]
+
+
+def lake(spark, tmp_path, uuid_="run-1", patients=CASES_ROWS) -> LakeLayout:
+    layout = LakeLayout(f"{tmp_path}/raw", f"{tmp_path}/curated")
+    rows = [
+        (INPATIENTS, spark.createDataFrame(patients, [*INPATIENTS.columns])),
+        (INDIGENOUS, spark.createDataFrame([("A", "1"), ("B", "2")], [*INDIGENOUS.columns])),
+        (PROFESSIONALS, spark.createDataFrame([("1", "x", "3")], ["Código CBO", "Ocupação", *PROFESSIONALS.columns])),
+    ]
+    for spec, frame in rows:
+        batch = Batch(spec.name, "20221103", uuid_)
+        write_batch(frame, layout, batch)
+        write_pointer(spark, layout, batch)
+    run_monthly(spark, layout, specs=[spec for spec, _ in rows])
+    return layout
+
+
+MINE = [load for load in LOADS if load.spec in (INPATIENTS, INDIGENOUS, PROFESSIONALS)]
+
+
+def test_values_of_a_raw_load_that_do_not_fit_are_reported(spark, tmp_path):
+    loaded = {entry.table: entry for entry in export_loads(spark, lake(spark, tmp_path), memory_database(), loads=MINE)}
+    assert loaded["tb_raca_cor"] == Loaded("tb_raca_cor", 2)
+    assert loaded["tb_raca_cor"].unfit == {"idade": 1}
+    assert not any(entry.unfit for name, entry in loaded.items() if name != "tb_raca_cor")
+
+
+def test_a_stopped_export_goes_on_and_a_rerun_changes_nothing(spark, tmp_path):
+    layout, target = lake(spark, tmp_path), memory_database()
+    broken = [*MINE[:2], Load("no such schema.tb", PROFESSIONALS, "profissionais_casos_confirmados"), *MINE[2:]]
+    with pytest.raises(JobError, match="failed 1: no such schema.tb"):
+        export_loads(spark, layout, target, loads=broken[:3])
+    entries = Ledger(target).last(spark)
+    assert set(entries) == {load.table for load in MINE[:2]}
+    second = {entry.table: entry.unchanged for entry in export_loads(spark, layout, target, loads=MINE)}
+    history = {load.table for load in MINE if load.history_column}
+    assert {name for name, unchanged in second.items() if unchanged} == set(entries) - history
+    third = export_loads(spark, layout, target, loads=MINE)
+    assert all(entry.unchanged for entry in third if entry.table not in history)
+    assert [entry.rows for entry in third if entry.table in history] == [0]
+    again = export_loads(spark, layout, target, loads=MINE, resume=False)
+    assert not any(entry.unchanged for entry in again)
+    assert [(e.table, e.rows) for e in again if e.table not in history] == [(e.table, e.rows) for e in third if e.table not in history]
+
+
+def test_a_table_that_others_changed_or_a_new_source_is_loaded_again(spark, tmp_path):
+    layout, target = lake(spark, tmp_path), memory_database()
+    export_loads(spark, layout, target, loads=MINE)
+    transact(spark, target, ["DELETE FROM tb_profissionais_casos_confirmados"])
+    loaded = {entry.table: entry for entry in export_loads(spark, layout, target, loads=MINE)}
+    assert not loaded["tb_profissionais_casos_confirmados"].unchanged and loaded["tb_raca_cor"].unchanged
+    # The same batch processed again is another source for the outputs, not for what is loaded as landed.
+    run_monthly(spark, layout, specs=[INPATIENTS])
+    loaded = {entry.table: entry.unchanged for entry in export_loads(spark, layout, target, loads=MINE)}
+    assert loaded["tb_raca_cor"] and not loaded["tb_total_obitos"] and loaded["tb_profissionais_casos_confirmados"]
+    lake(spark, tmp_path, "run-2", CASES_ROWS[:1])
+    loaded = {entry.table: entry for entry in export_loads(spark, layout, target, loads=MINE)}
+    assert loaded["tb_raca_cor"] == Loaded("tb_raca_cor", 1)
+    assert count_table(spark, target, "tb_raca_cor") == 1
