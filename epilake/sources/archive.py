@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from epilake.functions.columns import quoted
 from epilake.sources.dialect import CsvDialect
+from epilake.sources.stores import open_store, session_setting, store_arguments, store_path, store_root
 
 LINE_SCHEMA = "line_no BIGINT, line STRING"
 ORIGIN_SCHEMA = "archive STRING, member STRING"
@@ -44,11 +45,27 @@ SCHEMES = {
 class ArchiveStore:
     """How tasks open an archive: by its path, through PyArrow, whatever its size.
 
-    ``options`` go into the store's URI (for example ``region`` or
-    ``endpoint_override``); credentials come from the executors' environment.
+    ``settings`` has, for each store (``scheme://authority``), the arguments of its
+    file system; ``of_session`` takes them from the Hadoop settings of a session,
+    so that credentials set once hold for archives, too. A store without any is
+    opened by its URI, with ``options`` in it (for example ``region`` or
+    ``endpoint_override``) and credentials from the executors' environment.
     """
 
     options: Mapping[str, str] = field(default_factory=dict)
+    settings: Mapping[str, Mapping[str, object]] = field(default_factory=dict, repr=False)
+
+    @staticmethod
+    def of_session(spark: SparkSession, paths: Sequence[str]) -> ArchiveStore:
+        """A store for some paths, with the Hadoop settings that the session has for each."""
+        setting, found = session_setting(spark), {}
+        for path in paths:
+            if store_root(path)[0] == "file" and not path.startswith("file:"):
+                path = f"{(setting('fs.defaultFS') or 'file:').rstrip('/')}/{path.lstrip('/')}"
+            root = "://".join(store_root(path))
+            if root not in found and (arguments := store_arguments(path, setting)):
+                found[root] = arguments
+        return ArchiveStore(settings=found)
 
     def uri(self, path: str) -> str:
         scheme, colon, rest = path.partition(":")
@@ -65,6 +82,8 @@ class ArchiveStore:
         uri = self.uri(path)
         if uri.startswith("/"):
             return open(uri, "rb")
+        if arguments := self.settings.get("://".join(store_root(path))):
+            return open_store(path, arguments).open_input_file(store_path(path))
         files, name = FileSystem.from_uri(uri)
         return files.open_input_file(name)
 
@@ -76,8 +95,8 @@ def archive_members(
     store: ArchiveStore | None = None,
 ) -> DataFrame:
     """The files inside archives: path, member, place. Only directories of archives are read."""
-    store = store or ArchiveStore()
     paths = [paths] if isinstance(paths, str) else list(paths)
+    store = store or ArchiveStore.of_session(spark, paths)
     for path in paths:
         store.uri(path)  # an unknown store is an error here, before any task
 
@@ -263,6 +282,8 @@ def read_zipped_delimited(
     A member is inflated by one task. ``spread`` deals the lines to so many
     tasks for parsing and writing, for archives of few large members.
     """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    store = store or ArchiveStore.of_session(spark, paths)
     members = archive_members(spark, paths, recursive, store)
     line = first_line(members, dialect, store)
     if dialect.header:

@@ -1,0 +1,156 @@
+"""Credentials and places of stores, from Hadoop's settings to PyArrow's arguments."""
+
+from __future__ import annotations
+
+import io
+import pickle
+import zipfile
+
+import pytest
+from pyarrow import fs
+
+from epilake.sources import archive, stores
+from epilake.sources.archive import ArchiveStore
+from epilake.sources.stores import open_store, session_setting, store_arguments, store_path, store_root
+
+AZURE = "abfss://raw@lake.dfs.core.windows.net/a b/x.zip"
+CASES = [
+    ("/x/y.zip", {}, {}),
+    ("file:///x/y.zip", {"fs.s3a.access.key": "k"}, {}),
+    ("s3a://bucket/x.zip", {}, {}),
+    (
+        "s3a://bucket/x.zip",
+        {"fs.s3a.access.key": "k", "fs.s3a.secret.key": "s", "fs.s3a.session.token": "t", "fs.s3a.endpoint.region": "sa-east-1"},
+        {"access_key": "k", "secret_key": "s", "session_token": "t", "region": "sa-east-1"},
+    ),
+    (
+        "s3a://bucket/x.zip",
+        {"fs.s3a.access.key": "k", "fs.s3a.bucket.bucket.access.key": "own", "fs.s3a.bucket.other.access.key": "no"},
+        {"access_key": "own"},
+    ),
+    (
+        "s3://bucket/x.zip",
+        {"fs.s3a.endpoint": "store.local:9000", "fs.s3a.connection.ssl.enabled": "false", "fs.s3a.path.style.access": "true"},
+        {"endpoint_override": "store.local:9000", "scheme": "http", "force_virtual_addressing": False},
+    ),
+    (
+        "s3a://bucket/x.zip",
+        {"fs.s3a.endpoint": "https://store.local"},
+        {"endpoint_override": "store.local", "scheme": "https", "force_virtual_addressing": True},
+    ),
+    (
+        "s3a://bucket/x.zip",
+        {"fs.s3a.aws.credentials.provider": "org.apache.hadoop.fs.s3a.AnonymousAWSCredentialsProvider", "fs.s3a.proxy.host": "p"},
+        {"anonymous": True, "proxy_options": {"scheme": "http", "host": "p", "port": 80}},
+    ),
+    (
+        "s3a://bucket/x.zip",
+        {"fs.s3a.assumed.role.arn": "arn", "fs.s3a.assumed.role.session.name": "n", "fs.s3a.assumed.role.external.id": "e"},
+        {"role_arn": "arn", "session_name": "n", "external_id": "e"},
+    ),
+    (AZURE, {"fs.azure.account.key.lake.dfs.core.windows.net": "a2V5"}, {"account_name": "lake", "account_key": "a2V5"}),
+    (AZURE, {"fs.azure.account.key": "a2V5", "fs.azure.account.key.lake.dfs.core.windows.net": "b3du"}, {"account_name": "lake", "account_key": "b3du"}),
+    (AZURE, {"fs.azure.sas.fixed.token.lake.dfs.core.windows.net": "?sig=1"}, {"account_name": "lake", "sas_token": "sig=1"}),
+    (AZURE, {"fs.azure.sas.fixed.token.raw.lake.dfs.core.windows.net": "sig=2"}, {"account_name": "lake", "sas_token": "sig=2"}),
+    (
+        AZURE,
+        {
+            "fs.azure.account.oauth2.client.id": "c",
+            "fs.azure.account.oauth2.client.secret": "s",
+            "fs.azure.account.oauth2.client.endpoint": "https://login.microsoftonline.com/tenant-1/oauth2/token",
+        },
+        {"account_name": "lake", "client_id": "c", "client_secret": "s", "tenant_id": "tenant-1"},
+    ),
+    (
+        "abfs://raw@lake.dfs.core.usgovcloudapi.net/x.zip",
+        {},
+        {
+            "account_name": "lake",
+            "dfs_storage_authority": ".dfs.core.usgovcloudapi.net",
+            "blob_storage_authority": ".blob.core.usgovcloudapi.net",
+        },
+    ),
+    ("gs://bucket/x.zip", {"fs.gs.project.id": "p", "fs.gs.auth.type": "UNAUTHENTICATED"}, {"project_id": "p", "anonymous": True}),
+    ("gs://bucket/x.zip", {"fs.gs.storage.root.url": "http://h:4443/"}, {"endpoint_override": "h:4443", "scheme": "http"}),
+    ("hdfs://node:8020/x.zip", {}, {"host": "hdfs://node", "port": 8020}),
+    ("hdfs:///x.zip", {}, {"host": "default", "port": 0}),
+    (
+        "hdfs://lake/x.zip",
+        {
+            "dfs.nameservices": "lake",
+            "dfs.ha.namenodes.lake": "a,b",
+            "dfs.namenode.rpc-address.lake.a": "h1:8020",
+            "dfs.namenode.rpc-address.lake.b": "h2:8020",
+            "dfs.namenode.rpc-address.other.b": "h3:8020",
+            "dfs.client.failover.proxy.provider.lake": "P",
+        },
+        {
+            "host": "hdfs://lake",
+            "port": 0,
+            "extra_conf": {
+                "dfs.nameservices": "lake",
+                "dfs.ha.namenodes.lake": "a,b",
+                "dfs.client.failover.proxy.provider.lake": "P",
+                "dfs.namenode.rpc-address.lake.a": "h1:8020",
+                "dfs.namenode.rpc-address.lake.b": "h2:8020",
+            },
+        },
+    ),
+]
+
+
+@pytest.mark.parametrize("path,settings,arguments", CASES)
+def test_arguments_of_each_scheme(path, settings, arguments):
+    assert store_arguments(path, settings.get) == arguments
+
+
+@pytest.mark.parametrize("path,settings,arguments", [c for c in CASES if c[2] and c[0].split(":")[0] in ("s3", "s3a", "abfs", "abfss")])
+def test_pyarrow_takes_the_arguments(path, settings, arguments):
+    held = {k: v for k, v in arguments.items() if k != "role_arn" and "role_arn" not in arguments}
+    if "access_key" in held:
+        held.setdefault("secret_key", "s")
+    store = open_store(path, held)
+    assert isinstance(store, (fs.S3FileSystem, fs.AzureFileSystem))
+
+
+@pytest.mark.parametrize(
+    "path,root,inner",
+    [
+        ("/x/a b.zip", ("file", ""), "/x/a b.zip"),
+        ("s3a://bucket/x/a b?#.zip", ("s3a", "bucket"), "bucket/x/a b?#.zip"),
+        (AZURE, ("abfss", "raw@lake.dfs.core.windows.net"), "raw/a b/x.zip"),
+        ("hdfs://node:8020/x.zip", ("hdfs", "node:8020"), "/x.zip"),
+        ("gs://bucket/x.zip", ("gs", "bucket"), "bucket/x.zip"),
+    ],
+)
+def test_names_of_paths(path, root, inner):
+    assert store_root(path) == root and store_path(path) == inner
+
+
+def test_settings_of_a_session(spark):
+    name = "fs.azure.account.key.lake.dfs.core.windows.net"
+    assert session_setting(spark)(name) is None
+    spark.conf.set(name, "a2V5")  # as the notebooks set it
+    try:
+        store = ArchiveStore.of_session(spark, [AZURE, "s3a://bucket/x.zip", "/local.zip"])
+        assert store.settings == {"abfss://raw@lake.dfs.core.windows.net": {"account_name": "lake", "account_key": "a2V5"}}
+        assert "a2V5" not in repr(store)  # a job's log must not have it
+        assert pickle.loads(pickle.dumps(store)) == store  # tasks get it
+    finally:
+        spark.conf.unset(name)
+
+
+def test_an_archive_is_opened_with_its_stores_settings(monkeypatch):
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as made:
+        made.writestr("m.csv", "a;b\n")
+    memory, asked = fs._MockFileSystem(), []
+    memory.create_dir("raw/a b")
+    with memory.open_output_stream("raw/a b/x.zip") as out:
+        out.write(held.getvalue())
+    monkeypatch.setattr(archive, "open_store", lambda path, arguments: asked.append((path, arguments)) or memory)
+    store = ArchiveStore(settings={"abfss://raw@lake.dfs.core.windows.net": {"account_name": "lake"}})
+    with store.open(AZURE) as file, zipfile.ZipFile(file) as found:
+        assert found.namelist() == ["m.csv"]
+    assert asked == [(AZURE, {"account_name": "lake"})]
+    assert stores.store_arguments("wasbs://x@y/z", {}.get) == {}
