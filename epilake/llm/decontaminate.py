@@ -8,16 +8,20 @@ its bucket of patterns is compared word by word, and then as text.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import itertools
+import pickle
+import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epilake.llm import words
-from epilake.llm.tables import anonymous, stored
+from epilake.llm.tables import anonymous, shared_file_system, stored
+from epilake.session import scratch_path
 
 #: Bytes of distinct benchmark texts and their item ids whose tables a task holds at once; larger sets are searched in turns.
 BLOCK_BYTES = 4 << 20
@@ -42,18 +46,37 @@ def _blocks(values: np.ndarray, width: int) -> np.ndarray:
     return words.mixed(values[..., :-1] * _PRIME + values[..., 1:])
 
 
+@dataclass
+class _Items:
+    """Words of some texts, one after another: their hashes, and their bytes in one buffer with a space between any two."""
+
+    values: np.ndarray
+    data: bytes
+    starts: np.ndarray
+    ends: np.ndarray
+
+    def spelled(self, first: int, size: int) -> bytes:
+        return self.data[self.starts[first] : self.ends[first + size - 1]]
+
+
 class Patterns:
-    """Tables for all patterns of ``size`` words. ``rows``: for each pattern the numbers of the texts that hold it."""
+    """Tables for all windows of ``size`` words of some items. ``first``: where each distinct window begins in them.
 
-    def __init__(self, size: int, found: dict[bytes, tuple[np.ndarray, set[int]]]) -> None:
-        self.size, self.width = size, min(2, size)
-        values = np.array([x for x, _ in found.values()], np.uint64).reshape(-1, size)
-        blocks = _blocks(values, self.width)
+    ``rows[bounds[k]:bounds[k + 1]]`` are the numbers of the texts that hold window ``k``.
+    """
+
+    def __init__(self, size: int, items: _Items, first: np.ndarray, texts: np.ndarray) -> None:
+        self.size, self.width, self.items = size, min(2, size), items
+        whole = np.ascontiguousarray(items.values[first[:, None] + np.arange(size)])
+        _, example, kind = np.unique(whole.view(f"V{8 * size}").reshape(-1), return_index=True, return_inverse=True)
+        held = np.unique(np.stack([kind.reshape(-1), texts]), axis=1)
+        first = first[example]
+        blocks = _blocks(items.values[first[:, None] + np.arange(size)], self.width)
         order = np.argsort(blocks[:, -1], kind="stable")
-        self.values, blocks = values[order], blocks[order]
-        keys = list(found)
-        self.texts = [keys[i] for i in order]
-        self.rows = [sorted(found[k][1]) for k in self.texts]
+        self.first, blocks = first[order], blocks[order]
+        begin, end = np.searchsorted(held[0], order, "left"), np.searchsorted(held[0], order, "right")
+        self.bounds = np.concatenate([[0], np.cumsum(end - begin)])
+        self.rows = held[1][np.repeat(begin - self.bounds[:-1], end - begin) + np.arange(self.bounds[-1])]
         self.suffixes = blocks[:, -1]
         self.shift = np.full(1 << TABLE_BITS, size - self.width + 1, np.int32)
         for j in range(blocks.shape[1]):
@@ -67,7 +90,7 @@ class Patterns:
         """Places and pattern numbers at which all words have equal hashes."""
         last = len(values) - self.size
         none = np.zeros(0, np.int64)
-        if last < 0 or not len(self.values):
+        if last < 0 or not len(self.first):
             return none, none
         blocks = _blocks(values, self.width)
         moves = self.shift[self._slot(blocks)]
@@ -87,62 +110,75 @@ class Patterns:
         places, low = np.repeat(places, times), np.repeat(low, times)
         number = low + np.arange(len(low)) - np.repeat(np.cumsum(times) - times, times)
         for k in range(self.size):
-            same = values[places + k] == self.values[number, k]
+            same = values[places + k] == self.items.values[self.first[number] + k]
             places, number = places[same], number[same]
         return places, number
 
 
 def pattern_tables(texts: pa.Array, window: int) -> list[Patterns]:
     """Tables for the windows of some texts, one for each length; a text without words has none."""
-    found: dict[int, dict[bytes, tuple[np.ndarray, set[int]]]] = defaultdict(dict)
+    values, spelled, counts = [], [], []
     for part in words.slices(texts):
-        data, starts, ends, first, values = _found_words(part)
-        for row in range(part.last - part.first):
-            a, b = int(first[row]), int(first[row + 1])
-            size = min(window, b - a)
-            own = [data[s:e].tobytes() for s, e in zip(starts[a:b], ends[a:b], strict=True)]
-            for k in range(b - a - size + 1 if size else 0):
-                key = b" ".join(own[k : k + size])
-                entry = found[size].setdefault(key, (values[a + k : a + k + size], set()))
-                entry[1].add(part.first + row)
-    return [Patterns(size, entries) for size, entries in sorted(found.items())]
-
-
-def _searched(batch: pa.RecordBatch, tables: list[Patterns], ids: list[list[str]]) -> pa.RecordBatch:
-    """Add what ``tables`` find, in texts with these item ids, to the spans and items that earlier turns found."""
-    counts, spans, items = [], [], []
-    earlier = zip(batch.column("wm_spans").to_pylist(), batch.column("wm_items").to_pylist(), strict=True)
-    for part in words.slices(batch.column("text")):
-        data, starts, ends, first, values = _found_words(part)
-        edges = np.zeros(len(values) + 1, np.int32)
-        found: dict[int, set[int]] = defaultdict(set)
-        for table in tables:
-            places, number = table.search(values)
-            rows = np.searchsorted(first, places, "right") - 1
-            inside = places + table.size <= first[rows + 1]
-            for place, n, row in zip(places[inside].tolist(), number[inside].tolist(), rows[inside].tolist(), strict=True):
-                own = b" ".join([data[starts[k] : ends[k]].tobytes() for k in range(place, place + table.size)])
-                if own == table.texts[n]:
-                    edges[place] += 1
-                    edges[place + table.size] -= 1
-                    found[row].update(table.rows[n])
-        for row in range(part.last - part.first):
-            a, b = int(first[row]), int(first[row + 1])
-            old_spans, old_items = next(earlier)
-            if old_spans:
-                for s, e in np.array(old_spans, np.int64).reshape(-1, 2).tolist():
-                    edges[a + s] += 1
-                    edges[a + e] -= 1
-            counts.append(b - a)
-            items.append(sorted({*(old_items or []), *(i for n in found[row] for i in ids[n])} if row in found else old_items or []))
-        covered = np.concatenate([[0], (np.cumsum(edges[:-1]) > 0).astype(np.int8), [0]])
-        for row in range(part.last - part.first):
-            a, b = int(first[row]), int(first[row + 1])
-            own = covered[a + 1 : b + 1]
-            spans.append(np.flatnonzero(np.diff(own, prepend=0, append=0)).tolist() if own.any() else [])
-    new = {"wm_words": pa.array(counts, pa.int64()), "wm_spans": pa.array(spans, pa.list_(pa.int64())), "wm_items": pa.array(items, pa.list_(pa.string()))}
-    names = batch.schema.names
-    return pa.RecordBatch.from_arrays([new[n] if n in new else batch.column(n) for n in names], names=names)
+        data, starts, ends, first, found = _found_words(part)
+        values.append(found)
+        spelled += [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        counts.append(np.diff(first))
+    n = np.concatenate(counts) if counts else np.zeros(0, np.int64)
+    ends = np.cumsum([len(x) + 1 for x in spelled], dtype=np.int64) - 1
+    starts = np.concatenate([[0], ends[:-1] + 1]).astype(np.int64)[: len(spelled)]
+    items = _Items(np.concatenate([*values, np.zeros(0, np.uint64)]), b" ".join(spelled), starts, ends)
+    begin = np.cumsum(n) - n
+    tables = []
+    for size in np.unique(np.minimum(n[n > 0], window)).tolist():
+        own = np.flatnonzero(np.minimum(n, window) == size)
+        windows = n[own] - size + 1
+        text = np.repeat(own, windows)
+        first = begin[text] + np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
+        tables.append(Patterns(size, items, first, text))
+    return tables
+
+
+class _Search:
+    """What blocks of a benchmark, one after another, find in the texts of a batch."""
+
+    def __init__(self, texts: pa.Array) -> None:
+        self.texts = texts
+        self.counts = np.zeros(len(texts), np.int64)
+        self.spans: list[list[tuple[int, int]]] = [[] for _ in range(len(texts))]
+        self.items: list[set[str]] = [set() for _ in range(len(texts))]
+
+    def add(self, tables: list[Patterns], ids: list[list[str]]) -> None:
+        """Search for the tables of texts with these item ids."""
+        for part in words.slices(self.texts):
+            data, starts, ends, first, values = _found_words(part)
+            self.counts[part.first : part.last] = np.diff(first)
+            for table in tables:
+                places, number = table.search(values)
+                rows = np.searchsorted(first, places, "right") - 1
+                inside = places + table.size <= first[rows + 1]
+                for place, n, row in zip(places[inside].tolist(), number[inside].tolist(), rows[inside].tolist(), strict=True):
+                    own = b" ".join([data[starts[k] : ends[k]].tobytes() for k in range(place, place + table.size)])
+                    if own == table.items.spelled(int(table.first[n]), table.size):
+                        at = place - int(first[row])
+                        self.spans[part.first + row].append((at, at + table.size))
+                        for text in table.rows[table.bounds[n] : table.bounds[n + 1]].tolist():
+                            self.items[part.first + row].update(ids[text])
+
+    def columns(self) -> dict[str, pa.Array]:
+        merged = []
+        for spans in self.spans:
+            out: list[int] = []
+            for start, end in sorted(spans):
+                if out and start <= out[-1]:
+                    out[-1] = max(out[-1], end)
+                else:
+                    out += [start, end]
+            merged.append(out)
+        return {
+            "wm_words": pa.array(self.counts),
+            "wm_spans": pa.array(merged, pa.list_(pa.int64())),
+            "wm_items": pa.array([sorted(x) for x in self.items], pa.list_(pa.string())),
+        }
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
@@ -152,32 +188,45 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> Da
     inside an occurrence; ``wm_items`` the ids, as strings, of the items of
     ``benchmark(item_id, text)`` found. A NULL text has no words. An item with a
     NULL id marks words but is not listed. The distinct texts of the benchmark
-    are cut into blocks of ``BLOCK_BYTES``; the driver makes the tables of one
-    block after another, and all documents are searched for each.
+    are cut into blocks of about ``BLOCK_BYTES``, whose tables tasks write to the
+    shared folder; a search task reads and holds the tables of one block at a time.
     """
-    spark = docs.sparkSession
-    rows = docs.withColumns(
+    paths = stored_tables(benchmark, window)
+    schema = docs.withColumns(
         {
             "wm_words": F.lit(0).cast("long"),
             "wm_spans": F.array().cast("array<long>"),
             "wm_items": F.array().cast("array<string>"),
         }
-    )
-    for own in _benchmark_blocks(benchmark):
-        tables = pattern_tables(pa.array([x["text"] for x in own], pa.string()), window)
-        held = spark.sparkContext.broadcast((tables, [x["ids"] for x in own]))
+    ).schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            search = _Search(batch.column("text"))
+            for path in paths:
+                if kept is None or kept[0] != path:
+                    kept = None  # before the next is read
+                    kept = (path, _read_block(path))
+                search.add(*kept[1])
+            if not paths:
+                search.add([], [])
+            found = search.columns()
+            yield pa.RecordBatch.from_arrays([*batch.columns, *found.values()], names=[*batch.schema.names, *found])
+
+    return docs.mapInArrow(run, schema)
 
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    yield _searched(batch, *held.value)
 
-        rows = rows.mapInArrow(run, rows.schema)
-    return rows
+def _read_block(path: str) -> tuple[list[Patterns], list[list[str]]]:
+    system, name = shared_file_system(path)
+    with system.open_input_stream(name) as file:
+        return pickle.loads(file.read())
 
 
-def _benchmark_blocks(benchmark: DataFrame) -> Iterator[list[Row]]:
-    """``text, ids, size`` of the distinct texts, in blocks of at most ``BLOCK_BYTES`` or one row; at least one block.
+def stored_tables(benchmark: DataFrame, window: int) -> list[str]:
+    """The paths of files with the tables of one block each; at least one block. Only the paths reach the driver.
 
     The item ids of a text are dealt to several rows, by hash, if all ids
     together are larger than a block.
@@ -189,16 +238,32 @@ def _benchmark_blocks(benchmark: DataFrame) -> Iterator[list[Row]]:
     size = F.octet_length("text") + F.aggregate("ids", F.lit(0), lambda n, x: n + F.octet_length(x))
     grouped = stored(grouped.select("text", "part", "ids", size.cast("long").alias("size")), "benchmark")
     blocks = max(1, -(-(grouped.agg(F.sum("size")).first()[0] or 0) // BLOCK_BYTES))
-    for block in range(blocks):
-        own, held = [], 0
-        for row in grouped.where(F.pmod(F.xxhash64("text", "part"), F.lit(blocks)) == block).select("text", "ids", "size").collect():
-            if own and held + row["size"] > BLOCK_BYTES:
-                yield own
-                own, held = [], 0
-            own.append(row)
-            held += row["size"]
-        if own or blocks == 1:
-            yield own
+    folder = scratch_path(benchmark.sparkSession, "benchmark-tables")
+    system, base = shared_file_system(folder)
+    system.create_dir(base, recursive=True)
+
+    def write(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("text", "ascending"), ("part", "ascending")])  # the same files if a task is run again
+        number = block.column("block")[0].as_py()
+        sizes, cuts, held = block.column("size").to_pylist(), [0], 0
+        for k, size in enumerate(sizes):  # hashes deal unevenly
+            if held and held + size > BLOCK_BYTES:
+                cuts.append(k)
+                held = 0
+            held += size
+        for turn, (first, last) in enumerate(itertools.pairwise([*cuts, len(sizes)])):
+            own = block.slice(first, last - first)
+            made = pattern_tables(own.column("text").combine_chunks(), window), own.column("ids").to_pylist()
+            files, base = shared_file_system(folder)
+            path = f"{base}/.{number:08d}-{turn:08d}-{uuid.uuid4().hex}"
+            with files.open_output_stream(path) as out:
+                out.write(pickle.dumps(made, protocol=5))
+            files.move(path, f"{base}/{number:08d}-{turn:08d}.tables")
+        return pa.table({"block": pa.array([number] * len(cuts), pa.int64()), "turn": pa.array(range(len(cuts)), pa.int64())})
+
+    dealt = grouped.select(F.pmod(F.xxhash64("text", "part"), F.lit(blocks)).alias("block"), "text", "part", "ids", "size")
+    written = stored(dealt.groupBy("block").applyInArrow(write, "block long, turn long"), "benchmark-blocks")
+    return [f"{folder}/{row['block']:08d}-{row['turn']:08d}.tables" for row in written.orderBy("block", "turn").collect()]
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from epilake.llm import words
-from epilake.llm.tables import map_batches, stored
+from epilake.llm.tables import map_batches, stored, with_row_ids
 
 
 @dataclass(frozen=True)
@@ -293,11 +293,3 @@ def without_repeats(docs: DataFrame, rule: Parsing | None = None) -> DataFrame:
         F.coalesce("left_sha256", "sha256").alias("kept_sha256"),
         "kept",
     )
-
-
-def with_row_ids(docs: DataFrame) -> DataFrame:
-    """Give every row a number of its own that is the same in every run of the job: its id, or a hash where ids repeat or are NULL."""
-    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1)
-    if ids.isEmpty() and docs.where("doc_id IS NULL").limit(1).isEmpty():
-        return docs.withColumn("row_id", F.col("doc_id"))
-    return stored(docs.withColumn("row_id", F.monotonically_increasing_id()), "numbered")

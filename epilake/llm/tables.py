@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +46,15 @@ def crc_class(column: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus``; NULL for a NULL id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
 
+
+def shared_file_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """A file system for a folder that all executors share, from its URI or plain path."""
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
+
+
+def with_row_ids(docs: DataFrame) -> DataFrame:
+    """``docs`` and ``row_id``, a number of its own for every row: its ``doc_id``, or a place in a stored copy where ids repeat or are NULL."""
+    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1)
+    if ids.isEmpty() and docs.where("doc_id IS NULL").limit(1).isEmpty():
+        return docs.withColumn("row_id", F.col("doc_id"))
+    return stored(docs.withColumn("row_id", F.monotonically_increasing_id()), "numbered")

@@ -19,12 +19,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from epilake.llm import words
-from epilake.llm.tables import stored
+from epilake.llm.tables import shared_file_system, stored
 from epilake.session import scratch_path
 
 #: Distinct pieces kept with their ids by a task before it starts anew.
@@ -51,8 +50,11 @@ class TokenFiles:
 
     ``added``: the tokenizer's added tokens, special ones too, get their own ids
     where a text spells them, as the library has it; if false, they are text
-    like any other. With more documents than ``most_files`` files of ``docs_per_file`` hold,
-    files get larger.
+    like any other.
+
+    A task writes the documents of one range of about ``docs_per_file`` ids, or of
+    more where there are more than ``most_ranges`` such ranges, to files that each end
+    with the document that brings them to ``ids_per_file`` ids.
     """
 
     tokenizer: str
@@ -60,7 +62,8 @@ class TokenFiles:
     length: int = 1024
     batch: int = 512
     docs_per_file: int = 4096
-    most_files: int = 16_384
+    most_ranges: int = 16_384
+    ids_per_file: int = 1 << 26
     added: bool = False
 
 
@@ -248,18 +251,14 @@ def token_rows(docs: DataFrame, rule: TokenFiles, files: _Files) -> DataFrame:
     return docs.select("doc_id", "text", "part").mapInArrow(run, "file long, doc_id long, ids binary")
 
 
-def shared_file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """A file system for a folder that all executors share, from its URI or plain path."""
-    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", uri))
-
-
 class _Writer:
     """One file: documents in, equal sequences out; visible under its name only when complete."""
 
-    def __init__(self, folder: str, name: int, dtype: type, rule: TokenFiles) -> None:
+    def __init__(self, folder: str, name: int, turn: int, dtype: type, rule: TokenFiles) -> None:
         self.system, base = shared_file_system(folder)
-        self.path = f"{base}/{name:08d}.arrow"
-        self.own = f"{base}/.{name:08d}-{uuid.uuid4().hex}"
+        self.name, self.turn = name, turn
+        self.path = f"{base}/{name:08d}-{turn:08d}.arrow"
+        self.own = f"{base}/.{name:08d}-{turn:08d}-{uuid.uuid4().hex}"
         self.rule, self.dtype, n = rule, dtype, rule.length
         self.schema = pa.schema(
             [
@@ -313,11 +312,11 @@ class _Writer:
 
 
 def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFrame:
-    """Write all of ``docs(doc_id, text)`` to new files in ``folder``; returns ``file, documents, tokens``.
+    """Write all of ``docs(doc_id, text)`` to new files in ``folder``; returns ``file, turn, documents, tokens``.
 
-    A file holds about ``docs_per_file`` documents of one range of ids; a NULL id
-    comes before all others. The rows of an id that has more are dealt to files
-    of their own. A task that is run again writes the same file once
+    ``file`` numbers ranges of about ``docs_per_file`` ids, and ``turn`` the files of
+    one; a NULL id comes before all others. The rows of an id that has more are
+    dealt to ranges of their own. A task that is run again writes the same file once
     more under the same name.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -329,25 +328,30 @@ def write_token_files(docs: DataFrame, folder: str, rule: TokenFiles) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dtype = encoder(path, added).dtype
-        writer, name = None, None
+        writer, name, turn = None, None, 0
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in ("file", "doc_id", "ids")]
             for file, doc_id, ids in zip(*columns, strict=True):
                 if file != name:
                     if writer:
-                        yield closed(writer, name)
-                    writer, name = _Writer(folder, file, dtype, rule), file
+                        yield closed(writer)
+                    writer, name, turn = None, file, 0
+                writer = writer or _Writer(folder, file, turn, dtype, rule)
                 writer.add(doc_id, zlib.decompress(ids))
+                if writer.tokens >= rule.ids_per_file:
+                    yield closed(writer)
+                    writer, turn = None, turn + 1
         if writer:
-            yield closed(writer, name)
+            yield closed(writer)
 
-    def closed(writer: _Writer, name: int) -> pa.RecordBatch:
+    def closed(writer: _Writer) -> pa.RecordBatch:
         writer.close()
-        return pa.RecordBatch.from_pydict({"file": [name], "documents": [writer.documents], "tokens": [writer.tokens]})
+        row = {"file": writer.name, "turn": writer.turn, "documents": writer.documents, "tokens": writer.tokens}
+        return pa.RecordBatch.from_pydict({name: [value] for name, value in row.items()})
 
     rows = token_rows(docs, rule, files)
     rows = rows.repartitionById(files.count, F.col("file").cast("int")).sortWithinPartitions("file", "doc_id", "ids")
-    written = rows.mapInArrow(run, "file long, documents long, tokens long")
+    written = rows.mapInArrow(run, "file long, turn long, documents long, tokens long")
     return stored(written, "token-manifest")
 
 
@@ -383,10 +387,10 @@ class _Files:
 def _files(ids: DataFrame, rule: TokenFiles) -> _Files:
     """Ranges of ids by a sample by hash of about ``SAMPLED`` ids for each file, and more files for ids with more rows than one."""
     count = ids.count()
-    files = min(rule.most_files, -(-count // rule.docs_per_file))
+    files = min(rule.most_ranges, -(-count // rule.docs_per_file))
     if files < 2:
         return _Files([], {})
-    each = max(rule.docs_per_file, -(-count // rule.most_files))
+    each = max(rule.docs_per_file, -(-count // rule.most_ranges))
     hot = ids.groupBy("doc_id").count().where(F.col("count") > each).collect()
     parts = {r["doc_id"]: -(-r["count"] // each) for r in hot}
     most = -(2.0**63) + 2.0**64 * SAMPLED * files / count
@@ -402,12 +406,12 @@ def read_sequences(content: pa.Buffer | str) -> pa.RecordBatchFileReader:
 
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """``file, doc_id, start, n_tokens, ids_crc32`` of every document, from the files; starts count from the file's first id."""
+    """``file, turn, doc_id, start, n_tokens, ids_crc32`` of every document, from the files; starts count from the file's first id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content"), strict=True):
-                name = int(re.search(r"(\d+)\.arrow$", path.as_py())[1])
+                name, turn = map(int, re.search(r"(\d+)-(\d+)\.arrow$", path.as_py()).groups())
                 reader = read_sequences(content.as_buffer())
                 begun, size, crc = 0, 0, 0
                 for i in range(reader.num_record_batches):
@@ -425,12 +429,16 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
                     size, crc = size + len(ids) - last, zlib.crc32(ids[last:].tobytes(), crc)
                     starts, sizes, crcs = np.array(rows, np.int64).reshape(-1, 3).T
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), name)), docs, pa.array(starts), pa.array(sizes), pa.array(crcs)],
-                        names=["file", "doc_id", "start", "n_tokens", "ids_crc32"],
+                        [
+                            *(pa.array(np.full(len(rows), x, np.int64)) for x in (name, turn)),
+                            docs,
+                            *map(pa.array, (starts, sizes, crcs)),
+                        ],
+                        names=["file", "turn", "doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.arrow").load(folder).select("path", "content")
-    return files.mapInArrow(run, "file long, doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(run, "file long, turn long, doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_output(docs: DataFrame, rule: TokenFiles, folder: str | None = None) -> DataFrame:
@@ -445,7 +453,7 @@ def token_output(docs: DataFrame, rule: TokenFiles, folder: str | None = None) -
     manifest = write_token_files(docs, folder, rule)
     if manifest.isEmpty():
         return manifest.select(*[F.lit(None).cast("long").alias(c) for c in ("doc_id", "start", "n_tokens", "ids_crc32")]).limit(0)
-    before = F.coalesce(F.sum("tokens").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = manifest.select("file", before.alias("before"))
-    rows = read_documents(spark, folder).join(starts, "file")
+    before = F.coalesce(F.sum("tokens").over(Window.orderBy("file", "turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = manifest.select("file", "turn", before.alias("before"))
+    rows = read_documents(spark, folder).join(starts, ["file", "turn"])
     return rows.select("doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32")

@@ -62,24 +62,42 @@ def test_matches_brute_force(spark, documents, monkeypatch, block):
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in rows} == brute(docs, items)
 
 
-def test_equal_texts_and_many_ids_stay_within_blocks(spark, documents, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
-    made, real = [], decontaminate.pattern_tables
+def block_sizes(bench) -> list[int]:
+    """Bytes of the texts and item ids of each block of tables."""
+    blocks = [decontaminate._read_block(path) for path in decontaminate.stored_tables(bench, 10)]
+    return [len(tables[0].items.data if tables else b"") + sum(len(x) for own in ids for x in own) for tables, ids in blocks]
 
-    def counted(texts, *rest):
-        made.append(sum(len(t.as_py()) for t in texts))
-        return real(texts, *rest)
 
-    monkeypatch.setattr(decontaminate, "pattern_tables", counted)
+def test_equal_texts_and_many_ids_stay_within_blocks(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 2000)
     docs, items = cases()
     items += [(100 + k, items[5][1]) for k in range(2000)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     rows = contamination(documents(*docs), bench).collect()
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"], r.contaminated) for r in rows} == brute(docs, items)
-    assert max(made) <= 2000
-    made.clear()
-    contamination(documents(*docs), spark.createDataFrame([(k % 3, items[5][1]) for k in range(2000)], bench.schema)).collect()
-    assert made == [sum(map(len, [items[5][1]]))]
+    sizes = block_sizes(bench)
+    assert len(sizes) > 3 and max(sizes) <= 2000
+    assert len(block_sizes(spark.createDataFrame([(k % 3, items[5][1]) for k in range(2000)], bench.schema))) == 1
+
+
+def test_many_blocks_are_one_node_and_stay_off_the_driver(spark, documents, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 60)
+    docs, items = cases()
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    made = []
+    monkeypatch.setattr(decontaminate, "_read_block", lambda path: made.append(path))  # of this process, not of the tasks
+    rows = contamination(documents(*docs), bench)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and len(decontaminate.stored_tables(bench, 10)) >= 20
+    assert not made
+
+
+def test_a_window_in_very_many_items(spark, documents):
+    items = [(k, f"one two three four five six seven eight nine ten own{k}") for k in range(3000)]
+    docs = [(1, "one two three four five six seven eight nine ten"), (2, "two three four five six seven eight nine ten own7")]
+    rows = {r.doc_id: r for r in contamination(documents(*docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert rows[1].n_items == 3000 and rows[1].n_hit == 10
+    assert rows[2]["items"] == ["7"]
 
 
 def test_windows_do_not_cross_documents(spark, documents):

@@ -142,6 +142,23 @@ def test_an_id_of_many_rows_has_several_files(documents, whole, tmp_path):
     assert sum(sizes) == len(rows) and max(sizes) < 30
 
 
+@pytest.mark.parametrize("ids", [1, 50, 2000])
+def test_files_end_by_their_ids(documents, whole, tmp_path, ids):
+    rows = [(k, "some words " * (k % 37)) for k in range(300)] + [(500, "a long one " * 20_000), (None, "x")]
+    folder = (tmp_path / "tokens").as_uri()
+    rule = TokenFiles(byte_tokenizer(), length=16, batch=4, docs_per_file=100, ids_per_file=ids)
+    found = token_output(documents(*rows), rule, folder).orderBy("start").collect()
+    assert [tuple(r) for r in found] == expected([(None, "x"), *rows[:-1]], whole)
+    sizes = []
+    for path in (tmp_path / "tokens").glob("*.arrow"):
+        reader = read_sequences(str(path))
+        batches = [reader.get_batch(i) for i in range(reader.num_record_batches)]
+        marks = [np.concatenate([b.column(k).flatten().to_numpy(zero_copy_only=False) for b in batches]) for k in (1, 2)]
+        last = np.flatnonzero(marks[1])[-2:]
+        sizes.append(last[-2] + 1 if len(last) > 1 else 0)  # without its last document
+    assert max(sizes) < ids and len(sizes) > 3
+
+
 def test_empty_table(documents):
     none = documents((1, "a")).where("false")
     out = token_output(none, TokenFiles(byte_tokenizer()))
