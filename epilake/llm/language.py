@@ -144,19 +144,25 @@ def _without_letter(part: words.Slice) -> np.ndarray:
 
 
 def learn(docs: DataFrame, rule: Training) -> Languages:
-    """Learn from ``docs(doc_id, text, lang)`` outside the held-out class; NULL ids, texts and languages are left out."""
+    """Learn from ``docs(doc_id, text, lang)`` outside the held-out class.
+
+    NULL ids, texts and languages are left out. The sample is of ids: one that has many
+    rows of a language counts once for it.
+    """
     rows = docs.select("doc_id", "text", "lang").where(crc_class("doc_id", rule.modulus) != rule.held_out_class)
     rows = rows.where("lang IS NOT NULL AND text IS NOT NULL")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    # Hashes are even, so twice the share that is wanted leaves enough, and no language is gathered whole.
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    # Hashes of ids are even, so twice the share of the ids that is wanted leaves enough, and no language is gathered whole.
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n"))
     sizes = sizes.select("lang", (F.lit(-(2.0**63)) + 2.0**65 * rule.per_language / F.col("n")).alias("most"))
     # One row for each language, far less than the model, which the driver holds and sends out.
     low = rows.select("doc_id", "lang").join(F.broadcast(sizes), "lang").where(F.xxhash64("doc_id").cast("double") <= F.col("most"))
-    chosen = low.select("doc_id", "lang").withColumn("place", F.row_number().over(order))
-    chosen = chosen.where(F.col("place") <= rule.per_language).select("doc_id", "lang").distinct()
+    chosen = low.select("doc_id", "lang").distinct().withColumn("place", F.row_number().over(order))
+    chosen = chosen.where(F.col("place") <= rule.per_language).select("doc_id", "lang")
     sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
-    return Languages([tuple(r) for r in context_counts(sample).collect()])
+    # An id counts once, with the text of the least hash, however many rows it has.
+    sample = sample.groupBy("doc_id", "lang").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("least"))
+    return Languages([tuple(r) for r in context_counts(sample.select("doc_id", "least.text", "lang")).collect()])
 
 
 def predict_language(docs: DataFrame, rule: Training | None = None, model: Languages | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from epilake.llm import words
 from epilake.llm.components import components
-from epilake.llm.tables import map_batches, stored
+from epilake.llm.tables import anonymous, map_batches, stored, with_row_ids
 
 #: Low bits of each minimum that the packed signature keeps.
 BITS = 4
@@ -93,7 +93,7 @@ def estimates(left: np.ndarray, right: np.ndarray, count: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, rule: NearDuplicates) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands, signature`` of every row; no bands without words."""
+    """``row_id, doc_id, n_shingles, digest, bands, signature`` of every row; no bands without words."""
 
     def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, digests, bands, packs = [], [], [], []
@@ -123,17 +123,18 @@ def sketches(docs: DataFrame, rule: NearDuplicates) -> DataFrame:
         lengths = np.concatenate([[0], np.cumsum([len(x) for x in bands])]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
-                batch.column("doc_id").cast(pa.int64()),
+                batch.column("row_id"),
+                batch.column("doc_id"),
                 pa.array(np.concatenate(sizes)),
                 pa.array(digests, pa.binary()),
                 pa.ListArray.from_arrays(lengths, np.concatenate(bands)),
                 pa.array(packs, pa.binary()),
             ],
-            names=["doc_id", "n_shingles", "digest", "bands", "signature"],
+            names=["row_id", "doc_id", "n_shingles", "digest", "bands", "signature"],
         )
 
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), sketch, schema)
+    schema = "row_id long, doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
+    return map_batches(docs.select("row_id", "doc_id", "text"), sketch, schema)
 
 
 def full_sets(docs: DataFrame, rule: NearDuplicates) -> DataFrame:
@@ -142,10 +143,10 @@ def full_sets(docs: DataFrame, rule: NearDuplicates) -> DataFrame:
     def gather(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [x.tobytes() for part in words.slices(batch.column("text")) for x in words.shingle_sets(part, rule.width)]
         return pa.RecordBatch.from_arrays(
-            [batch.column("doc_id").cast(pa.int64()), pa.array(sets, pa.binary())], names=["rep", "shingles"]
+            [batch.column("row_id"), pa.array(sets, pa.binary())], names=["rep", "shingles"]
         )
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), gather, "rep long, shingles binary")
+    return map_batches(docs.select("row_id", "text"), gather, "rep long, shingles binary")
 
 
 def _linked(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
@@ -199,94 +200,157 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
     return members.select("pivot", "rep").distinct()
 
 
+_ENDS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _unpacked(group: pa.Table) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Numbers, sets and signatures of the rows of a group."""
+    sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+    marks = np.array([np.frombuffer(x, np.uint8) for x in group.column("signature").to_pylist()])
+    return group.column("rep").to_numpy(), sets, marks
+
+
+def _pairs(rule: NearDuplicates, sets: list[np.ndarray], marks: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which pairs of ``left`` x ``right`` are links: likely ones by their signatures, confirmed on full sets."""
+    likely = estimates(marks[left], marks[right], rule.count) >= rule.least_estimate
+    a, b = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
+    if len(a) and len(b):
+        likely[np.ix_(a, b)] &= _linked(sets, left[a], right[b], rule.percent)
+    return likely
+
+
+def _blocks_of(rows: DataFrame, label: str) -> DataFrame:
+    """``pivot, many``: how many blocks the rows of each pivot are dealt to, of the pivots with several.
+
+    A table of its own, so that a join with it can split a large group.
+    """
+    sizes = rows.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias(label))
+    return stored(sizes.where(F.col(label) > 1), "large")
+
+
+def _dealt(rows: DataFrame, blocks: DataFrame, label: str) -> DataFrame:
+    """``rows`` with the number of blocks of their pivot, 1 unless ``blocks`` has more."""
+    return rows.join(blocks, "pivot", "left").withColumn(label, F.coalesce(label, F.lit(1).cast("long")))
+
+
+def _steps(many: str):
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.col(many) - 1))
+
+
 def confirmed_links(groups: DataFrame, sets: DataFrame, rule: NearDuplicates) -> DataFrame:
     """Links ``a, b`` that connect whatever is connected inside the groups.
 
-    A group of any size is dealt in blocks; a task holds two blocks at a time,
-    estimates all similarities between them from the packed signatures and
-    confirms on full sets. Links that connect nothing new in that task are not
-    put out.
+    First every member of a group is compared with the group's pivot, which goes
+    out once with each block of members: the rows sent grow with the members. Members
+    that link to it are connected already. Only those that do not are then
+    compared, in blocks, with all other members; a task holds two blocks and puts
+    out links that connect something new. Whether a pair links is decided by an
+    estimate from the packed signatures and, where that is not far below the
+    threshold, on full sets.
     """
-    sizes = groups.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("many"))
-    large = stored(sizes.where("many > 1"), "large")  # a table of its own, so that the join can split a large group
-    dealt = groups.join(large, "pivot", "left").withColumn("blocks", F.coalesce("many", F.lit(1).cast("long")))
-    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")
-    dealt = dealt.select("pivot", "rep", "block", other).select(
-        "pivot", "rep", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block"
-    )
-    percent, least, count = rule.percent, rule.least_estimate, rule.count
-
-    def confirm(group: pa.Table) -> pa.Table:
-        reps = group.column("rep").to_numpy()
-        sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        marks = np.array([np.frombuffer(x, np.uint8) for x in group.column("signature").to_pylist()])
-        first = group.column("one")[0].as_py()
-        block = group.column("block").to_numpy()
-        same = first == group.column("two")[0].as_py()
-        left = np.flatnonzero(block == first)
-        right = left if same else np.flatnonzero(block != first)
+    members = groups.where("pivot != rep")
+    dealt = _dealt(members, _blocks_of(members, "blocks"), "blocks")
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks"))
+    heads = dealt.select("pivot", "blocks").distinct().select("pivot", F.col("pivot").alias("rep"), _steps("blocks").alias("block"))
+    star = dealt.select("pivot", "rep", block.alias("block")).union(heads)
+
+    def first(group: pa.Table) -> pa.Table:
+        reps, own, marks = _unpacked(group)
+        head = reps == group.column("pivot")[0].as_py()
+        left, right = np.flatnonzero(head), np.flatnonzero(~head)
+        found = _pairs(rule, own, marks, left, right)[0] if len(left) and len(right) else np.zeros(len(right), bool)
+        return pa.table({"pivot": group.column("pivot").take(right), "rep": reps[right], "linked": found})
+
+    rows = star.join(sets, "rep").groupBy("pivot", "block")
+    compared = stored(rows.applyInArrow(first, "pivot long, rep long, linked boolean"), "compared")
+    links = compared.where("linked").select(F.col("pivot").alias("a"), F.col("rep").alias("b"))
+
+    apart = compared.groupBy("pivot").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("open"))
+    apart = stored(apart.where("n > 1 AND open > 0").select("pivot"), "apart")
+    rest = stored(compared.join(apart, "pivot"), "rest")
+    lone = rest.where("NOT linked").select("pivot", "rep")
+    lone_blocks, all_blocks = _blocks_of(lone, "lone"), _blocks_of(rest, "whole")
+    lone = _dealt(_dealt(lone, lone_blocks, "lone"), all_blocks, "whole")
+    lone = lone.select("pivot", "rep", F.pmod(F.xxhash64("rep"), F.col("lone")).alias("one"), _steps("whole").alias("two"), F.lit(True).alias("left"))
+    whole = _dealt(_dealt(rest.select("pivot", "rep"), lone_blocks, "lone"), all_blocks, "whole")
+    whole = whole.select("pivot", "rep", _steps("lone").alias("one"), F.pmod(F.xxhash64("rep"), F.col("whole")).alias("two"), F.lit(False).alias("left"))
+
+    def second(group: pa.Table) -> pa.Table:
+        reps, own, marks = _unpacked(group)
+        side = group.column("left").to_numpy()
+        left, right = np.flatnonzero(side), np.flatnonzero(~side)
         kept: list[tuple[int, int]] = []
         if len(left) and len(right):
-            likely = estimates(marks[left], marks[right], count) >= least
-            likely &= reps[left][:, None] != reps[right][None, :]
-            a, b = np.flatnonzero(likely.any(axis=1)), np.flatnonzero(likely.any(axis=0))
-            if len(a) and len(b):
-                links = _linked(sets, left[a], right[b], percent) & likely[np.ix_(a, b)]
-                x, y = np.nonzero(links)
-                kept = _spanning(len(reps), zip(left[a][x].tolist(), right[b][y].tolist(), strict=True))
+            found = _pairs(rule, own, marks, left, right) & (reps[left][:, None] != reps[right][None, :])
+            x, y = np.nonzero(found)
+            names, place = np.unique(reps, return_inverse=True)
+            kept = _spanning(len(names), zip(place[left[x]].tolist(), place[right[y]].tolist(), strict=True))
+            kept = [(int(names[a]), int(names[b])) for a, b in kept]
         ends = np.array(kept, np.int64).reshape(-1, 2)
-        return pa.table({"a": reps[ends[:, 0]], "b": reps[ends[:, 1]]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        return pa.table({"a": ends[:, 0], "b": ends[:, 1]}, schema=_ENDS)
 
-    rows = dealt.join(sets, "rep")
-    return rows.groupBy("pivot", "one", "two").applyInArrow(confirm, "a long, b long").distinct()
+    rows = lone.union(whole).join(sets, "rep").groupBy("pivot", "one", "two")
+    return links.union(rows.applyInArrow(second, "a long, b long")).distinct()
 
 
-def near_duplicates(docs: DataFrame, rule: NearDuplicates | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
+def _marked(docs: DataFrame, rule: NearDuplicates) -> DataFrame:
+    """``row_id, doc_id, n_shingles, component_id, stays`` for every row of ``docs(row_id, doc_id, text)``.
 
-    Rows with equal sets become one node before candidates are sought, so exact
-    copies cost an aggregate. A document without words is linked with nothing.
-    A NULL id is returned with a NULL component and is kept; rows that share an
-    id are one document. Other columns of ``docs`` are ignored.
+    ``stays``: whether the row is the one of its group that stays, that of the least id. Rows without an id are alone.
     """
-    rule = rule or NearDuplicates()
     sketch = stored(sketches(docs, rule), "sketch")
     known = sketch.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    nodes = known.groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("rep"))
-    nodes = stored(nodes, "nodes")
-    own = nodes.select("digest", "n_shingles", F.col("rep").alias("doc_id"), "rep")
-    reps = known.join(own, ["digest", "n_shingles", "doc_id"]).select("rep", "bands", "signature").distinct()
+    least = F.min(F.struct("doc_id", "row_id")).alias("least")
+    nodes = stored(known.groupBy("digest", "n_shingles").agg(F.min("row_id").alias("rep"), least), "nodes")
+    own = nodes.select(F.col("rep").alias("row_id"))
+    reps = known.join(own, "row_id", "left_semi").select(F.col("row_id").alias("rep"), "bands", "signature")
     reps = stored(reps, "reps")
     groups = stored(candidate_groups(reps), "groups")
-    wanted = groups.select(F.col("rep").alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = texts.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi")
-    sets = full_sets(texts, rule).distinct().join(reps.select("rep", "signature"), "rep")
-    links = confirmed_links(groups, stored(sets, "sets"), rule)
-    found = components(links).select(F.col("node").alias("rep"), "component")
-    final = nodes.join(found, "rep", "left").select(
-        "digest", "n_shingles", F.coalesce("component", "rep").alias("component")
-    )
-    rows = sketch.select("doc_id", "n_shingles", "digest").join(final, ["digest", "n_shingles"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    wanted = groups.select(F.col("rep").alias("row_id")).distinct()
+    texts = docs.select("row_id", "text").join(wanted.hint("shuffle_hash"), "row_id", "left_semi")
+    sets = full_sets(texts, rule).join(reps.select("rep", "signature"), "rep")
+    found = components(confirmed_links(groups, stored(sets, "sets"), rule)).select(F.col("node").alias("rep"), "component")
+    held = stored(nodes.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "held")
+    # One row for each node, so a large component is few rows of each task.
+    firsts = stored(held.groupBy("component").agg(F.min("least").alias("first")), "firsts")
+    final = held.join(firsts, "component").select("digest", "n_shingles", "first")
+    rows = sketch.select("row_id", "doc_id", "n_shingles", "digest").join(final, ["digest", "n_shingles"], "left")
+    alone = F.col("first").isNull() | F.col("doc_id").isNull()
     return rows.select(
+        "row_id",
         "doc_id",
         "n_shingles",
-        component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+        (alone | (F.col("row_id") == F.col("first.row_id"))).alias("stays"),
     )
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    return with_row_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+
+
+def near_duplicates(docs: DataFrame, rule: NearDuplicates | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every row of ``docs(doc_id, text)``.
+
+    Rows with equal sets become one node before candidates are sought, so exact
+    copies cost an aggregate. A document without words is linked with nothing.
+    Rows that share an id are documents of their own. A NULL id is returned with a
+    NULL component and is kept; other rows are kept if their id is their
+    component's. Other columns of ``docs`` are ignored.
+    """
+    rows = _marked(_numbered(docs), rule or NearDuplicates())
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    return rows.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def distinct_documents(docs: DataFrame, rule: NearDuplicates | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay when one document of each group does, with all their columns.
+    """The rows of ``docs`` that stay when one of each group of near-duplicates does, with all their columns.
 
-    The document of the least id stays; rows that share an id are one document,
-    of which one row stays. Rows without an id stay.
+    The row of the least id stays, one of them where several have it. Rows without
+    words or without an id stay.
     """
-    removed = near_duplicates(docs, rule).where("NOT kept").select("doc_id").distinct()
-    rows = docs.join(removed.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
-    ids = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
-    if ids.where("n > 1").isEmpty():
-        return rows
-    return rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).union(rows.where("doc_id IS NULL"))
+    plain = anonymous(docs, "doc_id", "text")
+    numbered = with_row_ids(plain.withColumn("doc_id", F.col("doc_id").cast("long")))
+    removed = _marked(numbered.select("row_id", "doc_id", "text"), rule or NearDuplicates()).where("NOT stays").select("row_id")
+    rows = numbered.join(removed.hint("shuffle_hash"), "row_id", "left_anti")
+    return rows.select(*plain.columns).toDF(*docs.columns)

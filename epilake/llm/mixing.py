@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from epilake.llm.tables import anonymous, stored
+from epilake.llm.tables import anonymous, stored, with_row_ids
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -73,10 +73,12 @@ def mix(docs: DataFrame, rule: Mixture | None = None, keep: tuple[str, ...] = ()
     their copies. A source without words has target 0 and gives no copies.
     """
     rule = rule or Mixture()
-    sizes = stored(docs.select("doc_id", "source", word_count().alias("size"), *keep), "sizes")
+    sizes = docs.select("doc_id", "source", word_count().alias("size"), *keep)
+    sizes = stored(sizes.withColumn("number", F.monotonically_increasing_id()), "sizes")
     plan = stored(targets(sizes, rule), "targets")
     slices = max(1, -(-sizes.count() // rule.slice_rows))
     rows = sizes.withColumn("slice", F.coalesce(_spread(F.col("doc_id").cast("string")) % slices, F.lit(0)).cast("long"))
+    rows = _divided(rows, rule)
     # Rows before each size in its source, and before each slice in its size: both from counts.
     by_slice = rows.groupBy("source", "size", "slice").agg(F.count("*").alias("n"))
     by_size = by_slice.groupBy("source", "size").agg(F.sum("n").alias("n"))
@@ -84,7 +86,7 @@ def mix(docs: DataFrame, rule: Mixture | None = None, keep: tuple[str, ...] = ()
     by_size = by_size.select("source", "size", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"))
     earlier = Window.partitionBy("source", "size").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     by_slice = by_slice.select("source", "size", "slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("earlier"))
-    inside = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("doc_id", *keep)) - 1
+    inside = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy("doc_id", *keep, "number")) - 1
     rows = rows.withColumn("inside", inside)
     for extra, keys in ((by_slice, ["source", "size", "slice"]), (by_size, ["source", "size"]), (plan, ["source"])):
         rows = _join_null_safe(rows, extra, keys)
@@ -98,6 +100,21 @@ def mix(docs: DataFrame, rule: Mixture | None = None, keep: tuple[str, ...] = ()
     )
 
 
+def _divided(rows: DataFrame, rule: Mixture) -> DataFrame:
+    """``rows`` with finer slices where one id, or none, fills a slice of a source and size far beyond the others."""
+    keys = ["source", "size", "slice"]
+    full = rows.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 4 * rule.slice_rows)
+    full = stored(full.select(*keys, F.ceil(F.col("n") / rule.slice_rows).alias("parts")), "full-slices")
+    if full.isEmpty():
+        return rows
+    named = full.select(*[F.col(k).alias(f"r_{k}") for k in keys], "parts")
+    joined = rows.join(named, [rows[k].eqNullSafe(named[f"r_{k}"]) for k in keys], "left")
+    # Slices are counted up to their number, so these stay in the place of the one that they divide.
+    part = F.pmod(F.xxhash64("number"), F.coalesce("parts", F.lit(1).cast("long")))
+    slice_ = F.col("slice") * F.lit(1 << 20) + part
+    return joined.withColumn("slice", slice_).drop("parts", *[f"r_{k}" for k in keys])
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join in which NULL equals NULL; keys come from the left."""
     named = right.select(*[F.col(k).alias(f"r_{k}") if k in keys else F.col(k) for k in right.columns])
@@ -108,19 +125,14 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
 def mixed_documents(docs: DataFrame, rule: Mixture | None = None) -> DataFrame:
     """The documents that the mix takes, each as often as it takes it, with the columns of ``docs``.
 
-    Rows that share an id, or have none, are told apart by their place among
-    themselves, so every row is taken by its own count. Texts are shuffled once,
-    by id, and not sorted unless ids repeat.
+    Rows are told apart by a number of their own, so every row is taken by its own
+    count, whether its id repeats or is NULL. Texts are shuffled once, by that
+    number, and not sorted.
     """
     plain = anonymous(docs, "doc_id", "text", "source")
-    ids = plain.groupBy("doc_id").agg(F.count("*").alias("n"))
-    if ids.where("n > 1").isEmpty():
-        placed = plain.withColumn("place", F.lit(1))
-    else:
-        place = Window.partitionBy("doc_id").orderBy("source", F.xxhash64("text"))
-        placed = plain.withColumn("place", F.row_number().over(place))
-    picks = mix(placed, rule, keep=("place",)).where("copies > 0")
-    picks = picks.select(F.col("doc_id").alias("own_id"), F.col("place").alias("own_place"), "copies").hint("shuffle_hash")
-    rows = placed.join(picks, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("place") == F.col("own_place")))
+    numbered = with_row_ids(plain)
+    picks = mix(numbered, rule, keep=("row_id",)).where("copies > 0")
+    picks = picks.select(F.col("row_id").alias("own"), "copies").hint("shuffle_hash")
+    rows = numbered.join(picks, F.col("row_id") == F.col("own"))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")
     return rows.select(*plain.columns, copies).drop("copy").toDF(*docs.columns)

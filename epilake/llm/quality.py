@@ -111,15 +111,21 @@ def with_features(docs: DataFrame, *columns: str) -> DataFrame:
 def train(rows: DataFrame, labels: DataFrame, rule: Boosting | None = None, modulus: int = 5) -> Additive:
     """Fit to ``rows(doc_id, features)`` that ``labels(doc_id, quality)`` marks, but for ids of class 0.
 
-    NULL ids and qualities are left out. At most ``LABELLED_ROWS`` rows reach
-    the driver.
+    NULL ids and qualities are left out. An id counts once, whatever its rows in
+    either table: with the label of most of its labels (1 on a tie) and one of its
+    texts. At most ``LABELLED_ROWS`` ids reach the driver.
     """
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     marks = marks.where("quality IN (0, 1)").where(crc_class("doc_id", modulus) != 0)
+    # An id counts once, by what most of its labels say, however many rows it has.
+    marks = stored(marks.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("int").alias("quality")), "marks")
     # Hashes are even, so twice the share that is wanted leaves enough, and tasks send no more than that.
     most = -(2.0**63) + 2.0**65 * LABELLED_ROWS / max(1, marks.count())
     marks = marks.where(F.xxhash64("doc_id").cast("double") <= most)
-    found = rows.join(marks, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(LABELLED_ROWS)
+    found = rows.join(marks, "doc_id").groupBy("doc_id", "quality").agg(
+        F.min(F.struct(F.xxhash64("features").alias("hash"), "features")).alias("least")
+    )
+    found = found.select("doc_id", "quality", "least.features").orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS)
     held = found.select("features", "quality").toArrow()
     x = np.array(held.column("features").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit(x, held.column("quality").to_numpy().astype(np.float64), rule)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -14,6 +15,10 @@ from epilake.llm import words
 from epilake.llm.language import _ALL, Languages, Training, _codes, _contexts, context_counts, learn, predict_language
 
 
+def crc_class(doc_id: int, modulus: int) -> int:
+    return zlib.crc32(str(doc_id).encode()) % modulus
+
+
 def codes(text: str) -> list[int]:
     return _codes(next(words.slices(pa.array([text])))).tolist()
 
@@ -96,3 +101,25 @@ def test_missing_repeated_and_extra(documents):
     none = predict_language(documents((1, "abc", None, "a"))).collect()
     assert [(r.lang_pred, r.score) for r in none] == [("und", 0.0)]
     assert predict_language(docs.where("false")).collect() == []
+
+
+def test_an_id_of_very_many_rows_counts_once(documents):
+    """Forty documents each of two languages, and thousands of rows of one more id, whatever its hash."""
+    en = "the quick brown fox jumps over the lazy dog and then it sleeps number"
+    de = "der schnelle braune fuchs springt dann schlafend zurück nach hause nummer"
+    ids = [k for k in range(400) if crc_class(k, 4) != 2]
+    rows = [(k, f"{en if n % 2 else de} {k}", "en" if n % 2 else "de", "a") for n, k in enumerate(ids[:80])]
+    for hot in ids[80:86]:
+        hot_rows = [(hot, f"{en} {k}", "en", "a") for k in range(4000)]
+        docs = documents(*rows, *hot_rows)
+        found = predict_language(docs.where(F.col("doc_id") != hot), model=learn(docs, Training(per_language=20))).collect()
+        wanted = {r[0]: r[2] for r in rows}
+        assert sum(r.lang_pred == wanted[r.doc_id] for r in found) == 80
+
+
+def test_rows_of_an_id_are_learned_once(documents):
+    ids = [k for k in range(100) if crc_class(k, 4) != 2][:10]
+    once = documents(*[(k, f"text {k}", "en", "a") for k in ids])
+    often = documents(*[(k, f"text {k}", "en", "a") for k in ids for _ in range(50)])
+    a, b = learn(once, Training(per_language=5)), learn(often, Training(per_language=5))
+    assert a.names == b.names and (a.bits == b.bits).all()

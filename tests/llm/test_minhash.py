@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from epilake.llm import words
+from epilake.llm import minhash, words
 from epilake.llm.components import components
 from epilake.llm.minhash import NearDuplicates, distinct_documents, estimates, minima, near_duplicates, packed
 
@@ -108,3 +108,67 @@ def test_shingles_do_not_depend_on_neighbours():
     assert together == alone
     small = [x.tolist() for part in words.slices(pa.array(texts), 4) for x in words.shingle_sets(part, 3)]
     assert small == together
+
+
+def test_different_texts_of_one_id_are_all_kept(documents):
+    rows = documents((1, "one text of an id"), (1, "and quite another one"), (2, "and quite another one"), (1, "one text of an id"))
+    assert sorted(r.text for r in distinct_documents(rows).collect()) == ["and quite another one", "one text of an id"]
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(rows).collect())
+    assert found == [(1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False)]
+
+
+def test_an_id_of_very_many_texts_costs_a_row_each(documents, monkeypatch):
+    """Texts of one id that nearly agree: sets go out once with the pivot, not once for every pair."""
+    base = [f"w{k}" for k in range(60)]
+    rows = [(7, " ".join(base[:50] + [f"own{k}"] + base[50:])) for k in range(2000)]
+    seen, stored = [], minhash.stored
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "sets":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash, "stored", counted)
+    found = near_duplicates(documents(*rows), NearDuplicates(width=3, percent=85, rows=5)).collect()
+    assert len(found) == 2000 and {r.component_id for r in found} == {7} and all(r.kept for r in found)
+    assert seen == [2000]
+
+
+def test_members_that_do_not_link_to_the_pivot_are_compared_with_all(documents, monkeypatch):
+    """A chain: each text is near the next one only, and blocks are small."""
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    words = [f"w{k}" for k in range(140)]
+    rows = [(k, " ".join(words[2 * k : 2 * k + 50])) for k in range(40)]
+    rule = NearDuplicates(width=1, percent=85, rows=1)
+    found = {r.doc_id: r.component_id for r in near_duplicates(documents(*rows), rule).collect()}
+    assert set(found.values()) == {0}
+
+
+def test_links_of_groups_are_those_of_all_pairs(spark, documents):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(30):
+        base = [rng.choice("abcdefghij") + str(rng.randrange(40)) for _ in range(rng.randrange(4, 60))]
+        for _ in range(rng.randrange(1, 8)):
+            own = list(base)
+            for _ in range(rng.randrange(3)):
+                own[rng.randrange(len(own))] = f"z{rng.randrange(9)}"
+            texts.append(" ".join(own))
+    rule = NearDuplicates(width=2, percent=80, rows=2)
+    sets = [{tuple(w[k : k + 2]) for k in range(len(w) - 1)} for w in (t.split() for t in texts)]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for x in range(len(texts)):
+        for y in range(x):
+            both = len(sets[x] & sets[y])
+            if 100 * both >= 80 * (len(sets[x]) + len(sets[y]) - both):
+                a, b = sorted((root(x), root(y)))
+                parent[b] = a
+    found = {r.doc_id: r.component_id for r in near_duplicates(documents(*enumerate(texts)), rule).collect()}
+    assert found == {k: root(k) for k in range(len(texts))}

@@ -6,6 +6,7 @@ from collections import Counter
 from fractions import Fraction
 
 import pytest
+from pyspark.sql import functions as F
 
 from epilake.llm.mixing import Mixture, mix, mixed_documents
 
@@ -70,3 +71,30 @@ def test_documents_come_as_often_as_taken(documents):
 def test_empty_and_wordless(documents):
     assert mix(documents((1, "a")).where("false")).collect() == []
     assert [(r.size, r.target, r.taken) for r in mix(documents((1, ""), (2, None))).collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_an_id_with_most_rows_is_divided(documents):
+    rows = [(None, "w w w", "en", "a")] * 400 + [(7, "w w w", "en", "a")] * 300 + [(100 + k, "w w", "en", "b") for k in range(50)]
+    docs = documents(*rows).withColumn("number", F.lit("own")).withColumn("parts", F.lit("own"))
+    found = mix(docs, Mixture(slice_rows=8)).collect()
+    sizes = {"a": 2100, "b": 100}
+    expected = exact_targets(sizes)
+    for source, target in expected.items():
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - target) <= 3 and len(own) == sum(r[3] == source for r in rows)
+    out = mixed_documents(docs, Mixture(slice_rows=8))
+    assert out.columns == docs.columns and out.count() == sum(r.copies for r in found)
+
+
+def test_rows_of_one_id_are_taken_each_by_its_own_count(documents):
+    rows = [(1, f"text {k} " * (k % 5 + 1), "en", "ab"[k % 2]) for k in range(200)]
+    out = Counter((r.text, r.source) for r in mixed_documents(documents(*rows)).collect())
+    taken: Counter = Counter()
+    for (text, source), n in out.items():
+        assert n <= 2
+        taken[source] += n * len(text.split())
+    sizes = Counter()
+    for _, text, _, source in rows:
+        sizes[source] += len(text.split())
+    for source, target in exact_targets(dict(sizes)).items():
+        assert abs(taken[source] - target) <= 10

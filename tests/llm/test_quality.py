@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from epilake.llm import words
+from epilake.llm import quality, words
 from epilake.llm.gam import Boosting, fit
 from epilake.llm.quality import FEATURES, accepted_documents, quality_scores, text_features
 
@@ -95,3 +95,27 @@ def test_missing_repeated_and_extra(spark, documents):
     assert {r.doc_id for r in kept.collect()} >= {k for k, _ in good}
     assert len({r.score for r in quality_scores(docs, labels.where("false")).collect()}) == 1
     assert quality_scores(docs.where("false"), labels).collect() == []
+
+
+def test_an_id_of_very_many_labels_counts_once(spark, documents, monkeypatch):
+    """Separable texts, and thousands of label rows of one more id, under a low bound."""
+    monkeypatch.setattr(quality, "LABELLED_ROWS", 100)
+    good = "Plain words make whole sentences that people read, and they go on for a while. "
+    rows = [(k, good * 3 + str(k) if k % 2 else "#$%& <<>> ||| " * 9 + str(k)) for k in range(400)]
+    labels = [(k, k % 2, 0) for k in range(400)] + [(1000, 1, 0)] * 40_000
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = quality_scores(documents(*rows, (1000, good)), marks).where("doc_id < 400").collect()
+    assert sum(r.predicted == r.doc_id % 2 for r in found) == 400
+
+
+def test_rows_and_labels_that_repeat_change_nothing(spark, documents):
+    rows = [(k, "a good text of words " * 5 if k % 2 else "#### $$$$ %%%%" * 5) for k in range(60)]
+    marks = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, quality int")
+    once = quality_scores(documents(*rows), marks)
+    hot = [rows[1]] * 300
+    often = quality_scores(documents(*rows, *hot), marks.union(marks.where("doc_id = 1")).union(marks.where("doc_id = 1")))
+    scores = {r.doc_id: r.score for r in once.collect()}
+    assert {r.doc_id: r.score for r in often.collect()} == scores
+    # Labels that disagree: most of them decide.
+    more = marks.union(spark.createDataFrame([(1, 0), (1, 0)], marks.schema))
+    assert {r.doc_id: r.score for r in quality_scores(documents(*rows), more).collect()} != scores
