@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,22 +23,19 @@ from pyspark.sql import functions as F
 #: Lines in a window, and the text length at which a window is a surge.
 WINDOW, SURGE = 3, 80
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|textarea|select|object|canvas|math|title)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][\w:-]*)([^<>]*)>"
-    r"|<[!?][^>]*(?:>|\Z)"
-    r"|</?[a-zA-Z][^<>]*\Z",
-    re.S | re.I,
-)
+_OPENING = re.compile(r"<!--|<(/?)([a-zA-Z][\w:-]*)|<[!?]")
+_QUOTED = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+_UNQUOTED = re.compile(r"[^<>]*(>|\Z)")
+_SPECIAL = re.compile("[>\"']")
 _NAMES = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _CLOSED = re.compile(r"(?:^|[\s\"'])/\Z")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-#: Elements that are never main text, elements that end a line,
-#: elements without an end tag, and words in class, id and role names.
+#: Elements whose content is no markup, elements that are never main
+#: text, elements that end a line, elements without an end tag, words in class, id
+#: and role names, and words that make such a name a phrase.
+_RAW = frozenset("script style noscript template svg iframe textarea select object canvas math title".split())
 _DROPPED = frozenset("head nav footer aside form button menu dialog fieldset".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -56,6 +54,89 @@ _NEVER = frozenset(
 _UNLESS_CONTENT = frozenset("alert banner dropdown header masthead recommended related share sharing sidebar side social topbar widget".split())
 _CONTENT = frozenset("article body content entry main page post story text".split())
 _STORY = frozenset("article entry hentry main post story".split())
+_PHRASE = frozenset("a and for in of on or the to with".split())
+_TEXT_STARTS = frozenset("article main section p h1 h2 h3 blockquote".split())
+
+
+class _TagEnds:
+    """Where tags end, quotes regarded, in time that grows with the page whatever its quotes are.
+
+    A tag is scanned by a pattern, until one does not end; from then on the way
+    from each quote is followed once.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page = page
+        self.known: dict[int, int] | None = None
+
+    def find(self, at: int) -> int:
+        """The place after the end of a tag whose attributes begin here; -1 if it has none."""
+        if self.known is None:
+            found = _QUOTED.match(self.page, at)
+            if found:
+                return found.end()
+            self._survey()
+        place = bisect_left(self.places, at)
+        way = []
+        while place < len(self.places) and place not in self.known:
+            way.append(place)
+            if self.marks[place] == ">":
+                self.known[place] = self.places[place] + 1
+                break
+            place = self.after[place]
+        end = self.known.get(place, -1)
+        self.known.update(dict.fromkeys(way, end))
+        return end
+
+    def _survey(self) -> None:
+        """The marks of the page, and for each quote the mark after the quote that closes it."""
+        found = list(_SPECIAL.finditer(self.page))
+        self.known, self.places, self.marks = {}, [m.start() for m in found], [m[0] for m in found]
+        self.after, last = [len(found)] * len(found), {}
+        for k in range(len(found) - 1, -1, -1):
+            if self.marks[k] != ">":
+                self.after[k] = last.get(self.marks[k], len(found) - 1) + 1
+                last[self.marks[k]] = k
+
+
+@dataclass
+class _Token:
+    """A piece of markup from ``start`` to ``end``; ``tag`` is empty where it is no tag."""
+
+    start: int
+    end: int
+    tag: str = ""
+    closing: bool = False
+    attributes: str = ""
+
+
+def _tokens(page: str) -> Iterator[_Token]:
+    """The markup of a page: comments, elements without markup inside as a whole, and tags."""
+    ends, at = _TagEnds(page), 0
+    while found := _OPENING.search(page, at):
+        start, at = found.span()
+        if found[0] == "<!--":
+            end = page.find("-->", at)
+            at = len(page) if end < 0 else end + 3
+            yield _Token(start, at)
+            continue
+        if not found[2]:
+            end = page.find(">", at)
+            at = len(page) if end < 0 else end + 1
+            yield _Token(start, at)
+            continue
+        tag, name_end = found[2].lower(), at
+        end = ends.find(name_end)
+        if end >= 0 and tag in _RAW and not found[1]:
+            close = re.compile(rf"</{tag}\s*>", re.I).search(page, end)
+            at = close.end() if close else len(page)
+            yield _Token(start, at)
+        elif end >= 0:
+            at = end
+            yield _Token(start, at, tag, bool(found[1]), page[name_end : end - 1])
+        elif plain := _UNQUOTED.match(page, name_end):
+            at = plain.end()
+            yield _Token(start, at, tag, bool(found[1]), page[name_end : at - 1]) if plain[1] else _Token(start, at)
 
 
 @dataclass
@@ -74,7 +155,12 @@ def _boilerplate(tag: str, attributes: str, inside: int) -> bool:
         return False
     if tag != "article" and _HIDDEN.search(attributes):
         return True
-    names = {w.lower() for m in _NAMES.finditer(attributes) for w in _WORDS.findall(m[1] or m[2] or m[3] or "")}
+    names: set[str] = set()
+    for found in _NAMES.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").split():
+            own = {w.lower() for w in _WORDS.findall(name)}
+            if not own & _PHRASE:  # "search-and-rescue" says what a text is about
+                names |= own | {"comment" for w in own if w.startswith("comment")}
     if tag == "article" and names & _STORY:
         return False  # its other names may be those of categories
     return bool(names & _NEVER) or bool(names & _UNLESS_CONTENT and not names & _CONTENT)
@@ -103,6 +189,30 @@ def _ends(tags: list[tuple[str, bool, str]]) -> tuple[dict[int, int], set[int]]:
     return ends, own
 
 
+def _weights(page: str, tokens: list[_Token], ends: dict[int, int]) -> tuple[list[int], set[int]]:
+    """Characters of text before each token, and the articles, by their start and end tags, that count as such.
+
+    Of several articles side by side those are cards or comments that hold less
+    than half of the text of all.
+    """
+    before, at = [0], 0
+    for token in tokens:
+        before.append(before[-1] + len(page[at : token.start].strip()))
+        at = token.end
+    before.append(before[-1] + len(page[at:].strip()))
+    outer, last = [], -1
+    for k, token in enumerate(tokens):
+        if token.tag == "article" and not token.closing and k > last:
+            last = min(ends.get(k, len(tokens)), len(tokens))
+            outer.append((before[min(last + 1, len(tokens))] - before[k + 1], k, last))
+    whole = sum(size for size, _, _ in outer)
+    small = [(k, end) for size, k, end in outer if len(outer) > 1 and 2 * size < whole]
+    holders = {k for k, token in enumerate(tokens) if token.tag == "article"}
+    for first, end in small:
+        holders -= set(range(first, end + 1))
+    return before, holders
+
+
 def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
     """Text, length outside links, whether an article holds it, and the number of its container, of every line with text."""
     lines: list[_Line] = [_Line()]
@@ -119,12 +229,13 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
         if links:
             lines[-1].linked += len(piece.strip())
 
-    tokens = list(_TOKEN.finditer(page))
-    tags = [((m[3] or m[6] or "").lower(), bool(m[2] or m[5]), m[4] or m[7] or "") for m in tokens]
+    tokens = list(_tokens(page))
+    tags = [(t.tag, t.closing, t.attributes) for t in tokens]
     ends, own = _ends(tags)
-    for k, (m, (tag, closing, attributes)) in enumerate(zip(tokens, tags, strict=True)):
-        text(page[at : m.start()])
-        at = m.end()
+    before, holders = _weights(page, tokens, ends)
+    for k, (token, (tag, closing, attributes)) in enumerate(zip(tokens, tags, strict=True)):
+        text(page[at : token.start])
+        at = token.end
         if not tag:
             continue
         if stop >= 0:
@@ -134,6 +245,9 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
             if closing and ended:
                 continue
         dropped = not closing and tag not in _VOID and not _CLOSED.search(attributes) and _boilerplate(tag, attributes, inside)
+        most = dropped and 2 * (before[min(ends.get(k, len(tokens)), len(tokens))] - before[k + 1]) > before[-1]
+        if most and tag == "form":  # it wraps the page; what is no text in it goes by its own tag
+            dropped = False
         if tag in _CONTAINERS and not dropped:
             if not closing:
                 opened += 1
@@ -155,8 +269,10 @@ def page_lines(page: str) -> list[tuple[str, int, bool, int]]:
             stop, ended = ends.get(k, len(tokens)), k in own
             soft = tag == "p" or (not ended and tag in ("li", "span", "a", "b", "i", "em", "strong"))
             leaves = _HOLDERS if not ended or tag == "form" else () if tag in _DROPPED else ("main",)
+            if most and not ended:  # its end tag was left out: it ends where text begins
+                leaves = _TEXT_STARTS
             lines.append(_Line(container=stack[-1][1]))
-        elif tag in _HOLDERS:
+        elif tag == "main" or k in holders:
             inside = max(0, inside - 1) if closing else inside + 1
     text(page[at:])
     out = []

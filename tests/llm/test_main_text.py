@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import html
 import re
+import time
 from pathlib import Path
 
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from epilake.llm import main_text as main_text_module
 from epilake.llm.main_text import extract, main_text
 
 LONG = "A paragraph of the article with enough words in it to be taken for text, and then some more words."
@@ -119,3 +123,56 @@ def test_missing_repeated_and_extra(spark):
     rows = rows.withColumn("text", F.lit("other")).withColumn("n_chars", F.lit(9))
     assert sorted(tuple(r) for r in extract(rows).fillna(-1).fillna("?").collect()) == [(-1, "u", "a", 1), (-1, "u", "a", 1), (1, "?", "", 0)]
     assert extract(rows.where("false")).collect() == []
+
+
+STORY = "<div><p>" + "</p><p>".join(f"A paragraph of the story that is long enough to count, number {k}." for k in range(4)) + "</p></div>"
+TOLD = "\n\n".join(f"A paragraph of the story that is long enough to count, number {k}." for k in range(4))
+MENU = "<ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul>"
+
+
+def test_a_form_around_the_page_is_no_form():
+    field = "<input name=x><button>Go</button><select><option>One</select>"
+    assert main_text(f"<body><form id=aspnetForm>{field}<nav>{MENU}</nav>{STORY}</form></body>") == TOLD
+    assert main_text(f"<body>{STORY}<form><label>Write to us, we read every word of it and more</label>{field}</form></body>") == TOLD
+
+
+def test_an_unclosed_menu_ends_where_text_begins():
+    assert main_text(f"<body><nav>{MENU}{STORY}</body>") == TOLD
+    assert main_text(f"<body><div class=sidebar>{MENU}{STORY}</body>") == TOLD
+
+
+def test_names_that_are_phrases_are_no_lists_of_kinds():
+    rescue = "<div class='search-and-rescue'><p>The rescue took all night, and nobody was hurt in the end of it.</p></div>"
+    found = main_text(f"<article>{STORY}{rescue}</article>")
+    assert found == TOLD + "\n\nThe rescue took all night, and nobody was hurt in the end of it."
+    assert main_text(f"<article>{STORY}<div class='site-search'><p>Search all of our pages for any words at all.</p></div></article>") == TOLD
+
+
+def test_comment_lists_go():
+    comments = "<ol class=commentlist><li><p>I read all of this with great interest, many thanks to you.</p></li></ol>"
+    assert main_text(f"<article>{STORY}{comments}</article>") == TOLD
+    assert main_text(f"<article>{STORY}</article>{comments}") == TOLD
+
+
+def test_cards_beside_a_story_are_not_the_article():
+    cards = "".join(f"<article><h3><a href=/{k}>Another headline {k}</a></h3></article>" for k in range(6))
+    assert main_text(f"<body><div id=x>{STORY}</div><div>{cards}</div></body>") == TOLD
+    assert main_text(f"<body><article>{STORY}</article><div>{cards}</div></body>") == TOLD
+
+
+@pytest.mark.parametrize("piece", ["<script '", "<a href='", "<a href=\"x' ", "<a '\">", "<!--<!", "<x ", "<script>", "</p '"])
+@pytest.mark.parametrize("end", ["", ">", "'>", '">'])
+def test_broken_quotes_take_linear_time(piece, end):
+    page = piece * ((1 << 20) // len(piece)) + end
+    start = time.perf_counter()
+    main_text(page)
+    assert time.perf_counter() - start < 5
+
+
+@given(st.text(alphabet="<>\"'a/ =!-", max_size=60))
+def test_marks_are_followed_as_the_pattern_does(text):
+    slow, fast = main_text_module._TagEnds(text), main_text_module._TagEnds(text)
+    fast._survey()
+    for at in range(len(text) + 1):
+        found = main_text_module._QUOTED.match(text, at)
+        assert fast.find(at) == (found.end() if found else -1) == slow.find(at)
