@@ -6,6 +6,8 @@ folder's names. Data goes through DataFrames.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -24,10 +26,20 @@ def create_file(spark: SparkSession, path: str, text: str, overwrite: bool = Fal
     """Write a small file; False if it is there already and is not to be replaced.
 
     Of several writers of one path, one creates it, on stores whose create
-    fails for a name that is taken (HDFS, local disks, Azure; S3 with conditional
-    writes on).
+    fails for a name that is taken (HDFS, Azure; S3 with conditional writes on).
+    Hadoop's local file system looks first and creates then, so a local file is
+    opened by the driver itself, for exclusive creation.
     """
     files, place = _opened(spark, path)
+    if not overwrite and files.getUri().getScheme() == "file":
+        local = Path(place.toUri().getPath())
+        local.parent.mkdir(parents=True, exist_ok=True)
+        try:
+            with local.open("xb") as own:
+                own.write(text.encode())
+        except FileExistsError:
+            return False
+        return True
     try:
         out = files.create(place, overwrite)
     except Py4JJavaError as error:

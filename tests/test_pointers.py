@@ -60,12 +60,14 @@ def test_an_earlier_date_landed_later_is_the_current_one(spark, tmp_path):
     assert latest_batches(spark, layout, ["d"])["d"] == Batch("d", "20221101", "b")
 
 
-def test_landings_at_once_take_different_numbers(spark, tmp_path):
+@pytest.mark.parametrize("turn", range(5))
+def test_landings_at_once_take_different_numbers(spark, tmp_path, turn):
     layout = layout_at(tmp_path)
-    with ThreadPoolExecutor(8) as pool:
-        numbers = list(pool.map(lambda k: write_pointer(spark, layout, Batch("d", DATE, f"u{k}")), range(24)))
-    assert sorted(numbers) == list(range(1, 25))
-    assert latest_batches(spark, layout, ["d"])["d"].uuid == f"u{numbers.index(24)}"
+    with ThreadPoolExecutor(16) as pool:
+        numbers = list(pool.map(lambda k: write_pointer(spark, layout, Batch("d", DATE, f"u{k}")), range(80)))
+    assert sorted(numbers) == list(range(1, 81))
+    assert latest_batches(spark, layout, ["d"])["d"].uuid == f"u{numbers.index(80)}"
+    assert len(list(folder(tmp_path).glob("*.csv"))) == 80
 
 
 def test_numbered_pointers_count_before_those_of_others(spark, tmp_path):
