@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from epilake.llm import words
-from epilake.llm.language import _ALL, Languages, Training, _codes, _contexts, context_counts, learn, predict_language
+from epilake.llm.language import _ALL, Languages, Training, _codes, _stretches, context_counts, learn, predict_language
 
 
 def crc_class(doc_id: int, modulus: int) -> int:
@@ -23,13 +24,14 @@ def codes(text: str) -> list[int]:
     return _codes(next(words.slices(pa.array([text])))).tolist()
 
 
-def blended(texts: list[str], size: int):
-    """Probability of a symbol after two, by recursion over orders, on plain dictionaries."""
-    counts = [defaultdict(Counter) for _ in range(3)]
+def blended(texts: list[str], size: int, rule: Training):
+    """Probability of a symbol after a context, by recursion over orders, on plain dictionaries."""
+    most = rule.order
+    counts = [defaultdict(Counter) for _ in range(most + 1)]
     for text in texts:
-        full = [0, 0, *codes(text)]
-        for k in range(2, len(full)):
-            for order in range(3):
+        full = [0] * most + codes(text)
+        for k in range(most, len(full)):
+            for order in range(most + 1):
                 counts[order][tuple(full[k - order : k])][full[k]] += 1
 
     def chances(order: int, context: tuple[int, ...], symbols: list[int]) -> dict[int, float]:
@@ -37,7 +39,7 @@ def blended(texts: list[str], size: int):
             return dict.fromkeys(symbols, 1 / size)
         shorter = chances(order - 1, context[1:], symbols)
         own = counts[order][context]
-        if not own:
+        if not own or (order > 2 and sum(own.values()) < rule.least):
             return shorter
         left = sum(shorter[s] for s in symbols if s not in own)
         total = sum(own.values()) + (len(own) if left > 0 else 0)
@@ -46,32 +48,57 @@ def blended(texts: list[str], size: int):
     return chances
 
 
-def test_code_lengths(spark):
-    texts = {"aa": ["the thin other", "Then, that!", ""], "bb": ["über ÜBER öl", "der die das 12"]}
+@pytest.mark.parametrize("rule", [Training(order=k, least=n) for k, n in ((0, 1), (2, 4), (4, 1), (4, 3), (6, 2))])
+def test_code_lengths(spark, rule):
+    texts = {"aa": ["the thin other then the thin", "Then, that!", ""], "bb": ["über ÜBER öl über öl", "der die das 12 der"], "cc": ["", "a"]}
     rows = spark.createDataFrame([(k, t) for k, v in texts.items() for t in v], "lang string, text string")
-    model = Languages([tuple(r) for r in context_counts(rows).collect()])
+    model = Languages(context_counts(rows, rule).toArrow(), rule)
     symbols = list(range(_ALL))
     used = [s for s in symbols if s in set(range(28)) or any(s in codes(t) for v in texts.values() for t in v)]
-    assert model.size == len(used)
-    for text in ("the other über", "x", "Öl?", "", "zz 99"):
+    assert model.names == ["aa", "bb", "cc"] and model.size == len(used)
+    place = {s: s if s in used else 27 for s in symbols}
+    for text in ("the other über", "x", "Öl?", "", "zz 99", "文字 the", "then the thin"):
         got = model.lengths(next(words.slices(pa.array([text]))))[0]
-        for k, lang in enumerate(("aa", "bb")):
-            chances = blended(texts[lang], model.size)
-            full = [0, 0, *codes(text)]
-            bits = -sum(math.log2(chances(2, (full[i - 2], full[i - 1]), used)[full[i]]) for i in range(2, len(full)))
-            assert got[k] == pytest.approx(bits, rel=1e-4, abs=1e-4)
-
-
-def test_contexts_do_not_cross_texts():
-    part = next(words.slices(pa.array(["ab", "", "c", "dé"])))
-    whole = _contexts(_codes(part), part.offsets, _ALL).tolist()
+        for k, lang in enumerate(texts):
+            chances = blended(texts[lang], model.size, rule)
+            full = [0] * rule.order + [place[s] for s in codes(text)]
+            at = range(rule.order, len(full))
+            bits = -sum(math.log2(chances(rule.order, tuple(full[i - rule.order : i]), used)[full[i]]) for i in at)
+            assert got[k] == pytest.approx(bits, rel=1e-9, abs=1e-9)
+
+
+@pytest.mark.parametrize("order", [0, 1, 2, 4, 6])
+def test_contexts_do_not_cross_texts(order):
+    texts = ["ab", "", "c", "dé", "abcdefghij", "", "x"]
+    part = next(words.slices(pa.array(texts)))
+    whole = _stretches(_codes(part), part.offsets, order).tolist()
     alone = []
-    for text in ("ab", "c", "dé"):
-        own = next(words.slices(pa.array([text])))
-        alone += _contexts(_codes(own), own.offsets, _ALL).tolist()
+    for text in texts:
+        full = [0] * order + codes(text) if text else []
+        alone += [sum(full[i - j] << (8 * j) for j in range(order + 1)) for i in range(order, len(full))]
     assert whole == alone
 
 
+def test_two_languages_of_one_three_byte_script(documents):
+    """Both use the same characters equally often; only which follows which differs."""
+    rng = random.Random(5)
+    a, b = ["日本語", "文字列", "東京都"], ["語日本", "列字文", "都京東"]
+    a, b = [x * 2 for x in a], [x * 2 for x in b]
+    rows = [(k, "".join(rng.choice(a if k % 2 else b) for _ in range(30)), "aa" if k % 2 else "bb", "s") for k in range(400)]
+    docs = documents(*rows)
+    found = {r.doc_id: r for r in predict_language(docs).collect()}
+    held = [r for r in rows if found[r[0]].held_out]
+    assert len(held) > 60 and all(found[r[0]].lang_pred == r[2] for r in held)
+
+
+def test_languages_beyond_the_bound_are_not_learned(documents):
+    ids = iter(k for k in range(1000) if crc_class(k, 4) != 2)
+    docs = documents(*[(next(ids), f"text {n}", lang, "s") for lang, rows in (("aa", 9), ("bb", 3), ("cc", 20)) for n in range(rows)])
+    assert learn(docs, Training(languages=2)).names == ["aa", "cc"]
+    with pytest.raises(ValueError):
+        Training(order=7)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(str(Path("/root/testdata/sf0.01/documents.parquet")))
     found = predict_language(docs).join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -122,4 +149,6 @@ def test_rows_of_an_id_are_learned_once(documents):
     once = documents(*[(k, f"text {k}", "en", "a") for k in ids])
     often = documents(*[(k, f"text {k}", "en", "a") for k in ids for _ in range(50)])
     a, b = learn(once, Training(per_language=5)), learn(often, Training(per_language=5))
-    assert a.names == b.names and (a.bits == b.bits).all()
+    assert a.names == b.names and len(a.trees[0]) == len(b.trees[0]) == 5
+    for x, y in zip(a.trees[0], b.trees[0], strict=True):
+        assert (x.stretches == y.stretches).all() and (x.bits == y.bits).all() and (x.escapes == y.escapes).all()
