@@ -6,12 +6,17 @@ the least hash. Starting points with the same trigger make a phrase, which spans
 all their strings. Equal strings have the same trigger at the same place, so two
 suffixes of the corpus agree on ``length`` bytes only if their triggers agree.
 
-What a suffix array of dictionary and parse is asked here is which suffixes tie
-on ``length`` bytes in corpus order. The order itself is not needed, so suffixes
-get names by digest (two halves of 64 bits) instead of ranks, in three refinements that each drop what is
-settled: the dictionary of phrases, blocks of starting points inside phrases that
-occur in several forms, and single starting points of blocks that do.
-Only one phrase of each form goes on to the next refinement.
+Corpus order comes from the parse and two suffix arrays of its dictionary, the
+distinct phrases. All phrases of a trigger are aligned at it: one array orders what
+follows from the trigger on, the other what precedes it, read backwards, each with
+the common lengths of neighbours. Suffixes that start ``d`` bytes before the
+trigger tie on ``length`` bytes where the second array ties on ``d`` and the first
+on ``length - d``. A phrase that the parse has more than once ties with itself.
+
+A trigger with more than ``ranked`` phrases would make one task too large. Its
+suffixes get names by digest (two halves of 64 bits) instead, in two refinements
+that can be dealt to any number of tasks: blocks of starting points, and single
+starting points of blocks that occur in several forms. Both ways are exact.
 """
 
 from __future__ import annotations
@@ -30,11 +35,18 @@ from epilake.llm.tables import map_batches, stored, with_row_ids
 
 @dataclass(frozen=True)
 class Parsing:
-    """``block``: starting points that are named together in the second refinement."""
+    """``ranked``: phrases of a trigger that one task orders; ``block``: starting points that are named together beyond that."""
 
     length: int = 400
     trigger: int = 64
     block: int = 32
+    ranked: int = 1024
+
+
+#: Bits of a place in a slice; the others are for the hash, so that all slices choose the same triggers.
+_PLACE_BITS = 32
+#: Phrases that are ordered at once.
+_BUCKET = 2048
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -57,11 +69,10 @@ def _phrases(part: words.Slice, prefix: np.ndarray, rule: Parsing) -> tuple[np.n
     if n < rule.length:
         return none, none, none
     at = np.arange(n - rule.trigger + 1)
-    place_bits = max(1, int(n).bit_length())
     keys = words.span_hashes(prefix, at, at + rule.trigger)
-    keys = (keys >> np.uint64(place_bits) << np.uint64(place_bits)) | at.astype(np.uint64)
+    keys = (keys >> np.uint64(_PLACE_BITS) << np.uint64(_PLACE_BITS)) | at.astype(np.uint64)
     least = _sliding_least(keys, rule.length - rule.trigger + 1)
-    trigger = (least & np.uint64((1 << place_bits) - 1)).astype(np.int64)
+    trigger = (least & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
     valid = np.zeros(len(trigger) + 1, np.int8)
     starts, stops = part.offsets[:-1], part.offsets[1:] - rule.length + 1
     long = stops > starts
@@ -93,7 +104,7 @@ def _named(parts: list[list[np.ndarray]], counts: list[np.ndarray]) -> list[pa.L
 
 
 def parsed(docs: DataFrame, rule: Parsing) -> DataFrame:
-    """``doc_id, n_bytes, sha256`` and, by phrase, ``keys`` (names of triggers), ``forms`` (names of phrases), ``low, high``."""
+    """``doc_id, n_bytes, sha256`` and, by phrase, ``keys`` (names of triggers), ``forms`` (names of phrases), ``low, high`` and ``near`` (bytes before the trigger)."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes, digests, parts, counts = [], [], [], []
@@ -105,17 +116,18 @@ def parsed(docs: DataFrame, rule: Parsing) -> DataFrame:
             forms = words.mixed(forms ^ words.mixed((trigger - low).astype(np.uint64)))
             of = _of_texts(part, low)
             base = np.repeat(part.offsets[:-1], np.diff(of))
-            parts.append([keys.view(np.int64), forms.view(np.int64), low - base, high - base])
+            parts.append([keys.view(np.int64), forms.view(np.int64), low - base, high - base, trigger - low])
             counts.append(np.diff(of))
             for a, b in zip(part.offsets[:-1], part.offsets[1:], strict=True):
                 digests.append(hashlib.sha256(part.data[a:b]).hexdigest())
                 sizes.append(int(b - a))
         return pa.RecordBatch.from_arrays(
             [batch.column("row_id"), batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests), *_named(parts, counts)],
-            names=["row_id", "doc_id", "n_bytes", "sha256", "keys", "forms", "low", "high"],
+            names=["row_id", "doc_id", "n_bytes", "sha256", "keys", "forms", "low", "high", "near"],
         )
 
     schema = "row_id long, doc_id long, n_bytes long, sha256 string, keys array<long>, forms array<long>, low array<long>, high array<long>"
+    schema += ", near array<long>"
     return map_batches(docs, run, schema)
 
 
@@ -192,8 +204,92 @@ def points(rows: DataFrame, rule: Parsing) -> DataFrame:
     return map_batches(rows, run, "row_id long, keys array<long>, forms array<long>, low array<long>")
 
 
+def dictionary(rows: DataFrame, rule: Parsing) -> DataFrame:
+    """``row_id, keys, alone, low, high, near, phrase`` for the phrases ``wanted`` of ``rows(row_id, text, wanted)``; ``phrase``: their bytes."""
+    names = ["keys", "alone", "low", "high", "near"]
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        wanted = batch.column("wanted")
+        of, cells = wanted.value_parent_indices().to_numpy(), wanted.flatten()
+        cells = {c: cells.field(c) for c in names}
+        texts = [memoryview(t.as_buffer()) if t.is_valid else b"" for t in batch.column("text")]
+        ends = (cells["high"].to_numpy() + rule.length).tolist()
+        phrases = [bytes(texts[k][a:b]) for k, a, b in zip(of.tolist(), cells["low"].to_pylist(), ends, strict=True)]
+        own = batch.column("row_id").take(pa.array(of))
+        return pa.RecordBatch.from_arrays([own, *cells.values(), pa.array(phrases, pa.binary())], names=["row_id", *names, "phrase"])
+
+    return map_batches(rows, run, "row_id long, keys long, alone boolean, low long, high long, near long, phrase binary")
+
+
+def _suffix_array(keys: list[int], suffixes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The order of suffixes by key and bytes, and how many bytes each shares with the one before it (-1: not even the key)."""
+    order = sorted(range(len(keys)), key=lambda k: (keys[k], suffixes[k]))
+    held = [suffixes[k] for k in order]
+    sizes = np.array([len(x) for x in held])
+    width = int(sizes.max(initial=0)) + 1
+    cells = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in held), np.uint8).reshape(len(held), width)
+    common = np.full(len(held), -1)
+    differ = cells[1:] != cells[:-1]
+    first = np.where(differ.any(1), differ.argmax(1), width)
+    first = np.minimum(first, np.minimum(sizes[1:], sizes[:-1]))
+    own = np.array(keys, np.int64)[order]
+    common[1:] = np.where(own[1:] == own[:-1], first, -1)
+    return np.array(order), common
+
+
+def _tied(keys: list[int], phrases: list[bytes], near: np.ndarray, span: np.ndarray, rule: Parsing) -> np.ndarray:
+    """For every phrase (rows) and number of bytes before the trigger (columns) whether the suffix there ties with one of another phrase.
+
+    ``span``: starting points of a phrase but one; the first of them lies ``near`` bytes before the trigger.
+    """
+    n = len(keys)
+    after, shared_after = _suffix_array(keys, [p[k:] for p, k in zip(phrases, near.tolist(), strict=True)])
+    before, shared_before = _suffix_array(keys, [p[:k][::-1] for p, k in zip(phrases, near.tolist(), strict=True)])
+    out = np.zeros((n, rule.length - rule.trigger + 1), bool)
+    step = max(1, (1 << 18) // n)
+    for low in range(0, out.shape[1], step):
+        distance = np.arange(low, min(low + step, out.shape[1]))[:, None]
+        # Suffixes that agree on so many bytes are neighbours in the array, so they have one number.
+        left, right = np.empty((2, len(distance), n), np.int64)
+        left[:, before] = np.cumsum(shared_before < distance, axis=1)
+        right[:, after] = np.cumsum(shared_after < rule.length - distance, axis=1)
+        there = (distance <= near) & (distance >= near - span)
+        name = np.where(there, left * (n + 1) + right, -1 - np.arange(n))
+        order = np.argsort(name, axis=1)
+        name = np.take_along_axis(name, order, axis=1)
+        same = np.zeros((len(distance), n + 1), bool)
+        same[:, 1:-1] = name[:, 1:] == name[:, :-1]
+        ties = np.zeros((len(distance), n), bool)
+        np.put_along_axis(ties, order, same[:, 1:] | same[:, :-1], axis=1)
+        out[:, low : low + len(distance)] = ties.T
+    return out
+
+
+def ranked_ties(phrases: DataFrame, buckets: int, rule: Parsing) -> DataFrame:
+    """``row_id, low, high``: stretches of starting points of phrases that are ``alone`` whose suffix ties with one of another phrase.
+
+    All phrases of a key are in one of the ``buckets``, each ordered by a task.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        near = table.column("near").to_numpy()
+        first, last = table.column("low").to_numpy(), table.column("high").to_numpy()
+        tied = _tied(table.column("keys").to_pylist(), table.column("phrase").to_pylist(), near, last - first, rule)
+        tied &= table.column("alone").to_numpy()[:, None]
+        edges = np.diff(tied[:, ::-1].astype(np.int8), axis=1, prepend=0, append=0)  # starting points ascend
+        own, begin = np.nonzero(edges == 1)
+        _, end = np.nonzero(edges == -1)
+        base = (first + near)[own] - (tied.shape[1] - 1)
+        arrays = [pa.array(table.column("row_id").to_numpy()[own]), pa.array(base + begin), pa.array(base + end - 1)]
+        return pa.table(arrays, names=["row_id", "low", "high"])
+
+    bucket = F.pmod(F.xxhash64("keys"), F.lit(buckets)).alias("bucket")
+    return phrases.select(bucket, "*").groupBy("bucket").applyInArrow(run, "row_id long, low long, high long")
+
+
 def _exploded(rows: DataFrame) -> DataFrame:
-    cell = F.posexplode(F.arrays_zip("keys", "forms", "low", "high")).alias("number", "cell")
+    values = [c for c in ("keys", "forms", "low", "high", "near") if c in rows.columns]
+    cell = F.posexplode(F.arrays_zip(*values)).alias("number", "cell")
     return rows.select("row_id", cell).select("row_id", "number", "cell.*")
 
 
@@ -216,33 +312,45 @@ def _settled(cells: DataFrame, forms: DataFrame) -> DataFrame:
 
 def _to_refine(cells: DataFrame, forms: DataFrame) -> DataFrame:
     """One occurrence, with the least row and place, of each form whose key has several forms."""
-    several = forms.where("kinds > 1").select("keys", "forms", "row_id", (F.col("n") == 1).alias("alone"))
+    several = forms.where("kinds > 1").select("keys", "forms", "row_id", "kinds", (F.col("n") == 1).alias("alone"))
     found = cells.join(several, ["keys", "forms", "row_id"])
-    one = found.groupBy("keys", "forms", "row_id", "alone").agg(F.min(F.struct("low", "number", "high")).alias("at"))
-    return one.select("row_id", "alone", "at.number", "at.low", "at.high")
+    values = [c for c in ("low", "number", "high", "near") if c in cells.columns]
+    one = found.groupBy("keys", "forms", "row_id", "kinds", "alone").agg(F.min(F.struct(*values)).alias("at"))
+    return one.select("row_id", "keys", "kinds", "alone", "at.*")
 
 
-def repeated_spans(docs: DataFrame, rule: Parsing) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``rows`` (``row_id, doc_id, n_bytes, sha256``), ``spans`` (``row_id, low, high``: starting points) and ``texts`` (``row_id, text``) of rows that may have spans."""
-    parse = stored(parsed(docs, rule), "parse")
-    cells = _exploded(parse)
-    phrases = _forms(cells, "phrases")
-    spans = [_settled(cells, phrases)]
-    refine = stored(_to_refine(cells, phrases), "refine")
-    touched = refine.select("row_id").union(spans[0].select("row_id")).distinct()
-    texts = stored(docs.select("row_id", "text").join(touched.hint("shuffle_hash"), "row_id", "left_semi"), "texts")
+def _named_ties(texts: DataFrame, refine: DataFrame, rule: Parsing) -> list[DataFrame]:
+    """Stretches of starting points, by blocks and by points, that occur more than once among the phrases of ``refine``."""
     wanted = refine.groupBy("row_id").agg(F.collect_list("number").alias("wanted"))
     cells = _exploded(stored(blocks(texts.join(wanted, "row_id"), rule), "blocks"))
     found = _forms(cells, "block-forms")
-    spans.append(_settled(cells, found))
     ranges = _to_refine(cells, found).groupBy("row_id").agg(F.collect_list(F.struct("low", "high")).alias("ranges"))
     named = points(texts.join(ranges, "row_id"), rule)
     single = named.select("row_id", F.explode(F.arrays_zip("keys", "forms", "low")).alias("cell")).select("row_id", "cell.*")
     single = stored(single, "points")
     again = single.groupBy("keys", "forms").agg(F.count("*").alias("n")).where("n > 1").select("keys", "forms")
     hits = single.join(again, ["keys", "forms"], "left_semi").select("row_id", "low", F.col("low").alias("high"))
-    spans.append(hits)
-    return parse.select("row_id", "doc_id", "n_bytes", "sha256"), spans[0].union(spans[1]).union(spans[2]), texts
+    return [_settled(cells, found), hits]
+
+
+def repeated_spans(docs: DataFrame, rule: Parsing) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``rows`` (``row_id, doc_id, n_bytes, sha256``), ``spans`` (``row_id, low, high``: starting points) and ``texts`` (``row_id, text``) of rows that may have spans."""
+    parse = stored(parsed(docs, rule), "parse")
+    cells = _exploded(parse)
+    phrases = _forms(cells, "phrases")
+    spans = _settled(cells, phrases)
+    refine = stored(_to_refine(cells, phrases), "refine")
+    touched = refine.select("row_id").union(spans.select("row_id")).distinct()
+    texts = stored(docs.select("row_id", "text").join(touched.hint("shuffle_hash"), "row_id", "left_semi"), "texts")
+    few, many = refine.where(F.col("kinds") <= rule.ranked), refine.where(F.col("kinds") > rule.ranked)
+    cell = F.struct("keys", "alone", "low", "high", "near")
+    wanted = few.groupBy("row_id").agg(F.collect_list(cell).alias("wanted"))
+    buckets = max(1, few.count() // _BUCKET)
+    spans = spans.union(stored(ranked_ties(dictionary(texts.join(wanted, "row_id"), rule), buckets, rule), "ties"))
+    if not many.limit(1).isEmpty():
+        for named in _named_ties(texts, many, rule):
+            spans = spans.union(named)
+    return parse.select("row_id", "doc_id", "n_bytes", "sha256"), spans, texts
 
 
 def without_repeats(docs: DataFrame, rule: Parsing | None = None) -> DataFrame:

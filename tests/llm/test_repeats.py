@@ -7,10 +7,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from epilake.llm.repeats import Parsing, without_repeats
+from epilake.llm import words
+from epilake.llm.repeats import Parsing, _phrases, _tied, without_repeats
 
 
 def brute(rows: list[tuple[int | None, str | None]], length: int) -> Counter:
@@ -58,6 +60,11 @@ def texts(seed: int, alphabet: str, sizes: list[int]) -> list[str]:
         ("abcdefghij ", Parsing(length=20, trigger=6, block=7)),
         ("aé ", Parsing(length=17, trigger=3, block=1)),
         ("abcdef", Parsing(length=25, trigger=25, block=3)),
+        ("ab", Parsing(length=24, trigger=5, block=4, ranked=0)),
+        ("ab", Parsing(length=24, trigger=5, block=4, ranked=3)),
+        ("abcdefghij ", Parsing(length=20, trigger=6, block=7, ranked=2)),
+        ("aé ", Parsing(length=17, trigger=3, block=1, ranked=0)),
+        ("a\0", Parsing(length=17, trigger=2, block=5)),
     ],
 )
 def test_matches_brute_force(documents, alphabet, rule):
@@ -66,6 +73,45 @@ def test_matches_brute_force(documents, alphabet, rule):
     assert found(documents(*rows), rule) == brute(rows, rule.length)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_ties_of_phrases_around_a_trigger(seed):
+    """Suffixes of aligned phrases against a comparison of all strings; zero bytes and ends of texts among them."""
+    rng = random.Random(seed)
+    rule = Parsing(length=9, trigger=2)
+    keys, phrases, near, span = [], [], [], []
+    for _ in range(60):
+        high = rng.randrange(8)
+        low = rng.randrange(high + 1)
+        body = [bytes(rng.choice(b"a\0") for _ in range(n)) for n in (high, 7 - low)]
+        key = rng.randrange(4)
+        keys.append(key)
+        phrases.append(body[0] + bytes([key, 9]) + body[1])
+        near.append(high)
+        span.append(high - low)
+    got = _tied(keys, phrases, np.array(near), np.array(span), rule)
+    named = [{d: (k, d, p[n - d : n - d + 9]) for d in range(n - s, n + 1)} for k, p, n, s in zip(keys, phrases, near, span, strict=True)]
+    seen = Counter(x for each in named for x in each.values())
+    assert all(len(x[2]) == 9 for x in seen)
+    for row, each in zip(got, named, strict=True):
+        assert [d for d in range(8) if row[d]] == [d for d in sorted(each) if seen[each[d]] > 1]
+
+
+def test_triggers_do_not_depend_on_the_slice():
+    """A text has the same phrases alone and behind texts of any size."""
+    rng = random.Random(2)
+    text = "".join(rng.choice("ab ") for _ in range(3000))
+    rule = Parsing(length=40, trigger=2)
+
+    def own(part):
+        low, high, trigger = _phrases(part, words.prefix_hashes(part.data), rule)
+        inside = low >= part.offsets[-2]
+        return [(x[inside] - part.offsets[-2]).tolist() for x in (low, high, trigger)]
+
+    alone = own(next(words.slices(pa.array([text]))))
+    for size in (1, 1000, 200_000):
+        assert own(next(words.slices(pa.array(["z" * size, text])))) == alone
+
+
 def test_production_length(documents):
     rng = random.Random(9)
     base = " ".join(f"w{rng.randrange(1000)}" for _ in range(900))
