@@ -35,12 +35,18 @@ from epilake.llm.tables import map_batches, stored, with_row_ids
 
 @dataclass(frozen=True)
 class Parsing:
-    """``ranked``: phrases of a trigger that one task orders; ``block``: starting points that are named together beyond that."""
+    """How texts are parsed, and how much one task is given.
+
+    ``ranked``: phrases of a trigger that one task orders.
+    ``block``: starting points that are named together beyond that.
+    ``frequent``: bound of the forms sent to all tasks, 16 bytes each; a form can be among them from 1024 occurrences on.
+    """
 
     length: int = 400
     trigger: int = 64
     block: int = 32
     ranked: int = 1024
+    frequent: int = 50_000
 
 
 #: Bits of a place in a slice; the others are for the hash, so that all slices choose the same triggers.
@@ -304,10 +310,18 @@ def _forms(cells: DataFrame, label: str) -> DataFrame:
     return stored(joined, label)  # or joins by form would be dealt by key
 
 
-def _settled(cells: DataFrame, forms: DataFrame) -> DataFrame:
-    """Stretches of starting points whose form occurs more than once."""
-    again = forms.where("n > 1").select("keys", "forms")
-    return cells.join(again, ["keys", "forms"], "left_semi").select("row_id", "low", "high")
+def _settled(cells: DataFrame, forms: DataFrame, rule: Parsing) -> DataFrame:
+    """Stretches of starting points whose form occurs more than once.
+
+    Cells of the most frequent forms, at most ``rule.frequent`` forms, are found where they lie and not dealt by form.
+    """
+    again = forms.where("n > 1").select("keys", "forms", "n")
+    least = max(1024, (again.agg(F.sum("n")).first()[0] or 0) // max(1, rule.frequent))
+    frequent = F.broadcast(again.where(F.col("n") > least).select("keys", "forms"))
+    others = again.where(F.col("n") <= least).select("keys", "forms")
+    here = cells.join(frequent, ["keys", "forms"], "left_semi")
+    dealt = cells.join(frequent, ["keys", "forms"], "left_anti").join(others, ["keys", "forms"], "left_semi")
+    return here.union(dealt).select("row_id", "low", "high")
 
 
 def _to_refine(cells: DataFrame, forms: DataFrame) -> DataFrame:
@@ -330,7 +344,7 @@ def _named_ties(texts: DataFrame, refine: DataFrame, rule: Parsing) -> list[Data
     single = stored(single, "points")
     again = single.groupBy("keys", "forms").agg(F.count("*").alias("n")).where("n > 1").select("keys", "forms")
     hits = single.join(again, ["keys", "forms"], "left_semi").select("row_id", "low", F.col("low").alias("high"))
-    return [_settled(cells, found), hits]
+    return [_settled(cells, found, rule), hits]
 
 
 def repeated_spans(docs: DataFrame, rule: Parsing) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -338,7 +352,7 @@ def repeated_spans(docs: DataFrame, rule: Parsing) -> tuple[DataFrame, DataFrame
     parse = stored(parsed(docs, rule), "parse")
     cells = _exploded(parse)
     phrases = _forms(cells, "phrases")
-    spans = _settled(cells, phrases)
+    spans = stored(_settled(cells, phrases, rule), "settled")
     refine = stored(_to_refine(cells, phrases), "refine")
     touched = refine.select("row_id").union(spans.select("row_id")).distinct()
     texts = stored(docs.select("row_id", "text").join(touched.hint("shuffle_hash"), "row_id", "left_semi"), "texts")

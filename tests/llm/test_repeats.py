@@ -119,6 +119,16 @@ def test_production_length(documents):
     assert found(documents(*rows), Parsing()) == brute(rows, 400)
 
 
+def test_a_passage_of_very_many_texts(documents):
+    """More occurrences of one form than are dealt by form, and some that are not so many."""
+    rng = random.Random(7)
+    hot, cold = ("".join(rng.choice("abcdef") for _ in range(40)) for _ in range(2))
+    rows = [(k, hot if k < 1500 else f"{k}{hot}{k}" if k < 1540 else cold + str(k)) for k in range(1560)]
+    for ranked in (1024, 1):
+        rule = Parsing(length=24, trigger=5, block=4, ranked=ranked)
+        assert found(documents(*rows), rule) == brute(rows, 24)
+
+
 def test_missing_repeated_and_extra(documents):
     rule = Parsing(length=8, trigger=3, block=2)
     cases = [(None, "abcdefghijk"), (None, "abcdefghijk"), (1, "zzabcdefghz"), (1, "zzabcdefghz"), (2, None), (3, "")]
