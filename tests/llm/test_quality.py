@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from pathlib import Path
 
 import numpy as np
@@ -40,6 +41,92 @@ def test_scores_are_sums_of_lookups():
         assert abs(score - 1 / (1 + np.exp(-total))) < 1e-9
 
 
+def boosted_by_hand(x: list[list[float]], y: list[int], model, rule: Boosting):
+    """Cyclic boosting over rows instead of bins: ``(tables, pair tables)`` by the edges and pairs of ``model``."""
+    rows = range(len(x))
+    total = [model.base] * len(x)
+    chance = lambda t: 1 / (1 + math.exp(-t))
+    place = lambda edges, v: sum(e <= v for e in edges)
+    g = lambda part: sum(y[r] - chance(total[r]) for r in part)
+    h = lambda part: sum(chance(total[r]) * (1 - chance(total[r])) for r in part)
+    worth = lambda part: g(part) ** 2 / (h(part) + 1.0)
+    value = lambda part: g(part) / (h(part) + 1.0) if part else 0.0
+
+    def cut(part, bins, low, high):
+        """The best gain and where, among the cuts of the bins ``low..high``; small sides gain nothing."""
+        best = (0.0, low + 1)
+        for k in range(low + 1, high):
+            left, right = [r for r in part if bins[r] < k], [r for r in part if bins[r] >= k]
+            if h(left) >= 1.5 and h(right) >= 1.5:
+                best = max(best, (worth(left) + worth(right) - worth(part), k), key=lambda c: c[0])
+        return best
+
+    tables = [[0.0] * (len(e) + 1) for e in model.edges]
+    for _ in range(rule.rounds):
+        for k, table in enumerate(tables):
+            bins = [place(model.edges[k], row[k]) for row in x]
+            parts = [(0, len(table))]
+            while len(parts) < rule.leaves:
+                inside = lambda a, b: [r for r in rows if a <= bins[r] < b]
+                (gain, at), a, b = max((cut(inside(a, b), bins, a, b), a, b) for a, b in parts)
+                if gain <= 1e-9:
+                    break
+                parts.remove((a, b))
+                parts += [(a, at), (at, b)]
+            step = [0.0] * len(table)
+            for a, b in parts:
+                step[a:b] = [rule.rate * value(inside(a, b))] * (b - a)
+            table[:] = [t + s for t, s in zip(table, step, strict=True)]
+            total = [t + step[b] for t, b in zip(total, bins, strict=True)]
+    pairs = []
+    for i, j, _ in model.pairs:
+        sizes = len(model.pair_edges[i]) + 1, len(model.pair_edges[j]) + 1
+        bins = [(place(model.pair_edges[i], row[i]), place(model.pair_edges[j], row[j])) for row in x]
+        table = [[0.0] * sizes[1] for _ in range(sizes[0])]
+        for _ in range(rule.pair_rounds):
+            best = (0.0, None)
+            for one, two in ((0, 1), (1, 0)):
+                own = [b[two] for b in bins]
+                for k in range(1, sizes[one]):
+                    sides = [r for r in rows if bins[r][one] < k], [r for r in rows if bins[r][one] >= k]
+                    if min(h(s) for s in sides) < 1.5:
+                        continue
+                    cuts = [cut(s, own, 0, sizes[two]) for s in sides]
+                    gain = sum(c[0] + worth(s) for c, s in zip(cuts, sides, strict=True)) - worth(list(rows))
+                    if gain > best[0]:
+                        best = gain, (one, two, k, sides, cuts)
+            assert best[1]
+            one, two, k, sides, cuts = best[1]
+            own = [b[two] for b in bins]
+            # Without a cut that gains, both halves still take their own values on either side of the place given.
+            step = {}
+            for side, (_, at) in enumerate(cuts):
+                at = at if cuts[side][0] > 0 else 1
+                for half in (0, 1):
+                    step[side, half] = rule.rate * value([r for r in sides[side] if (own[r] >= at) == half])
+                cuts[side] = cuts[side][0], at
+            found = lambda b: step[int(b[one] >= k), int(b[two] >= cuts[int(b[one] >= k)][1])]
+            for a in range(sizes[0]):
+                for b in range(sizes[1]):
+                    table[a][b] += found((a, b))
+            total = [t + found(b) for t, b in zip(total, bins, strict=True)]
+        pairs.append(table)
+        break  # pairs after the first go round with it
+    return tables, pairs
+
+
+def test_fitting_by_hand():
+    rng = np.random.default_rng(11)
+    x = rng.uniform(-1, 1, (70, 3))
+    y = ((x[:, 0] > 0.2) ^ (x[:, 1] * x[:, 2] > 0.1)).astype(float)
+    rule = Boosting(bins=8, pair_bins=6, rounds=3, pair_rounds=2, pairs=1, leaves=3)
+    model = fit(x, y, rule)
+    tables, pairs = boosted_by_hand(x.tolist(), y.astype(int).tolist(), model, rule)
+    for got, wanted in zip(model.tables, tables, strict=True):
+        assert np.allclose(got, wanted, atol=1e-9) and any(wanted)
+    assert np.allclose(model.pairs[0][2], pairs[0], atol=1e-9)
+
+
 def test_one_class_or_none():
     assert fit(np.zeros((0, 2)), np.zeros(0)).predict(np.zeros((3, 2))).tolist() == [0.5] * 3
     assert len(set(fit(np.ones((5, 2)), np.ones(5)).predict(np.zeros((3, 2))).tolist())) == 1

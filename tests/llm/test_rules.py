@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -9,7 +10,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from epilake.llm.rules import MEASURES, Condition, learn, measured, quality_rules, statistics, verdict
+from epilake.llm.rules import MEASURES, Condition, _thresholds, learn, measured, quality_rules, statistics, verdict
 
 TABLES = Path("/root/testdata/sf0.01")
 
@@ -65,6 +66,61 @@ def test_a_conjunction_is_grown(spark):
     assert wrong < 60
 
 
+def covered_by_hand(rows: list[dict], limits: dict[str, list[float]], max_rules: int, max_conditions: int, precision: float):
+    """Sequential covering by trying every condition on every row."""
+    conditions = [Condition(m, above, v) for m, values in limits.items() for v in values for above in (False, True)]
+    holds = lambda c, r: (r[c.measure] > c.threshold) == c.above
+    count = lambda part: (sum(r["bad"] for r in part), sum(not r["bad"] for r in part))
+    under = lambda rule, part: [r for r in part if all(holds(c, r) for c in rule)]
+    rules = []
+    while len(rules) < max_rules:
+        left = [r for r in rows if not any(under(rule, [r]) for rule in rules)]
+        grow, prune, rule = [r for r in left if r["grown"]], [r for r in left if not r["grown"]], ()
+        while len(rule) < max_conditions:
+            part = under(rule, grow)
+            bad, good = count(part)
+            if not bad or not good:
+                break
+
+            def gain(c, part=part, bad=bad, good=good):
+                b, g = count(under((c,), part))
+                return b * (math.log2((b + 0.1) / (b + g + 0.2)) - math.log2((bad + 0.1) / (bad + good + 0.2)))
+
+            best = max(conditions, key=gain)
+            if gain(best) <= 1e-9:
+                break
+            rule = (*rule, best)
+            if not count(under((best,), part))[1]:
+                break
+        if not rule:
+            break
+        held = [count(under(rule[: k + 1], prune)) for k in range(len(rule))]
+        worth = [(b - g) / (b + g + 1) for b, g in held]
+        kept = max(range(len(rule)), key=lambda k: (worth[k], -k))
+        bad, good = held[kept]
+        if not bad or bad / (bad + good + 1) < min(precision, bad / (bad + 1)):
+            break
+        rules.append(rule[: kept + 1])
+    return rules
+
+
+def test_covering_by_hand(spark):
+    rng = random.Random(12)
+    names = list(MEASURES)[:3]
+    data = []
+    for k in range(240):
+        x = [round(rng.random(), 1) for _ in names]
+        bad = (x[0] > 0.6 and x[1] < 0.7) or x[2] > 0.8 or rng.random() < 0.02
+        data.append((k, bad, *(x[names.index(m)] if m in names else 0.0 for m in MEASURES)))
+    rows = spark.createDataFrame(data, ["doc_id", "bad", *MEASURES])
+    held = [r.asDict() for r in rows.withColumn("grown", F.pmod(F.xxhash64("doc_id"), F.lit(3)) < 2).collect()]
+    limits = _thresholds(rows)
+    for settings in ((8, 3, 0.9), (2, 1, 0.9), (8, 3, 0.99)):
+        wanted = covered_by_hand(held, limits, *settings)
+        assert learn(rows, *settings) == wanted
+    assert len(covered_by_hand(held, limits, 8, 3, 0.9)) >= 2
+
+
 def test_no_python_in_the_plan(spark):
     docs, labels = (spark.read.parquet(str(TABLES / f"{t}.parquet")) for t in ("documents", "labels"))
     for df in (statistics(docs), quality_rules(docs, labels)):
