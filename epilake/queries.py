@@ -36,11 +36,12 @@ from epilake.operators.latest import latest_per_key
 from epilake.operators.rename import rename_strict, sort_desc
 from epilake.operators.stamp import parse_date_column, stamp
 from epilake.plans.daily import DATE_PATTERNS
-from epilake.plans.jobs import LOADS, export, export_loads, run_daily, run_monthly
+from epilake.plans.jobs import LOADS, JobError, export, export_loads, run_all, run_daily, run_monthly
 from epilake.plans.landing import land
 from epilake.session import scratch_path
 from epilake.sinks.files import read_curated, write_batch, write_curated, write_rows
 from epilake.sinks.jdbc import JdbcTarget, append_once, missing_rows, overwrite_table, read_table
+from epilake.sinks.ledger import Ledger
 from epilake.sinks.pointers import record_header, write_pointer
 from epilake.sources.archive import archive_members, inflate, parse_lines, read_zipped_delimited
 from epilake.sources.catalog import CATALOG_SCHEMA, in_period, landing_plan, read_catalog
@@ -844,9 +845,75 @@ def export_all_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "WITH last_event AS (SELECT user_id, event_id::BIGINT AS evento,"
+    " CASE WHEN event_type <> 'error' THEN CAST(ts AS DATE) END AS datahora FROM events"
+    " QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY datahora DESC NULLS LAST, event_id::VARCHAR DESC) = 1)"
+    " SELECT 'tb_cidades_codigo' AS tabela, COUNT(DISTINCT l_suppkey) AS linhas, SUM(DISTINCT l_suppkey)::BIGINT AS soma,"
+    " 1::BIGINT AS cargas FROM lineitem WHERE l_returnflag <> 'A'"
+    " UNION ALL SELECT 'tb_last_date_leitos', COUNT(*), SUM(evento)::BIGINT, 1 FROM last_event"
+)
+def transform_then_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A transform that fails for want of one batch, so nothing is loaded; then one that succeeds.
+
+    For each table its rows, the sum of one of its columns, and how often it was loaded.
+    """
+    layout = _land(spark, "transform_then_load", CASES, _cases(spark, sf_dir))
+    target = _database(spark, f"export_{uuid.uuid4().hex}")
+    ledger = Ledger(target)
+    ledger.prepare(spark)
+    summed = {"tb_cidades_codigo": "codigo_ibge", "tb_last_date_leitos": "evento"}
+    loads = [load for load in LOADS if load.table in summed]
+    jobs = [lambda spark, layout: run_daily(spark, layout, [CASES, BEDS])]
+    try:
+        run_all(spark, layout, target, jobs, loads)
+    except JobError:
+        _land_in(layout, BEDS, _beds(spark, sf_dir))
+    run_all(spark, layout, target, jobs, loads)
+    entries = read_table(spark, target, ledger.name).toDF("load_no", "tabela", "source", "n_rows")
+    counts = entries.groupBy("tabela").agg(F.count("*").alias("cargas"))
+    sums = [
+        read_table(spark, target, name).agg(F.count("*").alias("linhas"), F.sum(named(column).cast("bigint")).alias("soma"))
+        .select(F.lit(name).alias("tabela"), "linhas", "soma")
+        for name, column in summed.items()
+    ]
+    return reduce(DataFrame.unionByName, sums).join(counts, "tabela")
+
+
+@query(
+    "SELECT 'clean_table' AS visao, 'F' || l_suppkey AS nome_munic, COUNT(*) AS linhas, SUM(l_linenumber - 1)::BIGINT AS soma"
+    " FROM lineitem WHERE l_returnflag <> 'A' GROUP BY l_suppkey"
+    " UNION ALL SELECT 'table', o_orderpriority, COUNT(*), SUM(o_custkey % 100)::BIGINT FROM orders GROUP BY o_orderpriority"
+)
+def job_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL finds in the views that the jobs leave in the session."""
+    layout = _land(spark, "job_views", CASES, _cases(spark, sf_dir))
+    _land_in(layout, INPATIENTS, _patients(spark, sf_dir))
+    run_daily(spark, layout, [CASES])
+    run_monthly(spark, layout, RUN_DATE, [INPATIENTS])
+    return spark.sql(
+        "SELECT 'clean_table' AS visao, nome_munic, COUNT(*) AS linhas, SUM(casos_novos) AS soma FROM clean_table GROUP BY nome_munic"
+        " UNION ALL SELECT 'table', nome_munic, COUNT(*), SUM(idade) FROM `table` GROUP BY nome_munic"
+    )
+
+
 # The order of landings, and what changed between them
 
 
+@query("SELECT o_orderkey, o_totalprice, '20221103/grupo-7' AS lote FROM orders WHERE o_orderstatus = 'F'")
+def batch_by_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch read by its run date and run id, although a later one is the current batch; both as its files' path has them."""
+    layout, spec = _lake(spark, "batch_by_path"), DatasetSpec("pedidos", {"o_orderkey": "bigint", "o_totalprice": "double"})
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    first, _ = [
+        _land_in(layout, spec, rows.filter(F.col("o_orderstatus") == status).drop("o_orderstatus"), batch_id)
+        for status, batch_id in (("F", "grupo-7"), ("O", "grupo-8"))
+    ]
+    landed = spark.read.parquet(layout.batch_path(first))
+    place = F.regexp_extract("_metadata.file_path", "/pedidos/([^/]+/[^/]+)/pedidos.parquet/", 1)
+    return apply_types(landed.select("*", place.alias("lote")), spec.columns)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'O'")
 def landing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later landing of an earlier date, with a smaller id: the batch that landed last is the current one."""
